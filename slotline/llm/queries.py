@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotline.llm import chat, mixing, sharding
+from slotline.llm import chat, mixing, sharding, simhash
 from slotline.llm.common import table
 
 
@@ -17,6 +17,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, their fingerprints and the near-duplicate class of each."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, dealt to 40 shards."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
@@ -34,4 +40,4 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name."""
-    return {f.__name__: f for f in (op1_mixing, op6_sharding, op10_chat)}
+    return {f.__name__: f for f in (op1_mixing, op3_simhash, op6_sharding, op10_chat)}
