@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotline.llm import chat, mixing, sharding, simhash
+from slotline.llm import chat, mixing, quality, sharding, simhash, toxicity
 from slotline.llm.common import table
 
 
@@ -23,11 +23,21 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' quality scores."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, dealt to 40 shards."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' toxicity scores."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that tries to break out of the template, written and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -40,4 +50,4 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name."""
-    return {f.__name__: f for f in (op1_mixing, op3_simhash, op6_sharding, op10_chat)}
+    return {f.__name__: f for f in (op1_mixing, op3_simhash, op4_quality, op6_sharding, op8_toxicity, op10_chat)}
