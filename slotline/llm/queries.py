@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotline.llm import chat, mixing, quality, sharding, simhash, toxicity
+from slotline.llm import chat, mixing, neighbours, quality, sharding, simhash, toxicity
 from slotline.llm.common import table
 
 
@@ -17,6 +17,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of every hundredth vector, among all others."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, their fingerprints and the near-duplicate class of each."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -50,4 +55,4 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name."""
-    return {f.__name__: f for f in (op1_mixing, op3_simhash, op4_quality, op6_sharding, op8_toxicity, op10_chat)}
+    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_simhash, op4_quality, op6_sharding, op8_toxicity, op10_chat)}
