@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotline.llm import chat, mixing, neighbours, quality, sharding, simhash, toxicity
+from slotline.llm import chat, decontamination, html, mixing, neighbours, quality, sharding, simhash, toxicity
 from slotline.llm.common import table
 
 
@@ -38,11 +38,21 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents and the benchmark items in each."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' toxicity scores."""
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages' main texts."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that tries to break out of the template, written and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -55,4 +65,4 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name."""
-    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_simhash, op4_quality, op6_sharding, op8_toxicity, op10_chat)}
+    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_simhash, op4_quality, op6_sharding, op7_decontamination, op8_toxicity, op9_html, op10_chat)}
