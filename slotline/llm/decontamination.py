@@ -11,7 +11,6 @@ check of the item's answer (its last sentence).
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,62 +18,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotline.llm.fastwords import Words, hashed, windows, words
+
 #: Hashed terms. They fix the size of the frequencies and of the latent space.
 TERMS = 1 << 16
 #: Words of a passage, and between the starts of two.
 PASSAGE, STRIDE = 32, 16
 #: Items that are matched in one pass over the documents; more take more passes.
 ITEMS = 20_000
-_STRIP = b".,!?;:\"'()[]{}<>*#%&$|_-~`/\\"
-
-
-def words_of(data: bytes) -> list[bytes]:
-    """Words, lower-cased (A-Z), without marks at their ends."""
-    return [w for w in (x.strip(_STRIP) for x in data.lower().split()) if w]
-
-
-class Terms:
-    """Words' terms, remembered from text to text up to a bound."""
-
-    def __init__(self) -> None:
-        self.memo: dict[bytes, tuple[int, bytes]] = {}
-
-    def __call__(self, data: bytes) -> tuple[np.ndarray, list[bytes]]:
-        """The text's words as terms and, where they have any letters, as bare words."""
-        memo = self.memo
-        if len(memo) > 300_000:
-            memo.clear()
-        raw = data.lower().split()
-        for x in set(raw):
-            if x not in memo:
-                bare = x.strip(_STRIP)
-                memo[x] = (zlib.crc32(bare) % TERMS if bare else -1, bare)
-        found = [memo[x] for x in raw]
-        ids = np.fromiter((f[0] for f in found), np.int64, len(found))
-        if (ids < 0).any():
-            found = [f for f in found if f[0] >= 0]
-            ids = ids[ids >= 0]
-        return ids, [f[1] for f in found]
-
-
-def _data(value: pa.Scalar) -> bytes:
-    return value.as_buffer().to_pybytes() if value.is_valid else b""
-
-
-def starts_of(n: int) -> np.ndarray:
-    """Starts of the windows that cover n words; one window if there are few."""
-    return np.arange(0, max(1, n - PASSAGE + STRIDE), STRIDE) if n else np.zeros(0, np.int64)
+def terms_of(ids: np.ndarray) -> np.ndarray:
+    """Words' hashed terms."""
+    return (ids % np.uint64(TERMS)).astype(np.int64)
 
 
 def document_frequencies(documents: DataFrame) -> np.ndarray:
     """In how many documents each hashed term occurs, over all documents' whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, df, n = Terms(), np.zeros(TERMS, np.int64), 0
+        df, n = np.zeros(TERMS, np.int64), 0
         for batch in batches:
-            for text in batch.column(0):
-                df[np.unique(terms(_data(text))[0])] += 1
-                n += 1
+            n += batch.num_rows
+            for part in words(batch.column(0)):
+                df += np.bincount(np.unique(part.text * TERMS + terms_of(part.ids)) % TERMS, minlength=TERMS)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(at, TERMS)), pa.array(np.append(df[at], n))], ["term", "df"]
@@ -97,15 +62,14 @@ def item_passages(benchmark: DataFrame, idf: np.ndarray) -> DataFrame:
     sent = benchmark.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms()
         for batch in batches:
-            rows = []
-            for item, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids, _ = terms(_data(text))
-                for k, at in enumerate(starts_of(len(ids)).tolist()):
-                    own, n = np.unique(ids[at : at + PASSAGE], return_counts=True)
+            rows, items = [], batch.column(0).to_pylist()
+            for part in words(batch.column(1)):
+                terms = terms_of(part.ids)
+                for k, (at, end, text) in enumerate(zip(*windows(part.splits, PASSAGE, STRIDE), strict=True)):
+                    own, n = np.unique(terms[at:end], return_counts=True)
                     weight = n * sent.value[own]
-                    rows.append((item, k, own.tolist(), weight.tolist(), float(np.sqrt((weight**2).sum()))))
+                    rows.append((items[part.first + text], k, own.tolist(), weight.tolist(), float(np.sqrt((weight**2).sum()))))
             yield pa.RecordBatch.from_pylist(
                 [dict(zip(("item_id", "passage", "terms", "weights", "norm"), r, strict=True)) for r in rows],
                 pa.schema([("item_id", pa.int64()), ("passage", pa.int32()), ("terms", pa.list_(pa.int64())),
@@ -173,9 +137,9 @@ def randomised_svd(passages: DataFrame, *, rank: int, extra: int = 8, seed: int
     return (basis @ vectors[:, lead]).astype(np.float32)
 
 
-def common_subsequence(a: list[bytes], b: list[bytes]) -> int:
-    """Length of the longest common subsequence, one machine-word-parallel step per word of b."""
-    at: dict[bytes, int] = {}
+def common_subsequence(a: list, b: list) -> int:
+    """Length of the longest common subsequence; each word of b is one step over all of a's bits."""
+    at: dict = {}
     for i, w in enumerate(a):
         at[w] = at.get(w, 0) | 1 << i
     full = (1 << len(a)) - 1
@@ -187,72 +151,96 @@ def common_subsequence(a: list[bytes], b: list[bytes]) -> int:
 
 
 class Matcher:
-    """Items' latent passages, and the search of one text for them."""
-
-    def __init__(self, idf, latent, vectors, owner, items, cosine: float, weight: float, overlap: float, answer: float) -> None:
-        self.idf, self.latent = idf, latent
-        self.vectors, self.owner, self.items = vectors, owner, items
-        self.cosine, self.weight, self.overlap, self.answer = cosine, weight, overlap, answer
-        self.more = False
-        known = np.zeros(TERMS, bool)
-        for words, _ in items.values():
-            known[[zlib.crc32(w) % TERMS for w in words]] = True
+    """Items' latent passages, and the search of texts for them."""
+
+    def __init__(self, idf: np.ndarray, latent: np.ndarray, passages: list, items: dict, limits: dict[str, float]) -> None:
+        self.items, self.limits, self.more = items, limits, False
+        self.owner = [r["item_id"] for r in passages]
+        known = np.unique(np.concatenate([np.zeros(0, np.int64), *[np.asarray(r["terms"]) for r in passages]]))
+        #: Each term's place among the passages' terms; the last place is for all others.
+        self.place = np.full(TERMS, len(known), np.int32)
+        self.place[known] = np.arange(len(known))
         self.square = (idf.astype(np.float64) ** 2).astype(np.float32)
-        self.known = np.where(known, self.square, 0).astype(np.float32)
-
-    def find(self, terms: Terms, data: bytes) -> list[tuple[int, float, float]]:
-        """(item, cosine, share of the item's words in common order) of each item in the text."""
-        ids, words = terms(data)
-        start = starts_of(len(ids))
-        if not len(start) or not len(self.vectors):
-            return []
-        end = np.minimum(start + PASSAGE, len(ids))
-        sums = np.concatenate([[0.0], np.cumsum(self.square[ids], dtype=np.float64)])
-        mass = sums[end] - sums[start]
-        sums = np.concatenate([[0.0], np.cumsum(self.known[ids], dtype=np.float64)])
-        # the items' terms must hold some of the window's weight: without them it lies outside the space
-        near = np.flatnonzero(sums[end] - sums[start] >= self.weight * mass)
-        best: dict[int, tuple[float, float]] = {}
-        for k in near.tolist():
-            own = ids[start[k] : end[k]]
-            point = self.idf[own] @ self.latent[own]
-            cosines = self.vectors @ point / max(float(np.sqrt(point @ point)), 1e-9)
-            for p in np.flatnonzero(cosines >= self.cosine).tolist():
-                item = self.owner[p]
-                text, last = self.items[item]
-                if len(best.get(item, ())) and best[item][1] == 1.0:
-                    continue
-                around = words[max(0, start[k] - len(text)) : end[k] + len(text)]
-                share = common_subsequence(text, around) / len(text)
-                if share >= self.overlap or (
-                    share >= self.answer and common_subsequence(last, around) >= self.overlap * len(last)
-                ):
-                    if share > best.get(item, (0.0, 0.0))[1]:
-                        best[item] = (float(cosines[p]), share)
-        return sorted((item, c, s) for item, (c, s) in best.items())
-
-
-def _items(benchmark: DataFrame, first: int, n: int, least: int) -> dict[int, tuple[list[bytes], list[bytes]]]:
+        self.weight = np.append(idf[known], 0).astype(np.float32)
+        self.latent = np.vstack([latent[known], np.zeros((1, latent.shape[1]), np.float32)])
+        vectors = np.array([np.asarray(r["weights"]) @ latent[r["terms"]] for r in passages], np.float32)
+        vectors = vectors.reshape(len(passages), latent.shape[1])
+        self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+        self.shares = [
+            dict(zip(self.place[r["terms"]].tolist(), (self.square[r["terms"]] / self.square[r["terms"]].sum()).tolist(), strict=True))
+            for r in passages
+        ]
+
+    def _pairs(self, places: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int, float]]:
+        """(window, passage, cosine) where the cosine and the part of the passage's weight in the window are high."""
+        span = np.arange(PASSAGE)
+        for at in range(0, len(start), 256):
+            a, b = start[at : at + 256], end[at : at + 256]
+            index = np.minimum(a[:, None] + span, len(places) - 1)
+            own = np.where(a[:, None] + span < b[:, None], places[index], len(self.weight) - 1)
+            point = np.matmul(self.weight[own][:, None, :], self.latent[own])[:, 0, :]
+            point /= np.maximum(np.linalg.norm(point, axis=1, keepdims=True), 1e-9)
+            cosines = point @ self.vectors.T
+            sets: dict[int, set] = {}
+            for i, p in zip(*(x.tolist() for x in np.nonzero(cosines >= self.limits["cosine"])), strict=True):
+                if i not in sets:
+                    sets[i] = set(own[i].tolist())
+                share = self.shares[p]
+                if sum(share[t] for t in sets[i] if t in share) >= self.limits["part"]:
+                    yield at + i, p, float(cosines[i, p])
+
+    def find(self, part: Words) -> dict[int, dict[int, tuple[float, float]]]:
+        """By text and item: the cosine, and the share of the item's words that the text has in their order."""
+        out: dict[int, dict[int, tuple[float, float]]] = {}
+        if not len(part.ids) or not self.owner:
+            return out
+        terms = terms_of(part.ids)
+        places = self.place[terms]
+        start, end, text = windows(part.splits, PASSAGE, STRIDE)
+        mass = np.concatenate([[0.0], np.cumsum(self.square[terms], dtype=np.float64)])
+        on_items = np.concatenate([[0.0], np.cumsum(self.weight[places].astype(np.float64) ** 2)])
+        # a window with little weight on the items' terms lies outside the latent space
+        near = np.flatnonzero(on_items[end] - on_items[start] >= self.limits["weight"] * (mass[end] - mass[start]))
+        overlap, answer = self.limits["overlap"], self.limits["answer"]
+        for k, p, cosine in self._pairs(places, start[near], end[near]):
+            w, item = near[k], self.owner[p]
+            own = out.get(int(text[w]), {})
+            if own.get(item, (0, 0.0))[1] == 1.0:
+                continue
+            words_, last = self.items[item]
+            low, high = part.splits[text[w]], part.splits[text[w] + 1]
+            around = part.ids[max(low, start[w] - len(words_)) : min(high, end[w] + len(words_))].tolist()
+            share = common_subsequence(words_, around) / len(words_)
+            found = share >= overlap or (
+                share >= answer and common_subsequence(last, around) >= overlap * len(last)
+            )
+            if found and share > own.get(item, (0, 0.0))[1]:
+                out.setdefault(int(text[w]), {})[item] = (cosine, share)
+        return out
+
+
+def _items(benchmark: DataFrame, first: int, n: int, least: int) -> dict[int, tuple[list[int], list[int]]]:
     """Words and last sentence's words of a block of items, in the order of their ids."""
     rows = benchmark.where("text is not null and item_id is not null").orderBy("item_id", "text")
     out = {}
     for r in rows.offset(first).limit(n).collect():
-        words = words_of(r["text"].encode())
-        last = words_of(r["text"].strip().rstrip(".!?").replace("?", ".").rpartition(".")[2].encode())
-        if len(words) >= least:
-            out[int(r["item_id"])] = (words, last or words)
+        own = hashed(r["text"].encode()).tolist()
+        last = hashed(r["text"].strip().rstrip(".!?").replace("?", ".").rpartition(".")[2].encode()).tolist()
+        if len(own) >= least:
+            out[int(r["item_id"])] = (own, last or own)
     return out
 
 
 def contaminated(
-    documents: DataFrame, benchmark: DataFrame, *, rank: int = 128, cosine: float = 0.4, weight: float = 0.2, overlap: float = 0.8,
-    answer: float = 0.6, least: int = 5, keep: tuple[str, ...] = ("doc_id",),
+    documents: DataFrame, benchmark: DataFrame, *, rank: int = 128, cosine: float = 0.4, weight: float = 0.3, part: float = 0.4,
+    overlap: float = 0.8, answer: float = 0.6, least: int = 5, keep: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
     """The columns ``keep``, contaminated, item_ids, cosine and overlap of every document.
 
     A document is contaminated by an item if one of its windows, with ``weight``
     of its TF-IDF weight on terms of the benchmark, has ``cosine`` in the latent
-    space with one of the item's passages and the text around it holds ``overlap`` of
+    space with one of the item's passages and ``part`` of that passage's weight,
+    and the text around it holds ``overlap`` of
     the item's words in their order, or ``answer`` of them and ``overlap`` of its
     last sentence. Items of fewer than ``least`` words are not searched for. Null
     and empty texts are clean; repeated rows and null ids are judged like any
@@ -271,12 +259,8 @@ def contaminated(
     for first in range(0, max(n_items, 1), ITEMS):
         block = _items(items, first, ITEMS, least)
         rows = [r for r in _of_block(passages, block, n_items).collect() if r["item_id"] in block and r["norm"] > 0]
-        vectors = np.array([np.asarray(r["weights"]) @ latent[r["terms"]] for r in rows], np.float32)
-        vectors /= np.maximum(np.linalg.norm(vectors, axis=-1, keepdims=True), 1e-9)
-        matcher = Matcher(
-            idf, latent, vectors.reshape(len(rows), latent.shape[1]), [r["item_id"] for r in rows], block,
-            cosine, weight, overlap, answer,
-        )
+        limits = {"cosine": cosine, "weight": weight, "part": part, "overlap": overlap, "answer": answer}
+        matcher = Matcher(idf, latent, rows, block, limits)
         matcher.more = first + ITEMS < n_items  # whether the texts are needed again
         sent = spark.sparkContext.broadcast(matcher)  # TERMS x rank numbers and at most ITEMS items
         found = _search(found, sent, kinds, len(keep))
@@ -297,12 +281,14 @@ def _search(documents: DataFrame, sent, kinds: list[str], drop: int) -> DataFram
     again = len(documents.columns) > drop + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms()
         for batch in batches:
-            hits = [sent.value.find(terms, _data(x)) for x in batch.column(drop)]
-            ids = [[i for i, _, _ in x] for x in hits]
-            cosine = np.array([max((c for _, c, _ in x), default=0.0) for x in hits])
-            share = np.array([max((s for _, _, s in x), default=0.0) for x in hits])
+            ids: list[list[int]] = [[] for _ in range(batch.num_rows)]
+            cosine, share = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
+            for part in words(batch.column(drop)):
+                for text, hits in sent.value.find(part).items():
+                    row = part.first + text
+                    ids[row] = sorted(hits)
+                    cosine[row], share[row] = np.max(list(hits.values()), axis=0)
             if again:
                 ids = [a + b for a, b in zip(batch.column("item_ids").to_pylist(), ids, strict=True)]
                 cosine = np.maximum(cosine, batch.column("cosine").to_numpy())
