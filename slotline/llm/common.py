@@ -16,16 +16,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the folder that all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, ``spark.checkpoint.dir``.
 
-    The folder is ``spark.checkpoint.dir``. Only where the session names none,
-    as in local tests, a temporary one is set.
+    Only where the session names none, as in local tests, a temporary one is set.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="slotline-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def shared(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -234,8 +234,9 @@ def _items(benchmark: DataFrame, first: int, n: int, least: int) -> dict[int, tu
 def contaminated(
     documents: DataFrame, benchmark: DataFrame, *, rank: int = 128, cosine: float = 0.4, weight: float = 0.3, part: float = 0.4,
     overlap: float = 0.8, answer: float = 0.6, least: int = 5, keep: tuple[str, ...] = ("doc_id",),
+    with_text: bool = False,
 ) -> DataFrame:
-    """The columns ``keep``, contaminated, item_ids, cosine and overlap of every document.
+    """The columns ``keep``, the text if asked for, contaminated, item_ids, cosine and overlap of every document.
 
     A document is contaminated by an item if one of its windows, with ``weight``
     of its TF-IDF weight on terms of the benchmark, has ``cosine`` in the latent
@@ -261,11 +262,11 @@ def contaminated(
         rows = [r for r in _of_block(passages, block, n_items).collect() if r["item_id"] in block and r["norm"] > 0]
         limits = {"cosine": cosine, "weight": weight, "part": part, "overlap": overlap, "answer": answer}
         matcher = Matcher(idf, latent, rows, block, limits)
-        matcher.more = first + ITEMS < n_items  # whether the texts are needed again
+        matcher.more = with_text or first + ITEMS < n_items  # whether the texts are needed again
         sent = spark.sparkContext.broadcast(matcher)  # TERMS x rank numbers and at most ITEMS items
         found = _search(found, sent, kinds, len(keep))
     return found.select(
-        *keep, (F.size("item_ids") > 0).alias("contaminated"), "item_ids", "cosine", "overlap"
+        *keep, *(["text"] if with_text else []), (F.size("item_ids") > 0).alias("contaminated"), "item_ids", "cosine", "overlap"
     )
 
 

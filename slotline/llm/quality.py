@@ -137,17 +137,18 @@ def fit(documents: DataFrame, labels: DataFrame, *, folds: int = 5, most_rows: i
     return train([(np.frombuffer(r["i"], np.int32), np.frombuffer(r["v"], np.float32), r["y"]) for r in got])
 
 
-def score(documents: DataFrame, machine: Machine, *, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of every document and its ``score``. Null and empty texts are scored alike."""
+def score(documents: DataFrame, machine: Machine, *, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False) -> DataFrame:
+    """The columns ``keep`` of every document, its text if asked for, and its ``score``. Null and empty texts score alike."""
     model = documents.sparkSession.sparkContext.broadcast(machine)  # SIZE x (rank + 1) numbers
     slim = documents.select(*keep, "text")
-    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema[:-1]] + ["score double"]
-    drop = len(keep)
+    at = len(keep)
+    names = [*keep, "text"] if with_text else list(keep)
+    columns = [f"`{n}` {slim.schema[n].dataType.simpleString()}" for n in names] + ["score double"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [model.value.score((t.as_py() or "").encode()) for t in batch.column(drop)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:drop], pa.array(scores, pa.float64())], [*keep, "score"])
+            scores = [model.value.score((t.as_py() or "").encode()) for t in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(scores, pa.float64())], [*names, "score"])
 
     return slim.mapInArrow(run, ", ".join(columns))
 
