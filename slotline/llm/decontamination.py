@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotline.llm.common import shared
 from slotline.llm.fastwords import Words, hashed, windows, words
 
 #: Hashed terms. They fix the size of the frequencies and of the latent space.
@@ -80,23 +81,26 @@ def item_passages(benchmark: DataFrame, idf: np.ndarray) -> DataFrame:
     return slim.mapInArrow(run, "item_id long, passage int, terms array<long>, weights array<double>, norm double")
 
 
-def randomised_svd(passages: DataFrame, *, rank: int, extra: int = 8, seed: int = 7) -> np.ndarray:
-    """The leading right singular vectors of the passages' matrix, TERMS x ``rank``.
+def randomised_svd(passages: DataFrame, *, rank: int, extra: int = 8, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """The leading right singular vectors of the passages' matrix: the terms they have, and a row for each.
 
-    The range is sampled with A'(A G) for a Gaussian G, one pass over the
-    passages with a sum by term; a second pass sums the projected rows' Gram
-    matrix. What reaches the driver has TERMS x rank numbers at most.
+    The range is sampled with A'(A G) for a Gaussian G whose rows each term
+    seeds, one pass over the passages with a sum by term; a second pass sums the
+    projected rows' Gram matrix. What reaches the driver, and is broadcast, has
+    TERMS x (rank + extra) numbers at most.
     """
     wide = rank + extra
-    gauss = np.random.default_rng(seed).normal(size=(TERMS, wide))
     spark = passages.sparkSession
-    sent = spark.sparkContext.broadcast(gauss)
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
+        gauss: dict[int, np.ndarray] = {}
         for batch in batches:
             for terms, weights in zip(batch.column("terms").to_pylist(), batch.column("weights").to_pylist(), strict=True):
-                row = np.asarray(weights) @ sent.value[terms]
+                for t in terms:
+                    if t not in gauss:
+                        gauss[t] = np.random.default_rng([seed, t]).normal(size=wide)
+                row = np.asarray(weights) @ np.stack([gauss[t] for t in terms])
                 for t, w in zip(terms, weights, strict=True):
                     total[t] = total[t] + w * row if t in total else w * row
         yield pa.RecordBatch.from_arrays(
@@ -105,36 +109,33 @@ def randomised_svd(passages: DataFrame, *, rank: int, extra: int = 8, seed: int
         )
 
     parts = passages.mapInArrow(sample, "term long, y array<double>")
-    sums = parts.groupBy("term").agg(F.array(*[F.sum(F.col("y")[i]) for i in range(wide)]).alias("y")).collect()
+    sums = parts.groupBy("term").agg(F.array(*[F.sum(F.col("y")[i]) for i in range(wide)]).alias("y")).orderBy("term").collect()
+    at = np.array([r["term"] for r in sums], np.int64)
     if not sums:
-        return np.zeros((TERMS, 0), np.float32)
-    at = np.array([r["term"] for r in sums])
-    q, _ = np.linalg.qr(np.array([r["y"] for r in sums]))
-    basis = np.zeros((TERMS, q.shape[1]))
-    basis[at] = q
-    based = spark.sparkContext.broadcast(basis)
+        return at, np.zeros((0, 0), np.float32)
+    basis, _ = np.linalg.qr(np.array([r["y"] for r in sums]))
+    n = basis.shape[1]
+    sent = spark.sparkContext.broadcast((at, basis.astype(np.float32)))
 
     def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g = np.zeros((basis_width, basis_width))
+        g = np.zeros((n, n))
+        known, q = sent.value
         for batch in batches:
             for terms, weights in zip(batch.column("terms").to_pylist(), batch.column("weights").to_pylist(), strict=True):
-                row = np.asarray(weights) @ based.value[terms]
+                row = np.asarray(weights) @ q[np.searchsorted(known, terms)]
                 g += np.outer(row, row)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(basis_width), pa.int64()), pa.array(g.tolist(), pa.list_(pa.float64()))], ["i", "g"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array(g.tolist(), pa.list_(pa.float64()))], ["i", "g"])
 
-    basis_width = basis.shape[1]
     rows = (
         passages.mapInArrow(gram, "i long, g array<double>").groupBy("i")
-        .agg(F.array(*[F.sum(F.col("g")[j]) for j in range(basis_width)]).alias("g")).collect()
+        .agg(F.array(*[F.sum(F.col("g")[j]) for j in range(n)]).alias("g")).collect()
     )
-    g = np.zeros((basis_width, basis_width))
+    g = np.zeros((n, n))
     for r in rows:
         g[r["i"]] = r["g"]
     values, vectors = np.linalg.eigh(g)
     lead = [i for i in np.argsort(-values)[:rank] if values[i] > 1e-9 * max(values.max(), 1e-30)]
-    return (basis @ vectors[:, lead]).astype(np.float32)
+    return at, (basis @ vectors[:, lead]).astype(np.float32)
 
 
 def common_subsequence(a: list, b: list) -> int:
@@ -153,17 +154,18 @@ def common_subsequence(a: list, b: list) -> int:
 class Matcher:
     """Items' latent passages, and the search of texts for them."""
 
-    def __init__(self, idf: np.ndarray, latent: np.ndarray, passages: list, items: dict, limits: dict[str, float]) -> None:
+    def __init__(
+        self, idf: np.ndarray, terms: np.ndarray, latent: np.ndarray, passages: list, items: dict, limits: dict[str, float]
+    ) -> None:
         self.items, self.limits, self.more = items, limits, False
         self.owner = [r["item_id"] for r in passages]
-        known = np.unique(np.concatenate([np.zeros(0, np.int64), *[np.asarray(r["terms"]) for r in passages]]))
         #: Each term's place among the passages' terms; the last place is for all others.
-        self.place = np.full(TERMS, len(known), np.int32)
-        self.place[known] = np.arange(len(known))
+        self.place = np.full(TERMS, len(terms), np.int32)
+        self.place[terms] = np.arange(len(terms))
         self.square = (idf.astype(np.float64) ** 2).astype(np.float32)
-        self.weight = np.append(idf[known], 0).astype(np.float32)
-        self.latent = np.vstack([latent[known], np.zeros((1, latent.shape[1]), np.float32)])
-        vectors = np.array([np.asarray(r["weights"]) @ latent[r["terms"]] for r in passages], np.float32)
+        self.weight = np.append(idf[terms], 0).astype(np.float32)
+        self.latent = np.vstack([latent, np.zeros((1, latent.shape[1]), np.float32)])
+        vectors = np.array([np.asarray(r["weights"]) @ latent[self.place[r["terms"]]] for r in passages], np.float32)
         vectors = vectors.reshape(len(passages), latent.shape[1])
         self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
         self.shares = [
@@ -251,7 +253,8 @@ def contaminated(
     items = benchmark.select("item_id", "text")
     idf = inverse(document_frequencies(documents))
     passages = item_passages(items, idf)
-    latent = randomised_svd(passages, rank=rank)
+    passages = shared(passages)
+    terms, latent = randomised_svd(passages, rank=rank)
     n_items = items.count()
     slim = documents.select(*keep, "text")
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema[:-1]]
@@ -261,9 +264,9 @@ def contaminated(
         block = _items(items, first, ITEMS, least)
         rows = [r for r in _of_block(passages, block, n_items).collect() if r["item_id"] in block and r["norm"] > 0]
         limits = {"cosine": cosine, "weight": weight, "part": part, "overlap": overlap, "answer": answer}
-        matcher = Matcher(idf, latent, rows, block, limits)
+        matcher = Matcher(idf, terms, latent, rows, block, limits)
         matcher.more = with_text or first + ITEMS < n_items  # whether the texts are needed again
-        sent = spark.sparkContext.broadcast(matcher)  # TERMS x rank numbers and at most ITEMS items
+        sent = spark.sparkContext.broadcast(matcher)  # at most TERMS x rank numbers and ITEMS items
         found = _search(found, sent, kinds, len(keep))
     return found.select(
         *keep, *(["text"] if with_text else []), (F.size("item_ids") > 0).alias("contaminated"), "item_ids", "cosine", "overlap"
