@@ -2,16 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from slotline.plans.queries import oracle_sql, queries
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """By name."""
-    return {}
-
-
-def oracle_sql() -> dict[str, str]:
-    """By name."""
-    return {}
+__all__ = ["oracle_sql", "queries"]
