@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotline.llm import chat, decontamination, html, mixing, neighbours, quality, sharding, simhash, toxicity
+from slotline.llm import chat, decontamination, html, mixing, neighbours, quality, sharding, simhash, substrings, toxicity
 from slotline.llm.common import table
 
 
@@ -33,6 +33,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the long strings that earlier ones have."""
+    found = substrings.repeated_substrings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, dealt to 40 shards."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
@@ -65,4 +71,4 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name."""
-    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_simhash, op4_quality, op6_sharding, op7_decontamination, op8_toxicity, op9_html, op10_chat)}
+    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_simhash, op4_quality, op5_substrings, op6_sharding, op7_decontamination, op8_toxicity, op9_html, op10_chat)}
