@@ -152,7 +152,7 @@ def report_event_type(text: Column) -> Column:
 
 def listed(member: Column, comma_list: Column) -> Column:
     """Whether a comma-separated list holds a member."""
-    return F.array_contains(F.transform(F.split(comma_list, ","), F.trim), member)
+    return F.array_contains(F.transform(F.split(comma_list, ","), lambda x: F.trim(x)), member)
 
 
 def differs(a: Column, b: Column) -> Column:
