@@ -28,7 +28,7 @@ def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """One document of each near-duplicate class: the smallest doc_id's, a repeated row once."""
     first = simhash.near_duplicates(docs).where("keep").select("doc_id", "text_hash").distinct()
     key = (F.col("doc_id").eqNullSafe(F.col("_id"))) & (F.col("_hash") == F.col("text_hash"))
-    found = docs.withColumn("_hash", F.xxhash64("text")).join(first.withColumnRenamed("doc_id", "_id"), key, "left_semi")
+    found = docs.select(*COLUMNS).withColumn("_hash", F.xxhash64("text")).join(first.withColumnRenamed("doc_id", "_id"), key, "left_semi")
     once = Window.partitionBy("doc_id", "_hash").orderBy("source", "lang", "n_chars")
     return found.withColumn("_n", F.row_number().over(once)).where("_n = 1").select(*COLUMNS)
 

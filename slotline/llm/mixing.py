@@ -165,8 +165,8 @@ def mix_documents(
     Returns doc_id, source, size (words), source_size, target, taken and draws:
     for every block the mix takes of the document, its shard, place (the order
     in the shard), first word in the document and number of words. ``carry``
-    names further columns to keep. A source's taken words miss its target by one
-    block at most; blocks have ``block_words`` words, fewer where a source has
+    names further columns to keep. A source's taken words miss its target by two
+    blocks at most (rounding, and a short last block); blocks have ``block_words`` words, fewer where a source has
     under 64 such blocks. No block is taken more than three times.
 
     Null texts and texts without words have size 0 and are never taken; null

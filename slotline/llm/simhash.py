@@ -239,15 +239,17 @@ def linked_fingerprints(fps: DataFrame, *, most: int = 2, node_rows: int = NODE_
             "CASE WHEN pa = pb THEN n > 1 ELSE ones > 0 AND ones < n END"
         )
         alive = shared(rows.join(sizes.drop("ones"), node))
+        # fingerprints don't repeat, so few are left below a node that can't be taken down further
+        fits = (F.col("n") <= node_rows) | (F.col("depth") > BITS - STEP)
         small = (
-            alive.where(F.col("n") <= node_rows)
+            alive.where(fits)
             .select(*node, "side", "key")
             .repartition(*node)
             .sortWithinPartitions(*node, "side", "key")
         )
         links = small.mapInArrow(_walk_nodes(most), "u long, v long")
         found = links if found is None else found.unionByName(links)
-        large = alive.where(F.col("n") > node_rows)
+        large = alive.where(~fits)
         if large.isEmpty():
             return found
         rows = _deeper(large.select(*node, "side", "key"), most)
