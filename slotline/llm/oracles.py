@@ -31,14 +31,14 @@ def _op10_chat() -> str:
     FROM sized GROUP BY conv_id"""
 
 
-#: Bytes as pairs of hexadecimal digits: a string of 50 bytes is one of 100 characters.
+#: Strings are slices of the text's bytes; what is kept is put together in hexadecimal digits.
 _OP5_SUBSTRINGS = """
     WITH d AS (
-        SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS o, hex(encode(coalesce(text, ''))) AS h FROM documents
+        SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS o, encode(coalesce(text, '')) AS b FROM documents
     ), w AS (
-        SELECT r, o, s, substr(h, 2 * s + 1, 100) AS x FROM (SELECT r, o, h, unnest(range(0, greatest(0, length(h) // 2 - 49))) AS s FROM d)
+        SELECT r, o, s, b[s + 1 : s + 50] AS x FROM (SELECT r, o, b, unnest(range(0, greatest(0, octet_length(b) - 49))) AS s FROM d)
     ), hit AS (
-        SELECT w.r, w.s FROM w JOIN (SELECT x, min(o) AS low FROM w GROUP BY x HAVING count(*) > 1) m ON m.x = w.x AND w.o > m.low
+        SELECT w.r, w.s FROM w JOIN (SELECT x, min(o) AS low FROM w GROUP BY x HAVING min(o) < max(o)) m ON m.x = w.x AND w.o > m.low
     ), island AS (
         SELECT r, min(s) AS a, max(s) + 50 AS e FROM (
             SELECT *, sum(new) OVER (PARTITION BY r ORDER BY s) AS k FROM (
@@ -47,11 +47,11 @@ _OP5_SUBSTRINGS = """
     ), gap AS (
         SELECT r, a, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM island
     ), lost AS (
-        SELECT d.r, sum(e - a) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept, max(e) AS last
+        SELECT d.r, sum(e - a) AS n_removed, count(*) AS n_spans, string_agg(hex(b[before + 1 : a]), '' ORDER BY a) AS kept, max(e) AS last
         FROM gap JOIN d ON d.r = gap.r GROUP BY d.r
     )
-    SELECT doc_id, cast(length(h) // 2 AS BIGINT) AS n_bytes, cast(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-        sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+    SELECT doc_id, cast(octet_length(b) AS BIGINT) AS n_bytes, cast(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+        sha256(coalesce(unhex(kept || hex(b[last + 1 : octet_length(b)])), b)) AS kept_sha256
     FROM d LEFT JOIN lost USING (r)"""
 
 

@@ -223,31 +223,35 @@ def _deal_runs(texts: DataFrame, n_parts: int) -> DataFrame:
     return texts.mapInArrow(run, PACKED)
 
 
-def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
-    """Packed rows in order of part, part by part."""
-    part, held = None, []
+def _gathered(packed: DataFrame, n_parts: int) -> DataFrame:
+    """Packed rows of all kinds, one part after the other."""
+    return packed.repartition(n_parts, "part").sortWithinPartitions("part")
+
+
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[str, list[bytes]]]]:
+    """Packed rows in order of part: each part's, by kind."""
+    part, held = None, {}
     for batch in batches:
-        for p, rows in zip(batch.column("part").to_pylist(), batch.column("rows").to_pylist(), strict=True):
+        for kind, p, rows in zip(*(batch.column(c).to_pylist() for c in ("kind", "part", "rows")), strict=True):
             if p != part and held:
                 yield part, held
-                held = []
+                held = {}
             part = p
-            held.append(rows)
+            held.setdefault(kind, []).append(rows)
     if held:
         yield part, held
 
 
-def _gathered(packed: DataFrame, kind: str, n_parts: int) -> DataFrame:
-    own = packed.where(F.col("kind") == kind).select("part", "rows")
-    return own.repartition(n_parts, "part").sortWithinPartitions("part")
-
-
 def _compare_runs(packed: DataFrame, n_parts: int) -> DataFrame:
-    """Spans of equal runs, and needs where runs of one anchor differ."""
+    """Spans of equal runs, and needs where runs of one anchor differ; spans that came along are passed on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, blobs in _by_part(batches):
-            spans, runs = _settle(np.frombuffer(b"".join(blobs), RUN))
+            if blobs.get("span"):
+                yield _batch([("span", part, x) for x in blobs["span"]])
+            spans, runs = _settle(np.frombuffer(b"".join(blobs.get("run", [])), RUN))
+            if not len(runs):
+                continue
             # runs are now ordered by (h, c, d), each (h, c) of one document
             first = np.concatenate([[True], (runs["h"][1:] != runs["h"][:-1]) | (runs["c"][1:] != runs["c"][:-1])])
             anchor = np.concatenate([[True], runs["h"][1:] != runs["h"][:-1]])
@@ -263,7 +267,7 @@ def _compare_runs(packed: DataFrame, n_parts: int) -> DataFrame:
             need["hot"] = (kinds > MOST_RUNS)[of][some]
             yield _batch([*_dealt(spans, _home(spans["r"], n_parts), "span"), *_dealt(need, _home(need["r"], n_parts), "need")])
 
-    return _gathered(packed, "run", n_parts).mapInArrow(run, PACKED)
+    return _gathered(packed, n_parts).mapInArrow(run, PACKED)
 
 
 def _rows_named(packed: DataFrame) -> DataFrame:
@@ -394,31 +398,34 @@ def _expand(contexts: list[tuple[int, int, int, bytes]]) -> np.ndarray:
     return out
 
 
-def _compare_bytes(packed: DataFrame, n_parts: int) -> DataFrame:
-    """Spans of runs whose bytes were asked for, anchor by anchor in bounded chunks."""
+def _unpack(blob: bytes) -> Iterator[tuple[int, tuple[int, int, int, bytes]]]:
+    """Anchor, and (d, r, a, bytes), of each run packed by :func:`_deal_bytes`."""
+    at = 0
+    while at < len(blob):
+        key = int.from_bytes(blob[at : at + 8], "little")
+        d, r = (int.from_bytes(blob[at + k : at + k + 8], "little", signed=True) for k in (8, 16))
+        a = int.from_bytes(blob[at + 24 : at + 28], "little")
+        size = int.from_bytes(blob[at + 28 : at + 30], "little")
+        yield key, (d, r, a, blob[at + 30 : at + 30 + size])
+        at += 30 + size
+
 
-    def unpack(blob: bytes) -> Iterator[tuple[int, tuple[int, int, int, bytes]]]:
-        at = 0
-        while at < len(blob):
-            key = int.from_bytes(blob[at : at + 8], "little")
-            d, r = (int.from_bytes(blob[at + k : at + k + 8], "little", signed=True) for k in (8, 16))
-            a = int.from_bytes(blob[at + 24 : at + 28], "little")
-            size = int.from_bytes(blob[at + 28 : at + 30], "little")
-            yield key, (d, r, a, blob[at + 30 : at + 30 + size])
-            at += 30 + size
+def _compare_asked(packed: DataFrame, n_parts: int, chunk_bytes: int = 200_000) -> DataFrame:
+    """Spans of runs whose bytes were asked for, in chunks of whole anchors, and of hot anchors' strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, blobs in _by_part(batches):
+            spans = [_settle(np.frombuffer(b"".join(blobs.get("run", [])), RUN))[0]]
             groups: dict[int, list] = {}
-            for blob in blobs:
-                for key, x in unpack(blob):
+            for blob in blobs.get("bytes", []):
+                for key, x in _unpack(blob):
                     groups.setdefault(key, []).append(x)
             chunk: list = []
-            size, spans = 0, [np.zeros(0, SPAN)]
+            size = 0
             for g in groups.values():
                 chunk += g
                 size += sum(len(x[3]) for x in g)
-                if size > 200_000:
+                if size > chunk_bytes:
                     spans.append(_expand(chunk))
                     chunk, size = [], 0
             if chunk:
@@ -426,18 +433,7 @@ def _compare_bytes(packed: DataFrame, n_parts: int) -> DataFrame:
             found = np.concatenate(spans)
             yield _batch(list(_dealt(found, _home(found["r"], n_parts), "span")))
 
-    return _gathered(packed, "bytes", n_parts).mapInArrow(run, PACKED)
-
-
-def _compare_strings(packed: DataFrame, n_parts: int) -> DataFrame:
-    """Spans of hot anchors' strings, by their hashes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, blobs in _by_part(batches):
-            spans, _ = _settle(np.frombuffer(b"".join(blobs), RUN))
-            yield _batch(list(_dealt(spans, _home(spans["r"], n_parts), "span")))
-
-    return _gathered(packed, "run", n_parts).mapInArrow(run, PACKED)
+    return _gathered(packed, n_parts).mapInArrow(run, PACKED)
 
 
 def merged_spans(a: np.ndarray, e: np.ndarray) -> list[tuple[int, int]]:
@@ -493,11 +489,10 @@ def repeated_substrings(documents: DataFrame) -> DataFrame:
     )
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_parts = int(max(spark.sparkContext.defaultParallelism, -(-size // GROUP)))
-    dealt = shared(_deal_runs(rows, n_parts))
-    compared = shared(_compare_runs(dealt, n_parts))
-    needs, spans = compared.where("kind = 'need'"), compared.where("kind = 'span'").unionByName(dealt.where("kind = 'span'"))
-    asked = shared(_deal_bytes(_texts_of(rows, _rows_named(needs), n_parts), needs, n_parts))
-    spans = shared(spans.unionByName(_compare_bytes(asked, n_parts)).unionByName(_compare_strings(asked, n_parts)))
+    compared = shared(_compare_runs(_deal_runs(rows, n_parts), n_parts))
+    needs = compared.where("kind = 'need'")
+    more = shared(_compare_asked(_deal_bytes(_texts_of(rows, _rows_named(needs), n_parts), needs, n_parts), n_parts))
+    spans = compared.where("kind = 'span'").unionByName(more)
     removed = _remove(_texts_of(rows, _rows_named(spans), n_parts), spans)
     none = F.array().cast("array<struct<start: bigint, stop: bigint>>")
     return slim.join(removed, "r", "left").select(
