@@ -9,9 +9,18 @@ FIRST_SUPPORTED_SEASON = 20102011
 COMPLETED = ("OFF", "OVER", "FINAL")
 #: Report spellings of event types.
 REPORT_TYPES = {
-    "GOAL": "goal", "SHOT": "shot-on-goal", "MISS": "missed-shot", "BLOCK": "blocked-shot", "HIT": "hit", "GIVE": "giveaway",
-    "TAKE": "takeaway", "FAC": "faceoff", "PENL": "penalty", "STOP": "stoppage", "PSTR": "period-start", "PEND": "period-end",
-    "GEND": "game-end", "SOC": "shootout-complete", "DELPEN": "delayed-penalty",
+    "GOAL": "goal",
+    "SHOT": "shot-on-goal", "SHOT (!)": "shot-on-goal",
+    "MISS": "missed-shot", "MISSED SHOT": "missed-shot",
+    "BLOCK": "blocked-shot", "BLOCKED SHOT": "blocked-shot",
+    "HIT": "hit", "HIT (!)": "hit",
+    "GIVE": "giveaway", "GIVEAWAY": "giveaway",
+    "TAKE": "takeaway", "TAKEAWAY": "takeaway",
+    "FAC": "faceoff", "FACE-OFF": "faceoff",
+    "PENL": "penalty", "PENALTY": "penalty",
+    "STOP": "stoppage", "STOPPAGE": "stoppage",
+    "PSTR": "period-start", "PEND": "period-end", "GEND": "game-end",
+    "SOC": "shootout-complete", "GOALIE": "goalie-change",
 }
 
 
@@ -36,15 +45,16 @@ def lenient_clock(text: Column) -> Column:
 
 
 def report_clock(text: Column) -> Column:
-    """A report's clock as ``mm:ss``."""
-    parts = F.split(F.trim(text), ":")
-    return F.concat(F.lpad(parts[0], 2, "0"), F.lit(":"), F.lpad(parts[1], 2, "0"))
+    """A report's clock as ``mm:ss``; null for anything else."""
+    part = lambda k: F.regexp_extract(text, r"^([0-9]+):([0-9]+)$", k).try_cast("int")
+    padded = F.concat(F.format_string("%02d", part(1)), F.lit(":"), F.format_string("%02d", part(2)))
+    return F.when(text.rlike(r"^[0-9]+:[0-9]+$") & (part(2) <= 59) & part(1).isNotNull(), padded)
 
 
 def period_length(game_type: Column, period: Column) -> Column:
-    """Seconds of a period: regulation 1200, overtime 300, in the playoffs 1200; null for no such period."""
+    """Seconds of a period: regulation 1200, overtime 300, in the playoffs 1200; null for no such period or game type."""
     return (
-        F.when(period.between(1, 3), 1200)
+        F.when(game_type.isin(2, 3) & period.between(1, 3), 1200)
         .when((game_type == 2) & (period == 4), 300)
         .when((game_type == 3) & (period >= 4), 1200)
     )
@@ -117,15 +127,15 @@ def position_role(position: Column) -> Column:
 
 
 def season_of(date: Column) -> Column:
-    """Season code of a date; seasons turn in September."""
-    first = F.year(date) - F.when(F.month(date) < 9, 1).otherwise(0)
+    """Season code of a date; a season begins in October."""
+    first = F.year(date) - F.when(F.month(date) < 10, 1).otherwise(0)
     return (first * 10000 + first + 1).cast("int")
 
 
 def active_seasons(date: Column) -> Column:
-    """Seasons that may change on a date: two in September."""
+    """Seasons that may change on a date: in September the one that ends and the one that begins."""
     now = season_of(date)
-    return F.when(F.month(date) == 9, F.array(now - 10001, now)).otherwise(F.array(now))
+    return F.when(F.month(date) == 9, F.array(now, now + 10001)).otherwise(F.array(now))
 
 
 def season_start(game_id: Column) -> Column:
@@ -150,6 +160,23 @@ def report_event_type(text: Column) -> Column:
     return F.try_element_at(names, F.upper(F.trim(text)))
 
 
+def described_team(description: Column) -> Column:
+    """The team a description begins with: its first word without marks, if that has two to four characters."""
+    first = F.regexp_replace(F.try_element_at(F.split(F.trim(description), r"\s+"), F.lit(1)), "^[^A-Za-z0-9]+|[^A-Za-z0-9]+$", "")
+    return F.when(F.length(first).between(2, 4), first)
+
+
+def optional_team(text: Column) -> Column:
+    """A team's spelling; null where empty or N/A."""
+    return F.when(~F.trim(text).isin("", "N/A"), F.trim(text))
+
+
+def report_side(team: Column, home: Column, away: Column) -> Column:
+    """True for home, false for away, by canonical abbreviations."""
+    name = canonical_abbreviation(team)
+    return F.when(name == canonical_abbreviation(home), True).when(name == canonical_abbreviation(away), False)
+
+
 def listed(member: Column, comma_list: Column) -> Column:
     """Whether a comma-separated list holds a member."""
     return F.array_contains(F.transform(F.split(comma_list, ","), lambda x: F.trim(x)), member)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotline.functions.scalars import FIRST_SUPPORTED_SEASON, clock_seconds, decode_situation, position_role
+from slotline.functions.scalars import FIRST_SUPPORTED_SEASON, clock_seconds, decode_situation, period_length, position_role
 from slotline.operators.intervals import point_in_interval
 
 SIDES = ("home", "away")
@@ -172,8 +172,6 @@ def validate_intervals(shifts: DataFrame, games: DataFrame, roles: DataFrame) ->
     Any error excludes the row. ``shifts`` has the text clocks, nhl_team_id,
     team_id (null if unknown), type_code and period; ``roles`` the players' roles.
     """
-    from slotline.functions.scalars import period_length
-
     scope = games.select("game_id", "game_type", "home_team_id", "away_team_id")
     rows = (
         shifts.join(scope, "game_id", "left").join(roles.select("game_id", "player_id", "role"), ["game_id", "player_id"], "left")
@@ -183,14 +181,19 @@ def validate_intervals(shifts: DataFrame, games: DataFrame, roles: DataFrame) ->
         .withColumn("_length", period_length(F.col("game_type"), F.col("period")))
     )
     c = F.col
+    stored = []
+    if "stored_start_s" in shifts.columns:  # the clocks as ingestion read them
+        same = [c(f"stored_{x}_s").eqNullSafe(c(f"{x}_s")) for x in ("start", "end", "duration")]
+        stored = [F.when(~(same[0] & same[1] & same[2]), "stored_clock_disagreement")]
     errors = [
         F.when(c("type_code") != 517, "unexpected_type"), F.when(c("player_id").isNull(), "missing_player_id"),
-        F.when(c("player_id") < 0, "invalid_player_id"), F.when(c("nhl_team_id").isNull(), "missing_team_id"),
+        F.when(c("player_id") <= 0, "invalid_player_id"), F.when(c("nhl_team_id").isNull(), "missing_team_id"),
         F.when(c("nhl_team_id").isNotNull() & c("team_id").isNull(), "unknown_team_id"),
         F.when((c("team_id") != c("home_team_id")) & (c("team_id") != c("away_team_id")), "unexpected_team"),
         F.when(c("period").isNull(), "missing_period"),
         F.when(c("period").isNotNull() & c("_length").isNull(), "unexpected_period"),
         F.when(c("start_s").isNull(), "malformed_start"), F.when(c("end_s").isNull(), "malformed_end"),
+        *stored,
         F.when(c("start_s") > c("end_s"), "reversed_interval"),
         F.when((c("start_s") > c("_length")) | (c("end_s") > c("_length")), "out_of_bounds"),
     ]
@@ -198,13 +201,13 @@ def validate_intervals(shifts: DataFrame, games: DataFrame, roles: DataFrame) ->
     warnings = [
         F.when(c("duration").isNull(), "missing_duration"),
         F.when(c("duration").isNotNull() & c("duration_s").isNull(), "malformed_duration"),
-        F.when(c("duration_s") == 0, "zero_duration"), F.when(c("duration_s") != length, "duration_mismatch"),
+        F.when(length == 0, "zero_duration"), F.when(c("duration_s") != length, "duration_mismatch"),
         F.when(c("role") == "unknown", "unknown_player_role"),
         F.when((c("role") == "skater") & (length > 180), "suspicious_long_shift"),
     ]
     return (
         rows.withColumn("errors", F.array_compact(F.array(*errors))).withColumn("warnings", F.array_compact(F.array(*warnings)))
-        .withColumn("accepted", F.size("errors") == 0).drop("_length", "home_team_id", "away_team_id", "game_type")
+        .withColumn("accepted", F.size("errors") == 0).withColumn("period_usable", F.col("_length").isNotNull()).drop("_length", "home_team_id", "away_team_id", "game_type")
     )
 
 
@@ -248,7 +251,6 @@ def issues(validated: DataFrame) -> DataFrame:
     return of("errors", "error").unionByName(of("warnings", "warning"))
 
 
-def taints(validated: DataFrame, games: DataFrame) -> DataFrame:
+def taints(validated: DataFrame) -> DataFrame:
     """(game_id, period) of rejected rows; null period where the row's period is unusable."""
-    usable = F.col("period").between(1, 3) | (F.col("period") >= 4)
-    return validated.where(~F.col("accepted")).select("game_id", F.when(usable, F.col("period")).alias("period")).distinct()
+    return validated.where(~F.col("accepted")).select("game_id", F.when(F.col("period_usable"), F.col("period")).alias("period")).distinct()

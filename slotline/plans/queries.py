@@ -209,15 +209,15 @@ _V = sql("hx_shifts_raw", "hx_games", "hx_official") + f""", roles AS (
     LEFT JOIN (SELECT game_id, player_id, count(DISTINCT player_type) AS k, min(player_type) AS role FROM hx_official GROUP BY ALL) o USING (game_id, player_id)
 ), c AS (
     SELECT s.*, {_SEC.format("start_time")} AS a, {_SEC.format("end_time")} AS b, {_SEC.format("duration")} AS d, coalesce(role, 'unknown') AS role,
-        CASE WHEN s.period BETWEEN 1 AND 3 THEN 1200 END AS length
+        CASE WHEN game_type IN (2, 3) AND s.period BETWEEN 1 AND 3 THEN 1200 END AS length
     FROM hx_shifts_raw s JOIN hx_games USING (game_id) LEFT JOIN roles r ON r.game_id = s.game_id AND r.player_id = s.player_id
 ), e AS (
-    SELECT *, list_filter([CASE WHEN player_id IS NULL THEN 'missing_player_id' END, CASE WHEN player_id < 0 THEN 'invalid_player_id' END,
+    SELECT *, list_filter([CASE WHEN player_id IS NULL THEN 'missing_player_id' END, CASE WHEN player_id <= 0 THEN 'invalid_player_id' END, CASE WHEN length IS NULL THEN 'unexpected_period' END,
         CASE WHEN nhl_team_id IS NULL THEN 'missing_team_id' END,
         CASE WHEN nhl_team_id IS NOT NULL AND team_id IS NULL THEN 'unknown_team_id' END, CASE WHEN a IS NULL THEN 'malformed_start' END,
         CASE WHEN b IS NULL THEN 'malformed_end' END, CASE WHEN a > b THEN 'reversed_interval' END, CASE WHEN a > length OR b > length THEN 'out_of_bounds' END],
         lambda x: x IS NOT NULL) AS errors,
-      list_filter([CASE WHEN d = 0 THEN 'zero_duration' END, CASE WHEN d <> b - a THEN 'duration_mismatch' END,
+      list_filter([CASE WHEN a = b THEN 'zero_duration' END, CASE WHEN d <> b - a THEN 'duration_mismatch' END,
         CASE WHEN role = 'unknown' THEN 'unknown_player_role' END, CASE WHEN role = 'skater' AND b - a > 180 THEN 'suspicious_long_shift' END],
         lambda x: x IS NOT NULL) AS warnings FROM c)
 """

@@ -8,6 +8,9 @@ from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from slotline.functions.scalars import described_team, optional_team, report_clock, report_event_type
 
 _ROW = re.compile(r"<tr[^>]*class=[\"']?[^\"'>]*(?:evenColor|oddColor)[^>]*>(.*?)</tr>", re.I | re.S)
 _CELL = re.compile(r"<td[^>]*>(.*?)</td>", re.I | re.S)
@@ -21,31 +24,51 @@ def _text(cell: str) -> str:
     return " ".join(unescape(_TAG.sub(" ", cell)).split())
 
 
-def report_rows(html: str) -> list[list[str]]:
-    """A report's rows as lists of cells: marked table rows of six cells or more, else fixed-width lines."""
+def report_rows(html: str) -> tuple[str, list[list[str]]]:
+    """A report's form and rows of cells: marked table rows of six cells or more, else the first block's fixed-width lines."""
     rows = [[_text(c) for c in _CELL.findall(r)] for r in _ROW.findall(html)]
     rows = [r for r in rows if len(r) >= 6]
     if rows:
-        return rows
-    lines = [line for block in _PRE.findall(html) for line in unescape(_TAG.sub("", block)).splitlines()]
-    cut = [[line[a:b].strip() for a, b in SLICES] for line in lines]
-    return [r for r in cut if r[0].isdigit() and r[1].isdigit()]
+        return "table", rows
+    block = _PRE.search(html)
+    lines = unescape(_TAG.sub("", block[1])).splitlines() if block else []
+    return "lines", [[x[a:b].strip() for a, b in SLICES] for x in lines if len(x) > SLICES[-1][0] and x.isascii()]
 
 
 def extract_report_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(key, row, cells): every report row of every page; pages without any give none."""
+    """(key, form, row, cells): every report row of every page; pages without any give none."""
     slim = pages.select(key, html)
     kind = slim.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(k, i, r) for k, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for i, r in enumerate(report_rows(h or ""))]
+            out = []
+            for k, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                form, rows = report_rows(h or "")
+                out += [(k, form, i, r) for i, r in enumerate(rows)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], batch.schema.field(0).type), pa.array([x[1] for x in out], pa.int32()),
-                 pa.array([x[2] for x in out], pa.list_(pa.string()))], [key, "row", "cells"],
+                [pa.array([x[0] for x in out], batch.schema.field(0).type), pa.array([x[1] for x in out], pa.string()),
+                 pa.array([x[2] for x in out], pa.int32()), pa.array([x[3] for x in out], pa.list_(pa.string()))],
+                [key, "form", "row", "cells"],
             )
 
-    return slim.mapInArrow(run, f"{key} {kind}, row int, cells array<string>")
+    return slim.mapInArrow(run, f"{key} {kind}, form string, row int, cells array<string>")
+
+
+def report_events(rows: DataFrame, key: str = "page_id") -> DataFrame:
+    """Typed report rows: id, period, clock, event type, team, strength, description; rows that don't parse are dropped."""
+    cell = lambda k: F.try_element_at("cells", F.lit(k + 1))
+    table = F.col("form") == "table"
+    pick = lambda a, b: F.when(table, cell(a)).otherwise(cell(b))
+    strength = F.lower(pick(2, 5))
+    typed = rows.select(
+        key, "row", cell(0).try_cast("int").alias("report_event_id"), cell(1).try_cast("int").alias("period"),
+        report_clock(F.when(table, F.try_element_at(F.split(cell(3), " "), F.lit(1))).otherwise(cell(2))).alias("clock"),
+        report_event_type(pick(4, 3)).alias("event_type"),
+        F.when(table, described_team(cell(5))).otherwise(optional_team(cell(4))).alias("team"),
+        F.when(strength.isin("pp", "sh", "ev"), strength).alias("strength"), pick(5, 6).alias("description"),
+    )
+    return typed.dropna(subset=["report_event_id", "period", "clock", "event_type"])
 
 
 def list_items(html: str) -> list[str]:
@@ -62,7 +85,7 @@ def page_outline(pages: DataFrame) -> DataFrame:
             html = [h or "" for h in batch.column(1).to_pylist()]
             count = lambda f: pa.array([f(h) for h in html], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), count(lambda h: len(report_rows(h))), count(lambda h: len(list_items(h))), count(lambda h: len(re.findall(r"<p[\s>]", h)))],
+                [batch.column(0), count(lambda h: len(report_rows(h)[1])), count(lambda h: len(list_items(h))), count(lambda h: len(re.findall(r"<p[\s>]", h)))],
                 ["page_id", "n_rows", "n_items", "n_paragraphs"],
             )
 
@@ -71,8 +94,6 @@ def page_outline(pages: DataFrame) -> DataFrame:
 
 def on_ice_rows(rows: DataFrame, roster: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Report rows (game_id, side, jersey, ...) with player ids by jersey, and jerseys that aren't unique or known."""
-    from pyspark.sql import functions as F
-
     unique = roster.groupBy("game_id", "side", "jersey").agg(F.count("*").alias("_n"), F.max("player_id").alias("player_id"))
     both = rows.join(unique, ["game_id", "side", "jersey"], "left")
     good = F.coalesce(F.col("_n") == 1, F.lit(False))

@@ -87,6 +87,9 @@ def test_report_pages(spark):
     df = spark.createDataFrame([(1, table), (2, fixed), (3, None), (4, "<html></html>")], "page_id long, html string")
     got = {(r["page_id"], r["row"]): r["cells"] for r in pages.extract_report_rows(df).collect()}
     assert got == {(1, 0): ["1", "1", "EV", "5:00", "GOAL", "A & B"], (2, 0): ["1", "1", "0:35", "SHOT", "AAA", "EV", "words"]}
+    typed = {r["page_id"]: r for r in pages.report_events(pages.extract_report_rows(df)).collect()}
+    assert (typed[1]["clock"], typed[1]["event_type"], typed[1]["strength"]) == ("05:00", "goal", "ev")
+    assert (typed[2]["clock"], typed[2]["event_type"], typed[2]["team"], typed[2]["description"]) == ("00:35", "shot-on-goal", "AAA", "words")
     rows = spark.createDataFrame([(1, "h", 9), (1, "h", 8)], "game_id int, side string, jersey int")
     roster = spark.createDataFrame([(1, "h", 9, 100), (1, "h", 8, 101), (1, "h", 8, 102)], "game_id int, side string, jersey int, player_id int")
     known, lost = pages.on_ice_rows(rows, roster)

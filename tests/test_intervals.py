@@ -120,7 +120,9 @@ def test_row_errors_and_warnings(spark):
     raw = spark.createDataFrame(rows, schema)
     official = spark.createDataFrame([], "game_id long, player_id long, player_type string")
     games = spark.createDataFrame([(1, 20252026, 2, 1, 2)], GAME)
-    got = {r["source_shift_id"]: r for r in ln.validate_intervals(raw, games, ln.resolve_roles(official, raw)).collect()}
+    judged = ln.validate_intervals(raw, games, ln.resolve_roles(official, raw))
+    assert {tuple(r) for r in ln.taints(judged).collect()} == {(1, 1), (1, None)}
+    got = {r["source_shift_id"]: r for r in judged.collect()}
     assert got[1]["errors"] == [] and got[1]["warnings"] == ["suspicious_long_shift"]
     assert got[2]["errors"] == ["malformed_start"]
     assert got[3]["errors"] == ["reversed_interval"] and got[3]["warnings"] == ["missing_duration"]

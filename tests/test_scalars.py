@@ -66,7 +66,7 @@ def test_precedence_of_strength(spark):
 
 def test_seasons(spark):
     day = F.to_date(F.lit("2025-09-15"))
-    assert one(spark, s.season_of(day)) == 20252026
+    assert one(spark, s.season_of(day)) == 20242025
     assert one(spark, s.season_of(F.to_date(F.lit("2025-03-01")))) == 20242025
     assert one(spark, s.active_seasons(day)) == [20242025, 20252026]
     assert one(spark, s.season_start(F.lit(2025020001))) == 2025
@@ -79,3 +79,8 @@ def test_names_and_lists(spark):
     assert one(spark, s.listed(F.lit("BOS"), F.lit("NYR, BOS"))) is True
     assert one(spark, s.ratio(F.lit(1), F.lit(0))) is None
     assert one(spark, s.report_clock(F.lit("1:05"))) == "01:05"
+    assert one(spark, s.report_clock(F.lit("1:75"))) is None
+    assert one(spark, s.described_team(F.lit("(TOR) shot"))) == "TOR"
+    assert one(spark, s.described_team(F.lit("Longname"))) is None
+    assert one(spark, s.optional_team(F.lit("N/A"))) is None
+    assert one(spark, s.report_side(F.lit("T.B"), F.lit("TBL"), F.lit("NYR"))) is True
