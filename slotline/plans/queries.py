@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from slotline.functions import scalars
 from slotline.operators import align, audit, candidates, intervals, lineups, reads, repair, rollups, tables, toi, versions
 from slotline.plans.projections import sql, view
+from slotline.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -704,6 +705,15 @@ def html_rows(v):
     return page_outline(v("pages"))
 
 
+QUERIES["stream_archive"] = jobs.archived_documents
+ORACLES["stream_archive"] = "SELECT sha256(coalesce(text, '')) AS content_sha256, count(*) AS sightings FROM documents GROUP BY 1"
+QUERIES["stream_revisions"] = jobs.revised_orders
+ORACLES["stream_revisions"] = """SELECT entity_key, h AS content, cast(r AS int) AS revision, seq FROM (
+    SELECT *, sum(new) OVER (PARTITION BY entity_key ORDER BY seq) AS r FROM (
+        SELECT cast(o_custkey AS varchar) AS entity_key, o_orderstatus AS h, cast(o_orderkey AS bigint) AS seq,
+            CASE WHEN o_orderstatus IS DISTINCT FROM lag(o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) THEN 1 ELSE 0 END AS new FROM orders)) WHERE new = 1"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name."""
     return dict(QUERIES)

@@ -6,6 +6,8 @@ run again after a failure replaces its own output.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -132,3 +134,38 @@ def split_late(rows: DataFrame, today: Column, date: str = "game_date", *, days:
     first = correction_window(today) if days is None else F.date_sub(today, days)
     inside = F.col(date) >= first
     return rows.where(inside), rows.where(~inside)
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder that all executors share; a temporary one where the session names none."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="slotline-stream-"))
+    return f"{context.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table's files as a stream."""
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")  # a pattern, so that one file will do
+
+
+def archived_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(content_sha256, sightings) after all documents have streamed through the archive."""
+    root = work_folder(spark, "archive")
+    bodies = table_stream(spark, sf_dir, "documents").select(
+        "source", F.coalesce("text", F.lit("")).alias("body"), F.lit(0).cast("timestamp").alias("observed_at")
+    )
+    start(bodies, archive(root), f"{root}/checkpoint").awaitTermination()
+    seen = spark.read.parquet(f"{root}/observations").groupBy("content_sha256").agg(F.count(F.lit(1)).alias("sightings"))
+    return spark.read.parquet(f"{root}/documents").select("content_sha256").join(seen, "content_sha256")
+
+
+def revised_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entity_key, content, revision, seq) after all orders have streamed through the revision log."""
+    root = work_folder(spark, "revisions")
+    rows = table_stream(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("entity_key"), F.col("o_orderstatus").alias("content_sha256"), F.col("o_orderkey").cast("long").alias("seq")
+    )
+    start(rows, revisions(root), f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/history").select("entity_key", F.col("content_sha256").alias("content"), "revision", "seq")
