@@ -306,6 +306,7 @@ def _deal_bytes(texts: DataFrame, needs: DataFrame, n_parts: int) -> DataFrame:
         out: list[tuple[str, int, bytes]] = []
         texts = dict(zip(left["r"], left["text"], strict=True))
         cold: dict[int, list[bytes]] = {}
+        found = [np.zeros(0, RUN)]
         for a, b in _stretches(need["r"]):
             own = need[a:b]
             data = texts[int(own["r"][0])].encode()
@@ -318,13 +319,15 @@ def _deal_bytes(texts: DataFrame, needs: DataFrame, n_parts: int) -> DataFrame:
                 strings["c"] = _hashes(raw, s, np.full(len(s), LENGTH))
                 strings["h"] = (_hashes(raw, s, np.full(len(s), GRAM)) >> np.uint64(32)).astype(np.uint32)
                 strings["d"], strings["r"], strings["a"] = own["d"][0], own["r"][0], s
-                out += _dealt(strings, (strings["c"] % np.uint64(n_parts)).astype(np.int64), "run")
+                found.append(strings)
             for x in own[own["hot"] == 0]:
                 size = int(x["m"] >> 8) + LENGTH
                 cold.setdefault(int(x["key"] % np.uint64(n_parts)), []).append(
                     x["key"].tobytes() + x["d"].tobytes() + x["r"].tobytes() + x["a"].tobytes() + size.to_bytes(2, "little") + data[x["a"] : x["a"] + size]
                 )
         out += [("bytes", part, b"".join(rows)) for part, rows in cold.items()]
+        hot_strings = np.concatenate(found)
+        out += _dealt(hot_strings, (hot_strings["c"] % np.uint64(n_parts)).astype(np.int64), "run")
         return pd.DataFrame(out, columns=["kind", "part", "rows"])
 
     return texts.groupBy("part").cogroup(needs.select("part", "rows").groupBy("part")).applyInPandas(run, PACKED)
