@@ -134,6 +134,7 @@ def context_tags(lineups: DataFrame, intervals: DataFrame) -> DataFrame:
     out = lineups.join(edges, ["game_id", "period", "sec"], "left").withColumn("_code", code)
     c = lambda f: F.col(f"_code.{f}")
     placed = ~F.col("status").isin("unsupported", "invalid_event_time", "no_shifts")
+    flagged = (F.size("flags") > 0) if "flags" in lineups.columns else F.lit(False)  # see event_evidence()
     shot = lambda a, b: (c(f"{a}_skaters") == 0) & (c(f"{a}_goalie") == 1) & (c(f"{b}_skaters") == 1) & (c(f"{b}_goalie") == 0)
     tags = [
         F.when(placed & F.col("_edge"), "coincident_shift_boundary"),
@@ -144,6 +145,7 @@ def context_tags(lineups: DataFrame, intervals: DataFrame) -> DataFrame:
         F.when(placed & (F.col("event_type") == "penalty"), "penalty_event"),
         F.when(placed & (F.col("event_type") == "goal"), "goal_event"),
         F.when(placed & (F.col("event_type") == "stoppage"), "stoppage"),
+        F.when(placed & flagged, "source_warnings"),
         F.when((c("home_goalie") == 0) | (c("away_goalie") == 0), "goalie_absence_expected"),
         F.when((c("home_skaters") == 0) | (c("away_skaters") == 0), "zero_skater_situation"),
         F.when(shot("away", "home") | shot("home", "away"), "penalty_shot_count_pattern"),
@@ -254,3 +256,29 @@ def issues(validated: DataFrame) -> DataFrame:
 def taints(validated: DataFrame) -> DataFrame:
     """(game_id, period) of rejected rows; null period where the row's period is unusable."""
     return validated.where(~F.col("accepted")).select("game_id", F.when(F.col("period_usable"), F.col("period")).alias("period")).distinct()
+
+
+def event_evidence(events: DataFrame, intervals: DataFrame) -> DataFrame:
+    """(game_id, event_id, shift_ids, flags): the intervals that touch an event, and their warnings.
+
+    ``intervals`` has source_shift_id and, if rows were validated, warnings.
+    """
+    points = events.select("game_id", "period", "event_id", F.col("sec").alias("t"))
+    flags = F.col("warnings") if "warnings" in intervals.columns else F.array().cast("array<string>")
+    own = intervals.select("game_id", "period", "source_shift_id", "start_s", "end_s", flags.alias("_flags"))
+    pairs = point_in_interval(points, own, ["game_id", "period"])
+    return pairs.groupBy("game_id", "event_id").agg(
+        F.array_sort(F.collect_set("source_shift_id")).alias("shift_ids"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("_flags")))).alias("flags"),
+    )
+
+
+def game_reports(validated: DataFrame, roles: DataFrame, toi: DataFrame) -> DataFrame:
+    """By game: source, accepted and rejected rows, players by fallback role, issues, and players whose time is exact."""
+    rows = validated.groupBy("game_id").agg(
+        F.count(F.lit(1)).alias("source_rows"), F.count_if("accepted").alias("accepted_rows"), F.count_if(~F.col("accepted")).alias("rejected_rows"),
+        F.sum(F.size("errors") + F.size("warnings")).alias("issues"),
+    )
+    fallback = roles.groupBy("game_id").agg(F.count_if("fallback").alias("fallback_players"))
+    time = toi.groupBy("game_id").agg(F.count(F.lit(1)).alias("players"), F.count_if(F.col("category") == "exact").alias("exact_players"))
+    return rows.join(fallback, "game_id", "left").join(time, "game_id", "left")

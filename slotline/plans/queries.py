@@ -691,6 +691,26 @@ def outcome_tally(v):
     return rollups.outcome_tally(v("hx_events").select("season", o.alias("outcome")), ["complete", "failed", "partial"])
 
 
+@query(sql("hx_events", "hx_shifts") + """SELECT game_id, event_id, count(DISTINCT source_shift_id) AS n, cast(sum(DISTINCT source_shift_id % 1000003) AS bigint) AS checksum
+    FROM hx_events e JOIN hx_shifts s USING (game_id, period) WHERE start_s <= sec AND sec <= end_s GROUP BY ALL""")
+def event_evidence(v):
+    """The intervals behind each event, as their number and a checksum."""
+    rows = lineups.event_evidence(v("hx_events"), v("hx_shifts"))
+    ids = F.array_distinct(F.transform("shift_ids", lambda x: x % 1000003))
+    return rows.select("game_id", "event_id", F.size("shift_ids").cast("long").alias("n"), F.aggregate(ids, F.lit(0).cast("long"), lambda s, x: s + x).alias("checksum"))
+
+
+@query(_V + """SELECT game_id, count(*) AS source_rows, count(*) FILTER (WHERE len(errors) = 0) AS accepted_rows, count(*) FILTER (WHERE len(errors) > 0) AS rejected_rows,
+        cast(sum(len(errors) + len(warnings)) AS bigint) AS issues, any_value(f) AS fallback_players
+    FROM e JOIN (SELECT r.game_id AS g, count(*) FILTER (WHERE o.player_id IS NULL) AS f FROM (SELECT DISTINCT game_id, player_id FROM hx_shifts_raw WHERE player_id IS NOT NULL) r
+        LEFT JOIN (SELECT DISTINCT game_id, player_id FROM hx_official) o USING (game_id, player_id) GROUP BY 1) ON g = game_id GROUP BY 1""")
+def game_reports(v):
+    """Rows, issues and fallback players by game."""
+    raw = v("hx_shifts_raw")
+    roles = lineups.resolve_roles(v("hx_official"), raw)
+    return lineups.game_reports(_validated(v), roles, _toi(v)).drop("players", "exact_players")
+
+
 @query()
 def table_digest(v):
     """A digest of each customer's orders."""
