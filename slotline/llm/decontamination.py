@@ -3,9 +3,9 @@
 Passages are windows of words. Their TF-IDF vectors live in a fixed number of
 hashed terms, weighted by document frequencies counted over the whole corpus. A
 randomised SVD of the benchmark's passages gives the latent space: outside the
-span of those passages no vector has a cosine with any of them. Every window of
-every document is projected into it, and where its cosine with an item's passage
-is high, the longest common subsequence of the words decides, together with a
+span of those passages no vector has a cosine with any of them. Of every window of
+every document an inverted index tells what part of each passage's weight it has;
+where that and the cosine of that part with the passage are high, the longest common subsequence of the words decides, together with a
 check of the item's answer (its last sentence).
 """
 
@@ -162,34 +162,46 @@ class Matcher:
         #: Each term's place among the passages' terms; the last place is for all others.
         self.place = np.full(TERMS, len(terms), np.int32)
         self.place[terms] = np.arange(len(terms))
-        self.square = (idf.astype(np.float64) ** 2).astype(np.float32)
         self.weight = np.append(idf[terms], 0).astype(np.float32)
         self.latent = np.vstack([latent, np.zeros((1, latent.shape[1]), np.float32)])
         vectors = np.array([np.asarray(r["weights"]) @ latent[self.place[r["terms"]]] for r in passages], np.float32)
         vectors = vectors.reshape(len(passages), latent.shape[1])
         self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-        self.shares = [
-            dict(zip(self.place[r["terms"]].tolist(), (self.square[r["terms"]] / self.square[r["terms"]].sum()).tolist(), strict=True))
-            for r in passages
-        ]
+        # an inverted index: the passages of each place, and the share of their weight that it has
+        own = [self.place[r["terms"]].astype(np.int64) for r in passages]
+        self.places = own
+        shares = [self.weight[x].astype(np.float64) ** 2 for x in own]
+        place = np.concatenate([np.zeros(0, np.int64), *own])
+        order = np.argsort(place, kind="stable")
+        self.passage = np.repeat(np.arange(len(own)), [len(x) for x in own])[order]
+        self.share = np.concatenate([np.zeros(0), *[x / x.sum() for x in shares]])[order]
+        self.index = np.searchsorted(place[order], np.arange(len(terms) + 2))
+        #: The largest share that a place has of any passage.
+        self.most = np.zeros(len(terms) + 1)
+        np.maximum.at(self.most, place[order], self.share)
 
     def _pairs(self, places: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int, float]]:
-        """(window, passage, cosine) where the cosine and the part of the passage's weight in the window are high."""
-        span = np.arange(PASSAGE)
-        for at in range(0, len(start), 256):
-            a, b = start[at : at + 256], end[at : at + 256]
+        """(window, passage, cosine) where the part of the passage's weight in the window and the cosine of that part are high."""
+        span, none = np.arange(PASSAGE), len(self.weight) - 1
+        group = max(1, min(256, (1 << 21) // max(1, len(self.owner))))
+        for at in range(0, len(start), group):
+            a, b = start[at : at + group], end[at : at + group]
             index = np.minimum(a[:, None] + span, len(places) - 1)
-            own = np.where(a[:, None] + span < b[:, None], places[index], len(self.weight) - 1)
-            point = np.matmul(self.weight[own][:, None, :], self.latent[own])[:, 0, :]
-            point /= np.maximum(np.linalg.norm(point, axis=1, keepdims=True), 1e-9)
-            cosines = point @ self.vectors.T
-            sets: dict[int, set] = {}
-            for i, p in zip(*(x.tolist() for x in np.nonzero(cosines >= self.limits["cosine"])), strict=True):
-                if i not in sets:
-                    sets[i] = set(own[i].tolist())
-                share = self.shares[p]
-                if sum(share[t] for t in sets[i] if t in share) >= self.limits["part"]:
-                    yield at + i, p, float(cosines[i, p])
+            own = np.where(a[:, None] + span < b[:, None], places[index], none)
+            ordered = np.sort(own, axis=1)
+            once = (ordered != none) & np.concatenate([np.ones((len(a), 1), bool), ordered[:, 1:] != ordered[:, :-1]], axis=1)
+            window, place = np.nonzero(once)[0], ordered[once]
+            n = self.index[place + 1] - self.index[place]
+            entry = np.repeat(self.index[place] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            cell = np.repeat(window, n) * len(self.owner) + self.passage[entry]
+            parts = np.bincount(cell, self.share[entry], len(a) * len(self.owner))
+            for x in np.flatnonzero(parts >= self.limits["part"] - 1e-9).tolist():
+                i, p = divmod(x, len(self.owner))
+                both = own[i][np.isin(own[i], self.places[p])]
+                point = self.weight[both] @ self.latent[both]
+                cosine = float(point @ self.vectors[p] / max(np.linalg.norm(point), 1e-9))
+                if cosine >= self.limits["cosine"]:
+                    yield at + i, p, cosine
 
     def find(self, part: Words) -> dict[int, dict[int, tuple[float, float]]]:
         """By text and item: the cosine, and the share of the item's words that the text has in their order."""
@@ -199,10 +211,9 @@ class Matcher:
         terms = terms_of(part.ids)
         places = self.place[terms]
         start, end, text = windows(part.splits, PASSAGE, STRIDE)
-        mass = np.concatenate([[0.0], np.cumsum(self.square[terms], dtype=np.float64)])
-        on_items = np.concatenate([[0.0], np.cumsum(self.weight[places].astype(np.float64) ** 2)])
-        # a window with little weight on the items' terms lies outside the latent space
-        near = np.flatnonzero(on_items[end] - on_items[start] >= self.limits["weight"] * (mass[end] - mass[start]))
+        # no passage has more of its weight in a window than the sum of its places' largest shares
+        bound = np.concatenate([[0.0], np.cumsum(self.most[places])])
+        near = np.flatnonzero(bound[end] - bound[start] >= self.limits["part"] - 1e-6)
         overlap, answer = self.limits["overlap"], self.limits["answer"]
         for k, p, cosine in self._pairs(places, start[near], end[near]):
             w, item = near[k], self.owner[p]
@@ -234,18 +245,18 @@ def _items(benchmark: DataFrame, first: int, n: int, least: int) -> dict[int, tu
 
 
 def contaminated(
-    documents: DataFrame, benchmark: DataFrame, *, rank: int = 128, cosine: float = 0.4, weight: float = 0.3, part: float = 0.4,
+    documents: DataFrame, benchmark: DataFrame, *, rank: int = 128, cosine: float = 0.4, part: float = 0.4,
     overlap: float = 0.8, answer: float = 0.6, least: int = 5, keep: tuple[str, ...] = ("doc_id",),
     with_text: bool = False,
 ) -> DataFrame:
     """The columns ``keep``, the text if asked for, contaminated, item_ids, cosine and overlap of every document.
 
-    A document is contaminated by an item if one of its windows, with ``weight``
-    of its TF-IDF weight on terms of the benchmark, has ``cosine`` in the latent
-    space with one of the item's passages and ``part`` of that passage's weight,
-    and the text around it holds ``overlap`` of
-    the item's words in their order, or ``answer`` of them and ``overlap`` of its
-    last sentence. Items of fewer than ``least`` words are not searched for. Null
+    A document is contaminated by an item if one of its windows has ``part`` of
+    the TF-IDF weight of one of the item's passages, the window's words that the
+    passage has too have ``cosine`` with it in the latent space, and the text
+    around the window holds ``overlap`` of the item's words in their order, or
+    ``answer`` of them and ``overlap`` of its last sentence. The window's other
+    words don't count, however rare they are. Items of fewer than ``least`` words are not searched for. Null
     and empty texts are clean; repeated rows and null ids are judged like any
     other; an empty benchmark leaves all clean, an empty table gives no rows.
     """
@@ -263,7 +274,7 @@ def contaminated(
     for first in range(0, max(n_items, 1), ITEMS):
         block = _items(items, first, ITEMS, least)
         rows = [r for r in _of_block(passages, block, n_items).collect() if r["item_id"] in block and r["norm"] > 0]
-        limits = {"cosine": cosine, "weight": weight, "part": part, "overlap": overlap, "answer": answer}
+        limits = {"cosine": cosine, "part": part, "overlap": overlap, "answer": answer}
         matcher = Matcher(idf, terms, latent, rows, block, limits)
         matcher.more = with_text or first + ITEMS < n_items  # whether the texts are needed again
         sent = spark.sparkContext.broadcast(matcher)  # at most TERMS x rank numbers and ITEMS items

@@ -307,3 +307,15 @@ def test_empty_tables(spark, nothing):
         quality.classify(nothing, labels), toxicity.classify(nothing, labels), decontamination.contaminated(nothing, bench),
     ):
         assert df.count() == 0
+
+
+def test_decontamination_of_a_common_item_among_rare_words(spark):
+    from tests.llm.conftest import prose
+
+    rng = random.Random(23)
+    item = " ".join(f"item{i}" for i in range(29))
+    words = lambda n: [f"rare{rng.getrandbits(40)}" for _ in range(n)]
+    docs = [(i, " ".join([*words(20 + i % 16), item, *words(40)]) if i % 3 == 0 else prose(rng, 80)) for i in range(300)]
+    bench = spark.createDataFrame([(7, item), (8, prose(rng, 40))], "item_id long, text string")
+    got = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {r["doc_id"]: r["item_ids"] for r in got} == {i: [7] if i % 3 == 0 else [] for i in range(300)}
