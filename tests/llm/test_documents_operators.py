@@ -319,3 +319,20 @@ def test_decontamination_of_a_common_item_among_rare_words(spark):
     bench = spark.createDataFrame([(7, item), (8, prose(rng, 40))], "item_id long, text string")
     got = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
     assert {r["doc_id"]: r["item_ids"] for r in got} == {i: [7] if i % 3 == 0 else [] for i in range(300)}
+
+
+def test_all_bigrams_are_counted(spark):
+    rng = random.Random(31)
+    rows = [(" ".join(rng.choices("abcdefgh", k=rng.randint(0, 30))), i % 2) for i in range(90)]
+    texts = spark.createDataFrame([*rows, (None, 1)], "text string, y int").repartition(3)
+    plain = Counter((a, b, y) for t, y in rows for a, b in zip(["", *t.split()], t.split(), strict=False))
+    types = {(a, b) for a, b, _ in plain}
+    want = sorted((plain[a, b, 0], plain[a, b, 1]) for a, b in types)
+    for held in (1, 1 << 21):
+        pairs = toxicity.bigram_counts(texts, held=held)
+        assert sorted((r["n0"], r["n1"]) for r in pairs.collect()) == want
+    found = toxicity.contexts_and_pairs(pairs, 3).collect()
+    both = sorted((r["n0"], r["n1"], r["n"]) for r in found if r["kind"] == "word")
+    contexts = lambda w, ys: len({a for a, b, y in plain if b == w and y in ys})
+    assert both == sorted((contexts(w, {0}), contexts(w, {1}), contexts(w, {0, 1})) for w in {b for _, b in types})
+    assert sorted((r["n0"], r["n1"]) for r in found if r["kind"] == "pair") == [x for x in want if x[1] > 3]
