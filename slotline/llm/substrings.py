@@ -3,21 +3,24 @@
 Of every 50 bytes, the 24-byte gram with the smallest hash is the anchor. Equal
 50-byte strings have the same anchor at the same place, so only strings around
 equal anchors have to be compared, and consecutive strings with one anchor form a
-run that is compared as a whole. Tasks meet by anchor:
-
-1. Runs are dealt by their anchors. Equal runs need no more than their hashes.
-   Where runs share an anchor but differ, their bytes are asked for.
-2. These bytes, few of the corpus, are gathered by anchor. A task sorts their
-   suffixes and expands the intervals of the Burrows-Wheeler transform breadth
-   first: at level v, the boundaries at which suffixes share v bytes follow from
-   those of level v - 1. It stops at 50, when suffixes without a boundary
-   between them share 50 bytes or more. Anchors of very many differing runs are
-   dealt once more, by the hashes of their 50-byte strings.
-3. What is to be removed is gathered by document.
-
-Numbers of a run travel packed, one binary value for each task and destination.
-Documents are ordered by doc_id, nulls last; a row is known by a hash of its id
-and text.
+run. Hashes only decide what meets where; bytes decide what goes:
+
+1. A task takes some megabytes of texts. Where runs in it are equal byte by byte,
+   those of larger documents are settled; the rest are dealt by their anchors.
+2. Anchors that only one text has are done with. The bytes of the other runs, few
+   of the corpus, are asked for and meet by anchor; an anchor of very many runs is
+   dealt by its 50-byte strings instead, so that no task gets all of them.
+3. A task sorts the suffixes of the unlike runs it got and expands the intervals
+   of their Burrows-Wheeler transform breadth first: at level v, the boundaries
+   between suffixes that share v bytes follow from those of level v - 1 by one
+   step of the transform. It stops at 50. Suffixes without a boundary between them
+   share 50 bytes, and the smallest document of each interval keeps them.
+4. What is to be removed is gathered by text.
+
+Whole copies are one text, known by its SHA-256: of equal texts only the smallest
+document's takes part, and larger documents lose theirs. Numbers travel packed, one
+binary value for each task and destination. Documents are ordered by doc_id, nulls
+last.
 """
 
 from __future__ import annotations
@@ -40,23 +43,30 @@ WIDE = LENGTH - GRAM + 1
 GROUP = 8 << 20
 #: Bytes hashed at a time; a longer text is cut, with LENGTH - 1 bytes repeated.
 SLICE = 1 << 20
-#: Differing runs of one anchor that one task compares as bytes.
-MOST_RUNS = 2000
-#: Documents whose ids are broadcast to the texts; more are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Runs of one anchor that one task gets; those of a larger anchor are dealt string by string.
+SPLIT = 4096
+#: Bytes whose suffixes are sorted together.
+CHUNK = 1 << 18
+#: Bytes of text keys that are broadcast; more are joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
 LAST = np.iinfo(np.int64).max
+#: Ends a run among others; no UTF-8 text has this byte.
+END = 0xFF
 
 _rng = np.random.default_rng(50)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = _rng.integers(0, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = np.uint64((1 << 24) - 1)
 _POWER = np.cumprod(np.full(256, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
-#: A run: its anchor's hash, its own, document order, row, first string, and lengths packed in m.
-RUN = np.dtype([("h", "u4"), ("c", "u8"), ("d", "i8"), ("r", "i8"), ("a", "i4"), ("m", "u2")])
-#: Bytes [a, e) of row r to be removed.
-SPAN = np.dtype([("r", "i8"), ("a", "i4"), ("e", "i4")])
-#: A run whose bytes are asked for: anchor, destination, whether by strings.
-NEED = np.dtype([("r", "i8"), ("d", "i8"), ("a", "i4"), ("m", "u2"), ("key", "u8"), ("hot", "u1")])
+#: A text's key: the first twelve bytes of its SHA-256.
+KEY = 12
+#: Bytes [a, e) of a text to be removed; where ``row`` is 1, only from the text's rows of document order d.
+SPAN = np.dtype([("t0", "u8"), ("t1", "u4"), ("d", "i8"), ("a", "i4"), ("e", "i4"), ("row", "u1")])
+#: A run whose bytes are asked for: its anchor, its first byte and size, and whether it is dealt by strings.
+NEED = np.dtype([("t0", "u8"), ("t1", "u4"), ("a", "i4"), ("size", "u1"), ("hot", "u1"), ("key", "u8")])
+#: A run whose bytes follow.
+HEAD = np.dtype([("key", "u8"), ("d", "i8"), ("t0", "u8"), ("t1", "u4"), ("a", "i4"), ("size", "u1")])
+PACKED = "kind string, part int, rows binary"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -101,12 +111,45 @@ def anchored_runs(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple
     return text[first], s[first], s[last], place[first], grams[place[first]]
 
 
-def _hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Hashes of byte strings of up to 255 bytes."""
-    offset = np.concatenate([[0], np.cumsum(length[:-1])])
-    place = np.arange(int(length.sum())) - np.repeat(offset, length)
-    value = _BYTE[data[np.repeat(start, length) + place]] * _POWER[place]
-    return _mixed(np.add.reduceat(value, offset) + length.astype(np.uint64))
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each of several stretches, one after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+def _hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of byte strings of 1 to 255 bytes."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    offset = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(offset, size)
+    value = _BYTE[data[np.repeat(start, size) + place]] * _POWER[place]
+    return _mixed(np.add.reduceat(value, offset) + size.astype(np.uint64))
+
+
+def equal_strings(data: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """A number for each string, the same for strings of one key that are equal byte by byte.
+
+    A hash sorts them; each is then compared with the first of its hash. One
+    that differs from it gets a number of its own.
+    """
+    n = len(start)
+    if not n:
+        return np.zeros(0, np.int64)
+    hashed = _hashes(data, start, size)
+    order = np.lexsort((hashed, key))
+    new = np.ones(n, bool)
+    new[1:] = (key[order[1:]] != key[order[:-1]]) | (hashed[order[1:]] != hashed[order[:-1]]) | (size[order[1:]] != size[order[:-1]])
+    group = np.cumsum(new) - 1
+    first = order[np.flatnonzero(new)][group]
+    later = np.flatnonzero(~new)
+    if len(later):
+        own, like = order[later], first[later]
+        same = data[_spread(start[own], size[own])] == data[_spread(start[like], size[own])]
+        unlike = ~np.logical_and.reduceat(same, np.cumsum(size[own]) - size[own])
+        group[later[unlike]] = n + np.arange(int(unlike.sum()))
+    out = np.empty(n, np.int64)
+    out[order] = group
+    return out
 
 
 def _pieces(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -129,22 +172,52 @@ def _pieces(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
         first = last
 
 
-def _stretches(x: np.ndarray) -> list[tuple[int, int]]:
-    """[a, b) of each stretch of equal neighbours."""
-    if not len(x):
-        return []
-    cut = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])).tolist()
-    return list(zip(cut, [*cut[1:], len(x)], strict=True))
+def _stretches(*keys: np.ndarray) -> np.ndarray:
+    """Where stretches of equal neighbours begin."""
+    n = len(keys[0])
+    return np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)])) if n else np.zeros(0, np.int64)
+
+
+def _keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Text keys as two numbers."""
+    both = np.frombuffer(b"".join(column.to_pylist()), np.dtype([("t0", "<u8"), ("t1", "<u4")]))
+    return both["t0"], both["t1"]
+
+
+def _home(t0: np.ndarray, n: int) -> np.ndarray:
+    """A text's part."""
+    return (_mixed(t0) % np.uint64(n)).astype(np.int64)
+
+
+def merged(spans: np.ndarray) -> np.ndarray:
+    """Spans ordered by text, those of a text that touch or overlap made one."""
+    if not len(spans):
+        return spans
+    spans = spans[np.lexsort((spans["a"], spans["d"], spans["row"], spans["t1"], spans["t0"]))]
+    text = np.zeros(len(spans), np.int64)
+    text[_stretches(spans["t0"], spans["t1"], spans["row"], spans["d"])] = 1
+    shift = np.cumsum(text) << 33
+    reach = np.maximum.accumulate(spans["e"] + shift)
+    new = np.flatnonzero(np.concatenate([[True], spans["a"][1:] + shift[1:] > reach[:-1]]))
+    out = spans[new]
+    out["e"] = reach[np.append(new[1:], len(spans)) - 1] - shift[new]
+    return out
 
 
 def _dealt(rows: np.ndarray, to: np.ndarray, kind: str) -> Iterator[tuple[str, int, bytes]]:
     """``rows`` packed by destination."""
     order = np.argsort(to, kind="stable")
     rows, to = rows[order], to[order]
-    for a, b in _stretches(to):
+    cut = _stretches(to)
+    for a, b in zip(cut.tolist(), np.append(cut[1:], len(to)).tolist(), strict=False):
         yield kind, int(to[a]), rows[a:b].tobytes()
 
 
+def _dealt_spans(spans: np.ndarray, n_parts: int) -> Iterator[tuple[str, int, bytes]]:
+    spans = merged(spans)
+    return _dealt(spans, _home(spans["t0"], n_parts), "span")
+
+
 def _batch(rows: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
@@ -152,75 +225,83 @@ def _batch(rows: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
     )
 
 
-PACKED = "kind string, part int, rows binary"
-
-
-def _home(r: np.ndarray, n: int) -> np.ndarray:
-    """A row's part."""
-    return (_mixed(r.view(np.uint64)) % np.uint64(n)).astype(np.int64)
-
-
-def _first_of(h: np.ndarray, c: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The order by (h, c, d), where groups of (h, c) begin in it, and each ordered row's smallest d."""
-    order = np.lexsort((d, c, h))
-    h, c, d = h[order], c[order], d[order]
-    begin = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])]))
-    size = np.diff(np.append(begin, len(h)))
-    return order, begin, np.repeat(d[begin], size)
+def _pack_runs(t0: np.ndarray, t1: np.ndarray, h: np.ndarray, a: np.ndarray, size: np.ndarray) -> bytes:
+    """Runs, ordered by text, as the texts' keys and numbers of runs, and columns of anchors, places and sizes."""
+    cut = _stretches(t0, t1)
+    many = np.diff(np.append(cut, len(t0))).astype(np.uint32)
+    parts = [np.array([len(t0), len(cut)], np.uint32), t0[cut], t1[cut], many, h, a.astype(np.uint32), size.astype(np.uint8)]
+    return b"".join(x.tobytes() for x in parts)
 
 
-def _settle(runs: np.ndarray, extra: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Spans of runs that a smaller document has as a whole, and the smallest documents' runs."""
-    if not len(runs):
-        return np.zeros(0, SPAN), runs
-    order, _, low = _first_of(runs["h"], runs["c"], runs["d"])
-    runs = runs[order]
-    gone = runs["d"] > low
-    out = np.zeros(int(gone.sum()), SPAN)
-    out["r"], out["a"] = runs["r"][gone], runs["a"][gone]
-    out["e"] = out["a"] + (runs["m"][gone] >> 8) + extra
-    return out, runs[~gone]
+def _unpack_runs(blob: bytes) -> tuple[np.ndarray, ...]:
+    """What :func:`_pack_runs` packed."""
+    n, m = np.frombuffer(blob, np.uint32, 2).tolist()
+    at, out = 8, []
+    for kind, count in ((np.uint64, m), (np.uint32, m), (np.uint32, m), (np.uint32, n), (np.uint32, n), (np.uint8, n)):
+        out.append(np.frombuffer(blob, kind, count, at))
+        at += count * np.dtype(kind).itemsize
+    t0, t1, many, h, a, size = out
+    return np.repeat(t0, many), np.repeat(t1, many), h, a, size
 
 
 def _deal_runs(texts: DataFrame, n_parts: int) -> DataFrame:
-    """Runs of (d, r, text), by anchor; of equal runs in a group of texts, the smallest document's."""
-
-    def flush(held: list[np.ndarray]) -> list[tuple[str, int, bytes]]:
-        runs = np.concatenate([np.zeros(0, RUN), *[x for x, _ in held]])
-        part = np.concatenate([np.zeros(0, np.int64), *[p for _, p in held]])
-        runs = runs.copy()
-        order, _, low = _first_of(part * (1 << 32) + runs["h"], runs["c"], runs["d"])
-        runs, part = runs[order], part[order]
-        gone = runs["d"] > low
+    """Runs of (d, t, text), by anchor; of runs that are equal in a group of texts, the smallest document's."""
+
+    def flush(held: list[tuple[np.ndarray, ...]], data: list[np.ndarray]) -> list[tuple[str, int, bytes]]:
+        raw = np.concatenate(data)
+        t0, t1, d, h, at, a, size = (np.concatenate(x) for x in zip(*held, strict=True))
+        gone = np.zeros(len(h), bool)
+        order = np.argsort(h, kind="stable")
+        begin = _stretches(h[order])
+        shared_ = np.repeat(np.diff(np.append(begin, len(h))) > 1, np.diff(np.append(begin, len(h))))
+        some = order[shared_]
+        if len(some):
+            group = equal_strings(raw, at[some], size[some], h[some])
+            by = np.lexsort((d[some], group))
+            first = _stretches(group[by])
+            low = np.repeat(d[some][by][first], np.diff(np.append(first, len(by))))
+            gone[some[by]] = d[some][by] > low
         spans = np.zeros(int(gone.sum()), SPAN)
-        spans["r"], spans["a"] = runs["r"][gone], runs["a"][gone]
-        spans["e"] = spans["a"] + (runs["m"][gone] >> 8) + LENGTH
-        keep = np.lexsort((runs["a"][~gone], runs["r"][~gone]))  # by row: repeated numbers compress
-        return [*_dealt(runs[~gone][keep], part[~gone][keep], "run"), *_dealt(spans, _home(spans["r"], n_parts), "span")]
+        for name, x in (("t0", t0), ("t1", t1), ("d", d), ("a", a), ("e", a + size)):
+            spans[name] = x[gone]
+        spans["row"] = 1
+        out = list(_dealt_spans(spans, n_parts))
+        keep = np.flatnonzero(~gone)
+        part = (h[keep] % np.uint64(n_parts)).astype(np.int64)
+        by = np.lexsort((a[keep], t1[keep], t0[keep], part))
+        keep, part = keep[by], part[by]
+        cut = _stretches(part)
+        for x, y in zip(cut.tolist(), np.append(cut[1:], len(part)).tolist(), strict=False):
+            own = keep[x:y]
+            out.append(("run", int(part[x]), _pack_runs(t0[own], t1[own], (h[own] >> np.uint64(32)).astype(np.uint32), a[own], size[own])))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
+        data: list[np.ndarray] = []
         size = 0
         for batch in batches:
-            d, r = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for data, start, end, rows, at in _pieces(batch.column(2)):
-                text, a, b, p, h = anchored_runs(data, start, end)
+            if not batch.num_rows:
+                continue
+            d = batch.column(0).to_numpy(zero_copy_only=False)
+            t0, t1 = _keys(batch.column(1))
+            order = np.lexsort((d, t1, t0))
+            once = np.sort(order[_stretches(t0[order], t1[order])])  # of copies in a batch, the smallest document
+            d, t0, t1 = d[once], t0[once], t1[once]
+            for raw, start, end, rows, at in _pieces(batch.column(2).take(pa.array(once))):
+                text, a, b, _, h = anchored_runs(raw, start, end)
                 if len(a):
-                    out = np.zeros(len(a), RUN)
-                    out["h"] = (h >> np.uint64(32)).astype(np.uint32)
-                    out["c"] = _hashes(data, a, b - a + LENGTH)
-                    out["d"], out["r"] = d[rows[text]], r[rows[text]]
-                    out["a"] = a - start[text] + at[text]
-                    out["m"] = (b - a) << 8 | (p - a)
-                    held.append((out, (h % np.uint64(n_parts)).astype(np.int64)))
-                size += len(data)
+                    row = rows[text]
+                    held.append((t0[row], t1[row], d[row], h, a + size, a - start[text] + at[text], b - a + LENGTH))
+                    data.append(raw)
+                    size += len(raw)
                 if size >= GROUP:
-                    yield _batch(flush(held))
-                    held, size = [], 0
+                    yield _batch(flush(held, data))
+                    held, data, size = [], [], 0
         if held:
-            yield _batch(flush(held))
+            yield _batch(flush(held, data))
 
-    return texts.mapInArrow(run, PACKED)
+    return texts.select("d", "t", "text").mapInArrow(run, PACKED)
 
 
 def _gathered(packed: DataFrame, n_parts: int) -> DataFrame:
@@ -242,233 +323,296 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[str,
         yield part, held
 
 
-def _compare_runs(packed: DataFrame, n_parts: int) -> DataFrame:
-    """Spans of equal runs, and needs where runs of one anchor differ; spans that came along are passed on."""
+def _ask(packed: DataFrame, n_parts: int) -> DataFrame:
+    """Needs for the runs of every anchor that several texts have; spans that came along are passed on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, blobs in _by_part(batches):
             if blobs.get("span"):
                 yield _batch([("span", part, x) for x in blobs["span"]])
-            spans, runs = _settle(np.frombuffer(b"".join(blobs.get("run", [])), RUN))
-            if not len(runs):
+            if not blobs.get("run"):
+                continue
+            t0, t1, h, a, size = (np.concatenate(x) for x in zip(*map(_unpack_runs, blobs["run"]), strict=True))
+            order = np.argsort(h, kind="stable")
+            begin = _stretches(h[order])
+            many = np.diff(np.append(begin, len(h)))
+            order = order[np.repeat(many > 1, many)]
+            # a text's copies came from several tasks; each of its runs counts once
+            order = order[np.lexsort((a[order], t1[order], t0[order], h[order]))]
+            order = order[_stretches(h[order], t0[order], t1[order], a[order])]
+            begin = _stretches(h[order])
+            if not len(begin):
                 continue
-            # runs are now ordered by (h, c, d), each (h, c) of one document
-            first = np.concatenate([[True], (runs["h"][1:] != runs["h"][:-1]) | (runs["c"][1:] != runs["c"][:-1])])
-            anchor = np.concatenate([[True], runs["h"][1:] != runs["h"][:-1]])
-            begin = np.flatnonzero(anchor)
-            of = np.cumsum(anchor) - 1
-            kinds = np.add.reduceat(first.astype(np.int64), begin)
-            low, high = np.minimum.reduceat(runs["d"], begin), np.maximum.reduceat(runs["d"], begin)
-            some = ((kinds > 1) & (low < high))[of]
-            need = np.zeros(int(some.sum()), NEED)
-            for f in ("r", "d", "a", "m"):
-                need[f] = runs[f][some]
-            need["key"] = runs["h"][some].astype(np.uint64) * np.uint64(n_parts) + np.uint64(part)
-            need["hot"] = (kinds > MOST_RUNS)[of][some]
-            yield _batch([*_dealt(spans, _home(spans["r"], n_parts), "span"), *_dealt(need, _home(need["r"], n_parts), "need")])
+            many = np.diff(np.append(begin, len(order)))
+            other = np.zeros(len(order), np.int64)
+            other[_stretches(h[order], t0[order], t1[order])] = 1
+            several = np.repeat(np.add.reduceat(other, begin) > 1, many)
+            own = order[several]
+            need = np.zeros(len(own), NEED)
+            for name, x in (("t0", t0), ("t1", t1), ("a", a), ("size", size)):
+                need[name] = x[own]
+            need["hot"] = np.repeat(many > SPLIT, many)[several]
+            need["key"] = h[own].astype(np.uint64) * np.uint64(n_parts) + np.uint64(part)
+            need = need[np.lexsort((need["a"], need["t1"], need["t0"]))]
+            yield _batch(list(_dealt(need, _home(need["t0"], n_parts), "need")))
 
     return _gathered(packed, n_parts).mapInArrow(run, PACKED)
 
 
-def _rows_named(packed: DataFrame) -> DataFrame:
-    """Distinct rows that packed spans or needs name."""
+def _texts_named(packed: DataFrame) -> DataFrame:
+    """Keys of the texts that packed spans or needs name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.zeros(0, np.int64)]
+            found: set[bytes] = set()
             for kind, rows in zip(batch.column("kind").to_pylist(), batch.column("rows").to_pylist(), strict=True):
-                found.append(np.unique(np.frombuffer(rows, SPAN if kind == "span" else NEED)["r"]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)))], ["r"])
+                own = np.frombuffer(rows, SPAN if kind == "span" else NEED)
+                own = own[_stretches(own["t0"], own["t1"])]
+                found.update(x + y for x, y in zip(_chopped(own["t0"]), _chopped(own["t1"]), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.binary())], ["t"])
+
+    return packed.select("kind", "rows").mapInArrow(run, "t binary").distinct()
 
-    return packed.select("kind", "rows").mapInArrow(run, "r long").distinct()
 
+def _chopped(x: np.ndarray) -> list[bytes]:
+    """Each number's bytes."""
+    wide, raw = x.dtype.itemsize, np.ascontiguousarray(x).tobytes()
+    return [raw[i : i + wide] for i in range(0, len(raw), wide)]
 
-def _texts_of(texts: DataFrame, named: DataFrame, n_parts: int) -> DataFrame:
-    """One text for each named row, with its part."""
-    named = shared(named)
-    few = named.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    own = texts.join(F.broadcast(named) if few else named, "r", "left_semi")
+
+def _texts_of(texts: DataFrame, firsts: DataFrame, named: DataFrame, n_parts: int) -> DataFrame:
+    """(part, t, d, text) of each named text, from its smallest document; repeated rows once for each task."""
+    chosen = shared(firsts.join(named, "t", "left_semi"))
+    few = chosen.count() * (KEY + 28) <= BROADCAST_BYTES
+    own = texts.join(F.broadcast(chosen) if few else chosen, ["t", "d"], "left_semi").select("t", "d", "text")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
-            part = _home(batch.column("r").to_numpy(zero_copy_only=False).astype(np.int64), n_parts)
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), batch.column("r"), batch.column("text")], ["part", "r", "text"])
+            keys = batch.column(0).to_pylist()
+            fresh = [i for i, k in enumerate(keys) if k not in seen and not seen.add(k)]
+            if fresh:
+                batch = batch.take(pa.array(fresh))
+                part = _home(_keys(batch.column(0))[0], n_parts).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(part), *batch.columns], ["part", "t", "d", "text"])
+
+    return own.mapInArrow(place, "part int, t binary, d long, text string")
 
-    return own.select("r", "text").mapInArrow(place, "part int, r long, text string")
+
+def _text_bytes(left: pd.DataFrame) -> dict[bytes, tuple[int, bytes]]:
+    """Document order and bytes by key."""
+    return {bytes(t): (int(d), x.encode()) for t, d, x in zip(left["t"], left["d"], left["text"], strict=True)}
 
 
 def _deal_bytes(texts: DataFrame, needs: DataFrame, n_parts: int) -> DataFrame:
-    """The bytes of needed runs by anchor, and the strings of those of hot anchors."""
+    """The bytes of needed runs by anchor, those of anchors with very many runs by 50-byte string."""
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        texts = _text_bytes(left)
         need = np.frombuffer(b"".join(right["rows"]), NEED)
-        need = need[np.argsort(need["r"], kind="stable")]
-        out: list[tuple[str, int, bytes]] = []
-        texts = dict(zip(left["r"], left["text"], strict=True))
-        cold: dict[int, list[bytes]] = {}
-        found = [np.zeros(0, RUN)]
-        for a, b in _stretches(need["r"]):
+        need = need[np.lexsort((need["t1"], need["t0"]))]
+        cut = _stretches(need["t0"], need["t1"])
+        heads, data = [], []
+        for a, b in zip(cut.tolist(), np.append(cut[1:], len(need)).tolist(), strict=False):
             own = need[a:b]
-            data = texts[int(own["r"][0])].encode()
-            raw = np.frombuffer(data, np.uint8)
+            d, text = texts[own["t0"][:1].tobytes() + own["t1"][:1].tobytes()]
+            raw = np.frombuffer(text, np.uint8)
             hot = own[own["hot"] == 1]
             if len(hot):
-                n = (hot["m"] >> 8).astype(np.int64) + 1
-                s = np.repeat(hot["a"].astype(np.int64) - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                strings = np.zeros(len(s), RUN)
-                strings["c"] = _hashes(raw, s, np.full(len(s), LENGTH))
-                strings["h"] = (_hashes(raw, s, np.full(len(s), GRAM)) >> np.uint64(32)).astype(np.uint32)
-                strings["d"], strings["r"], strings["a"] = own["d"][0], own["r"][0], s
-                found.append(strings)
-            for x in own[own["hot"] == 0]:
-                size = int(x["m"] >> 8) + LENGTH
-                cold.setdefault(int(x["key"] % np.uint64(n_parts)), []).append(
-                    x["key"].tobytes() + x["d"].tobytes() + x["r"].tobytes() + x["a"].tobytes() + size.to_bytes(2, "little") + data[x["a"] : x["a"] + size]
-                )
-        out += [("bytes", part, b"".join(rows)) for part, rows in cold.items()]
-        hot_strings = np.concatenate(found)
-        out += _dealt(hot_strings, (hot_strings["c"] % np.uint64(n_parts)).astype(np.int64), "run")
+                many = hot["size"].astype(np.int64) - LENGTH + 1
+                strings = np.repeat(hot, many)
+                strings["a"], strings["size"] = _spread(hot["a"].astype(np.int64), many), LENGTH
+                strings["key"] = _hashes(raw, strings["a"].astype(np.int64), np.full(len(strings), LENGTH))
+                own = np.concatenate([own[own["hot"] == 0], strings])
+            head = np.zeros(len(own), HEAD)
+            for name in ("key", "t0", "t1", "a", "size"):
+                head[name] = own[name]
+            head["d"] = d
+            heads.append(head)
+            data.append(raw[_spread(own["a"].astype(np.int64), own["size"].astype(np.int64))])
+        head = np.concatenate([np.zeros(0, HEAD), *heads])
+        raw = np.concatenate([np.zeros(0, np.uint8), *data])
+        size = head["size"].astype(np.int64)
+        start = np.cumsum(size) - size
+        to = (head["key"] % np.uint64(n_parts)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        cut = _stretches(to[order])
+        out = []
+        for a, b in zip(cut.tolist(), np.append(cut[1:], len(order)).tolist(), strict=False):
+            own = order[a:b]
+            rows = head[own].tobytes() + raw[_spread(start[own], size[own])].tobytes()
+            out.append(("bytes", int(to[own[0]]), len(own).to_bytes(4, "little") + rows))
         return pd.DataFrame(out, columns=["kind", "part", "rows"])
 
     return texts.groupBy("part").cogroup(needs.select("part", "rows").groupBy("part")).applyInPandas(run, PACKED)
 
 
-def long_common_prefixes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The suffix array of ``text`` (whole numbers), and where suffixes next to each other share less than ``length``.
+def suffix_intervals(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """``text``'s suffixes (bytes) in order, and where neighbours share less than ``length`` bytes.
 
-    Suffixes are sorted by doubled prefixes. The Burrows-Wheeler transform's
-    step from a suffix to the one without its first character takes boundaries
-    of level v - 1 to level v, breadth first; levels end at ``length``.
+    Suffixes are sorted by their first ``length`` bytes or more, doubling the
+    prefix from eight. The Burrows-Wheeler transform's step from a suffix to the
+    one without its first byte takes boundaries of level v - 1 to level v, breadth
+    first; levels end at ``length``, and only neighbours that share all bytes so
+    far are looked at again.
     """
     n = len(text)
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    size = 1
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, bool)
+    padded = np.concatenate([text, np.full(8, END, np.uint8)]).astype(np.uint64)
+    key = np.zeros(n, np.uint64)
+    for i in range(8):
+        key = key << np.uint64(8) | padded[i : i + n]
+    size = 8
     while True:
-        after = np.zeros(n, np.int64)
-        after[: n - size] = rank[size:] + 1
-        key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        new = np.cumsum(np.concatenate([[0], sorted_key[1:] != sorted_key[:-1]]))
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        if new[-1] == n - 1 or size >= n:
+        suffix = np.argsort(key, kind="stable")
+        ordered = key[suffix]
+        new = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
+        if size >= length or new[-1] == n - 1:
             break
+        rank = np.empty(n, np.int64)
+        rank[suffix] = new
+        after = np.zeros(n, np.int64)
+        after[: max(0, n - size)] = rank[size:] + 1
+        key = (rank * (n + 1) + after).astype(np.uint64)
         size *= 2
-    suffix = order
-    # the transform's characters, sorted stably, give the step to the suffix without its first character
-    transform = text[suffix - 1]
-    step = np.argsort(transform, kind="stable")
+    # the transform's bytes, sorted stably, give the step to the suffix without its first byte
+    step = np.argsort(text[suffix - 1], kind="stable")
     head = text[suffix]
     boundary = np.concatenate([[True], head[1:] != head[:-1]])
     open_ = np.flatnonzero(~boundary)
     for _ in range(1, length):
         if not len(open_):
             break
-        before = np.cumsum(boundary)
+        before = np.cumsum(boundary, dtype=np.int32)
         found = before[step[open_]] > before[step[open_ - 1]]
         boundary[open_[found]] = True
         open_ = open_[~found]
     return suffix, boundary
 
 
-def _expand(contexts: list[tuple[int, int, int, bytes]]) -> np.ndarray:
-    """Spans of (d, r, a, bytes) whose strings of LENGTH bytes another, smaller document's have too."""
-    sizes = np.array([len(x[3]) for x in contexts], np.int64)
-    data = np.frombuffer(b"".join(x[3] for x in contexts), np.uint8).astype(np.int64)
-    start = np.cumsum(sizes) - sizes
-    text = np.zeros(len(data) + len(contexts), np.int64)
-    at = np.arange(len(data)) + np.repeat(np.arange(len(contexts)), sizes)
-    text[at] = data
-    text[start + sizes + np.arange(len(contexts))] = 256 + np.arange(len(contexts))  # an end of its own for each
-    of = np.repeat(np.arange(len(contexts)), sizes + 1)
-    inside = np.arange(len(text)) - (start + np.arange(len(contexts)))[of]
-    valid = inside <= (sizes - LENGTH)[of]
-    d = np.array([x[0] for x in contexts], np.int64)
-    suffix, boundary = long_common_prefixes(text, LENGTH)
-    own = np.where(valid[suffix], d[of[suffix]], LAST)
-    begin = np.flatnonzero(boundary)
-    low = np.repeat(np.minimum.reduceat(own, begin), np.diff(np.append(begin, len(own))))
-    hit = np.sort(suffix[valid[suffix] & (own > low)])
-    if not len(hit):
-        return np.zeros(0, SPAN)
-    first = np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (of[hit[1:]] != of[hit[:-1]])])
-    a, b = hit[np.flatnonzero(first)], hit[np.append(np.flatnonzero(first)[1:], len(hit)) - 1]
-    out = np.zeros(len(a), SPAN)
-    out["r"] = np.array([x[1] for x in contexts], np.int64)[of[a]]
-    base = np.array([x[2] for x in contexts], np.int64)[of[a]]
-    out["a"], out["e"] = base + inside[a], base + inside[b] + LENGTH
-    return out
+def smallest_owners(data: np.ndarray, start: np.ndarray, size: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every string of LENGTH bytes in the runs [start, start + size) of ``data``, the smallest d of a run that has it.
 
+    Returns them run after run, and where each run's begin.
+    """
+    at = _spread(start + 0, size)
+    text = np.full(len(at) + len(start), END, np.uint8)
+    own = np.cumsum(size + 1) - (size + 1)  # each run is followed by one END
+    text[_spread(own, size)] = data[at]
+    strings = size - LENGTH + 1
+    valid = _spread(own, strings)
+    owner = np.full(len(text), LAST, np.int64)
+    owner[valid] = np.repeat(d, strings)
+    suffix, boundary = suffix_intervals(text, LENGTH)
+    begin = np.flatnonzero(boundary)
+    low = np.empty(len(text), np.int64)
+    low[suffix] = np.repeat(np.minimum.reduceat(owner[suffix], begin), np.diff(np.append(begin, len(text))))
+    return low[valid], np.cumsum(strings) - strings
 
-def _unpack(blob: bytes) -> Iterator[tuple[int, tuple[int, int, int, bytes]]]:
-    """Anchor, and (d, r, a, bytes), of each run packed by :func:`_deal_bytes`."""
-    at = 0
-    while at < len(blob):
-        key = int.from_bytes(blob[at : at + 8], "little")
-        d, r = (int.from_bytes(blob[at + k : at + k + 8], "little", signed=True) for k in (8, 16))
-        a = int.from_bytes(blob[at + 24 : at + 28], "little")
-        size = int.from_bytes(blob[at + 28 : at + 30], "little")
-        yield key, (d, r, a, blob[at + 30 : at + 30 + size])
-        at += 30 + size
 
+def _settle(head: np.ndarray, data: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
+    """Spans of the runs ``head``, whose bytes follow each other in ``data``.
 
-def _compare_asked(packed: DataFrame, n_parts: int, chunk_bytes: int = 200_000) -> DataFrame:
-    """Spans of runs whose bytes were asked for, in chunks of whole anchors, and of hot anchors' strings."""
+    Runs equal byte by byte are one; of these, the smallest document's goes on
+    and larger documents' are settled as a whole. What goes on is expanded, whole
+    anchors together; an anchor with one kind of run has no other to share with.
+    """
+    if not len(head):
+        return np.zeros(0, SPAN)
+    size = head["size"].astype(np.int64)
+    start = np.cumsum(size) - size
+    kind = equal_strings(data, start, size, head["key"])
+    by = np.lexsort((head["d"], kind))
+    first = _stretches(kind[by])
+    low = np.repeat(head["d"][by][first], np.diff(np.append(first, len(by))))
+    later = by[head["d"][by] > low]
+    reps = by[first]
+    reps = reps[np.argsort(head["key"][reps], kind="stable")]
+    cut = _stretches(head["key"][reps])
+    many = np.diff(np.append(cut, len(reps)))
+    reps = reps[np.repeat(many > 1, many)]
+    # the smallest documents' runs of each kind: most often one
+    least = by[head["d"][by] == low]
+    spans = [np.zeros(0, SPAN)]
+    whole = np.zeros(len(later), SPAN)
+    for name in ("t0", "t1", "a"):
+        whole[name] = head[name][later]
+    whole["e"] = whole["a"] + size[later]
+    spans.append(whole)
+    bounds = _stretches(head["key"][reps]).tolist()
+    filled = np.cumsum(size[reps])
+    place = np.full(int(kind.max()) + 1, -1, np.int64)
+    at = 0
+    while at < len(reps):
+        goal = filled[at] - size[reps[at]] + chunk
+        stop = next((b for b in bounds if b > at and filled[b - 1] >= goal), len(reps))
+        own = reps[at:stop]
+        lows, offset = smallest_owners(data, start[own], size[own], head["d"][own])
+        place[kind[own]] = np.arange(len(own))
+        who = least[place[kind[least]] >= 0]
+        which = place[kind[who]]
+        place[kind[own]] = -1
+        strings = size[who] - LENGTH + 1
+        hit = np.flatnonzero(lows[_spread(offset[which], strings)] < np.repeat(head["d"][who], strings))
+        if len(hit):
+            run = np.repeat(np.arange(len(who)), strings)[hit]
+            inside = hit - (np.cumsum(strings) - strings)[run]
+            new = np.flatnonzero(np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (run[1:] != run[:-1])]))
+            last = np.append(new[1:], len(hit)) - 1
+            found = np.zeros(len(new), SPAN)
+            for name in ("t0", "t1"):
+                found[name] = head[name][who[run[new]]]
+            found["a"] = head["a"][who[run[new]]] + inside[new]
+            found["e"] = head["a"][who[run[new]]] + inside[last] + LENGTH
+            spans.append(found)
+        bounds = [b for b in bounds if b > stop]
+        at = stop
+    return np.concatenate(spans)
+
+
+def _compare(packed: DataFrame, n_parts: int) -> DataFrame:
+    """Spans of the runs whose bytes were asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, blobs in _by_part(batches):
-            spans = [_settle(np.frombuffer(b"".join(blobs.get("run", [])), RUN))[0]]
-            groups: dict[int, list] = {}
+            heads, data = [], []
             for blob in blobs.get("bytes", []):
-                for key, x in _unpack(blob):
-                    groups.setdefault(key, []).append(x)
-            chunk: list = []
-            size = 0
-            for g in groups.values():
-                chunk += g
-                size += sum(len(x[3]) for x in g)
-                if size > chunk_bytes:
-                    spans.append(_expand(chunk))
-                    chunk, size = [], 0
-            if chunk:
-                spans.append(_expand(chunk))
-            found = np.concatenate(spans)
-            yield _batch(list(_dealt(found, _home(found["r"], n_parts), "span")))
+                n = int.from_bytes(blob[:4], "little")
+                heads.append(np.frombuffer(blob, HEAD, n, 4))
+                data.append(np.frombuffer(blob, np.uint8, -1, 4 + n * HEAD.itemsize))
+            yield _batch(list(_dealt_spans(_settle(np.concatenate(heads), np.concatenate(data)), n_parts)))
 
     return _gathered(packed, n_parts).mapInArrow(run, PACKED)
 
 
-def merged_spans(a: np.ndarray, e: np.ndarray) -> list[tuple[int, int]]:
-    """Maximal runs of the union of [a, e)."""
-    if not len(a):
-        return []
-    order = np.argsort(a, kind="stable")
-    a, reach = a[order], np.maximum.accumulate(e[order])
-    new = np.flatnonzero(np.concatenate([[True], a[1:] > reach[:-1]]))
-    return list(zip(a[new].tolist(), reach[np.append(new[1:], len(a)) - 1].tolist(), strict=True))
-
-
 def _remove(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """(r, n_removed, n_spans, kept_sha256, spans) of the rows that lose bytes."""
+    """(t, n_removed, n_spans, kept_sha256, spans) of the texts that lose bytes."""
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        texts = _text_bytes(left)
         all_ = np.frombuffer(b"".join(right["rows"]), SPAN)
-        all_ = all_[np.argsort(all_["r"], kind="stable")]
-        texts = dict(zip(left["r"], left["text"], strict=True))
+        all_ = all_[np.lexsort((all_["t1"], all_["t0"]))]
+        cut = _stretches(all_["t0"], all_["t1"])
         out = []
-        for a, b in _stretches(all_["r"]):
-            r = int(all_["r"][a])
-            data, runs = texts[r].encode(), merged_spans(all_["a"][a:b], all_["e"][a:b])
-            kept, at = [], 0
+        for a, b in zip(cut.tolist(), np.append(cut[1:], len(all_)).tolist(), strict=False):
+            t = all_["t0"][a : a + 1].tobytes() + all_["t1"][a : a + 1].tobytes()
+            d, data = texts[t]
+            own = all_[a:b]
+            own = own[(own["row"] == 0) | (own["d"] == d)].copy()
+            own["row"], own["d"] = 0, 0
+            runs = [(int(x["a"]), int(x["e"])) for x in merged(own)]
+            if not runs:
+                continue
+            kept, at = hashlib.sha256(), 0
             for x, y in runs:
-                kept.append(data[at:x])
+                kept.update(data[at:x])
                 at = y
-            kept.append(data[at:])
-            out.append((r, sum(y - x for x, y in runs), len(runs), hashlib.sha256(b"".join(kept)).hexdigest(), [{"start": x, "stop": y} for x, y in runs]))
-        return pd.DataFrame(out, columns=["r", "n_removed", "n_spans", "kept_sha256", "spans"])
+            kept.update(data[at:])
+            out.append((t, sum(y - x for x, y in runs), len(runs), kept.hexdigest(), [{"start": x, "stop": y} for x, y in runs]))
+        return pd.DataFrame(out, columns=["t", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    schema = "r long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, stop: long>>"
+    schema = "t binary, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, stop: long>>"
     return texts.groupBy("part").cogroup(spans.select("part", "rows").groupBy("part")).applyInPandas(run, schema)
 
 
@@ -482,23 +626,30 @@ def repeated_substrings(documents: DataFrame) -> DataFrame:
     rows have a result each. An empty table gives an empty result.
     """
     spark = documents.sparkSession
-    rows = documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))).alias("d"), F.xxhash64(F.lit(5), "doc_id", "text").alias("r"),
-        F.coalesce("text", F.lit("")).alias("text"),
-    )
-    slim = documents.select(
-        "doc_id", F.xxhash64(F.lit(5), "doc_id", "text").alias("r"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
-        F.sha2(F.coalesce("text", F.lit("")), 256).alias("_sha"),
-    )
+    text = F.coalesce("text", F.lit(""))
+    rows = documents.select("doc_id", text.alias("text")).select(
+        "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))).alias("d"), "text", F.sha2("text", 256).alias("_sha")
+    )
+    texts = rows.select("d", F.substring(F.unhex("_sha"), 1, KEY).alias("t"), "text")
+    slim = rows.select(
+        "doc_id", "d", F.substring(F.unhex("_sha"), 1, KEY).alias("t"), F.octet_length("text").cast("long").alias("n_bytes"), "_sha"
+    )
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_parts = int(max(spark.sparkContext.defaultParallelism, -(-size // GROUP)))
-    compared = shared(_compare_runs(_deal_runs(rows, n_parts), n_parts))
-    needs = compared.where("kind = 'need'")
-    more = shared(_compare_asked(_deal_bytes(_texts_of(rows, _rows_named(needs), n_parts), needs, n_parts), n_parts))
-    spans = compared.where("kind = 'span'").unionByName(more)
-    removed = _remove(_texts_of(rows, _rows_named(spans), n_parts), spans)
+    firsts = shared(texts.groupBy("t").agg(F.min("d").alias("d")))
+    asked = shared(_ask(_deal_runs(texts, n_parts), n_parts))
+    needs = asked.where("kind = 'need'")
+    found = shared(_compare(_deal_bytes(_texts_of(texts, firsts, _texts_named(needs), n_parts), needs, n_parts), n_parts))
+    spans = asked.where("kind = 'span'").unionByName(found)
+    removed = _remove(_texts_of(texts, firsts, _texts_named(spans), n_parts), spans)
+    classes = firsts.withColumnRenamed("d", "first").join(removed, "t", "left")
+    all_ = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("stop")))
     none = F.array().cast("array<struct<start: bigint, stop: bigint>>")
-    return slim.join(removed, "r", "left").select(
-        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
-        F.coalesce("kept_sha256", "_sha").alias("kept_sha256"), F.coalesce("spans", none).alias("spans"),
+    copy = (F.col("d") > F.col("first")) & (F.col("n_bytes") >= LENGTH)
+    own = lambda whole, part, rest: F.when(copy, whole).otherwise(F.when(F.col("d") == F.col("first"), F.coalesce(part, rest)).otherwise(rest))
+    zero = F.lit(0).cast("long")
+    return slim.join(classes, "t").select(
+        "doc_id", "n_bytes", own(F.col("n_bytes"), F.col("n_removed"), zero).alias("n_removed"),
+        own(F.lit(1).cast("long"), F.col("n_spans"), zero).alias("n_spans"),
+        own(F.sha2(F.lit(""), 256), F.col("kept_sha256"), F.col("_sha")).alias("kept_sha256"), own(all_, F.col("spans"), none).alias("spans"),
     )

@@ -163,9 +163,9 @@ def plain_removal(rows, length=50):
     return Counter(out)
 
 
-@pytest.mark.parametrize("most_runs", [2000, 0])
-def test_substrings(spark, awkward, documents, monkeypatch, most_runs):
-    monkeypatch.setattr(substrings, "MOST_RUNS", most_runs)
+@pytest.mark.parametrize("split", [4096, 0])
+def test_substrings(spark, awkward, documents, monkeypatch, split):
+    monkeypatch.setattr(substrings, "SPLIT", split)
     got = substrings.repeated_substrings(documents).drop("spans").collect()
     assert Counter(map(tuple, got)) == plain_removal(awkward)
 
@@ -178,13 +178,24 @@ def test_substrings_of_pasted_texts(spark):
     assert Counter(map(tuple, substrings.repeated_substrings(df).drop("spans").collect())) == plain_removal(rows)
 
 
-def test_common_prefixes():
+def test_suffix_intervals():
     rng = random.Random(2)
-    text = np.array([rng.randint(0, 2) for _ in range(400)] + [9])
-    suffix, boundary = substrings.long_common_prefixes(text, 6)
-    plain = sorted(range(len(text)), key=lambda i: text[i:].tolist())
-    assert suffix.tolist() == plain
-    assert boundary.tolist() == [True] + [text[a : a + 6].tolist() != text[b : b + 6].tolist() for a, b in zip(plain, plain[1:], strict=False)]
+    end = substrings.END
+    text = np.array([end if rng.random() < 0.02 else rng.choice(b"ab") for _ in range(900)] + [end], np.uint8)
+    suffix, boundary = substrings.suffix_intervals(text, 12)
+    raw = text.tobytes()
+    group = dict(zip(suffix.tolist(), np.cumsum(boundary).tolist(), strict=True))
+    whole = [i for i in range(len(raw) - 12) if end not in raw[i : i + 12]]
+    for i in whole:
+        assert {j for j in group if group[j] == group[i]} == {j for j in whole if raw[j : j + 12] == raw[i : i + 12]}
+
+
+def test_equal_strings_are_compared_byte_by_byte(monkeypatch):
+    data = np.frombuffer(b"abcabcabdxabc", np.uint8)
+    start, size, key = np.array([0, 3, 6, 10]), np.array([3, 3, 3, 3]), np.array([1, 1, 1, 2])
+    monkeypatch.setattr(substrings, "_hashes", lambda data, start, size: np.zeros(len(start), np.uint64))  # all collide
+    a, b, c, d = substrings.equal_strings(data, start, size, key).tolist()
+    assert a == b and len({a, c, d}) == 3
 
 
 def test_fast_words_are_the_plain_ones():
