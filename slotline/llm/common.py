@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,15 +20,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, ``spark.checkpoint.dir``.
 
-    Only where the session names none, as in local tests, a temporary one is set.
+    Only where the session names none and its one machine runs all, as in local
+    tests, a temporary one is set; a cluster without a shared folder is an error.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="slotline-checkpoint-"))
     return context.getCheckpointDir()
 
 
+#: Names written tables apart.
+_WRITTEN = count()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read again."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{spark.sparkContext.applicationId}-{next(_WRITTEN)}.parquet"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def shared(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder."""
     shared_folder(df.sparkSession)

@@ -1,12 +1,11 @@
 """SimHash near-duplicates by a self-join of the fingerprints' binary trie.
 
-The join walks pairs of trie nodes downwards together. The bits in which a
-pair's prefixes differ are added up, and a pair is dropped as soon as they exceed
-the budget. Two fingerprints that differ in k bits agree in one of k + 1 blocks,
-so k + 1 tries are built, each over the bits rotated to begin with another
-block, and each walk begins below that block, at pairs of equal nodes. These
-nodes are dealt to tasks; a node with too many fingerprints is taken further
-down, pair by pair, by Spark, until what is below each pair is small.
+The join walks pairs of trie nodes downwards together, from the pair of the root
+with itself. The bits in which a pair's prefixes differ are added up, and a pair
+is dropped as soon as they exceed the budget. Near the top Spark walks, some bits
+at a time, over counts of fingerprints by prefix only, until few fingerprints are
+below each pair; then the fingerprints are dealt to these pairs, and tasks walk
+them down bit by bit to the last.
 """
 
 from __future__ import annotations
@@ -23,12 +22,12 @@ from slotline.llm.common import shared
 from slotline.llm.components import components, star_forest
 
 BITS = 64
-#: Fingerprints below a pair of nodes that one task walks at a time.
-NODE_ROWS = 4096
-#: Bits that an overfull pair of nodes is taken down at a time.
-STEP = 8
-#: Fingerprints that a task holds at a time.
-CHUNK = 30_000
+#: Fingerprints below a pair of nodes that a task gets.
+NODE_ROWS = 16_384
+#: Bits that Spark takes a pair of nodes down at a time.
+STEP = 3
+#: Fingerprints that a task walks at a time.
+CHUNK = 16_384
 
 
 def fingerprint(data: bytes, shingle: int = 3) -> int:
@@ -84,36 +83,19 @@ def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
     return slim.mapInArrow(run, f"doc_id {kind}, text_hash long, fp long")
 
 
-def _pairs(a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All (i, j) with i in [a0, a1) and j in [b0, b1), of each pair of ranges."""
-    wide = b1 - b0
-    n = (a1 - a0) * wide
-    pair = np.repeat(np.arange(len(n)), n)
-    k = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
-    return a0[pair] + k // wide[pair], b0[pair] + k % wide[pair]
-
-
 def walk(keys: np.ndarray, pairs: np.ndarray, depth: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Walks pairs of trie nodes down from ``depth`` bits; returns the linked pairs of rows.
 
     ``keys`` are rotated fingerprints, ordered within every node; ``pairs`` has
     the columns a0, a1, b0, b1 (rows of either node; equal nodes for a node with
     itself) and the bits in which they differ so far. All pairs go down a bit
-    together; a pair of few rows is compared outright.
+    together, to the leaves: keys don't repeat, so a pair left there is a link. A
+    key has at most 1 + 64 + 2016 others within two bits, however many there are.
     """
-    left, right = [], []
-    for bit in range(BITS - 1 - depth, -2, -1):
-        a0, a1, b0, b1, _ = pairs.T
-        few = (a1 - a0) * (b1 - b0) <= 16 if bit >= 0 else np.ones(len(pairs), bool)
-        if few.any():
-            i, j = _pairs(a0[few], a1[few], b0[few], b1[few])
-            close = (i != j) & (np.bitwise_count(keys[i] ^ keys[j]) <= most)
-            left.append(i[close])
-            right.append(j[close])
-        pairs = pairs[~few]
+    for bit in range(BITS - 1 - depth, -1, -1):
         if not len(pairs):
             break
-        ones = np.concatenate([[0], np.cumsum((keys >> np.uint64(bit)) & np.uint64(1), dtype=np.int64)])
+        ones = np.concatenate([[0], np.cumsum((keys >> np.uint64(bit)) & np.uint64(1), dtype=np.int32)]).astype(np.int32)
         a0, a1, b0, b1, e = pairs.T
         am, bm = a1 - (ones[a1] - ones[a0]), b1 - (ones[b1] - ones[b0])
         own = a0 == b0
@@ -127,22 +109,15 @@ def walk(keys: np.ndarray, pairs: np.ndarray, depth: int, most: int) -> tuple[np
         )
         a0, a1, b0, b1, e = children.T
         pairs = children[(a1 > a0) & (b1 > b0) & (e <= most) & ~((a0 == b0) & (a1 - a0 == 1))]
-    none = np.zeros(0, np.int64)
-    return np.concatenate([none, *left]), np.concatenate([none, *right])
-
-
-def _unrotate(keys: np.ndarray, turn: np.ndarray) -> np.ndarray:
-    turn = turn.astype(np.uint64)
-    back = (keys >> turn) | (keys << ((np.uint64(BITS) - turn) % np.uint64(BITS)))
-    return np.where(turn == 0, keys, back)
+    return pairs[:, 0], pairs[:, 2]
 
 
 def _walk_nodes(most: int):
-    """A task's work: rows (turn, depth, pa, pb, side, key), ordered so, to links of fingerprints."""
+    """A task's work: rows (depth, pa, pb, side, key), ordered so, to links of fingerprints."""
+    names = ("depth", "pa", "pb")
 
     def links(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
         u, v = [], []
-        names = ("turn", "depth", "pa", "pb")
         for depth in np.unique(rows["depth"]):
             at = rows["depth"] == depth
             own = {k: x[at] for k, x in rows.items()}
@@ -156,11 +131,10 @@ def _walk_nodes(most: int):
             pairs = np.stack(
                 [start, np.where(same, end, mid), np.where(same, start, mid), end,
                  np.bitwise_count(own["pa"][start] ^ own["pb"][start])], 1,
-            ).astype(np.int64)
-            i, j = walk(keys, pairs[(pairs[:, 1] > pairs[:, 0]) & (pairs[:, 3] > pairs[:, 2])], int(depth), most)
-            back = _unrotate(keys, own["turn"]).view(np.int64)
-            u.append(back[i])
-            v.append(back[j])
+            ).astype(np.int32)
+            i, j = walk(keys, pairs, int(depth), most)
+            u.append(own["key"][i])
+            v.append(own["key"][j])
         node, root = star_forest(np.concatenate(u), np.concatenate(v))
         return pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], ["u", "v"])
 
@@ -171,42 +145,59 @@ def _walk_nodes(most: int):
             if sum(len(x["key"]) for x in held) < CHUNK:
                 continue
             rows = {k: np.concatenate([x[k] for x in held]) for k in held[0]}
-            last = np.flatnonzero(np.any([rows[k] != rows[k][-1] for k in ("turn", "depth", "pa", "pb")], axis=0))
-            cut = last[-1] + 1 if len(last) else 0  # the last node may go on in the next batch
-            if cut:
-                yield links({k: x[:cut] for k, x in rows.items()})
-            held = [{k: x[cut:] for k, x in rows.items()}]
+            cuts = np.flatnonzero(np.any([rows[k][1:] != rows[k][:-1] for k in names], axis=0)) + 1
+            at = 0
+            for cut in cuts.tolist():  # whole pairs of nodes; the last may go on in the next batch
+                if cut - at >= CHUNK or cut == cuts[-1]:
+                    yield links({k: x[at:cut] for k, x in rows.items()})
+                    at = cut
+            held = [{k: x[at:] for k, x in rows.items()}]
         if held and sum(len(x["key"]) for x in held):
             yield links({k: np.concatenate([x[k] for x in held]) for k in held[0]})
 
     return run
 
 
-def _deeper(rows: DataFrame, most: int) -> DataFrame:
-    """Rows of overfull pairs of nodes, dealt to the pairs of their descendants ``STEP`` bits below."""
-    masks = [m for m in range(1 << STEP) if m.bit_count() <= most]
-    depth = F.col("depth") + STEP
-    own = F.expr(f"shiftrightunsigned(key, int({BITS} - depth - {STEP}))")
-    other = F.when(F.col("side") == 0, F.col("pb")).otherwise(F.col("pa"))
-    down = rows.withColumn("_own", own).withColumn("_mask", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
-    low = F.lit((1 << STEP) - 1).cast("long")
-    down = down.withColumn(
-        "_other", F.shiftleft(other, STEP).bitwiseOR(F.col("_own").bitwiseAND(low).bitwiseXOR(F.col("_mask")))
-    ).where(F.bit_count(F.col("_own").bitwiseXOR(F.col("_other"))) <= most)
-    # below a node with itself, the smaller of two different descendants is side 0
-    first = F.when(F.col("pa") == F.col("pb"), F.col("_own") <= F.col("_other")).otherwise(F.col("side") == 0)
-    return down.select(
-        "turn", depth.alias("depth"),
-        F.when(first, F.col("_own")).otherwise(F.col("_other")).alias("pa"),
-        F.when(first, F.col("_other")).otherwise(F.col("_own")).alias("pb"),
-        F.when(first, 0).otherwise(1).alias("side"), "key",
-    )
+def _prefix(depth: int) -> Column:
+    """A fingerprint's first ``depth`` bits."""
+    return F.shiftrightunsigned("fp", BITS - depth) if depth else F.lit(0).cast("long")
 
 
-def _rotated(fp: Column, turn: int) -> Column:
-    if not turn:
-        return fp
-    return F.shiftleft(fp, turn).bitwiseOR(F.shiftrightunsigned(fp, BITS - turn))
+def node_pairs(fps: DataFrame, *, most: int, node_rows: int) -> DataFrame:
+    """Pairs (depth, pa, pb) of trie nodes, pa <= pb, below which all pairs of fingerprints within ``most`` bits lie once.
+
+    The walk from (root, root): the prefixes' counts at each level are joined to
+    the pairs that are still overfull, for either side's children that keep to
+    the budget. A pair is ready with ``node_rows`` fingerprints or fewer on both
+    sides together, or where only bits are left that a task walks.
+    """
+    spark = fps.sparkSession
+    masks = F.array(*[F.lit(m).cast("long") for m in range(1 << STEP) if m.bit_count() <= most])
+    low = F.lit((1 << STEP) - 1).cast("long")
+    large = spark.createDataFrame([(0, 0, 0)], "pa long, pb long, e int")
+    found = None
+    for depth in range(STEP, BITS, STEP):
+        counts = fps.groupBy(_prefix(depth).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        nodes = counts.withColumn("_up", F.shiftrightunsigned("p", STEP))
+        a = large.join(nodes.select(F.col("_up").alias("pa"), F.col("p").alias("_a"), F.col("n").alias("_na")), "pa")
+        # below a node with itself, only the pairs in order; else all
+        b = a.withColumn("_m", F.explode(masks)).withColumn(
+            "_b", F.shiftleft("pb", STEP).bitwiseOR(F.col("_a").bitwiseAND(low).bitwiseXOR(F.col("_m")))
+        ).where((F.col("e") + F.bit_count("_m") <= most) & ((F.col("pa") < F.col("pb")) | (F.col("_a") <= F.col("_b"))))
+        down = b.join(nodes.select(F.col("p").alias("_b"), F.col("n").alias("_nb")), "_b")
+        rows = F.when(F.col("_a") == F.col("_b"), F.col("_na")).otherwise(F.col("_na") + F.col("_nb"))
+        down = down.where((F.col("_a") < F.col("_b")) | (F.col("_na") > 1)).select(
+            F.col("_a").alias("pa"), F.col("_b").alias("pb"), (F.col("e") + F.bit_count("_m")).cast("int").alias("e"),
+            (rows <= node_rows).alias("ready"),
+        )
+        down = shared(down)
+        last = depth + STEP >= BITS
+        own = down if last else down.where("ready")
+        own = own.select(F.lit(depth).alias("depth"), "pa", "pb")
+        found = own if found is None else found.unionByName(own)
+        large = down.where("NOT ready").select("pa", "pb", "e")
+        if last or large.isEmpty():
+            return found
 
 
 def linked_fingerprints(fps: DataFrame, *, most: int = 2, node_rows: int = NODE_ROWS) -> DataFrame:
@@ -215,44 +206,19 @@ def linked_fingerprints(fps: DataFrame, *, most: int = 2, node_rows: int = NODE_
     ``fps`` has a column fp without repeats. Each task returns a spanning forest
     of the pairs it finds, so a dense group costs a link for each of its members.
     """
-    blocks = most + 1
-    cuts = [BITS * k // blocks for k in range(blocks + 1)]
-    widths = [(cuts[k], cuts[k + 1] - cuts[k]) for k in range(blocks)]
-    tries = F.array(
-        *[
-            F.struct(
-                F.lit(turn).alias("turn"), F.lit(width).alias("depth"),
-                F.shiftrightunsigned(_rotated(F.col("fp"), turn), BITS - width).alias("pa"),
-                _rotated(F.col("fp"), turn).alias("key"),
-            )
-            for turn, width in widths
-        ]
-    )
-    rows = fps.select(F.explode(tries).alias("t")).select(
-        "t.turn", "t.depth", "t.pa", F.col("t.pa").alias("pb"), F.lit(0).alias("side"), "t.key"
-    )
-    node = ["turn", "depth", "pa", "pb"]
-    found = None
-    while True:
-        n, ones = F.count(F.lit(1)).alias("n"), F.sum("side").alias("ones")
-        sizes = rows.groupBy(*node).agg(n, ones).where(
-            "CASE WHEN pa = pb THEN n > 1 ELSE ones > 0 AND ones < n END"
-        )
-        alive = shared(rows.join(sizes.drop("ones"), node))
-        # fingerprints don't repeat, so few are left below a node that can't be taken down further
-        fits = (F.col("n") <= node_rows) | (F.col("depth") > BITS - STEP)
-        small = (
-            alive.where(fits)
-            .select(*node, "side", "key")
-            .repartition(*node)
-            .sortWithinPartitions(*node, "side", "key")
-        )
-        links = small.mapInArrow(_walk_nodes(most), "u long, v long")
-        found = links if found is None else found.unionByName(links)
-        large = alive.where(~fits)
-        if large.isEmpty():
-            return found
-        rows = _deeper(large.select(*node, "side", "key"), most)
+    pairs = shared(node_pairs(fps, most=most, node_rows=node_rows))
+    depths = [r["depth"] for r in pairs.select("depth").distinct().collect()]  # at most BITS / STEP
+    if not depths:
+        return fps.sparkSession.createDataFrame([], "u long, v long")
+    own = F.array(*[F.struct(F.lit(d).alias("depth"), _prefix(d).alias("p")) for d in sorted(depths)])
+    rows = fps.select("fp", F.explode(own).alias("at")).select(F.col("at.depth").alias("depth"), F.col("at.p").alias("p"), F.col("fp").alias("key"))
+    sides = pairs.select(
+        "depth", "pa", "pb",
+        F.explode(F.when(F.col("pa") == F.col("pb"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))).alias("side"),
+    ).withColumn("p", F.when(F.col("side") == 0, F.col("pa")).otherwise(F.col("pb")))
+    node = ["depth", "pa", "pb"]
+    dealt = rows.join(sides, ["depth", "p"]).select(*node, "side", "key").repartition(*node)
+    return dealt.sortWithinPartitions(*node, "side", "key").mapInArrow(_walk_nodes(most), "u long, v long")
 
 
 def near_duplicates(documents: DataFrame, *, most: int = 2, shingle: int = 3, node_rows: int = NODE_ROWS) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotline.llm.common import shared
+from slotline.llm.common import shared, written
 
 LENGTH, GRAM = 50, 24
 #: Grams that begin in a string of LENGTH bytes.
@@ -62,8 +62,8 @@ _POWER = np.cumprod(np.full(256, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64
 KEY = 12
 #: Bytes [a, e) of a text to be removed; where ``row`` is 1, only from the text's rows of document order d.
 SPAN = np.dtype([("t0", "u8"), ("t1", "u4"), ("d", "i8"), ("a", "i4"), ("e", "i4"), ("row", "u1")])
-#: A run whose bytes are asked for: its anchor, its first byte and size, and whether it is dealt by strings.
-NEED = np.dtype([("t0", "u8"), ("t1", "u4"), ("a", "i4"), ("size", "u1"), ("hot", "u1"), ("key", "u8")])
+#: A run whose bytes are asked for: its first byte and size, and whether it is dealt by strings.
+NEED = np.dtype([("t0", "u8"), ("t1", "u4"), ("a", "i4"), ("size", "u1"), ("hot", "u1")])
 #: A run whose bytes follow.
 HEAD = np.dtype([("key", "u8"), ("d", "i8"), ("t0", "u8"), ("t1", "u4"), ("a", "i4"), ("size", "u1")])
 PACKED = "kind string, part int, rows binary"
@@ -218,9 +218,19 @@ def _dealt_spans(spans: np.ndarray, n_parts: int) -> Iterator[tuple[str, int, by
     return _dealt(spans, _home(spans["t0"], n_parts), "span")
 
 
+def _squeezed(x: bytes) -> bytes:
+    """``x`` compressed, with its length."""
+    return len(x).to_bytes(4, "little") + pa.compress(x, "zstd", asbytes=True)
+
+
+def _opened(x: bytes) -> bytes:
+    """What :func:`_squeezed` compressed."""
+    return pa.decompress(x[4:], int.from_bytes(x[:4], "little"), "zstd", asbytes=True)
+
+
 def _batch(rows: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
+        [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([_squeezed(r[2]) for r in rows], pa.binary())],
         ["kind", "part", "rows"],
     )
 
@@ -318,7 +328,7 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[str,
                 yield part, held
                 held = {}
             part = p
-            held.setdefault(kind, []).append(rows)
+            held.setdefault(kind, []).append(_opened(rows))
     if held:
         yield part, held
 
@@ -352,26 +362,40 @@ def _ask(packed: DataFrame, n_parts: int) -> DataFrame:
             for name, x in (("t0", t0), ("t1", t1), ("a", a), ("size", size)):
                 need[name] = x[own]
             need["hot"] = np.repeat(many > SPLIT, many)[several]
-            need["key"] = h[own].astype(np.uint64) * np.uint64(n_parts) + np.uint64(part)
             need = need[np.lexsort((need["a"], need["t1"], need["t0"]))]
             yield _batch(list(_dealt(need, _home(need["t0"], n_parts), "need")))
 
     return _gathered(packed, n_parts).mapInArrow(run, PACKED)
 
 
+def _by_text(packed: DataFrame, n_parts: int) -> DataFrame:
+    """One row of needs and one of spans for each part of the texts, ordered by text, spans merged."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, blobs in _by_part(batches):
+            out = []
+            if blobs.get("need"):
+                need = np.frombuffer(b"".join(blobs["need"]), NEED)
+                out.append(("need", part, need[np.lexsort((need["a"], need["t1"], need["t0"]))].tobytes()))
+            if blobs.get("span"):
+                out.append(("span", part, merged(np.frombuffer(b"".join(blobs["span"]), SPAN)).tobytes()))
+            yield _batch(out)
+
+    return _gathered(packed, n_parts).mapInArrow(run, PACKED)
+
+
 def _texts_named(packed: DataFrame) -> DataFrame:
-    """Keys of the texts that packed spans or needs name."""
+    """Keys of the texts that the rows of :func:`_by_text` name; each is in one of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: set[bytes] = set()
             for kind, rows in zip(batch.column("kind").to_pylist(), batch.column("rows").to_pylist(), strict=True):
-                own = np.frombuffer(rows, SPAN if kind == "span" else NEED)
+                own = np.frombuffer(_opened(rows), SPAN if kind == "span" else NEED)
                 own = own[_stretches(own["t0"], own["t1"])]
-                found.update(x + y for x, y in zip(_chopped(own["t0"]), _chopped(own["t1"]), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.binary())], ["t"])
+                found = dict.fromkeys(x + y for x, y in zip(_chopped(own["t0"]), _chopped(own["t1"]), strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary())], ["t"])
 
-    return packed.select("kind", "rows").mapInArrow(run, "t binary").distinct()
+    return packed.select("kind", "rows").mapInArrow(run, "t binary")
 
 
 def _chopped(x: np.ndarray) -> list[bytes]:
@@ -394,40 +418,46 @@ def _texts_of(texts: DataFrame, firsts: DataFrame, named: DataFrame, n_parts: in
             if fresh:
                 batch = batch.take(pa.array(fresh))
                 part = _home(_keys(batch.column(0))[0], n_parts).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(part), *batch.columns], ["part", "t", "d", "text"])
+                text = pa.array([_squeezed(x.encode()) for x in batch.column(2).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(part), *batch.columns[:2], text], ["part", "t", "d", "text"])
 
-    return own.mapInArrow(place, "part int, t binary, d long, text string")
+    return own.mapInArrow(place, "part int, t binary, d long, text binary")
 
 
 def _text_bytes(left: pd.DataFrame) -> dict[bytes, tuple[int, bytes]]:
     """Document order and bytes by key."""
-    return {bytes(t): (int(d), x.encode()) for t, d, x in zip(left["t"], left["d"], left["text"], strict=True)}
+    return {bytes(t): (int(d), _opened(bytes(x))) for t, d, x in zip(left["t"], left["d"], left["text"], strict=True)}
 
 
 def _deal_bytes(texts: DataFrame, needs: DataFrame, n_parts: int) -> DataFrame:
-    """The bytes of needed runs by anchor, those of anchors with very many runs by 50-byte string."""
+    """The bytes of needed runs by anchor, those of anchors with very many runs by 50-byte string.
+
+    A run's anchor is found again as the smallest gram of its first string.
+    """
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         texts = _text_bytes(left)
-        need = np.frombuffer(b"".join(right["rows"]), NEED)
-        need = need[np.lexsort((need["t1"], need["t0"]))]
+        need = np.frombuffer(b"".join(map(_opened, right["rows"])), NEED)
         cut = _stretches(need["t0"], need["t1"])
         heads, data = [], []
         for a, b in zip(cut.tolist(), np.append(cut[1:], len(need)).tolist(), strict=False):
             own = need[a:b]
             d, text = texts[own["t0"][:1].tobytes() + own["t1"][:1].tobytes()]
             raw = np.frombuffer(text, np.uint8)
-            hot = own[own["hot"] == 1]
-            if len(hot):
+            grams, near = _grams(raw), own["a"].astype(np.int64)[:, None] + np.arange(WIDE)
+            lowest = ((grams[near] & ~_PLACE) | np.arange(WIDE, dtype=np.uint64)).argmin(1)
+            anchor = grams[near[np.arange(len(own)), lowest]]
+            if own["hot"].any():
+                cold, hot = own["hot"] == 0, own[own["hot"] == 1]
                 many = hot["size"].astype(np.int64) - LENGTH + 1
                 strings = np.repeat(hot, many)
                 strings["a"], strings["size"] = _spread(hot["a"].astype(np.int64), many), LENGTH
-                strings["key"] = _hashes(raw, strings["a"].astype(np.int64), np.full(len(strings), LENGTH))
-                own = np.concatenate([own[own["hot"] == 0], strings])
+                key_ = _hashes(raw, strings["a"].astype(np.int64), np.full(len(strings), LENGTH))
+                own, anchor = np.concatenate([own[cold], strings]), np.concatenate([anchor[cold], key_])
             head = np.zeros(len(own), HEAD)
-            for name in ("key", "t0", "t1", "a", "size"):
+            for name in ("t0", "t1", "a", "size"):
                 head[name] = own[name]
-            head["d"] = d
+            head["key"], head["d"] = anchor, d
             heads.append(head)
             data.append(raw[_spread(own["a"].astype(np.int64), own["size"].astype(np.int64))])
         head = np.concatenate([np.zeros(0, HEAD), *heads])
@@ -441,7 +471,7 @@ def _deal_bytes(texts: DataFrame, needs: DataFrame, n_parts: int) -> DataFrame:
         for a, b in zip(cut.tolist(), np.append(cut[1:], len(order)).tolist(), strict=False):
             own = order[a:b]
             rows = head[own].tobytes() + raw[_spread(start[own], size[own])].tobytes()
-            out.append(("bytes", int(to[own[0]]), len(own).to_bytes(4, "little") + rows))
+            out.append(("bytes", int(to[own[0]]), _squeezed(len(own).to_bytes(4, "little") + rows)))
         return pd.DataFrame(out, columns=["kind", "part", "rows"])
 
     return texts.groupBy("part").cogroup(needs.select("part", "rows").groupBy("part")).applyInPandas(run, PACKED)
@@ -591,8 +621,7 @@ def _remove(texts: DataFrame, spans: DataFrame) -> DataFrame:
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         texts = _text_bytes(left)
-        all_ = np.frombuffer(b"".join(right["rows"]), SPAN)
-        all_ = all_[np.lexsort((all_["t1"], all_["t0"]))]
+        all_ = np.frombuffer(b"".join(map(_opened, right["rows"])), SPAN)
         cut = _stretches(all_["t0"], all_["t1"])
         out = []
         for a, b in zip(cut.tolist(), np.append(cut[1:], len(all_)).tolist(), strict=False):
@@ -637,10 +666,10 @@ def repeated_substrings(documents: DataFrame) -> DataFrame:
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_parts = int(max(spark.sparkContext.defaultParallelism, -(-size // GROUP)))
     firsts = shared(texts.groupBy("t").agg(F.min("d").alias("d")))
-    asked = shared(_ask(_deal_runs(texts, n_parts), n_parts))
+    asked = written(_by_text(_ask(_deal_runs(texts, n_parts), n_parts), n_parts))
     needs = asked.where("kind = 'need'")
-    found = shared(_compare(_deal_bytes(_texts_of(texts, firsts, _texts_named(needs), n_parts), needs, n_parts), n_parts))
-    spans = asked.where("kind = 'span'").unionByName(found)
+    found = _compare(_deal_bytes(_texts_of(texts, firsts, _texts_named(needs), n_parts), needs, n_parts), n_parts)
+    spans = written(_by_text(asked.where("kind = 'span'").unionByName(found), n_parts))
     removed = _remove(_texts_of(texts, firsts, _texts_named(spans), n_parts), spans)
     classes = firsts.withColumnRenamed("d", "first").join(removed, "t", "left")
     all_ = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("stop")))
