@@ -38,20 +38,22 @@ def _matrix(column: pa.Array | pd.Series, dim: int) -> np.ndarray:
 
 
 def _packed(vectors: DataFrame, dim: int) -> DataFrame:
-    """(vec_id, v) with v the vector's doubles as bytes."""
+    """(vec_id, asks, v) with v the vector's doubles as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            flat = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             rows = [x.tobytes() for x in flat.reshape(-1, dim)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["vec_id", "v"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(rows, pa.binary())], ["vec_id", "asks", "v"])
 
-    kind = vectors.schema["vec_id"].dataType.simpleString()
-    return vectors.mapInArrow(run, f"vec_id {kind}, v binary")
+    return vectors.mapInArrow(run, "vec_id long, asks boolean, v binary")
 
 
-def nearest(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int) -> list[tuple]:
-    """(query_id, vec_id, score) of each query's ``k`` nearest, exactly, ties to smaller ids.
+FOUND = "query_row long, query_id long, vec_id long, score double"
+
+
+def nearest(points: np.ndarray, rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_rows: np.ndarray, k: int) -> list[tuple]:
+    """(query's index, point's index, score) of each query's ``k`` nearest other rows, exactly, ties to smaller ids.
 
     A matrix product finds the candidates, with more slack than its rounding;
     their distances are then computed from the differences.
@@ -59,17 +61,16 @@ def nearest(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids:
     out: list[tuple] = []
     square = (points**2).sum(1)
     for at in range(0, len(queries), 256):
-        q, own = queries[at : at + 256], query_ids[at : at + 256]
+        q, own = queries[at : at + 256], query_rows[at : at + 256]
         near = square[None] + (q**2).sum(1)[:, None] - 2 * (q @ points.T)
-        near[ids[None] == own[:, None]] = np.inf
+        near[rows[None] == own[:, None]] = np.inf
         few = min(k, near.shape[1])
         edge = np.partition(near, few - 1, axis=1)[:, few - 1]
         for i in range(len(q)):
             slack = 1e-9 * (1 + square.max(initial=0) + (q[i] ** 2).sum())
             c = np.flatnonzero((near[i] <= edge[i] + slack) & np.isfinite(near[i]))
             d = np.sqrt(((points[c] - q[i]) ** 2).sum(1))
-            best = np.lexsort((ids[c], d))[:k]
-            out += [(own[i], ids[c[b]], d[b]) for b in best]
+            out += [(at + i, c[b], d[b]) for b in np.lexsort((ids[c], d))[:k]]
     return out
 
 
@@ -174,64 +175,81 @@ def train_router(x: np.ndarray, part: np.ndarray, n_parts: int, *, hidden: int =
     return r
 
 
-def _brute_force(vectors: DataFrame, queries: list[tuple], dim: int, k: int) -> DataFrame:
-    """(query_id, vec_id, score) of a bounded list of queries, over all vectors: k rows a query and batch, merged."""
-    ids = np.array([q[0] for q in queries])
+def _brute_force(index: DataFrame, queries: list[tuple], dim: int, k: int) -> DataFrame:
+    """(query_row, row, part) of a bounded list of queries (row, v), over all vectors: k rows a query and batch, merged."""
+    asking = np.array([q[0] for q in queries])
     matrix = _matrix([q[1] for q in queries], dim)
-    sent = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
+    sent = index.sparkSession.sparkContext.broadcast((asking, matrix))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         qi, qm = sent.value
         for batch in batches:
-            own = batch.column(0).to_numpy(zero_copy_only=False)
-            found = nearest(_matrix(batch.column(1).to_pylist(), dim), own, qm, qi, k)
+            if not batch.num_rows:
+                continue
+            rows, ids, part = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("row", "vec_id", "part"))
+            near = nearest(_matrix(batch.column("v").to_pylist(), dim), rows, ids, qm, qi, k)
+            q, p = (np.array([x[i] for x in near], np.int64) for i in (0, 1))
+            d = np.array([x[2] for x in near], np.float64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(x[0]) for x in found], pa.int64()), pa.array([int(x[1]) for x in found], pa.int64()),
-                 pa.array([float(x[2]) for x in found], pa.float64())],
-                ["query_id", "vec_id", "score"],
-            )
+                [pa.array(x) for x in (qi[q], ids[p], d, part[p])], ["query_row", "vec_id", "score", "part"]
+            )
 
-    return top(vectors.mapInArrow(run, "query_id long, vec_id long, score double"), k)
+    return top(index.mapInArrow(run, "query_row long, vec_id long, score double, part int"), k)
 
 
 def top(found: DataFrame, k: int) -> DataFrame:
-    """Each query's ``k`` best of ``found`` (query_id, vec_id, score), with ``rank`` from 1."""
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    """Each query row's ``k`` best of ``found``, with ``rank`` from 1."""
+    order = Window.partitionBy("query_row").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def search(
-    vectors: DataFrame, is_query: Column, *, k: int = 10, rows_per_part: int = 1000, most_parts: int = 256,
-    sample: int = 8192, checked: int = 200, recall: float = 0.97, seed: int = 2,
-) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, *, k: int = 10, **how) -> DataFrame:
     """query_id, rank, vec_id and score (Euclidean distance) of each query's ``k`` nearest found.
 
     ``vectors`` has vec_id and embedding; rows that ``is_query`` selects are the
-    queries, and all other rows their candidates. The router is fitted on
-    ``sample`` rows; ``checked`` further ones fix how many parts are probed, so
-    that ``recall`` of their true neighbours is found. Vectors that are null,
-    zero, of another length than most, or hold null or non-finite components, and
-    rows without an id, take no part; rows that share the query's id are its
-    own. Copies tie, and the smaller id goes first. Fewer than ``k`` candidates
-    are all returned; an empty table gives an empty result.
+    queries, and all rows but a query's own its candidates: of repeated rows and
+    ids each is a query and a candidate of its own. Vectors that are null, zero,
+    or hold null or non-finite components take no part; vectors of another
+    length lie in another space, which is searched apart. Copies tie, and the
+    smaller id goes first, null last. Fewer than ``k`` candidates are all
+    returned; an empty table gives an empty result. ``how``: see
+    :func:`search_space`.
     """
-    spark = vectors.sparkSession
-    empty = "query_id long, rank int, vec_id long, score double"
-    usual = (
-        vectors.where(F.col("embedding").isNotNull()).groupBy(F.size("embedding").alias("dim")).count()
-        .orderBy(F.desc("count"), "dim").first()
-    )
-    if usual is None or not usual["dim"]:
-        return spark.createDataFrame([], empty)
-    dim = usual["dim"]
-    good = vectors.where(F.col("vec_id").isNotNull() & valid(F.col("embedding"), dim))
-    packed = shared(_packed(good.select("vec_id", "embedding"), dim))
+    taking = vectors.select(
+        F.coalesce(F.col("vec_id").cast("long"), F.lit(NO_ID)).alias("vec_id"), F.coalesce(is_query, F.lit(False)).alias("asks"), "embedding"
+    ).where(valid(F.col("embedding"), F.size("embedding")))
+    lengths = [r["dim"] for r in taking.select(F.size("embedding").alias("dim")).distinct().collect()]  # spaces, most often one
+    found = None
+    for dim in sorted(lengths):
+        own = search_space(taking.where(F.size("embedding") == dim), dim, k=k, **how)
+        found = own if found is None else found.unionByName(own)
+    if found is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return found
+
+
+#: Stands for a null id, and is larger than any other.
+NO_ID = int(np.iinfo(np.int64).max)
+
+
+def search_space(
+    taking: DataFrame, dim: int, *, k: int, most_parts: int = 256, sample: int = 8192, checked: int = 200,
+    recall: float = 0.97, seed: int = 2, report: dict | None = None,
+) -> DataFrame:
+    """The search among vectors of one length: (vec_id, asks, embedding) to the ``k`` nearest of rows that ask.
+
+    There are as many parts as the square root of the number of vectors, up to
+    ``most_parts``. Their router is fitted on ``sample`` rows; ``checked`` further
+    ones fix how many parts are probed, so that ``recall`` of their true
+    neighbours is found. ``report`` is given the numbers of parts and probes.
+    """
+    spark = taking.sparkSession
+    # numbered once written: the numbers tell rows apart and decide nothing else
+    packed = shared(_packed(taking.select("vec_id", "asks", "embedding"), dim)).withColumn("row", F.monotonically_increasing_id())
     n = packed.count()
-    if not n:
-        return spark.createDataFrame([], empty)
-    by_hash = lambda s, m: packed.orderBy(F.xxhash64(F.lit(s), "vec_id"), "vec_id").limit(m).collect()
-    x = _matrix([r["v"] for r in by_hash(seed, sample)], dim)
-    n_parts = int(np.clip(n // rows_per_part, 1, min(most_parts, max(1, len(x) // 16))))
+    by_hash = lambda df, s, m: df.orderBy(F.xxhash64(F.lit(s), "vec_id", "v"), "vec_id", "v").limit(m).collect()
+    x = _matrix([r["v"] for r in by_hash(packed, seed, sample)], dim)
+    n_parts = int(np.clip(np.ceil(np.sqrt(n)), 1, min(most_parts, max(1, len(x) // 16))))
     part = np.zeros(len(x), np.int64) if n_parts == 1 else balanced_parts(x, neighbour_graph(x, 10), n_parts)
     router = train_router(x, part, n_parts, seed=seed)
     sent = spark.sparkContext.broadcast(router)  # hidden x parts numbers
@@ -239,27 +257,29 @@ def search(
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                part = sent.value.logits(_matrix(batch.column(1).to_pylist(), dim)).argmax(1).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part)], ["vec_id", "v", "part"])
+                part = sent.value.logits(_matrix(batch.column("v").to_pylist(), dim)).argmax(1).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part)], [*batch.schema.names, "part"])
 
-    index = shared(packed.mapInArrow(deal, "vec_id long, v binary, part int"))
+    index = shared(packed.mapInArrow(deal, "vec_id long, asks boolean, v binary, row long, part int"))
     sizes = np.zeros(n_parts, np.int64)
     for r in index.groupBy("part").count().collect():  # at most most_parts rows
         sizes[r["part"]] = r["count"]
 
     # probes: as many parts as the checked vectors' true neighbours lie in
-    asked = [(r["vec_id"], r["v"]) for r in by_hash(seed + 1, checked)]
-    truth = _brute_force(packed, asked, dim, k).join(index.select("vec_id", "part"), "vec_id")
+    asked = [(r["row"], r["v"]) for r in by_hash(index, seed + 1, checked)]
     order = np.argsort(-router.logits(_matrix([v for _, v in asked], dim)), axis=1, kind="stable")
     place = {q: {p: i for i, p in enumerate(row)} for (q, _), row in zip(asked, order.tolist(), strict=True)}
-    needed = sorted(place[r["query_id"]][r["part"]] for r in truth.select("query_id", "part").collect())
+    truth = _brute_force(index, asked, dim, k).select("query_row", "part").collect()  # checked x k rows
+    needed = sorted(place[r["query_row"]][r["part"]] for r in truth)
     probes = 1 + (needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))))] if needed else 0)
+    if report is not None:
+        report.update(vectors=n, parts=n_parts, probes=probes)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            order = np.argsort(-sent.value.logits(_matrix(batch.column(1).to_pylist(), dim)), axis=1, kind="stable")
+            order = np.argsort(-sent.value.logits(_matrix(batch.column("v").to_pylist(), dim)), axis=1, kind="stable")
             enough = (np.cumsum(sizes[order], axis=1) <= k).sum(1) + 1  # parts that hold k others at least
             take = np.minimum(np.maximum(enough, probes), n_parts)
             row = np.repeat(np.arange(len(order)), take)
@@ -268,27 +288,27 @@ def search(
             yield from table.to_batches()
 
     # a part's vectors, and its queries, are cut into blocks; every two blocks of a part meet
-    chosen = good.where(is_query).select("vec_id").distinct()
-    queries = shared(
-        packed.join(chosen, "vec_id").dropDuplicates(["vec_id"]).mapInArrow(route, "vec_id long, v binary, part int")
-    )
+    queries = shared(index.where("asks").select("vec_id", "v", "row").mapInArrow(route, "vec_id long, v binary, row long, part int"))
     blocks = lambda df: df.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     nv, nq = blocks(index), blocks(queries)
-    here = lambda df, n: F.pmod(F.xxhash64(F.lit(seed + 5), "vec_id"), F.col(n)).cast("int")
+    here = lambda n: F.pmod(F.xxhash64(F.lit(seed + 5), "row"), F.col(n)).cast("int")
     both = nv.withColumnRenamed("blocks", "nv").join(nq.withColumnRenamed("blocks", "nq"), "part")
     left = index.join(F.broadcast(both), "part").select(  # at most most_parts rows
-        "part", here(index, "nv").alias("vb"), F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qb"), "vec_id", "v"
+        "part", here("nv").alias("vb"), F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qb"), "vec_id", "row", "v"
     )
     right = queries.join(F.broadcast(both), "part").select(
-        "part", F.explode(F.sequence(F.lit(0), F.col("nv") - 1)).alias("vb"), here(queries, "nq").alias("qb"), "vec_id", "v"
+        "part", F.explode(F.sequence(F.lit(0), F.col("nv") - 1)).alias("vb"), here("nq").alias("qb"), "vec_id", "row", "v"
     )
 
     def meet(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(a) and len(b):
-            found = nearest(_matrix(a["v"], dim), a["vec_id"].to_numpy(), _matrix(b["v"], dim), b["vec_id"].to_numpy(), k)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+            ids, rows, asking = a["vec_id"].to_numpy(), b["row"].to_numpy(), b["vec_id"].to_numpy()
+            near = nearest(_matrix(a["v"], dim), a["row"].to_numpy(), ids, _matrix(b["v"], dim), rows, k)
+            found = [(rows[q], asking[q], ids[p], d) for q, p, d in near]
+        return pd.DataFrame(found, columns=["query_row", "query_id", "vec_id", "score"])
 
     keys = ["part", "vb", "qb"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
-    return top(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, FOUND)
+    known = lambda c: F.when(F.col(c) < NO_ID, F.col(c)).alias(c)
+    return top(found, k).select(known("query_id"), F.col("rank").cast("int").alias("rank"), known("vec_id"), "score")

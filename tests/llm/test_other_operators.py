@@ -26,15 +26,15 @@ def plain_neighbours(rows, queries, k=10):
     return out
 
 
-@pytest.mark.parametrize("rows_per_part", [1000, 60])
-def test_neighbours(spark, rows_per_part):
+@pytest.mark.parametrize("most_parts", [256, 1])
+def test_neighbours(spark, most_parts):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 16)) * 3
     x = (centres[rng.integers(0, 12, 900)] + rng.normal(size=(900, 16))).astype(np.float32)
     x[200:260] = x[200]  # many copies tie
     bad = [(5000, None), (5001, [0.0] * 16), (5002, [float("nan")] * 16), (5003, [None] * 16), (5004, [1.0] * 3), (None, [1.0] * 16), (5100, [float("inf")] * 16)]
     df = vectors(spark, x, bad).withColumn("part", F.lit(1)).repartition(3)
-    got = neighbours.search(df, F.col("vec_id") % 100 == 0, rows_per_part=rows_per_part).collect()
+    got = neighbours.search(df, F.col("vec_id") % 100 == 0, most_parts=most_parts).collect()
     want = plain_neighbours(list(enumerate(x.astype(np.float64))), range(0, 900, 100))
     by = {}
     for r in got:
@@ -49,10 +49,25 @@ def test_neighbours(spark, rows_per_part):
         for _, i, s in rows:
             assert s == pytest.approx(float(np.sqrt(((x[i].astype(np.float64) - x[q].astype(np.float64)) ** 2).sum())), abs=1e-12)
     assert hits / (10 * len(want)) >= 0.9
-    if rows_per_part == 1000:
+    if most_parts == 1:
         assert {q: [r[1] for r in rows] for q, rows in by.items()} == {q: [i for i, _ in rows] for q, rows in want.items()}
 
 
+def test_repeated_ids_are_rows_of_their_own(spark):
+    x = np.array([[0, 0, 1], [0, 0, 2], [0, 0, 4], [0, 0, 8], [5, 0, 0], [6, 0, 0]], np.float32)
+    ids = [0, 0, 1, 1, None, 100]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x, strict=True)] + [(2, [1.0, 1.0]), (200, [1.0, 2.0])], "vec_id long, embedding array<float>")
+    got = neighbours.search(df.repartition(2), F.col("vec_id") % 100 == 0, k=3).collect()
+    far = lambda a, b: float(np.sqrt(((x[a].astype(float) - x[b].astype(float)) ** 2).sum()))
+    want = []
+    for q in (0, 1, 5):
+        near = sorted((far(q, p), 10**9 if ids[p] is None else ids[p], p) for p in range(6) if p != q)[:3]
+        want += [(ids[q], n + 1, ids[p], d) for n, (d, _, p) in enumerate(near)]
+    want.append((200, 1, 2, 1.0))  # a space of its own
+    key = lambda r: (r[0], r[1], r[3])
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+
+
 def test_few_or_no_neighbours(spark):
     got = neighbours.search(vectors(spark, np.eye(4)), F.col("vec_id") % 100 == 0).collect()
     assert [(r["rank"], r["vec_id"]) for r in got] == [(1, 1), (2, 2), (3, 3)]
