@@ -12,12 +12,13 @@ import pyarrow as pa
 SLICE = 1 << 17
 #: Marks that are stripped from words' ends, besides white space. Fixed value.
 MARKS = b".,!?;:\"'()[]{}<>*#%&$|_-~`/\\"
-_LONGEST = 4096
+#: Powers are kept for places below this; those beyond are products of two.
+_TABLE = 4096
 
 _rng = np.random.default_rng(20)
 _VALUE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _VALUE[65:91] = _VALUE[97:123]  # A-Z count as a-z
-_POWER = np.cumprod(np.full(_LONGEST, 0x9E3779B97F4A7C15 | 1, np.uint64), dtype=np.uint64)
+_POWER = np.cumprod(np.full(_TABLE, 0x9E3779B97F4A7C15 | 1, np.uint64), dtype=np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BARE = ~_SPACE
@@ -44,6 +45,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _powers(place: np.ndarray, longest: int) -> np.ndarray:
+    """The multiplier of each place in a word; no two places of a word of any length share one."""
+    if longest <= _TABLE:
+        return _POWER[place]
+    high = np.cumprod(np.append(np.uint64(1), np.full(longest // _TABLE, _POWER[-1], np.uint64)), dtype=np.uint64)
+    return _POWER[place % _TABLE] * high[place // _TABLE]
+
+
 def _slice(data: np.ndarray, bounds: np.ndarray, first: int, stem: int) -> Words:
     """Words of the texts that ``bounds`` cuts ``data`` into."""
     n = len(bounds) - 1
@@ -71,7 +80,7 @@ def _slice(data: np.ndarray, bounds: np.ndarray, first: int, stem: int) -> Words
     place = np.arange(length.sum()) - np.repeat(offset, length)
     inside = np.repeat(start, length) + place
     raw = data[inside]
-    value = _VALUE[raw] * _POWER[np.minimum(place, _LONGEST - 1)]
+    value = _VALUE[raw] * _powers(place, int(length.max()))
     ids = _mixed(np.add.reduceat(value, offset))
     if not stem:
         return Words(first, splits, ids, None)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 ROUNDS = 6
 #: Steps of the cycle walk. Fewer than sqrt(n) of the network's points lie
 #: outside, so a walk of this length ends for every n below 1000 and with all but
-#: a probability of n**-20 beyond that.
+#: a probability of n**-20 beyond that. A walk that still hasn't ended is an error.
 WALK = 40
 
 
@@ -41,11 +41,13 @@ def permute(x: Column, n: Column, seed: int, tweak: Column | None = None) -> Col
         )
 
     def walk(z: Column) -> Column:
-        return F.aggregate(
+        end = F.aggregate(
             F.sequence(F.lit(1), F.lit(WALK)),
             network(x.cast("long"), z),
             lambda v, _: F.when(v < z["n"], v).otherwise(network(v, z)),
         )
+        inside = lambda v: F.when(v < z["n"], v).otherwise(F.raise_error(F.lit("the cycle walk did not end")).cast("long"))
+        return F.element_at(F.transform(F.array(end), inside), 1)
 
     # transform() over one struct binds a and b, so that they are computed once for a row
     return F.when(n > 0, F.element_at(F.transform(F.array(size), walk), 1))

@@ -262,6 +262,18 @@ def mix_documents(
     )
 
 
+def by_shard() -> Column:
+    """``draws`` added up by shard: an array of (shard, words, draws), in the order of the shards."""
+    shards = F.array_sort(F.array_distinct(F.transform("draws", lambda d: d["shard"])))
+
+    def added(shard: Column) -> Column:
+        own = F.filter("draws", lambda d: d["shard"] == shard)
+        words = F.aggregate(own, F.lit(0).cast("long"), lambda s, d: s + d["words"])
+        return F.struct(shard.alias("shard"), words.alias("words"), F.size(own).alias("draws"))
+
+    return F.transform(shards, added)
+
+
 def mixed_blocks(mixed: DataFrame) -> DataFrame:
     """The shards themselves: one row per block taken, each shard in its shuffled order.
 
@@ -276,16 +288,16 @@ def mixed_blocks(mixed: DataFrame) -> DataFrame:
     )
 
 
-def whole_copies(mixed: DataFrame, columns: list[str], *, seed: int = 1) -> DataFrame:
-    """Whole documents in the mix's proportions, each as often as it is taken.
+def whole_copies(mixed: DataFrame, columns: list[str]) -> DataFrame:
+    """Whole documents in the mix's proportions: one copy for each draw of the block that holds a document's first word.
 
-    A document of which a part is taken stays whole with that part as its
-    probability, decided by a hash. ``columns`` are those of the result.
+    So the tree and the permutation decide on documents as they do on blocks, and
+    a source's expected words are those it takes. ``columns`` are those of the
+    result; a document that no draw begins is left out.
     """
-    share = F.col("taken") / F.greatest(F.col("size"), F.lit(1))
-    copies = F.floor(share + _uniform(F.lit(seed + 2), F.col("doc_id"), F.col("size"))).cast("int")
+    begun = F.size(F.filter("draws", lambda d: d["first"] == 0))
     return (
-        mixed.withColumn("_copies", copies)
+        mixed.withColumn("_copies", begun)
         .where(F.col("_copies") > 0)
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
         .select(*columns)

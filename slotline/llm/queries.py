@@ -12,9 +12,9 @@ from slotline.llm.common import table
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents and the words the mix takes of each."""
+    """All documents, the words the mix takes of each, and the words that go to each shard, with their number of draws."""
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", mixing.by_shard().alias("shards"))
 
 
 def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

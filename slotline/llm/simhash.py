@@ -86,7 +86,7 @@ def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
 def walk(keys: np.ndarray, pairs: np.ndarray, depth: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Walks pairs of trie nodes down from ``depth`` bits; returns the linked pairs of rows.
 
-    ``keys`` are rotated fingerprints, ordered within every node; ``pairs`` has
+    ``keys`` are fingerprints, ordered within every node; ``pairs`` has
     the columns a0, a1, b0, b1 (rows of either node; equal nodes for a node with
     itself) and the bits in which they differ so far. All pairs go down a bit
     together, to the leaves: keys don't repeat, so a pair left there is a link. A

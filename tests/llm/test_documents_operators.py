@@ -136,6 +136,40 @@ def test_links_of_random_fingerprints(spark):
     assert {x: got.get(signed(x), signed(x)) for x in every} == {x: signed(y) for x, y in label.items()}
 
 
+def test_hypergeometric_is_the_exact_quantile(spark):
+    from math import comb
+
+    for pop, good, drawn in ((50, 20, 25), (9, 9, 4), (30, 1, 15), (12, 5, 12)):
+        n = 2000
+        us = [(i + 0.5) / n for i in range(n)]
+        df = spark.createDataFrame([(u,) for u in us], "u double")
+        lits = [F.lit(x).cast("long") for x in (pop, good, drawn)]
+        got = [r["k"] for r in df.select("u", mixing._hypergeometric(*lits, F.col("u")).alias("k")).orderBy("u").collect()]
+        chance = [comb(good, k) * comb(pop - good, drawn - k) / comb(pop, drawn) if 0 <= drawn - k <= pop - good else 0.0 for k in range(good + 1)]
+        below = np.cumsum(chance)
+        assert got == [int(np.searchsorted(below, u - 1e-12)) for u in us]
+
+
+def test_mix_shards_come_from_the_tree(documents):
+    def shards(seed, split=None):
+        rows = mixing.mix_documents(documents, levels=3, seed=seed).select("doc_id", "size", "taken", mixing.by_shard().alias("s")).collect()
+        return sorted((str(r["doc_id"]), r["size"], r["taken"], tuple(map(tuple, r["s"]))) for r in rows)
+
+    one = shards(1)
+    assert one == shards(1)
+    for _, size, taken, s in one:
+        assert taken == sum(words for _, words, _ in s) and len({x for x, _, _ in s}) == len(s)
+    assert {r[3] for r in one} != {r[3] for r in shards(5)}
+    quotas = [(0, 37), (1, 5), (2, 0), (3, 411)]
+    df = documents.sparkSession.createDataFrame(quotas, "source_rank long, quota long")
+    tree = mixing.split_quotas(df, levels=3, seed=2).collect()
+    for rank, quota in quotas:
+        assert sum(r["quota"] for r in tree if r["source_rank"] == rank) == quota
+    totals = [sum(r["quota"] for r in tree if r["shard"] == k) for k in range(8)]
+    assert max(totals) - min(totals) <= 3  # halves of halves
+    assert tree != mixing.split_quotas(df, levels=3, seed=3).collect()
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (7, 7)], "u long, v long")
     got = {r["node"]: r["root"] for r in components.components(links).collect()}
