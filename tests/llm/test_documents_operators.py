@@ -375,9 +375,67 @@ def test_all_bigrams_are_counted(spark):
     want = sorted((plain[a, b, 0], plain[a, b, 1]) for a, b in types)
     for held in (1, 1 << 21):
         pairs = toxicity.bigram_counts(texts, held=held)
-        assert sorted((r["n0"], r["n1"]) for r in pairs.collect()) == want
-    found = toxicity.contexts_and_pairs(pairs, 3).collect()
-    both = sorted((r["n0"], r["n1"], r["n"]) for r in found if r["kind"] == "word")
-    contexts = lambda w, ys: len({a for a, b, y in plain if b == w and y in ys})
-    assert both == sorted((contexts(w, {0}), contexts(w, {1}), contexts(w, {0, 1})) for w in {b for _, b in types})
-    assert sorted((r["n0"], r["n1"]) for r in found if r["kind"] == "pair") == [x for x in want if x[1] > 3]
+        assert sorted((r["n"] & toxicity.LOW, r["n"] >> 32) for r in pairs.collect()) == want
+
+
+def plain_kneser_ney(rows):
+    """Both classes' models as functions of (word, history), and the words."""
+    pairs = [Counter((a, b) for t, y in rows if y == c for a, b in zip(["", *t.split()], t.split(), strict=False)) for c in (0, 1)]
+    off = lambda n: toxicity.discount(sum(x == 1 for x in n), sum(x == 2 for x in n))
+    contexts = [Counter(b for _, b in p) for p in pairs]
+    both = Counter(b for _, b in set(pairs[0]) | set(pairs[1]))
+    d2, n2 = off(both.values()), sum(both.values())
+
+    def shared(w):
+        return max(both[w] - d2, 0) / n2 + d2 * len(both) / n2 / (len(both) + 1)
+
+    def model(c):
+        d1, d, n1 = off(contexts[c].values()), off(pairs[c].values()), sum(contexts[c].values())
+        after, types = Counter(), Counter()
+        for (a, _), n in pairs[c].items():
+            after[a] += n
+            types[a] += 1
+
+        def probability(w, h):
+            low = max(contexts[c][w] - d1, 0) / n1 + d1 * len(contexts[c]) / n1 * shared(w)
+            if not after[h]:
+                return low
+            return max(pairs[c][h, w] - d, 0) / after[h] + d * types[h] / after[h] * low
+
+        return probability
+
+    return model(0), model(1), sorted(both)
+
+
+def test_kneser_ney_models(spark):
+    import pyarrow as pa
+
+    rng = random.Random(37)
+    letters = "abcdefghijklmnop"
+    rows = [(" ".join(rng.choices(letters, weights=range(1, 17) if i % 3 else range(16, 0, -1), k=rng.randint(0, 25))), int(i % 3 == 0)) for i in range(60)]
+    ordinary, toxic, known = plain_kneser_ney(rows)
+    for h in [*known, "", "zz"]:
+        for p in (ordinary, toxic):
+            assert sum(p(w, h) for w in [*known, "never seen"]) == pytest.approx(1, abs=1e-12)
+    model = toxicity.learn(spark.createDataFrame(rows, "text string, y int").repartition(3), keep_words=0.0, keep_pairs=0.0)
+    texts = [t for t, _ in rows[:10]] + ["a new b word", "", "p p p"]
+    for part in fastwords.words(pa.array(texts)):
+        got = model.differences(part)[0]
+        for i in range(len(part.splits) - 1):
+            own = texts[part.first + i].split()
+            want = [np.log(toxic(w, h) / ordinary(w, h)) for h, w in zip(["", *own], own, strict=False)]
+            assert got[part.splits[i] : part.splits[i + 1]] == pytest.approx(want, abs=1e-4)
+    assert (model.words[1] < 0).any() and (model.words[1] > 0).any()  # evidence of both signs
+    few = toxicity.learn(spark.createDataFrame(rows, "text string, y int"), keep_words=0.02, keep_pairs=0.02)
+    assert 0 < len(few.words[0]) < len(model.words[0]) and len(few.pairs[0]) < len(model.pairs[0])
+
+
+def test_disagreeing_labels_long_texts_and_clashing_columns(judged):
+    docs, labels = judged
+    more = docs.unionByName(docs.where("doc_id = 5").select("doc_id", F.array_join(F.array_repeat("text", 3000), " ").alias("text")))
+    more = more.select("*", *[F.lit(1).alias(c) for c in ("y", "score", "evidence", "k", "n", "w", "h", "quality", "toxic")])
+    twice = labels.unionByName(labels.where("toxic = 1").select("doc_id", "quality", F.lit(0).alias("toxic")))
+    got = toxicity.classify(more, twice).collect()
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    tested = [r for r in got if r["held_out"] and truth.get(r["doc_id"]) is not None]
+    assert len(got) == more.count() and np.mean([r["predicted"] == truth[r["doc_id"]] for r in tested]) > 0.95
