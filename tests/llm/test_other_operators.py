@@ -99,7 +99,46 @@ def test_pages(spark):
 def test_page_without_marks():
     text = "A long paragraph without any mark but with a good deal of text in it, so that it counts as content by its length."
     page = f"<body><div><a href=1>One</a> <a href=2>Two</a></div><div><p>{text}</p><p>Short one.</p><p>{text}</p></div><div><a href=3>Imprint</a></div></body>"
-    assert html.main_text(page) == f"{text} Short one. {text}"
+    prices = html.Prices(html.BLOCK_PRIOR, html.ELEMENT_PRIOR)
+    assert html.main_text(page, prices) == f"{text} Short one. {text}"
+
+
+def test_pages_are_labelled_by_the_cheapest_cut(spark):
+    import itertools
+
+    prices = html.fit(spark.createDataFrame([(i, PAGE) for i in range(5)] + [(None, None), (7, "")], "page_id long, html string"))
+    pages = [
+        "<main><h1>A</h1><p>Some words of text, a sentence.</p><div class=ad>An advert of many words, at some length.</div></main>",
+        "<div><a href=1>x</a> <a href=2>y</a></div><div><p>Words and words and words and more words of a text.</p><p>No</p></div>",
+        "<p>one</p><nav>two</nav><p>three words here, that end.</p>",
+    ]
+    changed = 0
+    for page in pages:
+        found, elements = html.blocks(page)
+        own = prices.of(found, elements)
+        n = len(found)
+        used = [k for k, e in enumerate(elements) if e.blocks]
+        nodes = [*range(n), *[n + k for k in used]]
+        edges = [(i, i + 1, html.NEXT_EDGE) for i in range(n - 1)] + [(i, n + b.element, html.BLOCK_EDGE) for i, b in enumerate(found)]
+        edges += [(n + k, n + elements[k].parent, html.PARENT_EDGE * elements[k].blocks) for k in used if k and elements[k].parent]
+        costs = {}
+        for x in itertools.product([False, True], repeat=len(nodes)):
+            label = dict(zip(nodes, x, strict=True))
+            cost = sum(max(own[i], 0) if not label[i] else max(-own[i], 0) for i in nodes) + sum(w for a, b, w in edges if label[a] != label[b])
+            costs[x[:n]] = min(cost, costs.get(x[:n], 1e9))
+        got = html.labels(found, elements, prices)
+        assert costs[tuple(got)] == pytest.approx(min(costs.values()), abs=1e-6)
+        changed += sum((p > 0) != x for p, x in zip(own, got, strict=False))
+    assert changed  # what a text alone tells is overruled by its surroundings
+
+
+@pytest.mark.parametrize("page", ["<a title=\"x " * 90_000, "<a \"'>'\"<b '\">\"' " * 60_000, "<" * 1_000_000, "<!-- " * 200_000, "<a" * 500_000])
+def test_tokens_of_broken_markup_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    html.main_text(page, html.Prices(html.BLOCK_PRIOR, html.ELEMENT_PRIOR))
+    assert time.process_time() - began < 2
 
 
 def test_minimum_cut_is_the_cheapest():
