@@ -67,8 +67,9 @@ BOILERPLATE_WORDS = frozenset(
 CONTENT_WORDS = frozenset({"article", "content", "entry", "main", "post", "story", "text"})
 #: The most that a block's text, an unmarked and a marked element can price a label, a block of theirs each.
 TEXT, UNMARKED, MARKED = 2.0, 1.0, 8.0
-#: What different labels cost: of neighbours, of a block and its element, of an element and its parent (a block each).
-NEXT_EDGE, BLOCK_EDGE, PARENT_EDGE = 0.2, 2.5, 3.5
+#: What different labels cost: of neighbours, of a block and its element, of an element and its parent (a block each),
+#: inside what the page marks and where it marks nothing.
+NEXT_EDGE, BLOCK_EDGE, PARENT_EDGE, LOOSE_EDGE = 0.2, 2.5, 3.5, 1.2
 #: Tags that elements' classifier knows; the last place is for all others.
 TAGS = ("p", "div", "section", "li", "ul", "ol", "td", "tr", "table", "body", "article", "span")
 
@@ -406,13 +407,20 @@ def minimum_cut(prices: list[float], edges: list[tuple[int, int, float]]) -> lis
                 break
 
 
-def labels(found: list[Block], elements: list[Element], prices: Prices) -> list[bool]:
-    """Whether each block is content, by the minimum cut."""
+def edges_of(found: list[Block], elements: list[Element]) -> list[tuple[int, int, float]]:
+    """(node, node, weight): blocks are nodes 0 to n - 1, elements follow; the page itself joins nothing."""
     n = len(found)
     edges = [(i, i + 1, NEXT_EDGE) for i in range(n - 1)]
     edges += [(i, n + b.element, BLOCK_EDGE) for i, b in enumerate(found)]
-    edges += [(n + k, n + e.parent, PARENT_EDGE * e.blocks) for k, e in enumerate(elements) if k and e.blocks and e.parent]
-    return minimum_cut(prices.of(found, elements), edges)[:n]
+    for k, e in enumerate(elements):
+        if k and e.blocks and e.parent:
+            edges.append((n + k, n + e.parent, e.blocks * (PARENT_EDGE if elements[e.parent].mark else LOOSE_EDGE)))
+    return edges
+
+
+def labels(found: list[Block], elements: list[Element], prices: Prices) -> list[bool]:
+    """Whether each block is content, by the minimum cut."""
+    return minimum_cut(prices.of(found, elements), edges_of(found, elements))[: len(found)]
 
 
 def main_text(html: str, prices: Prices) -> str:

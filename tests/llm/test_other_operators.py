@@ -119,8 +119,7 @@ def test_pages_are_labelled_by_the_cheapest_cut(spark):
         n = len(found)
         used = [k for k, e in enumerate(elements) if e.blocks]
         nodes = [*range(n), *[n + k for k in used]]
-        edges = [(i, i + 1, html.NEXT_EDGE) for i in range(n - 1)] + [(i, n + b.element, html.BLOCK_EDGE) for i, b in enumerate(found)]
-        edges += [(n + k, n + elements[k].parent, html.PARENT_EDGE * elements[k].blocks) for k in used if k and elements[k].parent]
+        edges = html.edges_of(found, elements)
         costs = {}
         for x in itertools.product([False, True], repeat=len(nodes)):
             label = dict(zip(nodes, x, strict=True))
