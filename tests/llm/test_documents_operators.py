@@ -439,3 +439,34 @@ def test_disagreeing_labels_long_texts_and_clashing_columns(judged):
     truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
     tested = [r for r in got if r["held_out"] and truth.get(r["doc_id"]) is not None]
     assert len(got) == more.count() and np.mean([r["predicted"] == truth[r["doc_id"]] for r in tested]) > 0.95
+
+
+def test_decontamination_finds_paraphrases_short_and_repeated_items(spark):
+    from tests.llm.conftest import prose
+
+    rng = random.Random(41)
+    items = [(i, prose(rng, rng.randint(15, 70)) + " The answer is " + prose(rng, 4)) for i in range(60)]
+    items += [(3, prose(rng, 40)), (None, prose(rng, 30)), (100, "zyzzyva"), (101, "two oddwords"), (102, ""), (103, None), items[5]]
+
+    def reworded(text):
+        words = text.split()
+        for at in rng.sample(range(len(words) - 5), len(words) // 8):  # other words in place of an eighth
+            words[at] = prose(rng, 1).lower().rstrip(".")
+        for _ in range(len(words) // 12):  # and more between them
+            words.insert(rng.randrange(len(words)), rng.choice(["rather", "perhaps", "indeed"]))
+        return " ".join(words)
+
+    docs, want = [], {}
+    for n in range(240):
+        i = n % 62
+        around = lambda: prose(rng, rng.randint(5, 60))
+        docs.append((n, f"{around()} {reworded(items[i][1])} {around()}"))
+        want[n] = items[i][0]
+    docs += [(1000 + n, prose(rng, 90)) for n in range(200)]
+    docs += [(2000, "a Zyzzyva, seen"), (2001, "two  Oddwords!"), (2002, "two plain oddwords"), (2003, None), (2004, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), bench).collect()}
+    hit = np.mean([want[n] in got[n]["item_ids"] for n in want])
+    assert hit >= 0.9, hit
+    assert [n for n in range(1000, 1200) if got[n]["contaminated"]] == []
+    assert [got[n]["item_ids"] for n in range(2000, 2005)] == [[100], [101], [], [], []]
