@@ -21,21 +21,23 @@ def crosstab(df: DataFrame, a: Column, b: Column) -> DataFrame:
     return df.groupBy(a.alias("a"), b.alias("b")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def lineup_crosstabs(lineups: DataFrame) -> DataFrame:
+    """The events' cross-tabs in long form, (tab, a, b, n): each event is read once and gives its cells."""
+    cell = lambda tab, a, b: F.struct(F.lit(tab).alias("tab"), a.alias("a"), b.alias("b"))
+    each = lambda tab, c, b: F.transform(c, lambda x: cell(tab, x, b))
+    c = F.col
+    cells = F.concat(
+        F.array(cell("type_status", c("event_type"), c("status")), cell("type_agreement", c("event_type"), c("agreement"))),
+        each("context_agreement", c("contexts"), c("agreement")), each("mismatch_field", c("mismatch_fields"), F.lit("")),
+        each("reason", c("reasons"), F.lit("")),
+    )
+    return lineups.select(F.explode(cells).alias("c")).groupBy("c.tab", "c.a", "c.b").agg(F.count(F.lit(1)).alias("n"))
+
+
 def audit_crosstabs(lineups: DataFrame, toi: DataFrame) -> DataFrame:
     """All cross-tabs in long form: (tab, a, b, n)."""
-    tab = lambda name, df, a, b: crosstab(df, a, b).withColumn("tab", F.lit(name)).select("tab", "a", "b", "n")
-    c = F.col
-    parts = [
-        tab("type_status", lineups, c("event_type"), c("status")), tab("type_agreement", lineups, c("event_type"), c("agreement")),
-        tab("context_agreement", lineups.select(F.explode("contexts").alias("x"), "agreement"), c("x"), c("agreement")),
-        tab("mismatch_field", lineups.select(F.explode("mismatch_fields").alias("x")), c("x"), F.lit("")),
-        tab("reason", lineups.select(F.explode("reasons").alias("x")), c("x"), F.lit("")),
-        tab("toi_category", toi, c("category"), F.lit("")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    time = crosstab(toi, F.col("category"), F.lit("")).select(F.lit("toi_category").alias("tab"), "a", "b", "n")
+    return lineup_crosstabs(lineups).unionByName(time)
 
 
 def difference_histogram(toi: DataFrame) -> DataFrame:

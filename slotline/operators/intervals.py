@@ -25,19 +25,23 @@ def point_in_interval(
     return points.withColumn("_bin", to_bin(at)).join(binned, [*keys, "_bin"]).where(inside).drop("_bin")
 
 
-def overlapping_pairs(intervals: DataFrame, keys: list[str], row_id: str, *, start: str = "start_s", end: str = "end_s") -> DataFrame:
+def overlapping_pairs(intervals: DataFrame, keys: list[str], row_id: str, *, start: str = "start_s", end: str = "end_s", bin_seconds: int = 60) -> DataFrame:
     """Pairs of one entity's intervals that are equal (duplicate) or share time (overlap), the earlier first.
 
     Rows are ordered by (start, end, id). Returns keys, id_a, id_b, kind, seconds.
+    The later row of a pair starts within the earlier, so they meet in the bin of
+    its start.
     """
     order = Window.partitionBy(*keys).orderBy(start, end, row_id)
     rows = intervals.select(*keys, row_id, start, end).withColumn("_n", F.row_number().over(order))
     side = lambda s: rows.select(*keys, *[F.col(c).alias(f"{c}_{s}") for c in (row_id, start, end, "_n")])
-    a, b = side("a"), side("b")
+    bin_ = lambda c: F.floor(F.col(c) / bin_seconds)
+    a = side("a").withColumn("_bin", F.explode(F.sequence(bin_(f"{start}_a"), F.greatest(bin_(f"{start}_a"), bin_(f"{end}_a")))))
+    b = side("b").withColumn("_bin", bin_(f"{start}_b"))
     same = (F.col(f"{start}_a") == F.col(f"{start}_b")) & (F.col(f"{end}_a") == F.col(f"{end}_b"))
     shared = F.least(f"{end}_a", f"{end}_b") - F.greatest(f"{start}_a", f"{start}_b")
     return (
-        a.join(b, keys).where((F.col("_n_a") < F.col("_n_b")) & (same | (shared > 0)))
+        a.join(b, [*keys, "_bin"]).where((F.col("_n_a") < F.col("_n_b")) & (same | (shared > 0)))
         .select(*keys, F.col(f"{row_id}_a").alias("id_a"), F.col(f"{row_id}_b").alias("id_b"),
                 F.when(same, "duplicate_interval").otherwise("same_player_overlap").alias("kind"), shared.alias("seconds"))
     )
@@ -72,14 +76,31 @@ def count_anomalies(intervals: DataFrame, keys: list[str], *, player: str = "pla
     """Segments with other than 3 to 6 skaters, over one goalie, or over six players, and their counts.
 
     The gap before a key's first interval counts, the one after its last doesn't.
+    A player's intervals are joined where they meet, so that each comes and goes
+    once; the counts are running sums of comings and goings.
     """
-    covering = (
-        segments(intervals, keys)
-        .join(intervals.where("end_s > start_s").select(*keys, player, role, "start_s", "end_s"), keys, "left")
-    )
-    covers = (F.col("start_s") <= F.col("from_s")) & (F.col("end_s") >= F.col("to_s"))
-    who = lambda cond: F.count_distinct(F.when(covers & cond, F.col(player))).alias
-    counted = covering.groupBy(*keys, "from_s", "to_s").agg(
-        who(F.col(role) == "skater")("skaters"), who(F.col(role) == "goalie")("goalies"), who(F.lit(True))("players")
+    kinds = F.array(F.lit("any"), F.col(role))
+    own = intervals.where("end_s > start_s").select(
+        *keys, player, F.explode(kinds).alias("_kind"), F.col("start_s").cast("long").alias("start_s"), F.col("end_s").cast("long").alias("end_s")
+    )
+    order = Window.partitionBy(*keys, player, "_kind").orderBy("start_s", "end_s")
+    reach = F.max("end_s").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    island = F.sum(F.when(F.col("start_s") <= F.col("_reach"), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    joined = own.withColumn("_reach", reach).withColumn("_island", island)
+    # a player without an id has a time but is nobody to count
+    who = F.when(F.col(player).isNotNull(), 1).otherwise(0)
+    stays = joined.groupBy(*keys, player, "_kind", "_island").agg(
+        F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"), F.array_distinct(F.flatten(F.collect_list(F.array("start_s", "end_s")))).alias("_cuts")
     )
-    return counted.where("skaters NOT BETWEEN 3 AND 6 OR goalies > 1 OR players > 6")
+    change = lambda t, n: F.struct(t.alias("from_s"), n.alias("n"))
+    moves = F.concat(
+        F.array(change(F.lit(0).cast("long"), F.lit(0)), change(F.col("start_s"), who), change(F.col("end_s"), -who)),
+        F.transform("_cuts", lambda t: change(t, F.lit(0))),
+    )
+    each = stays.select(*keys, "_kind", F.explode(moves).alias("m")).groupBy(*keys, "m.from_s").agg(
+        *[F.sum(F.when(F.col("_kind") == k, F.col("m.n")).otherwise(0)).alias(n) for k, n in (("skater", "skaters"), ("goalie", "goalies"), ("any", "players"))]
+    )
+    line = Window.partitionBy(*keys).orderBy("from_s")
+    so_far = lambda c: F.sum(c).over(line.rowsBetween(Window.unboundedPreceding, 0)).alias(c)
+    counted = each.select(*keys, "from_s", F.lead("from_s").over(line).alias("to_s"), *[so_far(c) for c in ("skaters", "goalies", "players")])
+    return counted.where("to_s IS NOT NULL AND (skaters NOT BETWEEN 3 AND 6 OR goalies > 1 OR players > 6)")

@@ -9,6 +9,10 @@ from slotline.functions.scalars import FIRST_SUPPORTED_SEASON, clock_seconds, de
 from slotline.operators.intervals import point_in_interval
 
 SIDES = ("home", "away")
+#: Events that begin or end a period.
+PERIOD_EVENTS = ("period-start", "period-end", "game-end")
+#: Seconds of a bin in which events meet intervals; a shift lies in a few.
+BIN = 60
 
 
 def player_states(events: DataFrame, intervals: DataFrame) -> DataFrame:
@@ -20,7 +24,7 @@ def player_states(events: DataFrame, intervals: DataFrame) -> DataFrame:
     may be different intervals of the player.
     """
     points = events.select("game_id", "period", "event_id", F.col("sec").alias("t"))
-    pairs = point_in_interval(points, intervals, ["game_id", "period"])
+    pairs = point_in_interval(points, intervals, ["game_id", "period"], bin_seconds=BIN)
     return pairs.groupBy("game_id", "event_id", "team_id", "role", "player_id").agg(
         F.bool_or(F.col("start_s") < F.col("t")).alias("before"), F.bool_or(F.col("t") < F.col("end_s")).alias("after")
     )
@@ -138,7 +142,7 @@ def context_tags(lineups: DataFrame, intervals: DataFrame) -> DataFrame:
     shot = lambda a, b: (c(f"{a}_skaters") == 0) & (c(f"{a}_goalie") == 1) & (c(f"{b}_skaters") == 1) & (c(f"{b}_goalie") == 0)
     tags = [
         F.when(placed & F.col("_edge"), "coincident_shift_boundary"),
-        F.when(placed & F.col("sec").isin(0, 1200), "period_boundary"),
+        F.when(placed & ((F.col("sec") == 0) | (F.col("sec") == period_length(F.col("game_type"), F.col("period"))) | F.col("event_type").isin(*PERIOD_EVENTS)), "period_boundary"),
         F.when(placed & (F.col("period") >= 4) & (F.col("game_type") == 2), "regular_season_ot"),
         F.when(placed & (F.col("period") >= 4) & (F.col("game_type") == 3), "playoff_ot"),
         F.when(placed & (F.col("event_type") == "delayed-penalty"), "delayed_penalty_event"),
@@ -154,8 +158,17 @@ def context_tags(lineups: DataFrame, intervals: DataFrame) -> DataFrame:
 
 
 def resolve_roles(official: DataFrame, shifts: DataFrame) -> DataFrame:
-    """(game_id, player_id, role, fallback, conflict): the official role if unique, else the positions' if unique."""
-    own = official.groupBy("game_id", "player_id").agg(F.collect_set("player_type").alias("official_roles"))
+    """(game_id, player_id, role, fallback, conflict): the official role if unique, else the positions' if unique.
+
+    ``official`` has game_id, player_id and player_type; a ``position_code`` of G,
+    if it has one, makes a goalie too. A player conflicts whose official roles,
+    or without any whose positions, are several.
+    """
+    goalie = F.col("player_type") == "goalie"
+    if "position_code" in official.columns:
+        goalie = goalie | F.coalesce(F.col("position_code") == "G", F.lit(False))
+    kind = F.when(goalie, "goalie").otherwise("skater")
+    own = official.groupBy("game_id", "player_id").agg(F.collect_set(kind).alias("official_roles"))
     seen = shifts.where("player_id IS NOT NULL").groupBy("game_id", "player_id").agg(
         F.collect_set(position_role(F.col("position"))).alias("positions")
     )
@@ -164,7 +177,8 @@ def resolve_roles(official: DataFrame, shifts: DataFrame) -> DataFrame:
         "game_id", "player_id",
         F.when(F.col("official_roles").isNotNull(), F.coalesce(only("official_roles"), F.lit("unknown")))
         .otherwise(F.coalesce(only("positions"), F.lit("unknown"))).alias("role"),
-        F.col("official_roles").isNull().alias("fallback"), F.coalesce(F.size("official_roles") > 1, F.lit(False)).alias("conflict"),
+        F.col("official_roles").isNull().alias("fallback"),
+        F.when(F.col("official_roles").isNotNull(), F.size("official_roles") > 1).otherwise(F.size("positions") > 1).alias("conflict"),
     )
 
 
@@ -172,7 +186,8 @@ def validate_intervals(shifts: DataFrame, games: DataFrame, roles: DataFrame) ->
     """``shifts`` with parsed clocks, errors, warnings and accepted.
 
     Any error excludes the row. ``shifts`` has the text clocks, nhl_team_id,
-    team_id (null if unknown), type_code and period; ``roles`` the players' roles.
+    team_id (null if unknown), type_code and period, and, if rows name the game
+    they are from themselves, ``source_game_id``; ``roles`` the players' roles.
     """
     scope = games.select("game_id", "game_type", "home_team_id", "away_team_id")
     rows = (
@@ -187,10 +202,11 @@ def validate_intervals(shifts: DataFrame, games: DataFrame, roles: DataFrame) ->
     if "stored_start_s" in shifts.columns:  # the clocks as ingestion read them
         same = [c(f"stored_{x}_s").eqNullSafe(c(f"{x}_s")) for x in ("start", "end", "duration")]
         stored = [F.when(~(same[0] & same[1] & same[2]), "stored_clock_disagreement")]
+    foreign = [F.when(~c("source_game_id").eqNullSafe(c("game_id")), "wrong_game")] if "source_game_id" in shifts.columns else []
     errors = [
-        F.when(c("type_code") != 517, "unexpected_type"), F.when(c("player_id").isNull(), "missing_player_id"),
+        *foreign, F.when(c("type_code") != 517, "unexpected_type"), F.when(c("player_id").isNull(), "missing_player_id"),
         F.when(c("player_id") <= 0, "invalid_player_id"), F.when(c("nhl_team_id").isNull(), "missing_team_id"),
-        F.when(c("nhl_team_id").isNotNull() & c("team_id").isNull(), "unknown_team_id"),
+        F.when(c("team_id").isNull(), "unknown_team_id"),
         F.when((c("team_id") != c("home_team_id")) & (c("team_id") != c("away_team_id")), "unexpected_team"),
         F.when(c("period").isNull(), "missing_period"),
         F.when(c("period").isNotNull() & c("_length").isNull(), "unexpected_period"),
@@ -249,8 +265,20 @@ def coverage_checks(validated: DataFrame, games: DataFrame, events: DataFrame) -
 
 def issues(validated: DataFrame) -> DataFrame:
     """(game_id, code, severity, source_shift_id): one row per error or warning of a row."""
-    of = lambda c, s: validated.select("game_id", F.explode(c).alias("code"), F.lit(s).alias("severity"), "source_shift_id")
-    return of("errors", "error").unionByName(of("warnings", "warning"))
+    of = lambda c, s: F.transform(c, lambda x: F.struct(x.alias("code"), F.lit(s).alias("severity")))
+    both = validated.select("game_id", F.explode(F.concat(of("errors", "error"), of("warnings", "warning"))).alias("i"), "source_shift_id")
+    return both.select("game_id", "i.code", "i.severity", "source_shift_id")
+
+
+def role_issues(official: DataFrame, roles: DataFrame) -> DataFrame:
+    """(game_id, player_id, code): conflicting roles, several official records of one game, and negative official times."""
+    conflicts = roles.where("conflict").select("game_id", "player_id", F.lit("conflicting_player_role").alias("code"))
+    per = official.groupBy("game_id", "player_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("toi_s") < 0).alias("negative"))
+    codes = F.concat(
+        F.when(F.col("n") > 1, F.array(F.lit("conflicting_official_records"))).otherwise(F.array().cast("array<string>")),
+        F.array_repeat(F.lit("invalid_official_toi"), F.col("negative").cast("int")),
+    )
+    return conflicts.unionByName(per.select("game_id", "player_id", F.explode(codes).alias("code")))
 
 
 def taints(validated: DataFrame) -> DataFrame:
@@ -266,7 +294,7 @@ def event_evidence(events: DataFrame, intervals: DataFrame) -> DataFrame:
     points = events.select("game_id", "period", "event_id", F.col("sec").alias("t"))
     flags = F.col("warnings") if "warnings" in intervals.columns else F.array().cast("array<string>")
     own = intervals.select("game_id", "period", "source_shift_id", "start_s", "end_s", flags.alias("_flags"))
-    pairs = point_in_interval(points, own, ["game_id", "period"])
+    pairs = point_in_interval(points, own, ["game_id", "period"], bin_seconds=BIN)
     return pairs.groupBy("game_id", "event_id").agg(
         F.array_sort(F.collect_set("source_shift_id")).alias("shift_ids"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("_flags")))).alias("flags"),

@@ -12,11 +12,17 @@ def canonical_hash(*columns: str) -> Column:
     return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
 
 
+def _identity(keys: list[str]) -> Column:
+    """The keys joined by ``:``; a null among them is an error, since it would make two entities one."""
+    missing = F.raise_error(F.lit(f"an entity's identity needs all of {', '.join(keys)}")).cast("string")
+    return F.concat_ws(":", *[F.coalesce(F.col(k).cast("string"), missing) for k in keys])
+
+
 def capture_entities(df: DataFrame, dataset: str, keys: list[str], volatile: list[str] = ()) -> DataFrame:
     """(dataset, entity_key, payload, content_sha256): keys joined by ``:``, volatile columns left out."""
     kept = sorted(c for c in df.columns if c not in volatile)
     return df.select(
-        F.lit(dataset).alias("dataset"), F.concat_ws(":", *[F.col(k).cast("string") for k in keys]).alias("entity_key"),
+        F.lit(dataset).alias("dataset"), _identity(keys).alias("entity_key"),
         F.to_json(F.struct(*kept), {"ignoreNullFields": "false"}).alias("payload"), canonical_hash(*kept).alias("content_sha256"),
     )
 

@@ -215,7 +215,7 @@ _V = sql("hx_shifts_raw", "hx_games", "hx_official") + f""", roles AS (
 ), e AS (
     SELECT *, list_filter([CASE WHEN player_id IS NULL THEN 'missing_player_id' END, CASE WHEN player_id <= 0 THEN 'invalid_player_id' END, CASE WHEN length IS NULL THEN 'unexpected_period' END,
         CASE WHEN nhl_team_id IS NULL THEN 'missing_team_id' END,
-        CASE WHEN nhl_team_id IS NOT NULL AND team_id IS NULL THEN 'unknown_team_id' END, CASE WHEN a IS NULL THEN 'malformed_start' END,
+        CASE WHEN team_id IS NULL THEN 'unknown_team_id' END, CASE WHEN a IS NULL THEN 'malformed_start' END,
         CASE WHEN b IS NULL THEN 'malformed_end' END, CASE WHEN a > b THEN 'reversed_interval' END, CASE WHEN a > length OR b > length THEN 'out_of_bounds' END],
         lambda x: x IS NOT NULL) AS errors,
       list_filter([CASE WHEN a = b THEN 'zero_duration' END, CASE WHEN d <> b - a THEN 'duration_mismatch' END,
@@ -253,26 +253,27 @@ def coverage_checks(v):
     return lineups.coverage_checks(some, v("hx_games"), v("hx_events").where("(game_id + period) % 5 <> 0"))
 
 
-@query(_L + """SELECT 'type_status' AS tab, event_type AS a, status AS b, count(*) AS n FROM compared GROUP BY ALL
-    UNION ALL SELECT 'type_agreement', event_type, agreement, count(*) FROM compared GROUP BY ALL
-    UNION ALL SELECT 'mismatch_field', x, '', count(*) FROM (SELECT unnest(mismatch_fields) AS x FROM compared) GROUP BY ALL
-    UNION ALL SELECT 'reason', x, '', count(*) FROM (SELECT unnest(reasons) AS x FROM compared) GROUP BY ALL""")
-def audit_crosstab(v):
-    """Cross-tabs of the season audit."""
-    rows = lineups.context_tags(_lineups(v), v("hx_shifts"))
-    return audit.audit_crosstabs(rows, _toi(v)).where("tab NOT IN ('context_agreement', 'toi_category')")
-
-
 TAGS = """, tagged AS (
     SELECT c.*, list_filter([
         CASE WHEN placed AND EXISTS (SELECT 1 FROM hx_shifts s WHERE s.game_id = c.game_id AND s.period = c.period AND (s.start_s = c.sec OR s.end_s = c.sec)) THEN 'coincident_shift_boundary' END,
-        CASE WHEN placed AND sec IN (0, 1200) THEN 'period_boundary' END, CASE WHEN placed AND event_type = 'penalty' THEN 'penalty_event' END,
+        CASE WHEN placed AND (sec = 0 OR event_type IN ('period-start', 'period-end', 'game-end') OR sec = CASE WHEN game_type IN (2, 3) AND period <= 3 OR game_type = 3 THEN 1200 WHEN game_type = 2 AND period = 4 THEN 300 END) THEN 'period_boundary' END, CASE WHEN placed AND event_type = 'penalty' THEN 'penalty_event' END,
         CASE WHEN placed AND event_type = 'goal' THEN 'goal_event' END, CASE WHEN code[1] = '0' OR code[4] = '0' THEN 'goalie_absence_expected' END],
         lambda x: x IS NOT NULL) AS contexts
     FROM (SELECT *, status NOT IN ('unsupported', 'invalid_event_time', 'no_shifts') AS placed FROM compared) c)
 """
 
 
+@query(_L + TAGS + """SELECT 'type_status' AS tab, event_type AS a, status AS b, count(*) AS n FROM compared GROUP BY ALL
+    UNION ALL SELECT 'type_agreement', event_type, agreement, count(*) FROM compared GROUP BY ALL
+    UNION ALL SELECT 'mismatch_field', x, '', count(*) FROM (SELECT unnest(mismatch_fields) AS x FROM compared) GROUP BY ALL
+    UNION ALL SELECT 'reason', x, '', count(*) FROM (SELECT unnest(reasons) AS x FROM compared) GROUP BY ALL
+    UNION ALL SELECT 'context_agreement', x, agreement, count(*) FROM (SELECT unnest(contexts) AS x, agreement FROM tagged) GROUP BY ALL""")
+def audit_crosstab(v):
+    """Cross-tabs of the season audit."""
+    rows = lineups.context_tags(_lineups(v), v("hx_shifts"))
+    return audit.lineup_crosstabs(rows)
+
+
 @query(_L + TAGS + "SELECT a AS context, agreement, count(*) AS n FROM (SELECT unnest(contexts) AS a, agreement FROM tagged) GROUP BY ALL")
 def context_agreement(v):
     """Agreement by context tag."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from slotline.plans import document_queries  # noqa: F401  registers its queries
 from slotline.plans.queries import oracle_sql, queries
 
 __all__ = ["oracle_sql", "queries"]

@@ -101,11 +101,13 @@ def enrich_games(catalog: DataFrame, boxscores: DataFrame) -> tuple[DataFrame, D
 
     ``boxscores`` has game_id, home_team_id, away_team_id, start_time (text) and venue.
     """
-    box = boxscores.select("game_id", F.col("home_team_id").alias("_h"), F.col("away_team_id").alias("_a"), "start_time", "venue")
+    box = boxscores.select("game_id", F.col("game_id").alias("_game"), F.col("home_team_id").alias("_h"), F.col("away_team_id").alias("_a"), "start_time", "venue")
     both = catalog.join(box, "game_id", "left")
-    conflict = F.col("_h").isNotNull() & ((F.col("_h") != F.col("home_team_id")) | (F.col("_a") != F.col("away_team_id")))
+    # a box score that lacks a team agrees with no catalogue row
+    other = ~(F.col("_h").eqNullSafe(F.col("home_team_id")) & F.col("_a").eqNullSafe(F.col("away_team_id")))
+    conflict = F.col("_game").isNotNull() & other
     out = both.withColumn("start_time_utc", F.try_to_timestamp("start_time"))
-    return out.where(~conflict).drop("_h", "_a", "start_time"), out.where(conflict).select("game_id", "_h", "_a")
+    return out.where(~conflict).drop("_game", "_h", "_a", "start_time"), out.where(conflict).select("game_id", "_h", "_a")
 
 
 def read_teams(franchises: DataFrame, abbreviations: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -170,3 +172,62 @@ def read_official_seasons(raw: DataFrame, fields: list[str], body: str = "body")
     )
 
 
+
+
+#: Fixed values of the source's format: fields of the official reports, (name there, name here, type).
+SKATER_SUMMARY = (
+    ("seasonId", "season", "int"), ("teamAbbrevs", "team_abbrev", "string"), ("skaterFullName", "full_name", "string"), ("positionCode", "position_code", "string"),
+    ("goals", "goals", "int"), ("assists", "assists", "int"), ("points", "points", "int"), ("plusMinus", "plus_minus", "int"),
+    ("penaltyMinutes", "penalty_minutes", "int"), ("shots", "shots", "int"), ("evGoals", "ev_goals", "int"), ("evPoints", "ev_points", "int"),
+    ("ppGoals", "pp_goals", "int"), ("ppPoints", "pp_points", "int"), ("shGoals", "sh_goals", "int"), ("shPoints", "sh_points", "int"),
+    ("otGoals", "ot_goals", "int"), ("gameWinningGoals", "game_winning_goals", "int"), ("timeOnIcePerGame", "toi", "double"),
+)
+SKATER_REALTIME = (("hits", "hits", "int"), ("blockedShots", "blocked_shots", "int"), ("giveaways", "giveaways", "int"), ("takeaways", "takeaways", "int"))
+GOALIE_SUMMARY = (
+    ("seasonId", "season", "int"), ("teamAbbrevs", "team_abbrev", "string"), ("goalieFullName", "full_name", "string"), ("goals", "goals", "int"),
+    ("assists", "assists", "int"), ("gamesStarted", "games_started", "int"), ("wins", "wins", "int"), ("losses", "losses", "int"), ("ties", "ties", "int"),
+    ("otLosses", "ot_losses", "int"), ("shutouts", "shutouts", "int"), ("shotsAgainst", "shots_against", "int"), ("saves", "saves", "int"),
+    ("goalsAgainst", "goals_against", "int"), ("savePct", "save_pct", "double"), ("timeOnIce", "toi", "double"),
+)
+
+
+def read_official_reports(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Skaters, goalies and (game_id, reason) of games whose three reports can't be taken, from whole bodies.
+
+    ``raw`` has game_id, game_type and the bodies summary, realtime and goalies.
+    A report counts its rows in ``total``. A game is refused if a body is
+    unreadable or counts other rows than it has, a skater comes twice in one
+    report, or, from season 20092010 on, the skater reports name unlike players;
+    it is deferred without skaters or goalies. Skaters without a row of the
+    second report have nulls there.
+    """
+    kind = lambda fields: "total int, data array<struct<playerId: long, " + ", ".join(f"{a}: {t}" for a, _, t in fields) + ">>"
+    docs = raw.select(
+        "game_id", "game_type", F.from_json("summary", kind(SKATER_SUMMARY)).alias("s"), F.from_json("realtime", kind(SKATER_REALTIME)).alias("r"),
+        F.from_json("goalies", kind(GOALIE_SUMMARY)).alias("g"),
+    )
+    ids = {c: F.transform(f"{c}.data", lambda x: x["playerId"]) for c in "srg"}
+    unlike = (F.size(F.array_except(ids["s"], ids["r"])) > 0) | (F.size(F.array_except(ids["r"], ids["s"])) > 0)
+    twice = lambda c: F.size(F.array_distinct(ids[c])) != F.size(ids[c])
+    any_ = lambda conditions: F.coalesce(conditions[0] | conditions[1] | conditions[2], F.lit(True))
+    reason = (
+        F.when(any_([F.col(f"{c}.data").isNull() for c in "srg"]), "unreadable")
+        .when(any_([~F.col(f"{c}.total").eqNullSafe(F.size(f"{c}.data")) for c in "srg"]), "incomplete")
+        .when(twice("s") | twice("r"), "repeated_player")
+        .when(F.exists("s.data", lambda x: x["seasonId"] >= 20092010) & unlike, "unlike_players")
+        .when((F.size("s.data") == 0) | (F.size("g.data") == 0), "deferred")
+    )
+    judged = docs.withColumn("reason", reason)
+    good = judged.where("reason IS NULL")
+    seconds = F.round("x.timeOnIcePerGame").cast("int").alias("toi_s")
+    of = lambda fields, at: [F.col(f"{at}.{a}").alias(b) for a, b, _ in fields if b != "toi"]
+    one = F.explode("s.data").alias("x")
+    second = F.element_at(F.filter("r.data", lambda y: y["playerId"] == F.col("x.playerId")), 1)
+    skaters = (
+        good.select("game_id", "game_type", one, "r").withColumn("y", F.when(F.size(F.filter("r.data", lambda y: y["playerId"] == F.col("x.playerId"))) > 0, second))
+        .select("game_id", "game_type", F.col("x.playerId").alias("player_id"), *of(SKATER_SUMMARY, "x"), *of(SKATER_REALTIME, "y"), seconds)
+    )
+    goalies = good.select("game_id", "game_type", F.explode("g.data").alias("x")).select(
+        "game_id", "game_type", F.col("x.playerId").alias("player_id"), *of(GOALIE_SUMMARY, "x"), F.round("x.timeOnIce").cast("int").alias("toi_s")
+    )
+    return skaters, goalies, judged.where("reason IS NOT NULL").select("game_id", "reason")
