@@ -58,14 +58,14 @@ _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint
 _STEP = _rng.integers(0, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = np.uint64((1 << 24) - 1)
 _POWER = np.cumprod(np.full(256, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
-#: A text's key: the first twelve bytes of its SHA-256.
-KEY = 12
+#: A text's key: the first ten bytes of its SHA-256.
+KEY = 10
 #: Bytes [a, e) of a text to be removed; where ``row`` is 1, only from the text's rows of document order d.
-SPAN = np.dtype([("t0", "u8"), ("t1", "u4"), ("d", "i8"), ("a", "i4"), ("e", "i4"), ("row", "u1")])
+SPAN = np.dtype([("t0", "u8"), ("t1", "u2"), ("d", "i8"), ("a", "i4"), ("e", "i4"), ("row", "u1")])
 #: A run whose bytes are asked for: its first byte and size, and whether it is dealt by strings.
-NEED = np.dtype([("t0", "u8"), ("t1", "u4"), ("a", "i4"), ("size", "u1"), ("hot", "u1")])
-#: A run whose bytes follow.
-HEAD = np.dtype([("key", "u8"), ("d", "i8"), ("t0", "u8"), ("t1", "u4"), ("a", "i4"), ("size", "u1")])
+NEED = np.dtype([("t0", "u8"), ("t1", "u2"), ("a", "i4"), ("size", "u1"), ("hot", "u1")])
+#: A run whose bytes follow; its key is the upper half of what it was dealt by.
+HEAD = np.dtype([("key", "u4"), ("d", "i8"), ("t0", "u8"), ("t1", "u2"), ("a", "i4"), ("size", "u1")])
 PACKED = "kind string, part int, rows binary"
 
 
@@ -180,7 +180,7 @@ def _stretches(*keys: np.ndarray) -> np.ndarray:
 
 def _keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Text keys as two numbers."""
-    both = np.frombuffer(b"".join(column.to_pylist()), np.dtype([("t0", "<u8"), ("t1", "<u4")]))
+    both = np.frombuffer(b"".join(column.to_pylist()), np.dtype([("t0", "<u8"), ("t1", "<u2")]))
     return both["t0"], both["t1"]
 
 
@@ -220,7 +220,7 @@ def _dealt_spans(spans: np.ndarray, n_parts: int) -> Iterator[tuple[str, int, by
 
 def _squeezed(x: bytes) -> bytes:
     """``x`` compressed, with its length."""
-    return len(x).to_bytes(4, "little") + pa.compress(x, "zstd", asbytes=True)
+    return len(x).to_bytes(4, "little") + pa.Codec("zstd", compression_level=3).compress(x, asbytes=True)
 
 
 def _opened(x: bytes) -> bytes:
@@ -247,7 +247,7 @@ def _unpack_runs(blob: bytes) -> tuple[np.ndarray, ...]:
     """What :func:`_pack_runs` packed."""
     n, m = np.frombuffer(blob, np.uint32, 2).tolist()
     at, out = 8, []
-    for kind, count in ((np.uint64, m), (np.uint32, m), (np.uint32, m), (np.uint32, n), (np.uint32, n), (np.uint8, n)):
+    for kind, count in ((np.uint64, m), (np.uint16, m), (np.uint32, m), (np.uint32, n), (np.uint32, n), (np.uint8, n)):
         out.append(np.frombuffer(blob, kind, count, at))
         at += count * np.dtype(kind).itemsize
     t0, t1, many, h, a, size = out
@@ -439,7 +439,7 @@ def _deal_bytes(texts: DataFrame, needs: DataFrame, n_parts: int) -> DataFrame:
         texts = _text_bytes(left)
         need = np.frombuffer(b"".join(map(_opened, right["rows"])), NEED)
         cut = _stretches(need["t0"], need["t1"])
-        heads, data = [], []
+        heads, data, to = [], [], [np.zeros(0, np.int64)]
         for a, b in zip(cut.tolist(), np.append(cut[1:], len(need)).tolist(), strict=False):
             own = need[a:b]
             d, text = texts[own["t0"][:1].tobytes() + own["t1"][:1].tobytes()]
@@ -457,14 +457,15 @@ def _deal_bytes(texts: DataFrame, needs: DataFrame, n_parts: int) -> DataFrame:
             head = np.zeros(len(own), HEAD)
             for name in ("t0", "t1", "a", "size"):
                 head[name] = own[name]
-            head["key"], head["d"] = anchor, d
+            head["key"], head["d"] = anchor >> np.uint64(32), d
             heads.append(head)
+            to.append((anchor % np.uint64(n_parts)).astype(np.int64))
             data.append(raw[_spread(own["a"].astype(np.int64), own["size"].astype(np.int64))])
         head = np.concatenate([np.zeros(0, HEAD), *heads])
         raw = np.concatenate([np.zeros(0, np.uint8), *data])
         size = head["size"].astype(np.int64)
         start = np.cumsum(size) - size
-        to = (head["key"] % np.uint64(n_parts)).astype(np.int64)
+        to = np.concatenate(to)
         order = np.argsort(to, kind="stable")
         cut = _stretches(to[order])
         out = []
