@@ -23,11 +23,11 @@ from slotline.llm.components import components, star_forest
 
 BITS = 64
 #: Fingerprints below a pair of nodes that a task gets.
-NODE_ROWS = 16_384
+NODE_ROWS = 4096
 #: Bits that Spark takes a pair of nodes down at a time.
-STEP = 3
+STEP = 2
 #: Fingerprints that a task walks at a time.
-CHUNK = 16_384
+CHUNK = 8192
 
 
 def fingerprint(data: bytes, shingle: int = 3) -> int:
