@@ -137,10 +137,17 @@ def split_late(rows: DataFrame, today: Column, date: str = "game_date", *, days:
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the checkpoint folder that all executors share; a temporary one where the session names none."""
+    """A new folder below the checkpoint folder that all executors share.
+
+    A temporary one only where the session names none and one machine runs all; a
+    cluster without a shared folder is an error.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="slotline-stream-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="slotline-stream-"))
     return f"{context.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
