@@ -52,20 +52,23 @@ def unique_match_compare(derived: DataFrame, observed: DataFrame, keys: list[str
 
 
 def check_inventory(stats: DataFrame, roster: DataFrame, keys: list[str]) -> DataFrame:
-    """Expected players are in the stats and the stats' in the roster: (keys, missing, unexpected, role_conflicts, ok).
+    """Expected players are in the stats and the stats' in the roster: (keys, missing, unexpected, role_conflicts, team_conflicts, ok).
 
     ``stats`` has player_id, role and teams (comma list); ``roster`` player_id,
-    role, team and seconds; players of no seconds may be missing.
+    role, team and seconds; players of no seconds may be missing. A player's
+    teams conflict where they are known and the roster's team is none of them.
     """
-    a = stats.select(*keys, "player_id", F.col("role").alias("_ra"), F.lit(True).alias("_a"))
-    b = roster.select(*keys, "player_id", F.col("role").alias("_rb"), "seconds", F.lit(True).alias("_b"))
+    a = stats.select(*keys, "player_id", F.col("role").alias("_ra"), "teams", F.lit(True).alias("_a"))
+    b = roster.select(*keys, "player_id", F.col("role").alias("_rb"), "team", "seconds", F.lit(True).alias("_b"))
+    named = F.transform(F.split("teams", ","), lambda x: F.trim(x))
     both = a.join(b, [*keys, "player_id"], "full")
     out = both.groupBy(*keys).agg(
         F.count_if(F.col("_a").isNull() & (F.coalesce("seconds", F.lit(0)) > 0)).alias("missing"),
         F.count_if(F.col("_b").isNull()).alias("unexpected"),
         F.count_if(F.col("_a") & F.col("_b") & (F.col("_ra") != F.col("_rb"))).alias("role_conflicts"),
+        F.count_if(F.col("_a") & F.col("_b") & ~F.array_contains(named, F.col("team"))).alias("team_conflicts"),
     )
-    return out.withColumn("ok", (F.col("missing") + F.col("unexpected") + F.col("role_conflicts")) == 0)
+    return out.withColumn("ok", (F.col("missing") + F.col("unexpected") + F.col("role_conflicts") + F.col("team_conflicts")) == 0)
 
 
 def multiset_difference(a: DataFrame, b: DataFrame, columns: list[str], *, examples: int = 3) -> DataFrame:

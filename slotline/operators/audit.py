@@ -83,15 +83,32 @@ def game_summaries(lineups: DataFrame) -> DataFrame:
     )
 
 
-def season_audit(validated: DataFrame, lineups: DataFrame, toi: DataFrame) -> DataFrame:
-    """One row of totals; each input is aggregated once."""
+def season_audit(coverage: DataFrame, validated: DataFrame, lineups: DataFrame, toi: DataFrame, official: DataFrame) -> DataFrame:
+    """One row of totals; each input is aggregated once.
+
+    ``coverage`` has game_id, n_rows and availability of each game, ``lineups``
+    status and agreement of each event (``tainted``, whether its sources were
+    warned of, may be there), ``toi`` the categories, ``official`` the players'
+    official times.
+    """
+    with_events = lineups.select("game_id").distinct().withColumn("_e", F.lit(True))
+    with_toi = official.select("game_id").distinct().withColumn("_t", F.lit(True))
+    loaded = F.col("n_rows") > 0
+    of = lambda s: F.count_if(F.col("availability") == s).alias(f"games_{s}")
+    games = coverage.join(with_events, "game_id", "left").join(with_toi, "game_id", "left").agg(
+        F.count_if(F.col("availability") != "unsupported").alias("games_eligible"),
+        *[of(s) for s in ("unsupported", "loaded", "unavailable", "failed", "no_stored")],
+        F.count_if(loaded & F.col("_e").isNull()).alias("loaded_without_events"),
+        F.count_if(loaded & F.col("_t").isNull()).alias("loaded_without_toi"),
+    )
     rows = validated.agg(F.count(F.lit(1)).alias("rows_source"), F.count_if("accepted").alias("rows_accepted"),
                          F.count_if(~F.col("accepted")).alias("rows_rejected"))
     exact = (F.col("status") == "resolved") & (F.col("agreement") == "exact")
+    clean = ~F.col("tainted") if "tainted" in lineups.columns else F.lit(True)
     events = lineups.agg(F.count(F.lit(1)).alias("events"), F.count_if(exact).alias("resolved_exact"),
-                         F.count_distinct("game_id").alias("games_with_events"))
+                         F.count_if(exact & clean).alias("resolved_exact_unwarned"))
     players = toi.agg(F.count(F.lit(1)).alias("players"), F.count_if(F.col("category") == "exact").alias("toi_exact"))
-    return rows.crossJoin(events).crossJoin(players)
+    return games.crossJoin(rows).crossJoin(events).crossJoin(players)
 
 
 def warning_digest(warnings: DataFrame, column: str = "warning", *, most: int = 10) -> DataFrame:
@@ -101,11 +118,26 @@ def warning_digest(warnings: DataFrame, column: str = "warning", *, most: int =
     return n.crossJoin(some)
 
 
-def table_digest(df: DataFrame, key: str, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """(key, digest): SHA-256 over the key's row hashes in order, leaving some columns out."""
+def _field(df: DataFrame, column: str) -> Column:
+    """A value as its length and text, so that no two rows read alike; ``-`` for null; nested values as JSON."""
+    nested = df.schema[column].dataType.typeName() in ("array", "map", "struct", "variant")
+    text = F.to_json(column, {"ignoreNullFields": "false"}) if nested else F.col(column).cast("string")
+    return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
+def table_digest(df: DataFrame, key: list[str], exclude: tuple[str, ...] = ()) -> DataFrame:
+    """(key, digest): SHA-256 over the key's row hashes in order, leaving some columns out.
+
+    A key's hashes are ordered and digested by their first three digits, then
+    these 4,096 digests at most, so no task holds all rows of a large key.
+    """
     kept = sorted(c for c in df.columns if c not in exclude)
-    row = F.sha2(F.to_json(F.struct(*kept), {"ignoreNullFields": "false"}), 256)
-    return df.select(key, row.alias("_h")).groupBy(key).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("_h")), ""), 256).alias("digest"))
+    row = F.sha2(F.concat(*[_field(df, c) for c in kept]), 256)
+    parts = df.select(*key, row.alias("_h")).groupBy(*key, F.substring("_h", 1, 3).alias("_b")).agg(
+        F.sha2(F.array_join(F.array_sort(F.collect_list("_h")), ""), 256).alias("_d")
+    )
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("_b", "_d"))), lambda x: x["_d"])
+    return parts.groupBy(*key).agg(F.sha2(F.array_join(ordered, ""), 256).alias("digest"))
 
 
 def attribution_report(expected: DataFrame, stored: DataFrame, keys: list[str], owner: str) -> DataFrame:

@@ -41,36 +41,57 @@ def goals_missing_shots(goals: DataFrame, shots: DataFrame) -> DataFrame:
     return goals.join(shots, ["game_id", "event_id"], "left_anti")
 
 
+#: States of a game's backfill.
+PROGRESS = ("done", "failed", "skipped", "pending")
+_SEASON_SUMS = (
+    "completed_games", "games_with_events", "missing_games", "acknowledged_gaps", "actionable_gaps", "goals_missing_shots",
+    *[f"backfill_{s}" for s in PROGRESS],
+)
+
+
 def season_health(games: DataFrame, events: DataFrame, progress: DataFrame, missing_shots: DataFrame) -> DataFrame:
-    """By season with completed games: counts, acknowledged gaps, missing shots, percentage, healthy.
+    """By season with completed games: counts, gaps, backfill states, missing shots, latest dates, percentage, healthy.
 
     Completed games of type 1 don't count. A gap is acknowledged where the game
-    has no events and its ``progress`` is done or skipped. 100 % where empty.
+    has no events and its ``progress`` (game_id, season, state) is done or
+    skipped, else actionable. Goals and missing shots count over all games;
+    states by the progress row's own season. 100 % where empty.
     """
     n = events.groupBy("game_id").agg(F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("event_type") == "goal").alias("n_goals"))
     lost = missing_shots.groupBy("game_id").agg(F.count(F.lit(1)).alias("n_missing"))
-    rows = games.join(n, "game_id", "left").join(progress, "game_id", "left").join(lost, "game_id", "left")
+    states = progress.select("game_id", "state")
+    rows = games.join(n, "game_id", "left").join(states, "game_id", "left").join(lost, "game_id", "left")
     done = is_completed(F.col("game_state")) & (F.col("game_type") != 1)
     has = F.col("n_events").isNotNull()
     out = rows.groupBy("season").agg(
         F.count_if(done).alias("completed_games"), F.count_if(done & has).alias("games_with_events"),
         F.count_if(done & ~has & F.col("state").isin("done", "skipped")).alias("acknowledged_gaps"),
         F.coalesce(F.sum("n_goals"), F.lit(0)).alias("goals"), F.coalesce(F.sum("n_missing"), F.lit(0)).alias("goals_missing_shots"),
+        F.max(F.when(done, F.col("game_date"))).alias("latest_completed"),
+        F.max(F.when(done & has, F.col("game_date"))).alias("latest_with_events"),
     ).where("completed_games > 0")
-    return out.withColumn("pct", ratio(100 * F.col("games_with_events"), F.col("completed_games"), 100.0)).withColumn(
-        "healthy", (F.col("games_with_events") == F.col("completed_games")) & (F.col("goals_missing_shots") == 0)
-    )
+    work = progress.groupBy("season").agg(*[F.count_if(F.col("state") == s).alias(f"backfill_{s}") for s in PROGRESS])
+    out = out.join(work, "season", "left").na.fill(0, [f"backfill_{s}" for s in PROGRESS])
+    out = out.withColumn("missing_games", F.col("completed_games") - F.col("games_with_events"))
+    return out.withColumns({
+        "actionable_gaps": F.col("missing_games") - F.col("acknowledged_gaps"),
+        "pct": ratio(100 * F.col("games_with_events"), F.col("completed_games"), 100.0),
+        "healthy": (F.col("missing_games") == 0) & (F.col("goals_missing_shots") == 0),
+    })
 
 
-def dataset_health(seasons: DataFrame) -> DataFrame:
-    """One row over all seasons; false and 100 % where there are none."""
+def dataset_health(seasons: DataFrame, sync: DataFrame) -> DataFrame:
+    """One row over all seasons beside the state of the last ``sync`` (last_sync_at, last_sync_games; no row or one).
+
+    False and 100 % where there are no seasons; nulls where there was no sync.
+    """
     total = seasons.agg(
-        F.count(F.lit(1)).alias("seasons"), F.coalesce(F.sum("completed_games"), F.lit(0)).alias("completed_games"),
-        F.coalesce(F.sum("games_with_events"), F.lit(0)).alias("games_with_events"),
-        F.coalesce(F.sum("goals_missing_shots"), F.lit(0)).alias("goals_missing_shots"),
+        F.count(F.lit(1)).alias("seasons"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _SEASON_SUMS],
+        F.max("latest_completed").alias("latest_completed"), F.max("latest_with_events").alias("latest_with_events"),
         F.coalesce(F.bool_and("healthy"), F.lit(False)).alias("healthy"),
     )
-    return total.withColumn("pct", ratio(100 * F.col("games_with_events"), F.col("completed_games"), 100.0))
+    total = total.withColumn("pct", ratio(100 * F.col("games_with_events"), F.col("completed_games"), 100.0))
+    return total.join(F.broadcast(sync.select("last_sync_at", "last_sync_games").limit(1)), F.lit(True), "left")
 
 
 def interval_game_coverage(games: DataFrame, shifts: DataFrame, fetches: DataFrame) -> DataFrame:

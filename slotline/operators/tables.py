@@ -29,8 +29,16 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], *, keep_old: tu
     return row.select(*keys, *[F.col(f"_row.{v}").alias(v) for v in values], action.alias("action"))
 
 
-def replace_keys(target: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
-    """``target`` with every key that ``batch`` has replaced as a whole by the batch's rows."""
+def replace_keys(target: DataFrame, batch: DataFrame, key: list[str], *, scope: DataFrame | None = None) -> DataFrame:
+    """``target`` with every key that ``batch`` has replaced as a whole by the batch's rows.
+
+    An empty batch is refused, and so are rows of keys outside ``scope``, the
+    keys that the batch was read for, if given.
+    """
+    if batch.isEmpty():
+        raise ValueError("a replacement needs rows")
+    if scope is not None and not batch.join(scope.select(*key).distinct(), key, "left_anti").isEmpty():
+        raise ValueError("the batch has rows of other keys")
     return target.join(batch.select(*key).distinct(), key, "left_anti").unionByName(batch)
 
 

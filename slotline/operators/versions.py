@@ -41,12 +41,13 @@ def latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
-def record_revisions(history: DataFrame, batch: DataFrame, keys: list[str], *, order: list[str]) -> DataFrame:
-    """New revisions of ``batch`` (keys, content_sha256, ``order``, ...): (batch columns, revision).
+def observations(history: DataFrame, batch: DataFrame, keys: list[str], *, order: list[str]) -> DataFrame:
+    """Every sighting of ``batch`` (keys, content_sha256, ``order``, ...) with the revision it saw and ``is_new``.
 
     A sighting starts a revision where its hash differs from the sighting
     before; the stored latest is sighting zero. ``history`` has the keys,
-    revision and content_sha256. A, B, A makes three revisions.
+    revision and content_sha256. A, B, A makes three revisions. An unchanged
+    sighting is an observation of the revision before.
     """
     base = latest(history.select(*keys, "revision", "content_sha256"), keys, "revision").select(
         *keys, F.col("revision").alias("_base"), F.col("content_sha256").alias("_hash0")
@@ -56,7 +57,13 @@ def record_revisions(history: DataFrame, batch: DataFrame, keys: list[str], *, o
     before = F.coalesce(F.lag("content_sha256").over(w), F.col("_hash0"))
     changed = rows.withColumn("_new", (~F.col("content_sha256").eqNullSafe(before)).cast("int"))
     number = F.coalesce("_base", F.lit(0)) + F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return changed.withColumn("revision", number.cast("int")).where("_new = 1").drop("_base", "_hash0", "_new")
+    numbered = changed.withColumn("revision", number.cast("int")).withColumn("is_new", F.col("_new") == 1)
+    return numbered.drop("_base", "_hash0", "_new")
+
+
+def record_revisions(history: DataFrame, batch: DataFrame, keys: list[str], *, order: list[str]) -> DataFrame:
+    """New revisions of ``batch``: the ``observations`` that start one, as (batch columns, revision)."""
+    return observations(history, batch, keys, order=order).where("is_new").drop("is_new")
 
 
 def as_of(history: DataFrame, cutoff: Column, keys: list[str], *, recorded: str = "recorded_at") -> DataFrame:
@@ -117,6 +124,23 @@ def nested_snapshots(rows: DataFrame, keys: list[str], columns: list[str], name:
     return rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(name))
 
 
+def official_snapshots(games: DataFrame, nested: dict[str, tuple[DataFrame, list[str]]], history: DataFrame, key: str) -> DataFrame:
+    """One row per game: its arrays, empty where it has no rows, and ``method``.
+
+    ``nested`` names each array with its rows and their columns, in whose order
+    it is sorted. The method is existing-v1, a first baseline, where ``history``
+    has no snapshot of the game and any array has rows, else normalized-v1.
+    """
+    out = games.select(key).distinct()
+    for name, (rows, columns) in nested.items():
+        out = out.join(nested_snapshots(rows, [key], columns, name), key, "left")
+        out = out.withColumn(name, F.coalesce(name, F.array().cast(out.schema[name].dataType)))
+    some = F.greatest(F.lit(0), *[F.size(n) for n in nested]) > 0
+    seen = history.select(key).distinct().withColumn("_seen", F.lit(True))
+    first = F.col("_seen").isNull() & some
+    return out.join(seen, key, "left").withColumn("method", F.when(first, "existing-v1").otherwise("normalized-v1")).drop("_seen")
+
+
 def accepted_revisions(history: DataFrame, keys: list[str], sides: list[str]) -> DataFrame:
     """Latest revision of each key whose arrays ``sides`` are all non-empty."""
     full = history

@@ -355,17 +355,25 @@ def event_fact_coverage(v):
 
 
 def _progress(v):
-    return v("hx_games").select("game_id", F.when(F.col("game_id") % 5 == 0, "skipped").otherwise("pending").alias("state"))
+    state = F.when(F.col("game_id") % 5 == 0, "skipped").when(F.col("game_id") % 5 == 1, "done").when(F.col("game_id") % 5 == 2, "failed")
+    return v("hx_games").select("game_id", "season", state.otherwise("pending").alias("state"))
 
 
-_SH = sql("hx_games", "hx_events") + """, gone AS (SELECT game_id, event_id FROM hx_events WHERE event_type = 'goal' AND event_id % 3 = 0), season_health AS (
+_BACKFILL = ["done", "failed", "skipped", "pending"]
+_SH = sql("hx_games", "hx_events", "hx_attempts") + """, gone AS (SELECT game_id, event_id FROM hx_events WHERE event_type = 'goal' AND event_id % 3 = 0), sh AS (
     SELECT season, count(*) FILTER (WHERE done) AS completed_games, count(*) FILTER (WHERE done AND n IS NOT NULL) AS games_with_events,
-        count(*) FILTER (WHERE done AND n IS NULL AND game_id % 5 = 0) AS acknowledged_gaps, cast(coalesce(sum(goals), 0) AS bigint) AS goals, cast(coalesce(sum(lost), 0) AS bigint) AS goals_missing_shots
+        count(*) FILTER (WHERE done AND n IS NULL AND game_id % 5 IN (0, 1)) AS acknowledged_gaps, cast(coalesce(sum(goals), 0) AS bigint) AS goals,
+        cast(coalesce(sum(lost), 0) AS bigint) AS goals_missing_shots, max(game_date) FILTER (WHERE done) AS latest_completed,
+        max(game_date) FILTER (WHERE done AND n IS NOT NULL) AS latest_with_events,
+        count(*) FILTER (WHERE game_id % 5 = 1) AS backfill_done, count(*) FILTER (WHERE game_id % 5 = 2) AS backfill_failed,
+        count(*) FILTER (WHERE game_id % 5 = 0) AS backfill_skipped, count(*) FILTER (WHERE game_id % 5 IN (3, 4)) AS backfill_pending,
+        completed_games - games_with_events AS missing_games, missing_games - acknowledged_gaps AS actionable_gaps,
+        games_with_events * 100.0::double / completed_games AS pct, missing_games = 0 AND goals_missing_shots = 0 AS healthy
     FROM (SELECT *, game_state IN ('OFF', 'OVER', 'FINAL') AND game_type <> 1 AS done FROM hx_games) g
     LEFT JOIN (SELECT game_id, count(*) AS n, count(*) FILTER (WHERE event_type = 'goal') AS goals FROM hx_events WHERE event_id % 7 <> 0 AND game_id % 4 <> 1 GROUP BY 1) USING (game_id)
     LEFT JOIN (SELECT game_id, count(*) AS lost FROM gone GROUP BY 1) USING (game_id) GROUP BY 1 HAVING count(*) FILTER (WHERE done) > 0)
-, sh AS (SELECT *, games_with_events * 100.0::double / completed_games AS pct, games_with_events = completed_games AND goals_missing_shots = 0 AS healthy FROM season_health)
 """
+_SUMS = ["completed_games", "games_with_events", "missing_games", "acknowledged_gaps", "actionable_gaps", "goals_missing_shots", *[f"backfill_{b}" for b in _BACKFILL]]
 
 
 def _season_health(v):
@@ -374,16 +382,21 @@ def _season_health(v):
     return rollups.season_health(v("hx_games"), e.where("event_id % 7 <> 0 AND game_id % 4 <> 1"), _progress(v), gone)
 
 
-@query(_SH + "SELECT season, completed_games, games_with_events, acknowledged_gaps, goals, goals_missing_shots, pct, healthy FROM sh")
+@query(_SH + "SELECT * FROM sh")
 def season_health(v):
     """Health by season."""
     return _season_health(v)
 
 
-@query(_SH + "SELECT count(*) AS seasons, cast(sum(completed_games) AS bigint) AS completed_games, cast(sum(games_with_events) AS bigint) AS games_with_events, cast(sum(goals_missing_shots) AS bigint) AS goals_missing_shots, bool_and(healthy) AS healthy, sum(games_with_events) * 100.0::double / sum(completed_games) AS pct FROM sh")
+@query(_SH + "SELECT count(*) AS seasons, " + ", ".join(f"cast(sum({c}) AS bigint) AS {c}" for c in _SUMS) + """, max(latest_completed) AS latest_completed,
+    max(latest_with_events) AS latest_with_events, bool_and(healthy) AS healthy, sum(games_with_events) * 100.0::double / sum(completed_games) AS pct,
+    (SELECT max(finished_at) FROM hx_attempts WHERE outcome = 'complete') AS last_sync_at,
+    (SELECT count(DISTINCT entity_key) FROM hx_attempts WHERE outcome = 'complete') AS last_sync_games FROM sh""")
 def dataset_health(v):
-    """Health over all seasons."""
-    return rollups.dataset_health(_season_health(v))
+    """Health over all seasons, beside the last synchronisation."""
+    done = v("hx_attempts").where("outcome = 'complete'")
+    sync = done.agg(F.max("finished_at").alias("last_sync_at"), F.count_distinct("entity_key").alias("last_sync_games"))
+    return rollups.dataset_health(_season_health(v), sync)
 
 
 _ATT = ", latest AS (SELECT cast(entity_key AS bigint) AS game_id, arg_max(outcome, attempt_id) AS outcome, max(finished_at) FILTER (WHERE outcome = 'complete') AS ok FROM hx_attempts GROUP BY 1)"
@@ -434,6 +447,38 @@ def record_revisions(v):
     return new.select("entity_key", "o_orderkey", F.col("content_sha256").alias("content"), "revision")
 
 
+@query("""WITH s AS (SELECT cast(o_custkey AS varchar) AS entity_key, o_orderstatus AS h, cast(o_orderdate AS date) AS day, o_orderkey FROM orders),
+    n AS (SELECT *, h IS DISTINCT FROM lag(h) OVER w AS is_new FROM s WINDOW w AS (PARTITION BY entity_key ORDER BY day, o_orderkey))
+    SELECT entity_key, o_orderkey, cast(count(*) FILTER (WHERE is_new) OVER (PARTITION BY entity_key ORDER BY day, o_orderkey) AS int) AS revision, is_new FROM n""")
+def observations(v):
+    """Every sighting and the revision that it saw, over an empty history."""
+    s = _sightings(v)
+    old = s.select("entity_key", "content_sha256", F.lit(0).alias("revision")).where("false")
+    return versions.observations(old, s, ["entity_key"], order=["day", "o_orderkey"]).select("entity_key", "o_orderkey", "revision", "is_new")
+
+
+_PART = "(SELECT game_id, count(*) AS n, string_agg({t}, ',' ORDER BY {o}) AS t FROM {f} GROUP BY 1)"
+
+
+@query(sql("hx_games", "hx_official", "hx_events") + ", stats AS (SELECT game_id, player_id, event_type, count(*) AS n FROM hx_events GROUP BY ALL) SELECT g.game_id, "
+       + ", ".join(f"coalesce({a}.n, 0) AS n_{b}, coalesce({a}.t, '') AS {b}" for a, b in (("s", "skaters"), ("k", "goalies"), ("c", "scoring")))
+       + ", CASE WHEN game_id % 3 <> 0 AND (s.n > 0 OR k.n > 0 OR c.n > 0) THEN 'existing-v1' ELSE 'normalized-v1' END AS method FROM hx_games g LEFT JOIN "
+       + _PART.format(t="player_id || ':' || toi_s", o="player_id", f="hx_official WHERE player_type = 'skater'") + " s USING (game_id) LEFT JOIN "
+       + _PART.format(t="player_id || ':' || toi_s", o="player_id", f="hx_official WHERE player_type = 'goalie'") + " k USING (game_id) LEFT JOIN "
+       + _PART.format(t="player_id || ':' || event_type || ':' || n", o="player_id, event_type", f="stats") + " c USING (game_id)")
+def official_snapshots(v):
+    """Each game's nested skaters, goalies and scoring, as text, and whether it is a baseline."""
+    o = v("hx_official")
+    stats = v("hx_events").groupBy("game_id", "player_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    parts = {
+        "skaters": (o.where("player_type = 'skater'"), ["player_id", "toi_s"]), "goalies": (o.where("player_type = 'goalie'"), ["player_id", "toi_s"]),
+        "scoring": (stats, ["player_id", "event_type", "n"]),
+    }
+    found = versions.official_snapshots(v("hx_games"), parts, v("hx_games").where("game_id % 3 = 0"), "game_id")
+    text = lambda name, of: F.array_join(F.transform(name, lambda x: F.concat_ws(":", *[x[c] for c in of])), ",").alias(name)
+    return found.select("game_id", *[F.size(p).cast("long").alias(f"n_{p}") for p in parts], *[text(p, of) for p, (_, of) in parts.items()], "method")
+
+
 _R = sql("hx_revisions")
 
 
@@ -463,15 +508,15 @@ def fact_changes(v):
     return _changes(v)
 
 
-@query(_R + CHANGES + """, newest AS (SELECT entity_key, max(revision) AS revision FROM hx_revisions WHERE cast(entity_key AS int) % 2 = 0 GROUP BY 1),
+@query(_R + CHANGES + """, ok AS (SELECT entity_key FROM hx_revisions WHERE recorded_at >= DATE '1996-01-01'), newest AS (SELECT entity_key, max(revision) AS revision FROM hx_revisions WHERE entity_key IN (SELECT entity_key FROM ok) GROUP BY 1),
     cur AS (SELECT entity_key, player_id, stat_code, revision, 'set' AS change, stat_value AS value FROM hx_revisions JOIN newest USING (entity_key, revision)),
-    last AS (SELECT entity_key, player_id, stat_code, max(revision) AS revision, arg_max(change, revision) AS change FROM ch WHERE cast(entity_key AS int) % 2 = 0 GROUP BY ALL)
+    last AS (SELECT entity_key, player_id, stat_code, max(revision) AS revision, arg_max(change, revision) AS change FROM ch WHERE entity_key IN (SELECT entity_key FROM ok) GROUP BY ALL)
     SELECT * FROM cur UNION ALL SELECT entity_key, player_id, stat_code, revision, change, cast(NULL AS double) FROM last l WHERE change = 'retracted'
     AND NOT EXISTS (SELECT 1 FROM cur c WHERE c.entity_key = l.entity_key AND c.player_id = l.player_id AND c.stat_code = l.stat_code)""")
 def scoring_facts(v):
     """Current facts and open retractions of eligible entities."""
     facts = v("hx_revisions")
-    eligible = facts.where("cast(entity_key AS int) % 2 = 0").select("entity_key").distinct()
+    eligible = facts.where("recorded_at >= DATE '1996-01-01'").select("entity_key").distinct()
     return versions.scoring_facts(facts, _changes(v), ["entity_key"], ["player_id", "stat_code"], eligible)
 
 
@@ -617,15 +662,19 @@ def multiset_diff(v):
     return align.multiset_difference(rows.where("l_orderkey % 2 = 0"), rows.where("l_orderkey % 2 = 1"), ["l_linenumber", "l_returnflag", "l_linestatus"]).select("status", "n")
 
 
-@query("""WITH a AS (SELECT c_nationkey, c_custkey, c_mktsegment AS r FROM customer WHERE c_custkey % 7 <> 0), b AS (SELECT c_nationkey, c_custkey, CASE WHEN c_custkey % 11 = 0 THEN 'X' ELSE c_mktsegment END AS r, c_custkey % 3 AS s FROM customer WHERE c_custkey % 5 <> 0)
+@query("""WITH a AS (SELECT c_nationkey, c_custkey, c_mktsegment AS r FROM customer WHERE c_custkey % 7 <> 0), b AS (SELECT c_nationkey, c_custkey, CASE WHEN c_custkey % 11 = 0 THEN 'X' ELSE c_mktsegment END AS r, c_custkey % 3 AS s, c_custkey % 4 = 0 AND c_custkey % 13 = 0 AS moved FROM customer WHERE c_custkey % 5 <> 0)
     SELECT nk AS c_nationkey, count(*) FILTER (WHERE ar IS NULL AND s > 0) AS missing, count(*) FILTER (WHERE br IS NULL) AS unexpected, count(*) FILTER (WHERE ar <> br) AS role_conflicts,
-        count(*) FILTER (WHERE (ar IS NULL AND s > 0) OR br IS NULL OR ar <> br) = 0 AS ok
-    FROM (SELECT coalesce(a.c_nationkey, b.c_nationkey) AS nk, a.r AS ar, b.r AS br, s FROM a FULL JOIN b ON a.c_nationkey = b.c_nationkey AND a.c_custkey = b.c_custkey) GROUP BY 1""")
+        count(*) FILTER (WHERE ar IS NOT NULL AND moved) AS team_conflicts,
+        count(*) FILTER (WHERE (ar IS NULL AND s > 0) OR br IS NULL OR ar <> br OR (ar IS NOT NULL AND moved)) = 0 AS ok
+    FROM (SELECT coalesce(a.c_nationkey, b.c_nationkey) AS nk, a.r AS ar, b.r AS br, s, moved FROM a FULL JOIN b ON a.c_nationkey = b.c_nationkey AND a.c_custkey = b.c_custkey) GROUP BY 1""")
 def inventory_check(v):
     """Expected against actual members."""
     c = v("customer").select("c_nationkey", F.col("c_custkey").alias("player_id"), F.col("c_mktsegment").alias("role"))
     roster = c.where("player_id % 5 <> 0").select("c_nationkey", "player_id", F.when(F.col("player_id") % 11 == 0, "X").otherwise(F.col("role")).alias("role"), (F.col("player_id") % 3).alias("seconds"))
-    return align.check_inventory(c.where("player_id % 7 <> 0"), roster, ["c_nationkey"])
+    own = F.col("c_nationkey").cast("string")
+    roster = roster.withColumn("team", F.when(F.col("player_id") % 52 == 0, "moved").otherwise(own))
+    teams = F.when(F.col("player_id") % 4 == 0, F.concat(F.lit("A, "), own)).when(F.col("player_id") % 4 == 1, own)
+    return align.check_inventory(c.where("player_id % 7 <> 0").withColumn("teams", teams), roster, ["c_nationkey"])
 
 
 @query("""WITH s AS (SELECT c_custkey AS k, c_nationkey AS v FROM customer WHERE c_custkey % 7 <> 0), n AS (SELECT k, count(*) AS n, max(v) AS v FROM (
@@ -712,10 +761,44 @@ def game_reports(v):
     return lineups.game_reports(_validated(v), roles, _toi(v)).drop("players", "exact_players")
 
 
-@query()
+def _digest_sql(source: str, key: str, columns: list[str]) -> str:
+    field = " || ".join(f"coalesce(length({c}::varchar) || ':' || {c}::varchar, '-')" for c in sorted(columns))
+    return f"""(SELECT {key}, sha256(string_agg(d, '' ORDER BY b)) AS digest FROM (SELECT {key}, h[1:3] AS b, sha256(string_agg(h, '' ORDER BY h)) AS d
+        FROM (SELECT {key}, sha256({field}) AS h FROM {source}) GROUP BY ALL) GROUP BY ALL)"""
+
+
+@query("SELECT * FROM " + _digest_sql("orders", "o_custkey", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]))
 def table_digest(v):
-    """A digest of each customer's orders."""
-    return audit.table_digest(v("orders"), "o_custkey", exclude=("o_comment",))
+    """A digest of each customer's orders, their priority left out."""
+    return audit.table_digest(v("orders"), ["o_custkey"], exclude=("o_orderpriority",))
+
+
+_EV = ["game_id", "event_id", "season", "period", "sec", "event_type", "situation_code", "owner_team_id", "player_id"]
+
+
+@query(sql("hx_events") + "SELECT * FROM " + _digest_sql(_digest_sql("hx_events", "season, game_id", _EV), "season", ["season", "game_id", "digest"]))
+def season_digests(v):
+    """A digest of each season over its games' digests."""
+    return audit.table_digest(audit.table_digest(v("hx_events"), ["season", "game_id"]), ["season"])
+
+
+@query("SELECT * FROM (" + _COV + """, ev AS (SELECT DISTINCT 2025020000 + event_id % (SELECT count(*) FROM supplier) AS game_id FROM events), of AS (
+        SELECT DISTINCT game_id FROM (""" + sql("hx_official") + """ SELECT * FROM hx_official WHERE game_id % 6 <> 1))
+    SELECT count(*) FILTER (WHERE availability <> 'unsupported') AS games_eligible, count(*) FILTER (WHERE availability = 'unsupported') AS games_unsupported,
+        count(*) FILTER (WHERE availability = 'loaded') AS games_loaded, count(*) FILTER (WHERE availability = 'unavailable') AS games_unavailable,
+        count(*) FILTER (WHERE availability = 'failed') AS games_failed, count(*) FILTER (WHERE availability = 'no_stored') AS games_no_stored,
+        count(*) FILTER (WHERE n_rows > 0 AND game_id NOT IN (SELECT game_id FROM ev)) AS loaded_without_events,
+        count(*) FILTER (WHERE n_rows > 0 AND game_id NOT IN (SELECT game_id FROM of)) AS loaded_without_toi FROM cov),
+    (""" + _V + """ SELECT count(*) AS rows_source, count(*) FILTER (WHERE len(errors) = 0) AS rows_accepted, count(*) FILTER (WHERE len(errors) > 0) AS rows_rejected FROM e),
+    (""" + _L + """ SELECT count(*) AS events, count(*) FILTER (WHERE status = 'resolved' AND agreement = 'exact') AS resolved_exact,
+        count(*) FILTER (WHERE status = 'resolved' AND agreement = 'exact' AND (game_id, period) NOT IN (""" + _V + """ SELECT (game_id, period) FROM e WHERE len(warnings) > 0)) AS resolved_exact_unwarned FROM compared),
+    (""" + _T + " SELECT count(*) AS players, count(*) FILTER (WHERE category = 'exact') AS toi_exact FROM toi_all)")
+def season_audit(v):
+    """The audit's counters over all games."""
+    rows = _validated(v)
+    warned = rows.where(F.size("warnings") > 0).select("game_id", "period").distinct().withColumn("tainted", F.lit(True))
+    events = _lineups(v).join(warned, ["game_id", "period"], "left").withColumn("tainted", F.coalesce("tainted", F.lit(False)))
+    return audit.season_audit(_game_coverage(v), rows, events, _toi(v), v("hx_official").where("game_id % 6 <> 1"))
 
 
 @query()

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from slotline.operators import align, repair, rollups, tables
+from slotline.operators import align, audit, repair, rollups, tables
 from slotline.operators import versions as vs
 
 
@@ -78,9 +79,69 @@ def test_coverage_precedence_and_fraction(spark):
 
 
 def test_health_of_nothing(spark):
-    empty = spark.createDataFrame([], "season int, completed_games long, games_with_events long, goals_missing_shots long, healthy boolean")
-    got = rollups.dataset_health(empty).first()
-    assert (got["pct"], got["healthy"], got["seasons"]) == (100.0, False, 0)
+    got = rollups.dataset_health(_health_of(spark, []), spark.createDataFrame([], SYNC)).first()
+    assert (got["pct"], got["healthy"], got["seasons"], got["actionable_gaps"], got["last_sync_games"]) == (100.0, False, 0, 0, None)
+
+
+SYNC = "last_sync_at timestamp, last_sync_games int"
+
+
+def _health_of(spark, games, events=(), progress=(), missing=()):
+    make = spark.createDataFrame
+    return rollups.season_health(
+        make(games, "game_id int, season int, game_state string, game_type int, game_date int"), make(events, "game_id int, event_type string"),
+        make(progress, "game_id int, season int, state string"), make(missing, "game_id int, event_id int"),
+    )
+
+
+def test_health_tells_acknowledged_from_actionable_gaps(spark):
+    games = [(1, 7, "OFF", 2, 10), (2, 7, "FINAL", 2, 20), (3, 7, "OVER", 3, 30), (4, 7, "OFF", 1, 40), (5, 7, "FUT", 2, 50)]
+    seasons = _health_of(spark, games, [(1, "goal"), (1, "hit"), (5, "goal")], [(2, 7, "skipped"), (3, 7, "failed"), (5, 7, "pending"), (9, 7, "done")], [(1, 1)])
+    got = seasons.first().asDict()
+    assert {k: got[k] for k in ("completed_games", "missing_games", "acknowledged_gaps", "actionable_gaps", "goals", "goals_missing_shots")} == {
+        "completed_games": 3, "missing_games": 2, "acknowledged_gaps": 1, "actionable_gaps": 1, "goals": 2, "goals_missing_shots": 1}
+    assert [got[f"backfill_{s}"] for s in rollups.PROGRESS] == [1, 1, 1, 1]
+    assert (got["latest_completed"], got["latest_with_events"], got["healthy"]) == (30, 10, False)
+    one = rollups.dataset_health(seasons, spark.createDataFrame([(None, 4)], SYNC)).first()
+    assert (one["seasons"], one["missing_games"], one["last_sync_games"]) == (1, 2, 4)
+
+
+def test_unchanged_sightings_are_observations(spark):
+    history = spark.createDataFrame([("x", 3, "A")], "k string, revision int, content_sha256 string")
+    batch = spark.createDataFrame([("x", h, i) for i, h in enumerate("AABB")] + [("y", None, 0)], "k string, content_sha256 string, seq int")
+    got = vs.observations(history, batch, ["k"], order=["seq"]).orderBy("k", "seq").collect()
+    assert [(r["k"], r["revision"], r["is_new"]) for r in got][:4] == [("x", 3, False), ("x", 3, False), ("x", 4, True), ("x", 4, False)]
+
+
+def test_snapshots_have_baselines_and_empty_arrays(spark):
+    games = spark.createDataFrame([(1,), (2,), (3,)], "g int")
+    rows = spark.createDataFrame([(1, 9, 5), (1, 8, 6), (2, 7, 1)], "g int, p int, s int")
+    got = vs.official_snapshots(games, {"a": (rows, ["p", "s"]), "b": (rows.where("p > 8"), ["p"])}, games.where("g = 2"), "g")
+    assert {r["g"]: ([x["p"] for x in r["a"]], len(r["b"]), r["method"]) for r in got.collect()} == {
+        1: ([8, 9], 1, "existing-v1"), 2: ([7], 0, "normalized-v1"), 3: ([], 0, "normalized-v1")}
+
+
+def test_replacement_refuses_nothing_and_foreign_rows(spark):
+    rows = spark.createDataFrame([(1, 1), (2, 2)], "k int, v int")
+    with pytest.raises(ValueError):
+        tables.replace_keys(rows, rows.where("k > 5"), ["k"])
+    with pytest.raises(ValueError):
+        tables.replace_keys(rows, rows, ["k"], scope=rows.where("k = 1"))
+    assert tables.replace_keys(rows, rows.where("k = 1"), ["k"], scope=rows.where("k = 1")).count() == 2
+
+
+def test_inventory_checks_teams(spark):
+    stats = spark.createDataFrame([(1, 1, "s", "A, B"), (1, 2, "s", "A"), (1, 3, "s", None)], "g int, player_id int, role string, teams string")
+    roster = spark.createDataFrame([(1, p, "s", "B", 9) for p in (1, 2, 3)], "g int, player_id int, role string, team string, seconds int")
+    got = align.check_inventory(stats, roster, ["g"]).first()
+    assert (got["team_conflicts"], got["ok"]) == (1, False)
+
+
+def test_digest_tells_nulls_and_shifted_texts_apart(spark):
+    digest = lambda *rows: audit.table_digest(spark.createDataFrame([(1, *r) for r in rows], "k int, a string, b string, c array<int>"), ["k"]).first()["digest"]
+    one = digest(("x", "yz", [1]), ("p", None, None))
+    assert one == digest(("p", None, None), ("x", "yz", [1]))
+    assert len({one, digest(("xy", "z", [1]), ("p", None, None)), digest(("x", "yz", [1]), ("p", "", None)), digest(("x", "yz", [1]))}) == 4
 
 
 def test_mapping_drift(spark):
