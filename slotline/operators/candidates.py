@@ -20,17 +20,27 @@ def correction_window(today: Column, *, days: int = 3, sunday_days: int = 14) ->
     return F.when(F.dayofweek(today) == 1, F.date_sub(today, sunday_days)).otherwise(F.date_sub(today, days))
 
 
-def event_candidates(games: DataFrame, events: DataFrame, attempts: DataFrame, progress: DataFrame, today: Column) -> DataFrame:
+def event_candidates(
+    games: DataFrame, events: DataFrame, attempts: DataFrame, progress: DataFrame, today: Column, *, since: Column | None = None, days: int | None = None
+) -> DataFrame:
     """Games whose events are to be read: in the window, without events and not acknowledged, or failed or running.
 
-    Only past, completed games of types 2 and 3.
+    Only past, completed games of types 2 and 3. ``since`` overrides all three
+    reasons: every such game from that date on. ``days`` (0 to 366) overrides the
+    window's length; 0 leaves the window out.
     """
     past = games.where(F.col("game_type").isin(2, 3) & (F.col("game_date") <= today))
-    window = past.where(F.col("game_date") >= correction_window(today)).select("game_id")
+    done = games.where(is_completed(F.col("game_state")))
+    if since is not None:
+        return past.where(F.col("game_date") >= since).select("game_id").join(done, "game_id", "left_semi")
+    if days is not None and not 0 <= days <= 366:
+        raise ValueError("a window has 0 to 366 days")
+    first = correction_window(today) if days is None else F.date_sub(today, days)
+    window = past.where((F.col("game_date") >= first) & F.lit(days != 0)).select("game_id")
     known = progress.where("state IN ('done', 'skipped')").select("game_id")
     gaps = past.select("game_id").join(events.select("game_id").distinct(), "game_id", "left_anti").join(known, "game_id", "left_anti")
     redo = latest_outcome(attempts).where("outcome IN ('failed', 'running')").select("game_id").join(past, "game_id", "left_semi")
-    return union_distinct(window, gaps, redo).join(games.where(is_completed(F.col("game_state"))), "game_id", "left_semi")
+    return union_distinct(window, gaps, redo).join(done, "game_id", "left_semi")
 
 
 def official_candidates(games: DataFrame, attempts: DataFrame, today: Column) -> DataFrame:

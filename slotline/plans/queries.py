@@ -598,7 +598,7 @@ _DONE = "game_state IN ('OFF', 'OVER', 'FINAL')"
 
 @query(_C + f""", past AS (SELECT * FROM hx_games WHERE game_type IN (2, 3) AND game_date <= DATE '{TODAY}'), ids AS (
     SELECT game_id FROM past WHERE game_date >= DATE '{TODAY}' - 3
-    UNION SELECT game_id FROM past WHERE game_id NOT IN (SELECT game_id FROM hx_events WHERE game_id % 4 <> 1) AND game_id % 5 <> 0
+    UNION SELECT game_id FROM past WHERE game_id NOT IN (SELECT game_id FROM hx_events WHERE game_id % 4 <> 1) AND game_id % 5 NOT IN (0, 1)
     UNION SELECT game_id FROM past JOIN latest USING (game_id) WHERE outcome IN ('failed', 'running'))
     SELECT game_id FROM ids WHERE game_id IN (SELECT game_id FROM hx_games WHERE {_DONE})""")
 def event_candidates(v):
@@ -606,6 +606,12 @@ def event_candidates(v):
     return candidates.event_candidates(v("hx_games"), v("hx_events").where("game_id % 4 <> 1"), v("hx_attempts"), _progress(v), _today())
 
 
+@query(_C + f"SELECT game_id FROM hx_games WHERE {_DONE} AND game_type IN (2, 3) AND game_date BETWEEN DATE '2024-01-05' AND DATE '{TODAY}'")
+def event_candidates_since(v):
+    """Games whose events are to be read again from a date on, whatever is stored."""
+    return candidates.event_candidates(v("hx_games"), v("hx_events"), v("hx_attempts"), _progress(v), _today(), since=F.lit("2024-01-05").cast("date"))
+
+
 @query(_C + f"SELECT g.game_id FROM hx_games g LEFT JOIN latest USING (game_id) WHERE {_DONE} AND season = 20252026 AND game_type IN (2, 3) AND (game_date >= DATE '{TODAY}' - 3 OR outcome IS DISTINCT FROM 'complete')")
 def recovery_candidates(v):
     """Games of the active season to recover."""
