@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotline.llm import chat, decontamination, html, mixing, neighbours, quality, sharding, simhash, substrings, toxicity
+from slotline.llm import chat, codes, decontamination, filters, html, mixing, neighbours, quality, sharding, simhash, substrings, toxicity
 from slotline.llm.common import table
 
 
@@ -69,6 +69,16 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.read_chat(chat.format_chat(rows.unionByName(hostile))))
 
 
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors' codes, and the codebooks' digest."""
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each filter removes of all documents, by source, in every order."""
+    return filters.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name."""
-    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_simhash, op4_quality, op5_substrings, op6_sharding, op7_decontamination, op8_toxicity, op9_html, op10_chat)}
+    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_simhash, op4_quality, op5_substrings, op6_sharding, op7_decontamination, op8_toxicity, op9_html, op10_chat, op12_codes, op13_filters)}
