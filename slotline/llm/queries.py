@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotline.llm import chat, codes, decontamination, filters, html, mixing, neighbours, quality, sharding, simhash, substrings, toxicity
+from slotline.llm import chat, codes, decontamination, filters, html, mixing, neighbours, pii, quality, sharding, simhash, substrings, toxicity
 from slotline.llm.common import table
 
 
@@ -69,6 +69,11 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.read_chat(chat.format_chat(rows.unionByName(hostile))))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' personal data: what the patterns find, and what the field adds."""
+    return pii.find_personal(table(spark, sf_dir, "documents"))
+
+
 def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors' codes, and the codebooks' digest."""
     return codes.compress(table(spark, sf_dir, "embeddings"))
@@ -81,4 +86,4 @@ def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name."""
-    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_simhash, op4_quality, op5_substrings, op6_sharding, op7_decontamination, op8_toxicity, op9_html, op10_chat, op12_codes, op13_filters)}
+    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_simhash, op4_quality, op5_substrings, op6_sharding, op7_decontamination, op8_toxicity, op9_html, op10_chat, op11_pii, op12_codes, op13_filters)}
