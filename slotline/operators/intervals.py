@@ -47,6 +47,40 @@ def overlapping_pairs(intervals: DataFrame, keys: list[str], row_id: str, *, sta
     )
 
 
+def overlap_flags(intervals: DataFrame, keys: list[str], *, start: str = "start_s", end: str = "end_s", bin_seconds: int = 60) -> DataFrame:
+    """Every row with whether it is half of a pair of ``overlapping_pairs``: (columns, duplicate_interval, same_player_overlap).
+
+    No pairs are made. Distinct intervals in order of (start, end) are swept both
+    ways: one overlaps an earlier one where the furthest end before it lies
+    beyond its start, and a later one where the first start of a positive
+    interval after it lies before its end. The sweeps run inside bins of a key by
+    start; what comes into a bin from the others is one running maximum and one
+    running minimum over the bins' own, so a key with very many intervals is no
+    single task's work. Intervals without a start, an end or one of the keys are
+    in no pair.
+    """
+    rows = intervals.withColumn("_bin", F.floor(F.col(start) / bin_seconds))
+    part, inside = [*keys, "_bin"], Window.partitionBy(*keys, "_bin").orderBy(start, end)
+    distinct = rows.dropna(subset=[*keys, start, end]).groupBy(*part, start, end).agg(F.count(F.lit(1)).alias("_copies"))
+    positive = F.when(F.col(end) > F.col(start), F.col(start))
+    bins = distinct.groupBy(*part).agg(F.max(end).alias("_end"), F.min(positive).alias("_start"))
+    line = Window.partitionBy(*keys).orderBy("_bin")
+    around = bins.select(
+        *part, F.max("_end").over(line.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.min("_start").over(line.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
+    )
+    before = F.greatest(F.max(end).over(inside.rowsBetween(Window.unboundedPreceding, -1)), "_before")
+    after = F.least(F.min(positive).over(inside.rowsBetween(1, Window.unboundedFollowing)), "_after")
+    swept = distinct.join(around, part).withColumn("_b", before).withColumn("_a", after)
+    earlier = (F.col(end) > F.col(start)) & (F.col("_b") > F.col(start))
+    flags = swept.select(
+        *keys, start, end, (F.col("_copies") > 1).alias("duplicate_interval"),
+        (F.coalesce(earlier, F.lit(False)) | F.coalesce(F.col("_a") < F.col(end), F.lit(False))).alias("same_player_overlap"),
+    )
+    flag = lambda c: F.coalesce(c, F.lit(False)).alias(c)
+    return intervals.join(flags, [*keys, start, end], "left").select(*intervals.columns, flag("duplicate_interval"), flag("same_player_overlap"))
+
+
 def interval_union(intervals: DataFrame, keys: list[str], *, start: str = "start_s", end: str = "end_s") -> DataFrame:
     """Per key: ``total`` (sum of lengths), ``covered`` (length of the union) and ``n``.
 

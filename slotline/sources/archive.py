@@ -5,33 +5,63 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotline.sources import files
+
 EVENT_TYPES = (
     "blocked-shot", "faceoff", "giveaway", "goal", "hit", "missed-shot", "penalty", "shot-on-goal", "takeaway",
 )
 
 
-def new_bodies(batch: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Bodies whose hash the archive lacks, and every sighting: (source, content_sha256, observed_at)."""
-    hashed = batch.withColumn("content_sha256", F.sha2("body", 256))
-    fresh = hashed.select("content_sha256", "body").dropDuplicates(["content_sha256"]).join(documents, "content_sha256", "left_anti")
-    return fresh, hashed.select("source", "content_sha256", "observed_at")
+#: Documents are dealt by the first two digits of their hashes.
+PREFIX = 2
+
 
+def archive_bodies(batch: DataFrame, root: str, run: int | str) -> bool:
+    """One run's bodies into the archive; whether it did anything.
 
-def archive_bodies(batch: DataFrame, documents_path: str, observations_path: str) -> None:
-    """Appends new bodies and all sightings."""
+    ``batch`` has source, body and observed_at. ``documents`` gets every body
+    whose hash no published run holds, once; ``observations`` gets every sighting.
+    Both are staged in the run's own folders and published by one marker, so
+    readers see both or neither: a run that failed anywhere and runs again
+    replaces what it staged, and a published run is left as it is. Only the hashes
+    of the buckets that the batch's own hashes fall in are read.
+    """
     spark = batch.sparkSession
-    stored = _stored(spark, documents_path)
-    fresh, seen = new_bodies(batch, stored)
-    fresh.write.mode("append").parquet(documents_path)
-    seen.write.mode("append").parquet(observations_path)
-
-
-def _stored(spark: SparkSession, path: str) -> DataFrame:
-    """Stored hashes; none where nothing has been written."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return spark.createDataFrame([], "content_sha256 string")
-    return spark.read.parquet(path).select("content_sha256")
+    if files.exists(spark, f"{root}/_published/{run}"):
+        return False
+    hashed = batch.withColumn("content_sha256", F.sha2("body", 256))
+    prefix = F.substring("content_sha256", 1, PREFIX).alias("prefix")
+    touched = [r[0] for r in hashed.select(prefix).distinct().collect()]  # at most 256 texts of two digits
+    known = read_documents(spark, root).where(F.col("prefix").isin(touched)).select("content_sha256")
+    once = hashed.groupBy("content_sha256").agg(F.first("body").alias("body"))
+    fresh = once.join(known, "content_sha256", "left_anti").withColumn("prefix", prefix)
+    _stage(fresh, f"{root}/documents/run={run}", "prefix")
+    _stage(hashed.select("source", "content_sha256", "observed_at"), f"{root}/observations/run={run}")
+    files.mark(spark, f"{root}/_published/{run}")
+    return True
+
+
+def _stage(df: DataFrame, path: str, *by: str) -> None:
+    df.write.mode("overwrite").partitionBy(*by).parquet(path)
+
+
+def _published(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
+    """A table's rows of published runs."""
+    runs = set(files.names(spark, f"{root}/_published"))
+    paths = [f"{root}/{name}/{n}" for n in files.names(spark, f"{root}/{name}") if n.removeprefix("run=") in runs]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{root}/{name}").parquet(*paths)
+
+
+def read_documents(spark: SparkSession, root: str) -> DataFrame:
+    """(content_sha256, body, prefix, run) of what is published."""
+    return _published(spark, root, "documents", "content_sha256 string, body string, prefix string, run string")
+
+
+def read_observations(spark: SparkSession, root: str) -> DataFrame:
+    """(source, content_sha256, observed_at, run): every published sighting."""
+    return _published(spark, root, "observations", "source string, content_sha256 string, observed_at timestamp, run string")
 
 
 def export_sources(frames: dict[str, DataFrame], path: str, *, version: int, season: int) -> None:

@@ -1,13 +1,12 @@
-"""Structured Streaming jobs: archive, normalised facts, revisions, corrections, outbox.
+"""Structured Streaming jobs: archive, normalised facts, revisions, corrections, outbox, late rows.
 
 Every sink is a ``foreachBatch`` append keyed by the batch, so a batch that is
-run again after a failure replaces its own output.
+run again after a failure replaces its own output. What a batch has to know of
+those before it is keyed state, read by the buckets of its own keys.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +16,10 @@ from pyspark.sql.streaming import StreamingQuery
 from slotline.operators.candidates import correction_window
 from slotline.operators.events import normalize_events, reject_warned
 from slotline.operators.versions import fact_changes, latest, record_revisions
+from slotline.sources import archive as archives
 from slotline.sources.documents import gate_documents
+from slotline.sources.files import work_folder
+from slotline.streaming.state import KeyedState
 
 BODY = "game_id long, source string, body string, observed_at timestamp"
 
@@ -33,29 +35,16 @@ def start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint:
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def _stored(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
-    """What batches before this one wrote."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema + ", batch long").parquet(path).where(F.col("batch") < batch_id).drop("batch")
-
-
 def _put(df: DataFrame, path: str, batch_id: int) -> None:
     """One batch's rows, in a directory of its own."""
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
 def archive(root: str) -> Callable[[DataFrame, int], None]:
-    """Documents once by hash, every sighting."""
+    """Documents once by hash, every sighting: each batch is a run of the archive's sink."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        hashed = batch.withColumn("content_sha256", F.sha2("body", 256))
-        stored = _stored(spark, f"{root}/documents", "content_sha256 string, body string", batch_id)
-        fresh = hashed.select("content_sha256", "body").dropDuplicates(["content_sha256"])
-        _put(fresh.join(stored.select("content_sha256"), "content_sha256", "left_anti"), f"{root}/documents", batch_id)
-        _put(hashed.select("source", "content_sha256", "observed_at"), f"{root}/observations", batch_id)
+        archives.archive_bodies(batch, root, batch_id)
 
     return each
 
@@ -80,16 +69,20 @@ def current_facts(spark: SparkSession, root: str) -> DataFrame:
     return rows.join(newest, ["game_id", "batch"]).drop("batch")
 
 
-HISTORY = "entity_key string, content_sha256 string, revision int, seq long"
+LATEST = "entity_key string, content_sha256 string, revision int"
 
 
-def revisions(root: str) -> Callable[[DataFrame, int], None]:
-    """A revision log of (entity_key, content_sha256, seq) sightings."""
+def revisions(root: str, *, buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """A revision log of (entity_key, content_sha256, seq) sightings; the state is each entity's latest revision."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        history = _stored(batch.sparkSession, f"{root}/history", HISTORY, batch_id)
-        new = record_revisions(history, batch.select("entity_key", "content_sha256", "seq"), ["entity_key"], order=["seq"])
+        spark = batch.sparkSession
+        state = KeyedState(spark, f"{root}/latest", LATEST, ["entity_key"], buckets=buckets)
+        own = batch.select("entity_key", "content_sha256", "seq")
+        new = record_revisions(state.read(own, batch_id), own, ["entity_key"], order=["seq"])
         _put(new.select("entity_key", "content_sha256", "revision", "seq"), f"{root}/history", batch_id)
+        logged = spark.read.schema(LATEST).parquet(f"{root}/history/batch={batch_id}")
+        state.write(latest(logged, ["entity_key"], "revision"), batch_id)
 
     return each
 
@@ -97,32 +90,58 @@ def revisions(root: str) -> Callable[[DataFrame, int], None]:
 FACTS = "entity_key string, revision int, player_id int, stat_code string, stat_value double"
 
 
-def corrections(root: str) -> Callable[[DataFrame, int], None]:
-    """Set and retracted facts of the entities in a batch, against their revision before."""
+def corrections(root: str, *, buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """Set and retracted facts of the entities in a batch, against their revision before; the state is each entity's latest revision."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        state = KeyedState(batch.sparkSession, f"{root}/facts", FACTS, ["entity_key"], buckets=buckets)
         own = batch.select("entity_key", "revision", "player_id", "stat_code", "stat_value")
-        stored = _stored(batch.sparkSession, f"{root}/facts", FACTS, batch_id).join(own.select("entity_key").distinct(), "entity_key", "left_semi")
-        newest = stored.groupBy("entity_key").agg(F.max("revision").alias("revision"))
-        both = stored.join(newest, ["entity_key", "revision"]).unionByName(own)
+        before = state.read(own, batch_id).join(own.select("entity_key").distinct(), "entity_key", "left_semi")
+        both = before.unionByName(own)
         changes = fact_changes(both, ["entity_key"], ["player_id", "stat_code"])
         fresh = own.select("entity_key", "revision").distinct()
         _put(changes.join(fresh, ["entity_key", "revision"], "left_semi"), f"{root}/changes", batch_id)
-        _put(own, f"{root}/facts", batch_id)
+        newest = both.groupBy("entity_key").agg(F.max("revision").alias("revision"))
+        state.write(both.join(newest, ["entity_key", "revision"], "left_semi"), batch_id)
 
     return each
 
 
-def outbox(root: str) -> Callable[[DataFrame, int], None]:
+def outbox(root: str, *, buckets: int = 64) -> Callable[[DataFrame, int], None]:
     """One row per accepted revision (game_id, revision, n_skaters, n_goalies, observed_at), its id a hash of both."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        state = KeyedState(batch.sparkSession, f"{root}/known", "id string", ["id"], buckets=buckets)
         rows = batch.where("n_skaters > 0 AND n_goalies > 0").select(
             F.sha2(F.concat_ws(":", F.col("game_id").cast("string"), F.col("revision").cast("string")), 256).alias("id"),
             "game_id", "revision", F.col("observed_at").alias("created_at"),
-        )
-        stored = _stored(batch.sparkSession, f"{root}/outbox", "id string, game_id long, revision int, created_at timestamp", batch_id)
-        _put(rows.dropDuplicates(["id"]).join(stored.select("id"), "id", "left_anti"), f"{root}/outbox", batch_id)
+        ).dropDuplicates(["id"])
+        _put(rows.join(state.read(rows, batch_id), "id", "left_anti"), f"{root}/outbox", batch_id)
+        state.write(batch.sparkSession.read.schema("id string").parquet(f"{root}/outbox/batch={batch_id}"), batch_id)
+
+    return each
+
+
+def on_time(root: str, event_time: str, delay: str) -> Callable[[DataFrame, int], None]:
+    """Every row of a stream to one of two outputs, by a watermark: ``rows/late=false`` or ``rows/late=true``.
+
+    The watermark of a batch is the latest event time of the batches before it
+    less ``delay`` (an interval, such as ``10 minutes``). Rows before it are late,
+    and so are rows without a time; rows at it are not. Both outputs are one
+    write, so none is there without the other, and no row is in neither.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        state = KeyedState(spark, f"{root}/seen", "name string, latest timestamp", ["name"], buckets=1)
+        name = F.lit("latest").alias("name")
+        before = state.read(spark.range(1).select(name), batch_id).agg(F.max("latest").alias("latest"))  # one row
+        limit = F.col("latest") - F.expr(f"INTERVAL {delay}")
+        late = F.col(event_time).isNull() | F.coalesce(F.col(event_time) < limit, F.lit(False))
+        rows = batch.crossJoin(F.broadcast(before)).withColumn("late", late).drop("latest")
+        rows.write.mode("overwrite").partitionBy("late").parquet(f"{root}/rows/batch={batch_id}")
+        seen = batch.agg(F.max(event_time).alias("latest")).unionByName(before)
+        state.write(seen.agg(F.max("latest").alias("latest")).select(name, "latest"), batch_id)
 
     return each
 
@@ -136,21 +155,6 @@ def split_late(rows: DataFrame, today: Column, date: str = "game_date", *, days:
     return rows.where(inside), rows.where(~inside)
 
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the checkpoint folder that all executors share.
-
-    A temporary one only where the session names none and one machine runs all; a
-    cluster without a shared folder is an error.
-    """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not (context.master == "local" or context.master.startswith("local[")):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="slotline-stream-"))
-    return f"{context.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-
-
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table's files as a stream."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
@@ -164,8 +168,8 @@ def archived_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source", F.coalesce("text", F.lit("")).alias("body"), F.lit(0).cast("timestamp").alias("observed_at")
     )
     start(bodies, archive(root), f"{root}/checkpoint").awaitTermination()
-    seen = spark.read.parquet(f"{root}/observations").groupBy("content_sha256").agg(F.count(F.lit(1)).alias("sightings"))
-    return spark.read.parquet(f"{root}/documents").select("content_sha256").join(seen, "content_sha256")
+    seen = archives.read_observations(spark, root).groupBy("content_sha256").agg(F.count(F.lit(1)).alias("sightings"))
+    return archives.read_documents(spark, root).select("content_sha256").join(seen, "content_sha256")
 
 
 def revised_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

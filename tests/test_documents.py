@@ -98,9 +98,9 @@ def test_report_pages(spark):
 
 def test_archive_and_export(spark, tmp_path):
     batch = spark.createDataFrame([("s", "a"), ("s", "a"), ("t", "b")], "source string, body string").withColumn("observed_at", F.lit(0).cast("timestamp"))
-    for _ in range(2):
-        archive.archive_bodies(batch, f"{tmp_path}/d", f"{tmp_path}/o")
-    assert spark.read.parquet(f"{tmp_path}/d").count() == 2 and spark.read.parquet(f"{tmp_path}/o").count() == 6
+    for run in range(2):
+        archive.archive_bodies(batch, f"{tmp_path}/a", run)
+    assert archive.read_documents(spark, f"{tmp_path}/a").count() == 2 and archive.read_observations(spark, f"{tmp_path}/a").count() == 6
     frames = {"x": spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "game_id long, v string")}
     archive.export_sources(frames, f"{tmp_path}/e", version=1, season=2)
     back = archive.replay_sources(spark, f"{tmp_path}/e", ["x"], version=1, season=2)
@@ -125,7 +125,7 @@ def test_streams(spark, tmp_path):
         put(rows)
         run(jobs.archive(f"{tmp_path}/a"), "a")
         run(jobs.facts(f"{tmp_path}/f"), "f")
-    assert spark.read.parquet(f"{tmp_path}/a/documents").count() == 2 and spark.read.parquet(f"{tmp_path}/a/observations").count() == 3
+    assert archive.read_documents(spark, f"{tmp_path}/a").count() == 2 and archive.read_observations(spark, f"{tmp_path}/a").count() == 3
     assert jobs.current_facts(spark, f"{tmp_path}/f").count() == 2
     assert [r["reason"] for r in spark.read.parquet(f"{tmp_path}/f/rejected").collect()] == ["unreadable"]
 

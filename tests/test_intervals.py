@@ -128,3 +128,31 @@ def test_row_errors_and_warnings(spark):
     assert got[3]["errors"] == ["reversed_interval"] and got[3]["warnings"] == ["missing_duration"]
     assert got[4]["errors"] == ["unexpected_type", "missing_player_id", "unknown_team_id", "unexpected_period"]
     assert "malformed_duration" in got[4]["warnings"] and "unknown_player_role" in got[4]["warnings"]
+
+
+def test_overlap_flags_are_those_of_the_pairs(spark):
+    """Zero-length, reversed, repeated and null intervals, null keys, and bins that intervals cross."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(400):
+        a = rng.randint(0, 900)
+        b = a + rng.choice([0, 0, 3, 40, 200, -5])
+        rows.append((rng.choice([1, 1, 1, 2, None]), i, rng.choice([a, a, None]) if i % 50 == 0 else a, b))
+    rows += [(1, 1000 + k, 100, 130) for k in range(3)] + [(2, 1010, 20, 20), (2, 1011, 20, 20), (2, 1012, 0, 5000)]
+    df = spark.createDataFrame(rows, "k int, id int, start_s int, end_s int")
+
+    def hit(kind):
+        out = set()
+        for k, i, a, b in rows:
+            for k2, j, c, d in rows:
+                if i != j and k == k2 and None not in (k, a, b, c, d):
+                    same = (a, b) == (c, d)
+                    if (kind == "duplicate_interval") == same and (same or min(b, d) > max(a, c)):
+                        out |= {i, j}
+        return out
+
+    for size in (10, 60, 10_000):
+        got = iv.overlap_flags(df, ["k"], bin_seconds=size).collect()
+        assert len(got) == len(rows)
+        for kind in ("duplicate_interval", "same_player_overlap"):
+            assert {r.id for r in got if r[kind]} == hit(kind)
