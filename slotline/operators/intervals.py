@@ -67,10 +67,12 @@ def overlap_flags(intervals: DataFrame, keys: list[str], *, start: str = "start_
     line = Window.partitionBy(*keys).orderBy("_bin")
     around = bins.select(
         *part, F.max("_end").over(line.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-        F.min("_start").over(line.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
+        F.min("_start").over(Window.partitionBy(*keys).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)).alias("_after"),
     )
     before = F.greatest(F.max(end).over(inside.rowsBetween(Window.unboundedPreceding, -1)), "_before")
-    after = F.least(F.min(positive).over(inside.rowsBetween(1, Window.unboundedFollowing)), "_after")
+    # backwards as a running minimum too: a frame that ends with the partition is read anew for every row
+    back = Window.partitionBy(*part).orderBy(F.desc(start), F.desc(end)).rowsBetween(Window.unboundedPreceding, -1)
+    after = F.least(F.min(positive).over(back), "_after")
     swept = distinct.join(around, part).withColumn("_b", before).withColumn("_a", after)
     earlier = (F.col(end) > F.col(start)) & (F.col("_b") > F.col(start))
     flags = swept.select(

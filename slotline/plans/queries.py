@@ -234,15 +234,16 @@ _V = sql("hx_shifts_raw", "hx_games", "hx_official") + f""", roles AS (
 @query("SELECT * FROM (" + _V + """, ok AS (SELECT *, row_number() OVER (PARTITION BY game_id, period, player_id ORDER BY a, b, source_shift_id) AS n FROM e WHERE a IS NOT NULL AND b IS NOT NULL AND player_id IS NOT NULL),
         pair AS (SELECT x.game_id, x.period, x.player_id, x.n AS n1, y.n AS n2, x.a = y.a AND x.b = y.b AS same FROM ok x JOIN ok y ON x.game_id = y.game_id AND x.period = y.period
             AND x.player_id = y.player_id AND x.n < y.n AND ((x.a = y.a AND x.b = y.b) OR least(x.b, y.b) > greatest(x.a, y.a))),
-        hit AS (SELECT game_id, period, player_id, unnest([n1, n2]) AS n, same FROM pair)
+        hit AS (SELECT game_id, period, player_id, unnest([n1, n2]) AS n, same FROM pair),
+        flagged AS (SELECT game_id, source_shift_id, bool_or(same) AS twice, bool_or(NOT same) AS shares FROM hit JOIN ok USING (game_id, period, player_id, n) GROUP BY ALL)
     SELECT game_id, period, player_id, source_shift_id, cast(a AS INT) AS start_s, cast(b AS INT) AS end_s, coalesce(twice, false) AS duplicate_interval, coalesce(shares, false) AS same_player_overlap
-    FROM ok LEFT JOIN (SELECT game_id, period, player_id, n, bool_or(same) AS twice, bool_or(NOT same) AS shares FROM hit GROUP BY ALL) USING (game_id, period, player_id, n))""")
+    FROM e LEFT JOIN flagged USING (game_id, source_shift_id))""")
 def overlap_flags(v):
-    """Every raw interval with a player and two times, and whether it repeats or overlaps another of its player's."""
-    rows = v("hx_shifts_raw").where("player_id IS NOT NULL").select(
+    """Every raw interval, and whether it repeats or overlaps another of its player's."""
+    rows = v("hx_shifts_raw").select(
         "game_id", "period", "player_id", "source_shift_id", scalars.clock_seconds(F.col("start_time")).alias("start_s"), scalars.clock_seconds(F.col("end_time")).alias("end_s")
     )
-    return intervals.overlap_flags(rows.where("start_s IS NOT NULL AND end_s IS NOT NULL"), ["game_id", "period", "player_id"])
+    return intervals.overlap_flags(rows, ["game_id", "period", "player_id"])
 
 
 @query(_V + "SELECT code, severity, count(*) AS n FROM (SELECT unnest(errors) AS code, 'error' AS severity FROM e UNION ALL SELECT unnest(warnings), 'warning' FROM e) GROUP BY ALL")
