@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotline.functions.scalars import decode_situation, owner_strength
@@ -20,10 +20,85 @@ def mapping_drift(stored: DataFrame, source: DataFrame, key: str, value: str) ->
     return both.select(key, problem.alias("problem")).where("problem IS NOT NULL")
 
 
-def repair_attribution(stored: DataFrame, expected: DataFrame, keys: list[str], owner: str) -> DataFrame:
-    """``stored`` with the expected owners; other columns and rows stay."""
-    new = expected.select(*keys, F.col(owner).alias("_o"), F.lit(True).alias("_x"))
-    return stored.join(new, keys, "left").withColumn(owner, F.when(F.col("_x"), F.col("_o")).otherwise(F.col(owner))).select(*stored.columns)
+def attribution_problems(games: DataFrame, events: DataFrame, expected: DataFrame, teams: DataFrame, *, old: int, new: int, population: Column) -> DataFrame:
+    """(problem, n) of what stands against giving ``old``'s games and events to ``new``; none if nothing does.
+
+    ``expected`` has game_id, season, game_date, game_type, home_team_id and
+    away_team_id, as they are to be. ``population`` says which stored games could
+    be meant at all. A stored game agrees with the expected one if its scope is
+    the same and each team is the expected one, or ``old`` where ``new`` is
+    expected. Events of expected games belong to one of its teams or to ``old``.
+    """
+    scope = ("season", "game_date", "game_type")
+    want = expected.select("game_id", F.struct(*scope).alias("_scope"), F.col("home_team_id").alias("_h"), F.col("away_team_id").alias("_a"), F.lit(True).alias("_x"))
+    mine = F.col("home_team_id").isin(old, new) | F.col("away_team_id").isin(old, new)
+    both = games.withColumn("_pop", population & mine).join(want, "game_id", "full")
+    fits = lambda have, must: have.eqNullSafe(must) | (must.eqNullSafe(F.lit(new)) & have.eqNullSafe(F.lit(old)))
+    stored = F.col("_pop").isNotNull()
+    agrees = F.struct(*scope).eqNullSafe(F.col("_scope")) & fits(F.col("home_team_id"), F.col("_h")) & fits(F.col("away_team_id"), F.col("_a"))
+    counts = both.agg(
+        F.count_if(stored & F.col("_x") & ~agrees).alias("invalid_games"), F.count_if(F.col("_pop") & F.col("_x").isNull()).alias("unexpected_games"),
+        F.count_if(~stored & F.col("_x")).alias("missing_games"),
+    )
+    owner = F.col("owner_team_id")
+    foreign = events.join(want, "game_id").where(owner.isNotNull() & ~F.coalesce(owner.isin(old) | (owner == F.col("_h")) | (owner == F.col("_a")), F.lit(False)))
+    more = [
+        foreign.agg(F.count(F.lit(1)).alias("n")).select(F.lit("invalid_owners").alias("problem"), "n"),
+        expected.groupBy("game_id").count().where("count > 1").agg(F.count(F.lit(1)).alias("n")).select(F.lit("repeated_games").alias("problem"), "n"),
+        teams.where(F.col("team_id") == new).agg((1 - F.least(F.count(F.lit(1)), F.lit(1))).alias("n")).select(F.lit("missing_team").alias("problem"), "n"),
+    ]
+    # games that are expected and not stored are reported, not refused: they have nothing to repair
+    rows = counts.unpivot([], ["invalid_games", "unexpected_games"], "problem", "n")
+    for m in more:
+        rows = rows.unionByName(m)
+    return rows.where("n > 0")
+
+
+def _checksum(df: DataFrame, leave_out: tuple[str, ...], side: str, table: str) -> DataFrame:
+    """One row: the number of rows and two order-free sums over hashes of the other columns."""
+    kept = sorted(c for c in df.columns if c not in leave_out)
+    nothing = F.lit("-").alias("_")
+    total = lambda seed: F.coalesce(F.sum(F.xxhash64(F.lit(seed), *kept, nothing).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)")
+    return df.select(F.lit(table).alias("table"), F.lit(side).alias("side"), *kept).groupBy("table", "side").agg(F.count(F.lit(1)).alias("n"), total(1).alias("a"), total(2).alias("b"))
+
+
+def repair_attribution(
+    games: DataFrame, events: DataFrame, expected: DataFrame, teams: DataFrame, *, old: int, new: int, population: Column
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``games`` and ``events`` with ``old`` replaced by ``new`` where ``expected`` says so, and a report by season.
+
+    Refused with the list of ``attribution_problems`` if there are any. After the
+    repair nothing may be left to update, no row may be lost or made, and the
+    other columns' checksums, which don't depend on order, have to be those of
+    before, over the games, the events, and apart from these the games that are
+    not meant; else it is an error and nothing is returned. The report has
+    season, game_type, games, games_to_update and events_to_update.
+    """
+    found = {r["problem"]: r["n"] for r in attribution_problems(games, events, expected, teams, old=old, new=new, population=population).collect()}
+    if found:
+        raise ValueError(f"the attribution is ambiguous: {found}")
+    want = expected.select("game_id", F.col("home_team_id").alias("_h"), F.col("away_team_id").alias("_a"), F.lit(True).alias("_x"))
+    set_ = lambda c, to: F.when(F.col("_x"), to).otherwise(F.col(c)).alias(c)
+    fixed_games = games.join(want, "game_id", "left").select([set_(c, F.col({"home_team_id": "_h", "away_team_id": "_a"}[c])) if c in ("home_team_id", "away_team_id") else F.col(c) for c in games.columns])
+    to_new = F.when(F.col("_x") & (F.col("owner_team_id") == old), F.lit(new)).otherwise(F.col("owner_team_id")).alias("owner_team_id")
+    fixed_events = events.join(want, "game_id", "left").select([to_new if c == "owner_team_id" else F.col(c) for c in events.columns])
+    control = lambda df: df.join(want, "game_id", "left_anti")
+    sums = None
+    for side, g, e in (("before", games, events), ("after", fixed_games, fixed_events)):
+        for part in (_checksum(g, ("home_team_id", "away_team_id"), side, "games"), _checksum(e, ("owner_team_id",), side, "events"), _checksum(control(g), (), side, "control")):
+            sums = part if sums is None else sums.unionByName(part)
+    rows = {(r["table"], r["side"]): (r["n"], r["a"], r["b"]) for r in sums.collect()}  # six rows
+    changed = [t for t in ("games", "events", "control") if rows.get((t, "before")) != rows.get((t, "after"))]
+    left = fixed_events.join(want, "game_id", "left_semi").where(F.col("owner_team_id") == old)
+    if changed or not left.isEmpty():
+        raise ValueError(f"the repair changed other facts of {changed}" if changed else "the repair did not complete")
+    update = F.col("home_team_id").eqNullSafe(F.lit(old)) | F.col("away_team_id").eqNullSafe(F.lit(old))
+    by_game = events.join(want, "game_id", "left_semi").groupBy("game_id").agg(F.count_if(F.col("owner_team_id") == old).alias("_e"))
+    report = (
+        expected.select("game_id", "season", "game_type").join(games.select("game_id", update.alias("_u")), "game_id", "left").join(by_game, "game_id", "left")
+        .groupBy("season", "game_type").agg(F.count("_u").alias("games"), F.count_if("_u").alias("games_to_update"), F.coalesce(F.sum("_e"), F.lit(0)).alias("events_to_update"))
+    )
+    return fixed_games, fixed_events, report
 
 
 def repair_goal_shots(goals: DataFrame, shots: DataFrame) -> DataFrame:
@@ -47,16 +122,6 @@ def reset_before(events: DataFrame, season: int) -> DataFrame:
     )
 
 
-def backfill_scope(events: DataFrame, games: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``events`` with missing season, game_type and game_date filled from their games, and those still without."""
-    scope = games.select("game_id", *[F.col(c).alias(f"_{c}") for c in ("season", "game_type", "game_date")])
-    out = events.join(scope, "game_id", "left")
-    for c in ("season", "game_type", "game_date"):
-        out = out.withColumn(c, F.coalesce(c, f"_{c}"))
-    out = out.select(*events.columns)
-    return out, out.where("season IS NULL OR game_type IS NULL OR game_date IS NULL")
-
-
 def replay_details(current: DataFrame, archived: DataFrame, details: list[str], bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Missing details from archived documents: (rows to add, status by game).
 

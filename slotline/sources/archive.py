@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotline.operators.ordered import out_of_order, write_ordered
 from slotline.sources import files
 
 EVENT_TYPES = (
@@ -65,29 +66,30 @@ def read_observations(spark: SparkSession, root: str) -> DataFrame:
 
 
 def export_sources(frames: dict[str, DataFrame], path: str, *, version: int, season: int) -> None:
-    """Nested inputs by game, one directory each, and a manifest; an existing path is refused."""
+    """Nested inputs by game, one directory each, in order of the games, and a manifest; an existing path is refused."""
     spark = next(iter(frames.values())).sparkSession
     games = None
     for name, df in frames.items():
         columns = [c for c in df.columns if c != "game_id"]
         nested = df.groupBy("game_id").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("rows"))
-        nested.write.mode("errorifexists").parquet(f"{path}/{name}")
-        games = nested.select("game_id") if games is None else games.union(nested.select("game_id"))
+        write_ordered(nested, f"{path}/{name}", ["game_id"])
+        ids = spark.read.parquet(f"{path}/{name}").select("game_id")
+        games = ids if games is None else games.union(ids)
     n = games.distinct().count()
     spark.createDataFrame([(version, season, n)], "version int, season int, games long").coalesce(1).write.json(f"{path}/manifest")
 
 
 def replay_sources(spark: SparkSession, path: str, names: list[str], *, version: int, season: int) -> dict[str, DataFrame]:
-    """Exported inputs; the manifest must match, and game ids be unique and as many as it says."""
+    """Exported inputs; the manifest must match, and game ids ascend, file after file, and be as many as it says."""
     head = spark.read.schema("version int, season int, games long").json(f"{path}/manifest").first()
     if (head["version"], head["season"]) != (version, season):
         raise ValueError(f"the export is of version {head['version']} and season {head['season']}")
     frames = {n: spark.read.parquet(f"{path}/{n}") for n in names}
     ids = None
     for n, df in frames.items():
-        rows, distinct = df.agg(F.count(F.lit(1)), F.count_distinct("game_id")).first()
-        if rows != distinct:
-            raise ValueError(f"{n} has repeated games")
+        wrong = out_of_order(spark, f"{path}/{n}", "game_id").limit(5).collect()
+        if wrong:
+            raise ValueError(f"{n} has games out of order or repeated: {[r['key'] for r in wrong]}")
         ids = df.select("game_id") if ids is None else ids.union(df.select("game_id"))
     if ids.distinct().count() != head["games"]:
         raise ValueError("the export's games are not as many as its manifest says")
