@@ -829,14 +829,6 @@ def season_audit(v):
     return audit.season_audit(_game_coverage(v), rows, events, _toi(v), v("hx_official").where("game_id % 6 <> 1"))
 
 
-@query()
-def html_rows(v):
-    """What structure each archived page has."""
-    from slotline.sources.pages import page_outline
-
-    return page_outline(v("pages"))
-
-
 QUERIES["stream_archive"] = jobs.archived_documents
 ORACLES["stream_archive"] = "SELECT sha256(coalesce(text, '')) AS content_sha256, count(*) AS sightings FROM documents GROUP BY 1"
 QUERIES["stream_revisions"] = jobs.revised_orders

@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from slotline.functions.scalars import described_team, optional_team, report_clock, report_event_type
+from slotline.functions.scalars import clock_seconds, described_team, optional_team, report_clock, report_event_type
 
 _ROW = re.compile(r"<tr[^>]*class=[\"']?[^\"'>]*(?:evenColor|oddColor)[^>]*>(.*?)</tr>", re.I | re.S)
 _CELL = re.compile(r"<td[^>]*>(.*?)</td>", re.I | re.S)
@@ -71,25 +73,159 @@ def report_events(rows: DataFrame, key: str = "page_id") -> DataFrame:
     return typed.dropna(subset=["report_event_id", "period", "clock", "event_type"])
 
 
-def list_items(html: str) -> list[str]:
-    """Texts of a page's list items."""
-    return [t for t in (_text(x) for x in re.findall(r"<li[^>]*>(.*?)</li>", html, re.I | re.S)) if t]
-
-
-def page_outline(pages: DataFrame) -> DataFrame:
-    """(page_id, n_rows, n_items, n_paragraphs): what structure each page has."""
-    slim = pages.select("page_id", "html")
+#: Elements without an end tag: fixed values.
+VOID = frozenset("area base br col embed hr img input link meta param source wbr".split())
+
+
+class _Tables(HTMLParser):
+    """Table rows of a page in the order of their start: (classes, cells of (classes, text, marks)).
+
+    A cell's text holds that of tables inside it; its marks are the (title, text)
+    of the titled elements inside it. One pass: text goes to the innermost open
+    cell and element only, and to the ones around when these close. Cells and
+    rows that a page leaves open close where their table's next one begins.
+    """
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.rows: list = []
+        # of a tag: name, its cell or row, pieces of text, marks of what lies inside
+        self.open: list[tuple[str, object, list[str], list[tuple[str, str]]]] = []
+
+    def _close(self, at: int) -> None:
+        """Closes everything from a place on."""
+        while len(self.open) > at:
+            tag, own, pieces, marks = self.open.pop()
+            text = "".join(pieces)
+            if tag in ("td", "th") and own is not None:
+                own[1], own[2] = text, marks
+            elif isinstance(own, str):
+                marks = [(own, text), *marks]
+            if self.open:
+                self.open[-1][2].append(text)
+                self.open[-1][3].extend(marks)
+
+    def _innermost(self, tags: tuple[str, ...]) -> int | None:
+        """Where the innermost open one of some tags is, inside the current table."""
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i][0] in tags:
+                return i
+            if self.open[i][0] == "table":
+                return None
+        return None
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in VOID:
+            if tag == "br" and self.open:
+                self.open[-1][2].append(" ")
+            return
+        if tag in ("tr", "td", "th"):
+            before = self._innermost(("tr",) if tag == "tr" else ("td", "th"))
+            if before is not None:
+                self._close(before)
+        named = dict(attrs)
+        own: object = named.get("title") if tag not in ("tr", "td", "th") else None
+        if tag == "tr":
+            own = ((named.get("class") or "").split(), [])
+            self.rows.append(own)
+        elif tag in ("td", "th"):
+            row = self._innermost(("tr",))
+            if row is not None and tag == "td":
+                own = [(named.get("class") or "").split(), "", []]
+                self.open[row][1][1].append(own)
+        self.open.append((tag, own, [], []))
+
+    def handle_endtag(self, tag: str) -> None:
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i][0] == tag:
+                self._close(i)
+                return
+            if self.open[i][0] == "table" and tag != "table" and tag not in ("html", "body"):
+                return  # an end tag inside a cell's table closes nothing around it
+
+    def handle_data(self, data: str) -> None:
+        if self.open:
+            self.open[-1][2].append(data)
+
+
+def table_rows(html: str) -> list[tuple[list[str], list[tuple[list[str], str, list[tuple[str, str]]]]]]:
+    """All table rows of a page with their own cells, whatever tables lie inside these."""
+    reader = _Tables()
+    reader.feed(html)
+    reader.close()
+    reader._close(0)
+    return [(c, [tuple(x) for x in cells]) for c, cells in reader.rows]
+
+
+_CELLS = "array<struct<classes: array<string>, text: string, marks: array<struct<title: string, text: string>>>>"
+
+
+def extract_table_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """(key, row, classes, cells): every table row of every page, in order, with its own cells' classes, text and titled marks."""
+    slim = pages.select(key, html)
+    kind = slim.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell = pa.struct([("classes", pa.list_(pa.string())), ("text", pa.string()), ("marks", pa.list_(pa.struct([("title", pa.string()), ("text", pa.string())])))])
         for batch in batches:
-            html = [h or "" for h in batch.column(1).to_pylist()]
-            count = lambda f: pa.array([f(h) for h in html], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), count(lambda h: len(report_rows(h)[1])), count(lambda h: len(list_items(h))), count(lambda h: len(re.findall(r"<p[\s>]", h)))],
-                ["page_id", "n_rows", "n_items", "n_paragraphs"],
-            )
-
-    return slim.mapInArrow(run, "page_id long, n_rows long, n_items long, n_paragraphs long")
+            for k, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rows = table_rows(h or "")
+                cells = [[{"classes": c, "text": " ".join(t.split()), "marks": [{"title": a, "text": " ".join(b.split())} for a, b in m]} for c, t, m in own] for _, own in rows]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k] * len(rows), batch.schema.field(0).type), pa.array(range(len(rows)), pa.int32()), pa.array([c for c, _ in rows], pa.list_(pa.string())), pa.array(cells, pa.list_(cell))],
+                    [key, "row", "classes", "cells"],
+                )
+
+    return slim.mapInArrow(run, f"{key} {kind}, row int, classes array<string>, cells {_CELLS}")
+
+
+def extract_toi_rows(rows: DataFrame, key: str = "page_id") -> tuple[DataFrame, DataFrame]:
+    """Shift rows of time-on-ice reports, from ``extract_table_rows``, and the rows that can't be read with the reason.
+
+    A row with a ``playerHeading`` cell names the player, by jersey, of the rows
+    after it. Marked rows of seven cells without a `` / `` are summaries of
+    periods; others have six cells: number, period (OT is 4), start and end as
+    ``elapsed / left``, duration. Start, end and duration have to agree.
+    """
+    heading = F.element_at(F.filter("cells", lambda c: F.array_contains(c["classes"], "playerHeading")), 1)
+    named = F.when(F.size(F.filter("cells", lambda c: F.array_contains(c["classes"], "playerHeading"))) > 0, heading["text"])
+    jersey = F.regexp_extract(named, r"^([0-9]+)", 1).try_cast("int")
+    said = rows.withColumn("_head", named).withColumn("_jersey", jersey)
+    so_far = Window.partitionBy(key).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
+    said = said.withColumn("jersey", F.last(F.when(F.col("_head").isNotNull(), F.struct(F.col("_jersey").alias("n"))), ignorenulls=True).over(so_far)["n"])
+    marked = said.where(F.arrays_overlap("classes", F.array(F.lit("oddColor"), F.lit("evenColor"))))
+    text = lambda i: F.try_element_at("cells", F.lit(i + 1))["text"]
+    summary = (F.size("cells") == 7) & ~F.exists("cells", lambda c: c["text"].contains(" / "))
+    shifts = marked.where(~summary)
+    clock = lambda c: clock_seconds(F.trim(F.element_at(F.split(c, " / "), 1)))
+    read = shifts.select(
+        key, "row", "jersey", F.size("cells").alias("_n"), text(0).try_cast("int").alias("shift_number"), F.when(text(1) == "OT", 4).otherwise(text(1).try_cast("int")).alias("period"),
+        clock(text(2)).alias("start_s"), clock(text(3)).alias("end_s"), clock_seconds(F.trim(text(4))).alias("duration_s"),
+    )
+    bad = lambda c: F.coalesce(c, F.lit(True))
+    reason = (
+        F.when(F.col("_n") != 6, "unrecognized_row").when(F.col("jersey").isNull(), "no_player").when(F.col("shift_number").isNull() | bad(F.col("period") < 1), "unreadable_number")
+        .when(bad((F.col("start_s") > F.col("end_s")) | (F.col("end_s") > 1200) | (F.col("end_s") - F.col("start_s") != F.col("duration_s"))), "incoherent_interval")
+    )
+    judged = read.withColumn("reason", reason)
+    return judged.where("reason IS NULL").drop("_n", "reason"), judged.where("reason IS NOT NULL").select(key, "row", "reason")
+
+
+def extract_on_ice_rows(rows: DataFrame, key: str = "page_id") -> DataFrame:
+    """(key, report_event_id, period, sec, event_type, side, jersey, role): who was on the ice at each event of modern play-by-play reports.
+
+    Marked rows of eight cells: number, period, strength, ``elapsed left``, type,
+    description, and the away and the home players as elements titled ``position
+    - name``. Rows of no known type are left out.
+    """
+    marked = rows.where(F.arrays_overlap("classes", F.array(F.lit("oddColor"), F.lit("evenColor"))) & (F.size("cells") == 8))
+    text = lambda i: F.element_at("cells", i + 1)["text"]
+    player = lambda side, i: F.transform(F.element_at("cells", i + 1)["marks"], lambda m: F.struct(F.lit(side).alias("side"), m["text"].try_cast("int").alias("jersey"), F.when(m["title"].startswith("Goalie -"), "goalie").otherwise("skater").alias("role")))
+    typed = marked.select(
+        key, text(0).try_cast("int").alias("report_event_id"), text(1).try_cast("int").alias("period"), clock_seconds(F.try_element_at(F.split(text(3), " "), F.lit(1))).alias("sec"),
+        report_event_type(text(4)).alias("event_type"), F.explode(F.concat(player("away", 6), player("home", 7))).alias("p"),
+    )
+    return typed.dropna(subset=["report_event_id", "period", "sec", "event_type"]).select(key, "report_event_id", "period", "sec", "event_type", "p.*")
 
 
 def on_ice_rows(rows: DataFrame, roster: DataFrame) -> tuple[DataFrame, DataFrame]:
