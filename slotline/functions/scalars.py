@@ -121,6 +121,16 @@ def is_completed(state: Column) -> Column:
     return state.isin(*COMPLETED)
 
 
+def is_supported_type(game_type: Column) -> Column:
+    """Whether the source's game type is one that is stored: preseason, season, playoffs, all-star."""
+    return game_type.isin(1, 2, 3, 4)
+
+
+def is_analysed_type(game_type: Column) -> Column:
+    """Whether games of this type are analysed: season and playoffs."""
+    return game_type.isin(2, 3)
+
+
 def position_role(position: Column) -> Column:
     """goalie, skater or unknown from a position letter."""
     return F.when(position == "G", "goalie").when(position.isin("C", "L", "R", "LW", "RW", "D", "F"), "skater").otherwise("unknown")
@@ -182,11 +192,6 @@ def listed(member: Column, comma_list: Column) -> Column:
     return F.array_contains(F.transform(F.split(comma_list, ","), lambda x: F.trim(x)), member)
 
 
-def differs(a: Column, b: Column) -> Column:
-    """Null-safe inequality."""
-    return ~a.eqNullSafe(b)
-
-
 def ratio(part: Column, whole: Column, empty: float | None = None) -> Column:
     """part / whole, or ``empty`` where whole is zero."""
     return F.when(whole == 0, F.lit(empty).cast("double")).otherwise(part.cast("double") / whole)

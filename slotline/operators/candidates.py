@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotline.functions.scalars import is_completed
+from slotline.functions.scalars import is_analysed_type, is_completed
 from slotline.operators.rollups import freshness
 from slotline.operators.tables import union_distinct
 
@@ -29,7 +29,7 @@ def event_candidates(
     reasons: every such game from that date on. ``days`` (0 to 366) overrides the
     window's length; 0 leaves the window out.
     """
-    past = games.where(F.col("game_type").isin(2, 3) & (F.col("game_date") <= today))
+    past = games.where(is_analysed_type(F.col("game_type")) & (F.col("game_date") <= today))
     done = games.where(is_completed(F.col("game_state")))
     if since is not None:
         return past.where(F.col("game_date") >= since).select("game_id").join(done, "game_id", "left_semi")
@@ -45,7 +45,7 @@ def event_candidates(
 
 def official_candidates(games: DataFrame, attempts: DataFrame, today: Column) -> DataFrame:
     """Games whose official report is to be read: in the window, or last failed, running or unavailable."""
-    done = games.where(is_completed(F.col("game_state")) & F.col("game_type").isin(2, 3))
+    done = games.where(is_completed(F.col("game_state")) & is_analysed_type(F.col("game_type")))
     window = done.where(F.col("game_date").between(correction_window(today), today)).select("game_id")
     redo = latest_outcome(attempts).where("outcome IN ('failed', 'running', 'unavailable')").select("game_id")
     return union_distinct(window, redo.join(done, "game_id", "left_semi"))
@@ -53,7 +53,7 @@ def official_candidates(games: DataFrame, attempts: DataFrame, today: Column) ->
 
 def recovery_candidates(games: DataFrame, attempts: DataFrame, today: Column, season: int) -> DataFrame:
     """Completed games of a season that are recent or whose latest outcome isn't complete."""
-    done = games.where(is_completed(F.col("game_state")) & (F.col("season") == season) & F.col("game_type").isin(2, 3))
+    done = games.where(is_completed(F.col("game_state")) & (F.col("season") == season) & is_analysed_type(F.col("game_type")))
     rows = done.join(latest_outcome(attempts), "game_id", "left")
     return rows.where((F.col("game_date") >= correction_window(today)) | ~F.col("outcome").eqNullSafe(F.lit("complete"))).select("game_id")
 
@@ -68,7 +68,7 @@ def polling_candidates(games: DataFrame, attempts: DataFrame, now: Column) -> Da
 
 def interval_candidates(games: DataFrame, shifts: DataFrame, *, refresh: bool = False) -> DataFrame:
     """Eligible completed games without stored rows, or all of them."""
-    rows = games.where(is_completed(F.col("game_state")) & F.col("game_type").isin(2, 3) & (F.col("season") >= 20102011)).select("game_id")
+    rows = games.where(is_completed(F.col("game_state")) & is_analysed_type(F.col("game_type")) & (F.col("season") >= 20102011)).select("game_id")
     return rows if refresh else rows.join(shifts.select("game_id").distinct(), "game_id", "left_anti")
 
 
@@ -97,7 +97,7 @@ def rotating_audit(checks: DataFrame, active: list[int], today: Column, *, days:
 
 def official_range(games: DataFrame, first: Column, last: Column) -> DataFrame:
     """Completed games of types 2 and 3 in a date range."""
-    return games.where(is_completed(F.col("game_state")) & F.col("game_type").isin(2, 3) & F.col("game_date").between(first, last)).select("game_id")
+    return games.where(is_completed(F.col("game_state")) & is_analysed_type(F.col("game_type")) & F.col("game_date").between(first, last)).select("game_id")
 
 
 def season_list(games: DataFrame, only: list[int] | None = None) -> DataFrame:

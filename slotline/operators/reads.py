@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slotline.functions.scalars import is_supported_type
+
 
 def build_roster_snapshot(members: DataFrame, teams: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members joined to their teams, and the members whose team is unknown."""
@@ -49,5 +51,17 @@ def shift_inputs(shifts: DataFrame, teams: DataFrame, players: DataFrame) -> Dat
 
 
 def game_inventory(games: DataFrame) -> DataFrame:
-    """Games' identity columns."""
-    return games.select("game_id", "season", "game_type", "game_date", "game_state", "home_team_id", "away_team_id")
+    """Games of the stored types under their readers' names; team references are franchises."""
+    return games.where(is_supported_type(F.col("game_type"))).select(
+        "game_id", F.col("season").alias("season_code"), "game_date", F.col("home_team_id").alias("home_franchise_id"), F.col("away_team_id").alias("away_franchise_id"), "game_type", "game_state"
+    )
+
+
+def franchises(teams: DataFrame) -> DataFrame:
+    """Teams under their readers' names."""
+    return teams.select(F.col("team_id").alias("franchise_id"), "full_name", "abbrev")
+
+
+def season_catalog(seasons: DataFrame) -> DataFrame:
+    """Seasons under their readers' names."""
+    return seasons.select(F.col("season").alias("season_code"), "start_date", "end_date")

@@ -104,7 +104,7 @@ def refresh_pending(
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh.schema)
     kept = read_product(spark, root, schema, touched).join(keys, key, "left_anti").select(fresh.columns)
     before, folder = _current(spark, root), f"{root}/rows/version={seen}"
-    kept.unionByName(fresh).withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(folder)
+    kept.unionByName(fresh).withColumn("bucket", bucket).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
     for b in touched:
         files.mark(spark, f"{folder}/_buckets/{b}")
     files.mark(spark, f"{root}/_published/{seen}")

@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 from slotline.operators.ordered import out_of_order, write_ordered
 from slotline.sources import files
 
-EVENT_TYPES = (
-    "blocked-shot", "faceoff", "giveaway", "goal", "hit", "missed-shot", "penalty", "shot-on-goal", "takeaway",
-)
-
-
 #: Documents are dealt by the first two digits of their hashes.
 PREFIX = 2
 
@@ -43,7 +38,7 @@ def archive_bodies(batch: DataFrame, root: str, run: int | str) -> bool:
 
 
 def _stage(df: DataFrame, path: str, *by: str) -> None:
-    df.write.mode("overwrite").partitionBy(*by).parquet(path)
+    (df.hint("rebalance", *by) if by else df).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def _published(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
@@ -99,8 +94,3 @@ def replay_sources(spark: SparkSession, path: str, names: list[str], *, version:
 def write_diagnostics(df: DataFrame, path: str) -> None:
     """JSON lines."""
     df.write.mode("errorifexists").json(path)
-
-
-def coverage_catalog(spark: SparkSession, declared: dict[str, int | None]) -> DataFrame:
-    """(event_type, declared_season): what the archive claims to hold."""
-    return spark.createDataFrame(list(declared.items()), "event_type string, declared_season int")

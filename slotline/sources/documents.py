@@ -150,20 +150,6 @@ def read_rosters(raw: DataFrame, body: str = "body") -> DataFrame:
     return docs.select("team_id", F.explode(F.concat(label("forwards", "forward"), label("defensemen", "defenseman"), label("goalies", "goalie"))).alias("m")).select("team_id", "m.*")
 
 
-def read_official_games(summary: DataFrame, realtime: DataFrame, goalies: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Official rows per player, and per game whether both skater reports name the same players."""
-    keys = ["game_id", "player_id"]
-    seconds = lambda c: F.round(c).cast("long").alias("toi_s")
-    skaters = summary.join(realtime, keys, "left").select(*keys, F.lit("skater").alias("player_type"), seconds(F.col("toi")), "goals", "assists", "shots", "hits", "blocks")
-    keepers = goalies.select(*keys, F.lit("goalie").alias("player_type"), seconds(F.col("toi")), *[F.lit(None).cast("long").alias(c) for c in ("goals", "assists", "shots", "hits", "blocks")])
-    sets = lambda df, n: df.groupBy("game_id").agg(F.collect_set("player_id").alias(n))
-    both = sets(summary, "a").join(sets(realtime, "b"), "game_id", "full")
-    none = F.array().cast("array<bigint>")
-    a, b = F.coalesce("a", none), F.coalesce("b", none)
-    checks = both.select("game_id", ((F.size(F.array_except(a, b)) == 0) & (F.size(F.array_except(b, a)) == 0)).alias("same_players"))
-    return skaters.unionByName(keepers), checks
-
-
 def read_official_seasons(raw: DataFrame, fields: list[str], body: str = "body") -> DataFrame:
     """(season, game_type, player_id, fields) from season totals; absent fields are null."""
     schema = "data array<struct<playerId: long, " + ", ".join(f"{f}: double" for f in fields) + ">>"

@@ -58,7 +58,8 @@ class KeyedState:
             same = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in self.keys]
             kept = self._read(batch_id, None).alias("old").join(rows.select(*self.keys).distinct().alias("new"), same, "left_anti")
             rows = kept.select(*columns).unionByName(rows)
-        rows.withColumn("bucket", self.bucket()).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/batch={batch_id}")
+        # rebalanced, a bucket is few files: small ones share a task, large ones are split
+        rows.withColumn("bucket", self.bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/batch={batch_id}")
         self._expire(batch_id)
 
     def _expire(self, batch_id: int) -> None:
