@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from slotline.functions.scalars import FIRST_SUPPORTED_SEASON, is_completed, ratio
+from slotline.functions.scalars import FIRST_SUPPORTED_SEASON, is_analysed_type, is_completed, ratio
 
 
 def physical_season_totals(events: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ def interval_game_coverage(games: DataFrame, shifts: DataFrame, fetches: DataFra
     unsupported, loaded, unavailable, failed or no_stored, the first that fits.
     """
     n = shifts.groupBy("game_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    rows = games.where(is_completed(F.col("game_state")) & F.col("game_type").isin(2, 3)).join(n, "game_id", "left").join(fetches, "game_id", "left")
+    rows = games.where(is_completed(F.col("game_state")) & is_analysed_type(F.col("game_type"))).join(n, "game_id", "left").join(fetches, "game_id", "left")
     status = (
         F.when(F.col("season") < FIRST_SUPPORTED_SEASON, "unsupported").when(F.col("n_rows") > 0, "loaded")
         .when(F.col("outcome") == "unavailable", "unavailable").when(F.col("outcome") == "failed", "failed").otherwise("no_stored")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from slotline.plans import document_queries, report_queries, stream_queries, table_queries  # noqa: F401  they register their queries
+from slotline.plans import catalog_queries, document_queries, report_queries, stream_queries, table_queries  # noqa: F401  they register their queries
 from slotline.plans.queries import oracle_sql, queries
 
 __all__ = ["oracle_sql", "queries"]
