@@ -170,14 +170,24 @@ def warning_digest(v):
     return audit.warning_digest(rows).select("n", F.array_join("examples", "; ").alias("examples"))
 
 
+#: Source fields of the reports that are made by a rule, in both dialects: n is a player's number of shifts.
+MADE = {
+    a: f"cast((n + {i}) % {5 + i % 6} AS {'DOUBLE' if t == 'double' else 'INT'})"
+    for i, (a, t) in enumerate({a: t for a, _, t in (*documents.SKATER_SUMMARY, *documents.SKATER_REALTIME, *documents.GOALIE_SUMMARY) if t != "string" and a not in ("seasonId", "timeOnIcePerGame", "timeOnIce")}.items())
+}
+
+
+def _made_sql(fields, when: str = "true") -> str:
+    return ", ".join(f"CASE WHEN {when} THEN {MADE[a]} END AS {b}" for a, b, _ in fields if a in MADE)
+
+
 def reports(v):
     """(game_id, game_type, summary, realtime, goalies): official report bodies from the shifts, some of them wrong."""
     per = v("hx_shifts").groupBy("game_id", "player_id", "team_id", "role").agg(F.sum(F.col("end_s") - F.col("start_s")).alias("t"), F.count(F.lit(1)).alias("n"))
     season = F.expr("cast(CASE WHEN game_id % 4 = 0 THEN 20082009 ELSE 20252026 END AS int)").alias("seasonId")
     one = F.struct(
         F.col("player_id").alias("playerId"), season, F.concat(F.lit("T"), "team_id").alias("teamAbbrevs"), F.concat(F.lit("P"), "player_id").alias("skaterFullName"),
-        F.concat(F.lit("P"), "player_id").alias("goalieFullName"), F.lit("C").alias("positionCode"), (F.col("n") % 5).alias("goals"), (F.col("n") % 3).alias("assists"),
-        (F.col("t") + 0.25).alias("timeOnIcePerGame"), F.col("t").alias("timeOnIce"), (F.col("n") % 4).alias("hits"), (F.col("n") % 7).alias("saves"),
+        F.concat(F.lit("P"), "player_id").alias("goalieFullName"), F.lit("C").alias("positionCode"), (F.col("t") + 0.25).alias("timeOnIcePerGame"), F.col("t").alias("timeOnIce"), *[F.expr(e).alias(a) for a, e in MADE.items()],
     )
     of = lambda c: F.sort_array(F.collect_list(F.when(c, one)))
     skater = F.col("role") == "skater"
@@ -200,18 +210,18 @@ def refused_reports(v):
     return documents.read_official_reports(reports(v))[2]
 
 
-@query(_O + """SELECT game_id, player_id, cast(CASE WHEN game_id % 4 = 0 THEN 20082009 ELSE 20252026 END AS int) AS season, 'T' || team_id AS team_abbrev, 'P' || player_id AS full_name, 'C' AS position_code,
-    n % 5 AS goals, n % 3 AS assists, CASE WHEN NOT gone THEN n % 4 END AS hits, cast(t AS int) AS toi_s FROM per JOIN why USING (game_id) WHERE reason IS NULL AND role = 'skater'""")
+@query(_O + f"""SELECT game_id, cast(2 AS INT) AS game_type, player_id, cast(CASE WHEN game_id % 4 = 0 THEN 20082009 ELSE 20252026 END AS int) AS season, 'T' || team_id AS team_abbrev, 'P' || player_id AS full_name, 'C' AS position_code,
+    {_made_sql(documents.SKATER_SUMMARY)}, {_made_sql(documents.SKATER_REALTIME, "NOT gone")}, cast(t AS int) AS toi_s FROM per JOIN why USING (game_id) WHERE reason IS NULL AND role = 'skater'""")
 def official_skaters(v):
-    """Skaters of the official reports; without a row of the second report its values are null."""
-    rows = documents.read_official_reports(reports(v))[0]
-    return rows.select("game_id", "player_id", "season", "team_abbrev", "full_name", "position_code", "goals", "assists", "hits", "toi_s")
+    """Skaters of the official reports, all columns; without a row of the second report its values are null."""
+    return documents.read_official_reports(reports(v))[0]
 
 
-@query(_O + """SELECT game_id, player_id, 'T' || team_id AS team_abbrev, n % 5 AS goals, n % 7 AS saves, cast(t AS int) AS toi_s FROM per JOIN why USING (game_id) WHERE reason IS NULL AND role = 'goalie'""")
+@query(_O + f"""SELECT game_id, cast(2 AS INT) AS game_type, player_id, cast(CASE WHEN game_id % 4 = 0 THEN 20082009 ELSE 20252026 END AS int) AS season, 'T' || team_id AS team_abbrev, 'P' || player_id AS full_name,
+    {_made_sql(documents.GOALIE_SUMMARY)}, cast(t AS int) AS toi_s FROM per JOIN why USING (game_id) WHERE reason IS NULL AND role = 'goalie'""")
 def official_goalies(v):
-    """Goalies of the official reports."""
-    return documents.read_official_reports(reports(v))[1].select("game_id", "player_id", "team_abbrev", "goals", "saves", "toi_s")
+    """Goalies of the official reports, all columns."""
+    return documents.read_official_reports(reports(v))[1]
 
 
 def shift_bodies(v):
