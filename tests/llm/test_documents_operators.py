@@ -378,7 +378,7 @@ def test_all_bigrams_are_counted(spark):
         assert sorted((r["n"] & toxicity.LOW, r["n"] >> 32) for r in pairs.collect()) == want
 
 
-def plain_kneser_ney(rows):
+def plain_kneser_ney(rows, pair_strength, strength):
     """Both classes' models as functions of (word, history), and the words."""
     pairs = [Counter((a, b) for t, y in rows if y == c for a, b in zip(["", *t.split()], t.split(), strict=False)) for c in (0, 1)]
     off = lambda n: toxicity.discount(sum(x == 1 for x in n), sum(x == 2 for x in n))
@@ -397,27 +397,30 @@ def plain_kneser_ney(rows):
             types[a] += 1
 
         def probability(w, h):
-            low = max(contexts[c][w] - d1, 0) / n1 + d1 * len(contexts[c]) / n1 * shared(w)
+            low = max(contexts[c][w] - d1, 0) / (n1 + strength) + (d1 * len(contexts[c]) + strength) / (n1 + strength) * shared(w)
             if not after[h]:
                 return low
-            return max(pairs[c][h, w] - d, 0) / after[h] + d * types[h] / after[h] * low
+            n = after[h] + pair_strength
+            return max(pairs[c][h, w] - d, 0) / n + (d * types[h] + pair_strength) / n * low
 
         return probability
 
     return model(0), model(1), sorted(both)
 
 
-def test_kneser_ney_models(spark):
+@pytest.mark.parametrize(("pair_strength", "strength"), [(0.0, 0.0), (20.0, 7.0)])
+def test_kneser_ney_models(spark, pair_strength, strength):
     import pyarrow as pa
 
     rng = random.Random(37)
     letters = "abcdefghijklmnop"
     rows = [(" ".join(rng.choices(letters, weights=range(1, 17) if i % 3 else range(16, 0, -1), k=rng.randint(0, 25))), int(i % 3 == 0)) for i in range(60)]
-    ordinary, toxic, known = plain_kneser_ney(rows)
+    ordinary, toxic, known = plain_kneser_ney(rows, pair_strength, strength)
+    strengths = {"pair_strength": pair_strength, "strength": strength}
     for h in [*known, "", "zz"]:
         for p in (ordinary, toxic):
             assert sum(p(w, h) for w in [*known, "never seen"]) == pytest.approx(1, abs=1e-12)
-    model = toxicity.learn(spark.createDataFrame(rows, "text string, y int").repartition(3), keep_words=0.0, keep_pairs=0.0)
+    model = toxicity.learn(spark.createDataFrame(rows, "text string, y int").repartition(3), keep_words=0.0, keep_pairs=0.0, **strengths)
     texts = [t for t, _ in rows[:10]] + ["a new b word", "", "p p p"]
     for part in fastwords.words(pa.array(texts)):
         got = model.differences(part)[0]
@@ -426,7 +429,7 @@ def test_kneser_ney_models(spark):
             want = [np.log(toxic(w, h) / ordinary(w, h)) for h, w in zip(["", *own], own, strict=False)]
             assert got[part.splits[i] : part.splits[i + 1]] == pytest.approx(want, abs=1e-4)
     assert (model.words[1] < 0).any() and (model.words[1] > 0).any()  # evidence of both signs
-    few = toxicity.learn(spark.createDataFrame(rows, "text string, y int"), keep_words=0.02, keep_pairs=0.02)
+    few = toxicity.learn(spark.createDataFrame(rows, "text string, y int"), keep_words=0.02, keep_pairs=0.02, **strengths)
     assert 0 < len(few.words[0]) < len(model.words[0]) and len(few.pairs[0]) < len(model.pairs[0])
 
 
@@ -470,3 +473,14 @@ def test_decontamination_finds_paraphrases_short_and_repeated_items(spark):
     assert hit >= 0.9, hit
     assert [n for n in range(1000, 1200) if got[n]["contaminated"]] == []
     assert [got[n]["item_ids"] for n in range(2000, 2005)] == [[100], [101], [], [], []]
+
+
+def test_no_evidence_counts_against_toxicity():
+    """A measure that is lower in toxic texts gets no weight, and the threshold is where F1 is highest."""
+    rng = np.random.default_rng(0)
+    y = (rng.random(400) < 0.3).astype(int)
+    x = np.stack([-y + rng.normal(size=400) * 0.3, y + rng.normal(size=400) * 0.2, *rng.normal(size=(3, 400)), 1 - y + rng.normal(size=400)], axis=1)
+    model = toxicity.Model()
+    toxicity.calibrate(model, x, y, 0.7)
+    assert (model.weights[:-1] >= 0).all() and model.weights[0] == 0 and model.weights[1] > 0 > model.weights[-1]
+    assert ((model.score(x) >= 0.7) == y).mean() > 0.97
