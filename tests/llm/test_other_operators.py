@@ -131,6 +131,36 @@ def test_pages_are_labelled_by_the_cheapest_cut(spark):
     assert changed  # what a text alone tells is overruled by its surroundings
 
 
+def test_query_on_pages_with_contradictory_or_no_marks(spark):
+    """The whole operator against every labelling of small pages."""
+    import itertools
+
+    prose = "A long paragraph that reads like any other of its article, with a good deal of text and an end."
+    pages = [
+        f"<article><p>{prose}</p><div class=promo><p>{prose} More.</p></div><p>{prose}</p></article>",
+        f"<main><div class=sidebar><div class=content><p>{prose}</p></div></div><p>{prose}</p></main>",
+        "<div class=content><ul><li><a href=1>One</a></li><li><a href=2>Two</a></li></ul></div>",
+        f"<nav><article><p>{prose}</p></article></nav><footer class=article><a href=1>x</a></footer>",
+        f"<div><a href=1>x</a> <a href=2>y</a></div><div><p>{prose}</p><p>No</p></div>", "<p>one</p>two<p>three words here, that end.</p>", "", "<article></article>",
+    ]
+    df = spark.createDataFrame([(i, "u", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    prices = html.fit(df)
+    got = {r["page_id"]: r["text"] for r in html.extract(df).collect()}
+    for i, page in enumerate(pages):
+        found, elements = html.blocks(page)
+        own, n = (prices.of(found, elements) if found else []), len(found)
+        nodes = [*range(n), *[n + k for k, e in enumerate(elements) if e.blocks]]
+        edges = html.edges_of(found, elements)
+        costs = {}
+        for x in itertools.product([False, True], repeat=len(nodes)):
+            label = dict(zip(nodes, x, strict=True))
+            cost = sum(max(own[j], 0) if not label[j] else max(-own[j], 0) for j in nodes) + sum(w for a, b, w in edges if label[a] != label[b])
+            text = " ".join(b.text for b, c in zip(found, x, strict=False) if c)
+            costs[text] = min(cost, costs.get(text, 1e9))
+        assert costs[got[i]] == pytest.approx(min(costs.values()), abs=1e-6), page
+    assert got[6] == got[7] == ""
+
+
 @pytest.mark.parametrize("page", ["<a title=\"x " * 90_000, "<a \"'>'\"<b '\">\"' " * 60_000, "<" * 1_000_000, "<!-- " * 200_000, "<a" * 500_000])
 def test_tokens_of_broken_markup_take_linear_time(page):
     import time
