@@ -539,7 +539,8 @@ def scoring_facts(v):
     """Current facts and open retractions of eligible entities."""
     facts = v("hx_revisions")
     eligible = facts.where("recorded_at >= DATE '1996-01-01'").select("entity_key").distinct()
-    return versions.scoring_facts(facts, _changes(v), ["entity_key"], ["player_id", "stat_code"], eligible)
+    own = facts.join(eligible, "entity_key", "left_semi")  # before the feed, which compares whole histories
+    return versions.scoring_facts(own, versions.fact_changes(own, ["entity_key"], ["player_id", "stat_code"]), ["entity_key"], ["player_id", "stat_code"], eligible)
 
 
 @query("SELECT p_partkey, stat_code, stat_value FROM (UNPIVOT (SELECT p_partkey, cast(p_size AS double) AS p_size, cast(CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_retailprice END AS double) AS p_retailprice FROM part) ON p_size, p_retailprice INTO NAME stat_code VALUE stat_value)")
