@@ -215,7 +215,9 @@ def mix_documents(
         F.col("source").alias("_s"), F.col("_bucket").alias("_b"),
         F.coalesce(F.sum("_sum").over(before(Window.partitionBy("source").orderBy("_bucket"))), F.lit(0)).alias("_base"),
     )
-    inside = before(Window.partitionBy("source", "_bucket").orderBy("_hash", "doc_id", "size"))
+    # rows of one id, source and size are told apart by what they carry, so that reruns agree on it
+    told = [F.xxhash64(*[f"_carry_{c}" for c in carry])] if carry else []
+    inside = before(Window.partitionBy("source", "_bucket").orderBy("_hash", "doc_id", "size", *told))
     placed = (
         keyed.withColumn("_before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(sums, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))

@@ -58,6 +58,16 @@ def test_mixing(documents, awkward):
     assert sorted(map(str, again)) == sorted(str(r) for r in mixing.mix_documents(documents).select("doc_id", "size", "taken").collect())
 
 
+def test_rows_of_one_id_and_size_keep_their_texts_in_reruns(spark):
+    rows = [(1, f"{c} b c", "s", k) for k, c in enumerate("adefghijkl")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    runs = []
+    for n in (1, 3, 8):
+        mixed = mixing.mix_documents(df.repartition(n, F.rand(n)), carry=("text", "n_chars"))
+        runs.append(sorted(map(str, mixed.select("text", "n_chars", "taken", F.to_json("draws").alias("d")).collect())))
+    assert runs[0] == runs[1] == runs[2]
+
+
 def test_mixed_blocks_hold_the_words_taken(documents):
     mixed = mixing.mix_documents(documents, carry=("text",))
     blocks = mixing.mixed_blocks(mixed)
@@ -93,6 +103,24 @@ def test_sharding(documents, awkward):
     assert key(sharding.shard_documents(documents.repartition(6), n_shards=7).collect()) == key(got)
 
 
+@pytest.mark.parametrize("piece", [1 << 16, 7, 1])
+def test_sharding_of_very_many_equal_rows(spark, monkeypatch, piece):
+    """Shards and slots are those of the permuted row numbers, and equal rows are split into pieces."""
+    monkeypatch.setattr(sharding, "PIECE", piece)
+    rows = [(None, None)] * 500 + [(3, "a")] * 40 + [(3, "b"), (4, "a")] + [(i, f"t{i}") for i in range(10, 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sharding.shard_documents(df, n_shards=7, seed=2).collect()
+    assert Counter((r["doc_id"], r["text_crc32"]) for r in got) == Counter((i, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert sorted(r["row_number"] for r in got) == list(range(len(rows)))
+    moved = {r["id"]: r["p"] for r in spark.range(len(rows)).select("id", permute(F.col("id"), F.lit(len(rows)), 2).alias("p")).collect()}
+    assert all((r["shard"], r["slot"]) == (moved[r["row_number"]] % 7, moved[r["row_number"]] // 7) for r in got)
+    nobody = sorted(r["row_number"] for r in got if r["doc_id"] is None)
+    runs = 1 + sum(b - a > 1 for a, b in zip(nobody, nobody[1:], strict=False))
+    assert (runs == 1) == (piece > 500)
+    again = sharding.shard_documents(df.repartition(2), n_shards=7, seed=2).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+
+
 def plain_simhash(text):
     words = WORDS.findall((text or "").encode().lower())
     if not words:
