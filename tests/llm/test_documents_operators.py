@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -317,6 +318,34 @@ def test_classifiers_without_labels(judged):
     assert {r["predicted"] for r in toxicity.classify(docs, labels.limit(0)).collect()} == {0}
 
 
+def test_scores_of_batches_are_those_of_single_texts(judged, awkward, monkeypatch):
+    """The query against its plain version, row by row, on every awkward text."""
+    texts = [r[1] for r in awkward] + [
+        "a\nb\n\na\n", "\n", "\n\n\n", " x", "x ", "x\x0by\x0cz\r\nx", "a a a a b a a", "é. ü! 漢字", "A.B,C 12 3", "z" * 5000, "\x00 \x7f \x1c y", "", None, "\x85 \u2028 \u3000a",
+    ]
+    rng = np.random.default_rng(3)
+    machine = quality.Machine(0.1, rng.normal(0, 0.3, quality.SIZE).astype(np.float32), rng.normal(0, 0.3, (quality.SIZE, 8)).astype(np.float32))
+    plain = np.array([machine.score((t or "").encode()) for t in texts])
+    for limit in (1 << 17, 64, 1000):
+        monkeypatch.setattr(quality, "SLICE", limit)
+        assert np.allclose(machine.scores(pa.array(texts, pa.string())), plain, atol=2e-5)
+        assert np.allclose(machine.scores(pa.array([None, *texts], pa.large_string())[1:]), plain, atol=2e-5)
+        data = [(t or "").encode() for t in texts]
+        bounds = np.cumsum([0, *map(len, data)])
+        text, index, value = quality.batch_features(np.frombuffer(b"".join(data), np.uint8), bounds)
+        for k, d in enumerate(data):
+            want_i, want_v = quality.features(d)
+            got = dict(zip(index[text == k].tolist(), value[text == k].tolist(), strict=True))
+            assert got.keys() == set(want_i.tolist())
+            assert all(abs(got[i] - v) < 1e-6 for i, v in zip(want_i.tolist(), want_v.tolist(), strict=True))
+    docs, labels = judged
+    machine = quality.fit(docs, labels)
+    got = quality.classify(docs, labels).select("doc_id", "score", "predicted").collect()
+    want = Counter((r["doc_id"], round(machine.score((r["text"] or "").encode()), 4)) for r in docs.select("doc_id", "text").collect())
+    assert sum(want.values()) == len(got) and all((r["predicted"] == 1) == (r["score"] >= 0.3) for r in got)
+    assert sum((Counter((r["doc_id"], round(r["score"], 4)) for r in got) - want).values()) <= len(got) // 100  # rounding at the last digit
+
+
 def test_machine_identity():
     rng = np.random.default_rng(1)
     m = quality.Machine(0.3, rng.normal(size=quality.SIZE).astype(np.float32), rng.normal(size=(quality.SIZE, 4)).astype(np.float32))
