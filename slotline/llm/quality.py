@@ -88,7 +88,7 @@ def _segments(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return out * np.uint64(0xBF58476D1CE4E5B9) ^ (end - start).astype(np.uint64)
 
 
-def power(place: np.ndarray) -> np.ndarray:
+def _power(place: np.ndarray) -> np.ndarray:
     """A mixed multiplier for each place in a word or line."""
     x = (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -96,17 +96,48 @@ def power(place: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(31))) | np.uint64(1)
 
 
-def _groups(text: np.ndarray, key: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (text, key): their texts, keys and counts, in order, and each text's largest count."""
-    if not len(key):
-        return text, key, np.zeros(0, np.int64), np.zeros(n)
-    order = np.lexsort((key, text))
-    text, key = text[order], key[order]
-    first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (key[1:] != key[:-1])]))
-    count = np.diff(np.append(first, len(key)))
+_POWER = _power(np.arange(4096))
+
+
+def power(place: np.ndarray) -> np.ndarray:
+    """The multipliers; those of the first places are kept."""
+    return _POWER[place] if place.max(initial=0) < len(_POWER) else _power(place)
+
+
+#: A byte c takes crc32 from state s to _STEP[(s ^ c) & 255] ^ (s >> 8); the state is inverted at both ends.
+_STEP = np.array([zlib.crc32(bytes([c ^ 255])) ^ 0xFF000000 for c in range(256)], np.uint32)
+#: Longer words' checksums are taken one by one.
+_LONG = 64
+
+
+def _checksums(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """crc32 of each stretch of ``data``, a place of all of them at a time."""
+    length = end - start
+    state = np.full(len(start), 0xFFFFFFFF, np.uint32)
+    order = np.argsort(-length, kind="stable")
+    begin, sizes = start[order], length[order]
+    more = np.searchsorted(-sizes, -np.arange(1, _LONG + 1), side="right")  # stretches that reach each place
+    for k in range(min(_LONG, int(sizes[0]) if len(sizes) else 0)):
+        own = state[: more[k]]
+        state[: more[k]] = _STEP[(own ^ data[begin[: more[k]] + k]) & np.uint32(255)] ^ (own >> np.uint32(8))
+    out = np.empty(len(start), np.int64)
+    out[order] = ~state
+    for k in np.flatnonzero(length > _LONG).tolist():
+        out[k] = zlib.crc32(data[start[k] : end[k]].tobytes())
+    return out
+
+
+def _groups(text: np.ndarray, key: np.ndarray, keys: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (text, key below ``keys``): their texts, keys and counts, in order, and each text's largest count."""
+    both = np.sort(text * keys + key)
+    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
+    count = np.diff(np.append(first, len(both)))
+    text, key = both[first] // keys, both[first] % keys
     most = np.zeros(n)
-    np.maximum.at(most, text[first], count)
-    return text[first], key[first], count, most
+    if len(text):
+        begin = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+        most[text[begin]] = np.maximum.reduceat(count, begin)
+    return text, key, count, most
 
 
 def batch_features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,12 +154,12 @@ def batch_features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np
     end = np.flatnonzero(~space & (edge[1:] | np.concatenate([space[1:], [True]]))) + 1 if len(data) else start
     text = own[start]
     _, once, word = np.unique(_segments(data, start, end), return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    bucket = np.array([zlib.crc32(raw[a:b]) % WORD_BUCKETS for a, b in zip(start[once].tolist(), end[once].tolist(), strict=True)], np.int64)
+    bucket = _checksums(data, start[once], end[once]) % WORD_BUCKETS
+    known = max(len(once), 1)
     n_words = np.bincount(text, minlength=n)
-    of, distinct, count, most = _groups(text, word, n)
+    of, distinct, count, most = _groups(text, word, known, n)
     same = text[1:] == text[:-1]
-    pair_of, _, _, most_pairs = _groups(text[1:][same], (word[:-1] * max(len(once), 1) + word[1:])[same], n)
+    pair_of, _, _, most_pairs = _groups(text[1:][same], (word[:-1] * known + word[1:])[same], known**2, n)
     # lines: each text's first begins with it, others after a line end
     breaks = np.flatnonzero(kind == 5)
     line_start = np.concatenate([bounds[:-1], breaks + 1])
@@ -138,7 +169,8 @@ def batch_features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np
     line_end = np.append(line_start[1:] - 1, bounds[-1])
     last = np.append(line_text[1:] != line_text[:-1], True) if n else np.zeros(0, bool)
     line_end[last] = bounds[1:]
-    line_of, *_ = _groups(line_text, _segments(data, line_start, line_end), n)
+    _, line = np.unique(_segments(data, line_start, line_end), return_inverse=True)
+    line_of, *_ = _groups(line_text, line, len(line) + 1, n)
     lines = np.bincount(line_text, minlength=n)
     tail = data[end - 1] if len(end) else np.zeros(0, np.uint8)
     alone = ~np.isin(_CLASS[tail], (1, 2, 3, 7))
