@@ -20,6 +20,8 @@ _PRE = re.compile(r"<pre[^>]*>(.*?)</pre>", re.I | re.S)
 _TAG = re.compile(r"<[^>]*>")
 #: Columns of the fixed-width form: fixed values.
 SLICES = ((0, 5), (5, 10), (10, 16), (16, 32), (32, 38), (38, 42), (42, None))
+#: Rows of a report that a task holds before it passes them on.
+HELD_ROWS = 4096
 
 
 def _text(cell: str) -> str:
@@ -37,24 +39,32 @@ def report_rows(html: str) -> tuple[str, list[list[str]]]:
     return "lines", [[x[a:b].strip() for a, b in SLICES] for x in lines if len(x) > SLICES[-1][0] and x.isascii()]
 
 
+def report_batches(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """A task's (key, form, row, cells) from its (key, html), passed on whenever ``HELD_ROWS`` are there."""
+    held: list[tuple] = []
+
+    def sent() -> pa.RecordBatch:
+        types = [kept, pa.string(), pa.int32(), pa.list_(pa.string())]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in held], t) for i, t in enumerate(types)], [key, "form", "row", "cells"])
+
+    for batch in batches:
+        kept = batch.schema.field(0).type
+        for k, h in zip(batch.column(0), batch.column(1), strict=True):
+            form, rows = report_rows(h.as_py() or "")
+            own = k.as_py()
+            held += [(own, form, i, r) for i, r in enumerate(rows)]
+            if len(held) >= HELD_ROWS:
+                yield sent()
+                held.clear()
+    if held:
+        yield sent()
+
+
 def extract_report_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """(key, form, row, cells): every report row of every page; pages without any give none."""
     slim = pages.select(key, html)
     kind = slim.schema[key].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for k, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                form, rows = report_rows(h or "")
-                out += [(k, form, i, r) for i, r in enumerate(rows)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], batch.schema.field(0).type), pa.array([x[1] for x in out], pa.string()),
-                 pa.array([x[2] for x in out], pa.int32()), pa.array([x[3] for x in out], pa.list_(pa.string()))],
-                [key, "form", "row", "cells"],
-            )
-
-    return slim.mapInArrow(run, f"{key} {kind}, form string, row int, cells array<string>")
+    return slim.mapInArrow(lambda batches: report_batches(batches, key), f"{key} {kind}, form string, row int, cells array<string>")
 
 
 def report_events(rows: DataFrame, key: str = "page_id") -> DataFrame:

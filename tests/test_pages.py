@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+
 from slotline.sources import pages
 
 
@@ -45,3 +47,11 @@ def test_on_ice_reports(spark):
     got = pages.extract_on_ice_rows(pages.extract_table_rows(df)).collect()
     assert [(r.report_event_id, r.period, r.sec, r.event_type, r.side, r.jersey, r.role) for r in got] == [
         (5, 2, 187, "faceoff", "away", 30, "goalie"), (5, 2, 187, "faceoff", "away", 9, "skater"), (5, 2, 187, "faceoff", "home", 4, "skater")]
+
+
+def test_report_rows_leave_a_task_in_small_batches():
+    row = "<tr class=evenColor>" + "<td>1</td>" * 6 + "</tr>"
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array([row * 100] * 299 + [None])], ["page_id", "html"])
+    out = list(pages.report_batches(iter([batch, batch]), "page_id"))
+    assert sum(b.num_rows for b in out) == 2 * 29_900 and max(b.num_rows for b in out) < pages.HELD_ROWS + 100
+    assert out[0].column(0).to_pylist()[:101] == [0] * 100 + [1] and out[0].column(2).to_pylist()[:100] == list(range(100))
