@@ -26,8 +26,8 @@ REPORT_TYPES = {
 
 def clock_seconds(text: Column) -> Column:
     """Strict ``M:SS`` to seconds; null for signs, blanks, one-digit or over-59 seconds, and overflow."""
-    minutes = F.regexp_extract(text, r"^([0-9]+):[0-5][0-9]$", 1).try_cast("long")
-    seconds = F.regexp_extract(text, r"^[0-9]+:([0-5][0-9])$", 1).try_cast("long")
+    minutes = F.substring_index(text, ":", 1).try_cast("long")
+    seconds = F.substring_index(text, ":", -1).substr(1, 2).try_cast("long")
     return F.when(
         text.rlike(r"^[0-9]+:[0-5][0-9]$"), F.expr("1L") * F.try_add(F.try_multiply(minutes, F.lit(60).cast("long")), seconds)
     ).try_cast("int")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -85,106 +87,221 @@ def report_events(rows: DataFrame, key: str = "page_id") -> DataFrame:
 
 #: Elements without an end tag: fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source wbr".split())
+_MORE = r"""[^<>"']*+(?:(?:"[^"]*+"|'[^']*+')[^<>"']*+)*+>"""
+_FLAT_CELL = re.compile(rf"(<td{_MORE})([^<]*+)</td>")
+#: A tag of a page without quotes that stay open; texts between tags have no ``<``.
+_MARKUP = re.compile(rf"(<[/a-zA-Z]{_MORE})")
+#: The same, or a whole row of cells that hold text only.
+_ROWS = re.compile(rf"(<tr{_MORE}(?:<td{_MORE}[^<]*+</td>)++</tr>|<[/a-zA-Z]{_MORE})")
 
 
-class _Tables(HTMLParser):
-    """Table rows of a page in the order of their start: (classes, cells of (classes, text, marks)).
+#: Kinds of what comes one after the other on a page.
+TEXT, CELL, ROW, BREAK, OTHER, END, FLAT = range(7)
+_Part = tuple[int, str, list | str | None]
 
-    A cell's text holds that of tables inside it; its marks are the (title, text)
-    of the titled elements inside it. One pass: text goes to the innermost open
-    cell and element only, and to the ones around when these close. Cells and
-    rows that a page leaves open close where their table's next one begins.
-    """
+
+class _Parts(HTMLParser):
+    """Texts and tags of some markup: (kind, text or name, classes of cells and rows or the title of others)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.rows: list = []
-        # of a tag: name, its cell or row, pieces of text, marks of what lies inside
-        self.open: list[tuple[str, object, list[str], list[tuple[str, str]]]] = []
-
-    def _close(self, at: int) -> None:
-        """Closes everything from a place on."""
-        while len(self.open) > at:
-            tag, own, pieces, marks = self.open.pop()
-            text = "".join(pieces)
-            if tag in ("td", "th") and own is not None:
-                own[1], own[2] = text, marks
-            elif isinstance(own, str):
-                marks = [(own, text), *marks]
-            if self.open:
-                self.open[-1][2].append(text)
-                self.open[-1][3].extend(marks)
-
-    def _innermost(self, tags: tuple[str, ...]) -> int | None:
-        """Where the innermost open one of some tags is, inside the current table."""
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] in tags:
-                return i
-            if self.open[i][0] == "table":
-                return None
-        return None
+        self.parts: list[_Part] = []
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in VOID:
-            if tag == "br" and self.open:
-                self.open[-1][2].append(" ")
-            return
-        if tag in ("tr", "td", "th"):
-            before = self._innermost(("tr",) if tag == "tr" else ("td", "th"))
-            if before is not None:
-                self._close(before)
         named = dict(attrs)
-        own: object = named.get("title") if tag not in ("tr", "td", "th") else None
-        if tag == "tr":
-            own = ((named.get("class") or "").split(), [])
-            self.rows.append(own)
-        elif tag in ("td", "th"):
-            row = self._innermost(("tr",))
-            if row is not None and tag == "td":
-                own = [(named.get("class") or "").split(), "", []]
-                self.open[row][1][1].append(own)
-        self.open.append((tag, own, [], []))
+        if tag in ("td", "th", "tr"):
+            self.parts.append((ROW if tag == "tr" else CELL, tag, (named.get("class") or "").split()))
+        elif tag not in VOID:
+            self.parts.append((OTHER, tag, named.get("title")))
+        elif tag == "br":
+            self.parts.append((BREAK, tag, None))
 
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self._close(i)
-                return
-            if self.open[i][0] == "table" and tag != "table" and tag not in ("html", "body"):
-                return  # an end tag inside a cell's table closes nothing around it
+        self.parts.append((END, tag, None))
 
     def handle_data(self, data: str) -> None:
-        if self.open:
-            self.open[-1][2].append(data)
+        self.parts.append((TEXT, data, None))
+
+
+@lru_cache(maxsize=1 << 14)
+def _tag(markup: str) -> list[_Part] | None:
+    """What a tag's markup is by itself; None if the parser would go on reading."""
+    reader = _Parts()
+    reader.feed(markup)
+    return None if reader.rawdata or reader.cdata_elem is not None else reader.parts
+
 
+def _plain(text: str) -> str:
+    return unescape(text) if "&" in text else text
 
-def table_rows(html: str) -> list[tuple[list[str], list[tuple[list[str], str, list[tuple[str, str]]]]]]:
-    """All table rows of a page with their own cells, whatever tables lie inside these."""
-    reader = _Tables()
+
+def _flat(markup: str) -> _Part | None:
+    """A row of cells that hold text only; None if its tags aren't what they look like."""
+    start = _tag(markup[: markup.index("<td")])
+    cells = [(_tag(tag), _plain(text)) for tag, text in _FLAT_CELL.findall(markup)]
+    if not start or len(start) > 1 or start[0][0] != ROW or any(not t or len(t) > 1 or t[0][1] != "td" or t[0][0] != CELL for t, _ in cells):
+        return None
+    return FLAT, markup, [start[0][2], [[t[0][2], text, []] for t, text in cells]]
+
+
+def _parts(html: str, markup: re.Pattern = _ROWS) -> list[_Part]:
+    """A page's texts and tags.
+
+    Reports repeat few tags very often, so each is parsed once, and a row of cells
+    that hold text only is one part. A page on which that doesn't hold, with
+    comments, scripts or broken tags, is parsed as a whole.
+    """
+    pieces = markup.split(html)
+    parts: list[_Part] = []
+    tags = pieces[1::2]
+    if "<" not in "".join(pieces[::2]):
+        for text, tag in zip(pieces[::2], [*tags, None], strict=True):
+            if text:
+                parts.append((TEXT, _plain(text), None))
+            if tag is None:
+                return parts
+            row = _flat(tag) if tag.startswith("<tr") and tag.endswith("</tr>") and markup is _ROWS else None
+            if row is not None:
+                parts.append(row)
+                continue
+            found = _tag(tag)
+            if found is None:
+                break
+            parts += found
+    reader = _Parts()
     reader.feed(html)
     reader.close()
-    reader._close(0)
-    return [(c, [tuple(x) for x in cells]) for c, cells in reader.rows]
+    return reader.parts
+
+
+def table_rows(html: str) -> list[tuple[list[str], list[list]]]:
+    """All table rows of a page in the order of their start: (classes, cells of (classes, text, marks)).
+
+    Rows have their own cells, whatever tables lie inside these. A cell's text
+    holds that of tables inside it; its marks are the (title, text) of the titled
+    elements inside it. One pass: text goes to the innermost open cell or element
+    only, and to the ones around when these close. Cells and rows that a page
+    leaves open close where their table's next one begins.
+    """
+    rows: list[tuple[list[str], list[list]]] = []
+    # of an open tag: name, its cell or title, pieces of text and marks if these are asked for, a table's surroundings
+    opened: list[tuple] = []
+    cell = row = -1  # where the current table's cell and row are open
+    cells: list = []
+
+    def close(at: int) -> None:
+        nonlocal cell, row, cells
+        while len(opened) > at:
+            name, own, pieces, marks, around = opened.pop()
+            if around is not None:
+                cell, row, cells = around
+            if pieces is not None:
+                text = pieces[0] if len(pieces) == 1 else "".join(pieces)
+                if own.__class__ is list:
+                    own[1], own[2] = text, marks
+                elif own is not None:
+                    marks = [(own, text), *marks]
+                if opened and opened[-1][2] is not None:
+                    opened[-1][2].append(text)
+                    opened[-1][3].extend(marks)
+        if cell >= at:
+            cell = -1
+        if row >= at:
+            row = -1
+
+    def take(parts: list[_Part]) -> None:
+        nonlocal cell, row, cells
+        for kind, name, more in parts:
+            if kind == TEXT:
+                if opened and opened[-1][2] is not None:
+                    opened[-1][2].append(name)
+            elif kind == FLAT:
+                if row >= 0:
+                    close(row)
+                if cell >= 0:  # a cell without a row is open
+                    take(_parts(name, _MARKUP))
+                    continue
+                rows.append((more[0], more[1]))
+                if opened and opened[-1][2] is not None:
+                    opened[-1][2].extend([c[1] for c in more[1]])
+            elif kind == END:
+                for i in range(len(opened) - 1, -1, -1):
+                    if opened[i][0] == name:
+                        close(i)
+                        break
+                    if opened[i][0] == "table" and name not in ("html", "body"):
+                        break  # an end tag inside a cell's table closes nothing around it
+            elif kind == CELL:
+                if cell >= 0:
+                    close(cell)
+                own = None
+                if row >= 0 and name == "td":
+                    own = [more, "", []]
+                    cells.append(own)
+                cell = len(opened)
+                asked = own is not None or (opened and opened[-1][2] is not None)
+                opened.append((name, own, [], [], None) if asked else (name, None, None, None, None))
+            elif kind == ROW:
+                if row >= 0:
+                    close(row)
+                row, cells = len(opened), []
+                rows.append((more, cells))
+                asked = opened and opened[-1][2] is not None
+                opened.append((name, None, [], [], None) if asked else (name, None, None, None, None))
+            elif kind == OTHER:
+                around = (cell, row, cells) if name == "table" else None
+                asked = more is not None or (opened and opened[-1][2] is not None)
+                opened.append((name, more, [], [], around) if asked else (name, None, None, None, around))
+                if around is not None:
+                    cell = row = -1
+            elif opened and opened[-1][2] is not None:
+                opened[-1][2].append(" ")
+    take(_parts(html))
+    close(0)
+    return rows
 
 
 _CELLS = "array<struct<classes: array<string>, text: string, marks: array<struct<title: string, text: string>>>>"
 
 
+def _lists(parts: list[list]) -> tuple[pa.Array, list]:
+    """Offsets of some lists, and what they hold one after the other."""
+    return pa.array([0, *accumulate(map(len, parts))], pa.int32()), [x for p in parts for x in p]
+
+
+def _cells_array(rows: list[list]) -> pa.Array:
+    """Rows' cells as one column, built from flat columns."""
+    of_rows, cells = _lists(rows)
+    of_classes, classes = _lists([c[0] for c in cells])
+    of_marks, marks = _lists([c[2] for c in cells])
+    flat = lambda texts: pa.array([" ".join(t.split()) for t in texts], pa.string())
+    marked = pa.StructArray.from_arrays([pa.array([m[0] for m in marks], pa.string()), flat([m[1] for m in marks])], ["title", "text"])
+    columns = [pa.ListArray.from_arrays(of_classes, pa.array(classes, pa.string())), flat([c[1] for c in cells]), pa.ListArray.from_arrays(of_marks, marked)]
+    return pa.ListArray.from_arrays(of_rows, pa.StructArray.from_arrays(columns, ["classes", "text", "marks"]))
+
+
 def extract_table_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """(key, row, classes, cells): every table row of every page, in order, with its own cells' classes, text and titled marks."""
     slim = pages.select(key, html)
     kind = slim.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell = pa.struct([("classes", pa.list_(pa.string())), ("text", pa.string()), ("marks", pa.list_(pa.struct([("title", pa.string()), ("text", pa.string())])))])
+        def sent() -> pa.RecordBatch:
+            of, classes = _lists([r[2] for r in held])
+            columns = [pa.array([r[0] for r in held], kept), pa.array([r[1] for r in held], pa.int32()), pa.ListArray.from_arrays(of, pa.array(classes, pa.string()))]
+            return pa.RecordBatch.from_arrays([*columns, _cells_array([r[3] for r in held])], [key, "row", "classes", "cells"])
+
+        held: list[tuple] = []
         for batch in batches:
-            for k, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = table_rows(h or "")
-                cells = [[{"classes": c, "text": " ".join(t.split()), "marks": [{"title": a, "text": " ".join(b.split())} for a, b in m]} for c, t, m in own] for _, own in rows]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k] * len(rows), batch.schema.field(0).type), pa.array(range(len(rows)), pa.int32()), pa.array([c for c, _ in rows], pa.list_(pa.string())), pa.array(cells, pa.list_(cell))],
-                    [key, "row", "classes", "cells"],
-                )
+            kept = batch.schema.field(0).type
+            for k, h in zip(batch.column(0), batch.column(1), strict=True):
+                k = k.as_py()
+                held += [(k, i, classes, cells) for i, (classes, cells) in enumerate(table_rows(h.as_py() or ""))]
+                if len(held) >= HELD_ROWS:
+                    yield sent()
+                    held = []
+        if held:
+            yield sent()
 
     return slim.mapInArrow(run, f"{key} {kind}, row int, classes array<string>, cells {_CELLS}")
 
@@ -197,21 +314,20 @@ def extract_toi_rows(rows: DataFrame, key: str = "page_id") -> tuple[DataFrame,
     periods; others have six cells: number, period (OT is 4), start and end as
     ``elapsed / left``, duration. Start, end and duration have to agree.
     """
-    heading = F.element_at(F.filter("cells", lambda c: F.array_contains(c["classes"], "playerHeading")), 1)
-    named = F.when(F.size(F.filter("cells", lambda c: F.array_contains(c["classes"], "playerHeading"))) > 0, heading["text"])
-    jersey = F.regexp_extract(named, r"^([0-9]+)", 1).try_cast("int")
-    said = rows.withColumn("_head", named).withColumn("_jersey", jersey)
-    so_far = Window.partitionBy(key).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
-    said = said.withColumn("jersey", F.last(F.when(F.col("_head").isNotNull(), F.struct(F.col("_jersey").alias("n"))), ignorenulls=True).over(so_far)["n"])
-    marked = said.where(F.arrays_overlap("classes", F.array(F.lit("oddColor"), F.lit("evenColor"))))
+    heading = F.try_element_at(F.filter("cells", lambda c: F.array_contains(c["classes"], "playerHeading")), F.lit(1))["text"]
     text = lambda i: F.try_element_at("cells", F.lit(i + 1))["text"]
+    clock = lambda c: clock_seconds(F.trim(F.substring_index(c, " / ", 1)))
     summary = (F.size("cells") == 7) & ~F.exists("cells", lambda c: c["text"].contains(" / "))
-    shifts = marked.where(~summary)
-    clock = lambda c: clock_seconds(F.trim(F.element_at(F.split(c, " / "), 1)))
-    read = shifts.select(
-        key, "row", "jersey", F.size("cells").alias("_n"), text(0).try_cast("int").alias("shift_number"), F.when(text(1) == "OT", 4).otherwise(text(1).try_cast("int")).alias("period"),
+    # everything is read before rows are sorted, so that numbers are sorted, not cells
+    read = rows.select(
+        key, "row", heading.alias("_head"), (F.arrays_overlap("classes", F.array(F.lit("oddColor"), F.lit("evenColor"))) & ~summary).alias("_shift"),
+        F.size("cells").alias("_n"), text(0).try_cast("int").alias("shift_number"), F.when(text(1) == "OT", 4).otherwise(text(1).try_cast("int")).alias("period"),
         clock(text(2)).alias("start_s"), clock(text(3)).alias("end_s"), clock_seconds(F.trim(text(4))).alias("duration_s"),
     )
+    said = F.when(F.col("_head").isNotNull(), F.struct(F.regexp_extract("_head", r"^([0-9]+)", 1).try_cast("int").alias("n")))
+    so_far = Window.partitionBy(key).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
+    read = read.withColumn("_said", said).drop("_head").withColumn("jersey", F.last("_said", ignorenulls=True).over(so_far)["n"]).where("_shift")
+    read = read.select(key, "row", "jersey", "_n", "shift_number", "period", "start_s", "end_s", "duration_s")
     bad = lambda c: F.coalesce(c, F.lit(True))
     reason = (
         F.when(F.col("_n") != 6, "unrecognized_row").when(F.col("jersey").isNull(), "no_player").when(F.col("shift_number").isNull() | bad(F.col("period") < 1), "unreadable_number")

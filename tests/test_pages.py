@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pyarrow as pa
 
 from slotline.sources import pages
@@ -55,3 +57,30 @@ def test_report_rows_leave_a_task_in_small_batches():
     out = list(pages.report_batches(iter([batch, batch]), "page_id"))
     assert sum(b.num_rows for b in out) == 2 * 29_900 and max(b.num_rows for b in out) < pages.HELD_ROWS + 100
     assert out[0].column(0).to_pylist()[:101] == [0] * 100 + [1] and out[0].column(2).to_pylist()[:100] == list(range(100))
+
+
+def test_rows_read_by_memoised_tags_are_those_of_the_whole_parse():
+    """Flat rows and memoised tags against the same reader fed by one parse of the page; a long report has few parts."""
+    rng = random.Random(4)
+    bits = [
+        "<tr class='r'><td class=x>a &lt; b</td><td>c</td></tr>", "<tr><td title=q>1</td></tr>", "<tr>", "</tr>", "<td>", "</td>", "<th>", "<table>", "</table>", "x", "<br>",
+        '<font title="T - u">', "</font>", "</html>", "</div>", "<td/>", "<font title=it's>", "<!-- c -->", "<script>", "</script>", "<", "<p title='a>b'>", '<td class="', "<title>",
+    ]
+
+    def whole(html):
+        reader = pages._Parts()
+        reader.feed(html)
+        reader.close()
+        return reader.parts
+
+    fast = pages._parts
+    for n in range(4000):
+        html = "".join(rng.choice(bits[: 17 if n % 2 else None]) for _ in range(rng.randint(1, 30)))
+        got = pages.table_rows(html)
+        try:
+            pages._parts = lambda h, *_: whole(h)
+            assert pages.table_rows(html) == got, html
+        finally:
+            pages._parts = fast
+    row = "<tr class='oddColor'><td>1</td><td>0:10 / 19:50</td></tr>"
+    assert len(fast("<table>" + row * 1000 + "</table>")) == 1002
