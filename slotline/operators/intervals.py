@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from slotline.sources import files
+
 
 def point_in_interval(
     points: DataFrame, intervals: DataFrame, keys: list[str], *, at: str = "t", start: str = "start_s", end: str = "end_s",
@@ -57,8 +59,10 @@ def overlap_flags(intervals: DataFrame, keys: list[str], *, start: str = "start_
     start; what comes into a bin from the others is one running maximum and one
     running minimum over the bins' own, so a key with very many intervals is no
     single task's work. Intervals without a start, an end or one of the keys are
-    in no pair.
+    in no pair. The intervals are read several times, so they are written first:
+    what their columns are computed from would be computed for every use.
     """
+    intervals = files.stored(intervals, "intervals")
     rows = intervals.withColumn("_bin", F.floor(F.col(start) / bin_seconds))
     part, inside = [*keys, "_bin"], Window.partitionBy(*keys, "_bin").orderBy(start, end)
     distinct = rows.dropna(subset=[*keys, start, end]).groupBy(*part, start, end).agg(F.count(F.lit(1)).alias("_copies"))

@@ -156,3 +156,17 @@ def test_overlap_flags_are_those_of_the_pairs(spark):
         assert len(got) == len(rows)
         for kind in ("duplicate_interval", "same_player_overlap"):
             assert {r.id for r in got if r[kind]} == hit(kind)
+
+
+def test_flags_compute_their_intervals_once(spark):
+    """However often the sweeps use the rows, a costly column of theirs is computed once a row."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.createDataFrame([(1, i, i % 7, i % 7 + 3) for i in range(50)] + [(1, 50, None, 3)], "k int, id int, start_s int, end_s int")
+    got = iv.overlap_flags(rows.mapInArrow(counted, rows.schema), ["k"])
+    assert got.count() == 51 and got.where("duplicate_interval AND same_player_overlap").count() == 50 and seen.value == 51
