@@ -7,11 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotline.operators.tables import key_batches
+from slotline.operators.tables import batch_ranges, numbered_keys
 from slotline.sources import files
 
 
-def run_batches(df: DataFrame, key: str, each: Callable[[DataFrame], DataFrame], root: str, *, n_keys: int, most: int | None = None) -> bool:
+#: Jobs that ranges done together are shared out to, so that passes over the rows don't grow with the number of ranges.
+JOBS = 8
+
+
+def run_batches(
+    df: DataFrame, key: str, each: Callable[[DataFrame], DataFrame], root: str, *, n_keys: int, most: int | None = None, together: bool = False
+) -> bool:
     """``each`` over ranges of ``n_keys`` keys, one after the other; whether all are done.
 
     The ranges are planned once and stored. A range's rows come from ``df`` by a
@@ -19,16 +25,31 @@ def run_batches(df: DataFrame, key: str, each: Callable[[DataFrame], DataFrame],
     is written to ``root/rows/batch=N`` and entered in the ledger ``root/done``
     once it is complete. A run that stopped, or that may do ``most`` ranges only,
     goes on with the first range that the ledger lacks.
+
+    Where ``each`` works row by row and keeps the key, ranges may be done
+    ``together``: ``JOBS`` jobs at most write many ranges each, every range still
+    to its own folder and, after that job, to the ledger.
     """
     spark = df.sparkSession
     if not files.exists(spark, f"{root}/plan/_SUCCESS"):
-        key_batches(df.where(F.col(key).isNotNull()), key, n_keys).write.mode("overwrite").parquet(f"{root}/plan")
+        numbered_keys(df.where(F.col(key).isNotNull()), key, n_keys).write.mode("overwrite").parquet(f"{root}/keys")
+        batch_ranges(spark.read.parquet(f"{root}/keys"), key).write.mode("overwrite").parquet(f"{root}/plan")
     plan = spark.read.parquet(f"{root}/plan").orderBy("batch").collect()  # a row a range
     done = set(files.names(spark, f"{root}/done"))
-    for r in [r for r in plan if str(r["batch"]) not in done][:most]:
-        own = df.where((F.col(key) >= r["low"]) & (F.col(key) <= r["high"]))
-        each(own).write.mode("overwrite").parquet(f"{root}/rows/batch={r['batch']}")
-        files.mark(spark, f"{root}/done/{r['batch']}")
+    open_ = [r for r in plan if str(r["batch"]) not in done][:most]
+    # ledgers of plans without keys go on range by range
+    size = -(-len(open_) // JOBS) if together and files.exists(spark, f"{root}/keys/_SUCCESS") else 1
+    for some in [open_[i : i + size] for i in range(0, len(open_), size)] if open_ else []:
+        own = df.where((F.col(key) >= some[0]["low"]) & (F.col(key) <= some[-1]["high"]))
+        if len(some) == 1:
+            each(own).write.mode("overwrite").parquet(f"{root}/rows/batch={some[0]['batch']}")
+        else:
+            first, last, skipped = some[0]["batch"], some[-1]["batch"], [int(n) for n in done if some[0]["batch"] < int(n) < some[-1]["batch"]]
+            keys = spark.read.parquet(f"{root}/keys").where(F.col("batch").between(first, last) & ~F.col("batch").isin(skipped))
+            dealt = each(own).join(keys, key).repartition("batch").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            dealt.partitionBy("batch").parquet(f"{root}/rows")
+        for r in some:
+            files.mark(spark, f"{root}/done/{r['batch']}")
     return len(files.names(spark, f"{root}/done")) == len(plan)
 
 
@@ -44,7 +65,7 @@ def backfill_in_batches(events: DataFrame, games: DataFrame, root: str, *, n_key
     def fill(rows: DataFrame) -> DataFrame:
         return rows.join(scope, "game_id", "left").select([F.coalesce(c, f"_{c}").alias(c) if c in SCOPE else F.col(c) for c in events.columns])
 
-    if not run_batches(events, "game_id", fill, root, n_keys=n_keys, most=most):
+    if not run_batches(events, "game_id", fill, root, n_keys=n_keys, most=most, together=True):
         return None
     spark = events.sparkSession
     out = spark.read.parquet(f"{root}/rows").select(events.columns)

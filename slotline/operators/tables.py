@@ -105,16 +105,21 @@ def table_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.select(*columns, F.when(F.col("_n") > 0, "left_only").otherwise("right_only").alias("side"), F.abs("_n").alias("n"))
 
 
-def key_batches(df: DataFrame, key: str, n: int) -> DataFrame:
-    """(batch, low, high, n_keys): ranges of ``n`` distinct keys in order.
+def numbered_keys(df: DataFrame, key: str, n: int) -> DataFrame:
+    """(key, batch): the distinct keys, ``n`` of them in order to a batch.
 
     Only the distinct keys are numbered; they are first counted by range, so no
     task numbers them all.
     """
-    keys = df.select(key).distinct()
+    ranked = global_rank(df.select(key).distinct(), key)
+    return ranked.select(key, F.floor((F.col("rank") - 1) / n).cast("long").alias("batch"))
+
+
+def key_batches(df: DataFrame, key: str, n: int) -> DataFrame:
+    """(batch, low, high, n_keys): ranges of ``n`` distinct keys in order."""
+    return batch_ranges(numbered_keys(df, key, n), key)
 
 
-    ranked = global_rank(keys, key)
-    return ranked.groupBy(F.floor((F.col("rank") - 1) / n).cast("long").alias("batch")).agg(
-        F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n_keys")
-    )
+def batch_ranges(numbered: DataFrame, key: str) -> DataFrame:
+    """The ranges of ``numbered_keys``."""
+    return numbered.groupBy("batch").agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n_keys"))

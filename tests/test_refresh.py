@@ -150,3 +150,24 @@ def test_replay_refuses_a_swapped_pair(spark, tmp_path):
     (tmp_path / "x2").rename(tmp_path / "e" / "x")
     with pytest.raises(ValueError, match="out of order or repeated"):
         archive.replay_sources(spark, f"{tmp_path}/e", ["x"], version=1, season=2)
+
+
+def test_ranges_done_together_take_few_jobs(spark, tmp_path, monkeypatch):
+    """100 ranges are written by ``JOBS`` jobs, after a run of one range and one that failed on its way; each is in its folder and the ledger."""
+    events = spark.createDataFrame([(k, i) for k in range(200) for i in range(3)], "game_id int, i int")
+    jobs, root = [], f"{tmp_path}/t"
+
+    def each(rows):
+        jobs.append(rows)
+        if len(jobs) == 4:
+            raise OSError("lost")
+        return rows
+
+    go = lambda **k: refresh.run_batches(events, "game_id", each, root, n_keys=2, together=True, **k)
+    assert not go(most=1)
+    with pytest.raises(OSError):
+        go()
+    assert len(refresh.files.names(spark, f"{root}/done")) == 1 + 2 * 13
+    assert go() and len(jobs) <= 4 + refresh.JOBS
+    rows = spark.read.parquet(f"{root}/rows")
+    assert rows.count() == 600 and rows.where("batch <> game_id div 2").count() == 0 and len(refresh.files.names(spark, f"{root}/done")) == 100
