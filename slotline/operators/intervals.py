@@ -27,6 +27,38 @@ def point_in_interval(
     return points.withColumn("_bin", to_bin(at)).join(binned, [*keys, "_bin"]).where(inside).drop("_bin")
 
 
+def islands(intervals: DataFrame, keys: list[str], *, start: str = "start_s", end: str = "end_s") -> DataFrame:
+    """(keys, start, end): a key's intervals, joined where they overlap or touch; null and reversed ones are left out.
+
+    An island's first row starts beyond all ends before it; its end is what the
+    next one's first row has before it. Rows pass in order, none are gathered.
+    """
+    whole, order = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy(start, end)
+    reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = intervals.where(F.col(start) <= F.col(end)).select(*keys, start, end)
+    first = rows.withColumn("_reach", reach).withColumn("_last", F.max(end).over(whole)).where(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")))
+    return first.withColumn("_next", F.lead("_reach").over(order)).select(*keys, start, F.coalesce("_next", "_last").alias(end))
+
+
+def point_in_islands(
+    points: DataFrame, intervals: DataFrame, keys: list[str], who: list[str], *, bin_seconds: int, at: str = "t", start: str = "start_s", end: str = "end_s"
+) -> DataFrame:
+    """As ``point_in_interval``, of distinct points and the islands of every ``who`` within a key, with their ``bin``.
+
+    A point meets each of them once at most. The intervals that touch a bin are
+    joined in it, so a bin's islands may end before the whole ones do, but only
+    where that is out of the bin's points' sight. One shuffle by key and bin
+    serves the distinct points, the islands and the join.
+    """
+    to_bin = lambda c: F.floor(F.col(c) / bin_seconds)
+    inside = (F.col(start) <= F.col(at)) & (F.col(at) <= F.col(end))
+    rows = intervals.where(F.col(start) <= F.col(end)).select(*keys, *who, start, end)
+    binned = rows.withColumn("bin", F.explode(F.sequence(to_bin(start), to_bin(end)))).repartition(*keys, "bin")
+    joined = islands(binned, [*keys, "bin", *who], start=start, end=end)
+    placed = points.withColumn("bin", to_bin(at)).repartition(*keys, "bin").distinct()
+    return placed.join(joined, [*keys, "bin"]).where(inside)
+
+
 def overlapping_pairs(intervals: DataFrame, keys: list[str], row_id: str, *, start: str = "start_s", end: str = "end_s", bin_seconds: int = 60) -> DataFrame:
     """Pairs of one entity's intervals that are equal (duplicate) or share time (overlap), the earlier first.
 

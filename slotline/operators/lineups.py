@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotline.functions.scalars import FIRST_SUPPORTED_SEASON, clock_seconds, decode_situation, period_length, position_role
-from slotline.operators.intervals import point_in_interval
+from slotline.operators.intervals import point_in_interval, point_in_islands
 
 SIDES = ("home", "away")
 #: Events that begin or end a period.
@@ -18,18 +18,25 @@ BIN = 60
 def player_states(events: DataFrame, intervals: DataFrame) -> DataFrame:
     """(game_id, event_id, team_id, role, player_id, before, after): players whose interval touches the event.
 
-    ``events`` has game_id, event_id, period and sec; ``intervals`` game_id,
-    period, player_id, team_id, role, start_s, end_s. A player was on just before
-    if an interval holds s < t <= e, and just after if one holds s <= t < e; both
-    may be different intervals of the player.
+    ``events`` has game_id, event_id, period and sec, one place in time for each
+    event; ``intervals`` game_id, period, player_id, team_id, role, start_s,
+    end_s. A player was on just before if an interval holds s < t <= e, and just
+    after if one holds s <= t < e; both may be different intervals of the player.
+    Intervals that overlap or touch are one before events meet them, so an event
+    meets a player once and no task gathers players by event.
     """
-    points = events.select("game_id", "period", "event_id", F.col("sec").alias("t"))
-    pairs = point_in_interval(points, intervals, ["game_id", "period"], bin_seconds=BIN)
-    return pairs.groupBy("game_id", "event_id", "team_id", "role", "player_id").agg(
-        F.bool_or(F.col("start_s") < F.col("t")).alias("before"), F.bool_or(F.col("t") < F.col("end_s")).alias("after")
+    pairs = _meetings(events, intervals)
+    return pairs.select(
+        "game_id", "event_id", "team_id", "role", "player_id", (F.col("start_s") < F.col("t")).alias("before"), (F.col("t") < F.col("end_s")).alias("after")
     )
 
 
+def _meetings(events: DataFrame, intervals: DataFrame, *more: str) -> DataFrame:
+    """Events, with the columns ``more``, and the players' joined intervals that touch them, partitioned by game, period and bin."""
+    points = events.select("game_id", "period", "event_id", F.col("sec").alias("t"), *more)
+    return point_in_islands(points, intervals, ["game_id", "period"], ["team_id", "role", "player_id"], bin_seconds=BIN)
+
+
 def lineup_counts(states: DataFrame) -> DataFrame:
     """Definite (before and after) and possible players by event, team and role."""
     return states.groupBy("game_id", "event_id", "team_id", "role").agg(
@@ -46,11 +53,11 @@ def event_lineups(events: DataFrame, intervals: DataFrame, games: DataFrame, tai
     resolved, ambiguous, incomplete or ambiguous_incomplete.
     """
     scope = games.select("game_id", "season", "game_type", "home_team_id", "away_team_id")
-    states = player_states(events, intervals).join(scope.select("game_id", "home_team_id", "away_team_id"), "game_id")
-    states = states.withColumn("side", F.when(F.col("team_id") == F.col("home_team_id"), "home").otherwise("away"))
-    definite = F.col("before") & F.col("after")
+    placed = events.select("game_id", "period", "event_id", "sec").join(scope.select("game_id", "home_team_id"), "game_id")
+    side = F.when(F.col("team_id") == F.col("home_team_id"), "home").otherwise("away")
+    definite = (F.col("start_s") < F.col("t")) & (F.col("t") < F.col("end_s"))
     counts = [
-        F.count_if((F.col("side") == s) & (F.col("role") == r) & (definite if sure else F.lit(True))).alias(
+        F.count_if((side == s) & (F.col("role") == r) & (definite if sure else F.lit(True))).alias(
             f"{s}_{r}_{'definite' if sure else 'possible'}"
         )
         for s in SIDES
@@ -61,9 +68,11 @@ def event_lineups(events: DataFrame, intervals: DataFrame, games: DataFrame, tai
         F.array_sort(F.collect_set(F.when(definite, F.col("player_id")))).alias("definite_players"),
         F.array_sort(F.collect_set("player_id")).alias("possible_players"),
     ]
-    per_event = states.groupBy("game_id", "event_id").agg(*counts, *players)
+    # by period and bin too, so that events are counted where they meet intervals
+    per_event = _meetings(placed, intervals, "home_team_id").groupBy("game_id", "period", "bin", "event_id", "t").agg(*counts, *players)
+    per_event = per_event.drop("bin").withColumnRenamed("t", "sec")
     rows = intervals.groupBy("game_id").agg(F.count(F.lit(1)).alias("n_intervals"))
-    out = events.join(scope, "game_id", "left").join(rows, "game_id", "left").join(per_event, ["game_id", "event_id"], "left")
+    out = events.join(scope, "game_id", "left").join(rows, "game_id", "left").join(per_event, ["game_id", "event_id", "period", "sec"], "left")
     numbers = [f"{s}_{r}_{k}" for s in SIDES for r in ("skater", "goalie", "unknown") for k in ("definite", "possible")]
     out = out.fillna(0, [*numbers, "n_intervals"])
     if taints is None:
@@ -131,11 +140,14 @@ def compare_counts(lineups: DataFrame, *, source: Column | None = None) -> DataF
 
 def context_tags(lineups: DataFrame, intervals: DataFrame) -> DataFrame:
     """``lineups`` with the tags that explain an unusual lineup, sorted as they are listed here."""
-    edges = intervals.select(
-        "game_id", "period", F.explode(F.array("start_s", "end_s")).alias("sec")
-    ).distinct().withColumn("_edge", F.lit(True))
+    # a bit for each of 64 seconds; rows are shuffled first, so that a task holds the words of its own games only
+    word, bit = F.floor(F.col("sec") / 64).alias("_word"), F.pmod(F.col("sec"), F.lit(64)).cast("int")
+    ends = intervals.select("game_id", "period", F.explode(F.array("start_s", "end_s")).alias("sec")).where("sec IS NOT NULL")
+    edges = ends.select("game_id", "period", word, F.expr("shiftleft(1L, cast(pmod(sec, 64) AS int))").alias("_bit")).repartition("game_id", "period", "_word")
+    edges = edges.groupBy("game_id", "period", "_word").agg(F.bit_or("_bit").alias("_bits"))
     code = decode_situation(F.col("situation_code"))
-    out = lineups.join(edges, ["game_id", "period", "sec"], "left").withColumn("_code", code)
+    out = lineups.withColumn("_word", word).join(edges, ["game_id", "period", "_word"], "left")
+    out = out.withColumn("_edge", F.bit_get("_bits", bit) == 1).drop("_word", "_bits").withColumn("_code", code)
     c = lambda f: F.col(f"_code.{f}")
     placed = ~F.col("status").isin("unsupported", "invalid_event_time", "no_shifts")
     flagged = (F.size("flags") > 0) if "flags" in lineups.columns else F.lit(False)  # see event_evidence()

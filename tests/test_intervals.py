@@ -80,6 +80,38 @@ def test_random_instants_against_the_definition(spark):
     assert got == want
 
 
+def _aggregates(df):
+    """The aggregates of a physical plan, as text."""
+    text = df._jdf.queryExecution().sparkPlan().toString()
+    return [x for x in text.splitlines() if "HashAggregate(" in x or "SortAggregate(" in x]
+
+
+def test_no_task_gathers_players_or_raw_edges(spark):
+    """Players meet events once without being grouped, whatever intervals overlap; edges are words of seconds."""
+    e, s = spark.createDataFrame([(1, 1, 1, 30, "hit", "1551")] * 2, EVENT), spark.createDataFrame(base([[1, 1, 11, 1, "skater", 1, 0, 30], [1, 2, 11, 1, "skater", 1, 30, 90], [1, 3, 11, 1, "skater", 1, 95, 90]]), SHIFT)
+    states = ln.player_states(e, s)
+    assert not any("player_id" in x for x in _aggregates(states))
+    assert [(r.before, r.after) for r in states.where("player_id = 11").collect()] == [(True, True)]
+    rows = spark.createDataFrame([(1, t, 1, t, "hit", "1551", 2, "resolved") for t in (0, 29, 30, 63, 64, 90, 95, 1200, -64)] + [(1, 9, 1, None, "hit", "1551", 2, "resolved")], EVENT + ", game_type int, status string")
+    tagged = ln.context_tags(rows, s)
+    assert {r.sec for r in tagged.collect() if "coincident_shift_boundary" in r.contexts} == {0, 30, 90, 95, 1200}
+    assert tagged.count() == 10 and not any("keys=[game_id#" in x and "sec#" in x.split("functions")[0] for x in _aggregates(tagged))
+
+
+def test_islands_against_seconds(spark):
+    rng = random.Random(5)
+    rows = [(k % 7, a, a + rng.choice([-1, 0, 0, 1, 5, 20])) for k, a in enumerate(rng.choices(range(100), k=90))] + [(1, None, 5), (1, 5, None)]
+    got = iv.islands(spark.createDataFrame(rows, "k int, start_s long, end_s long"), ["k"]).collect()
+    want = []
+    for k in range(7):
+        for a, b in sorted((a, b) for x, a, b in rows if x == k and a is not None and b is not None and a <= b):
+            if want and want[-1][0] == k and a <= want[-1][2]:
+                want[-1][2] = max(want[-1][2], b)
+            else:
+                want.append([k, a, b])
+    assert sorted(map(tuple, got)) == [tuple(w) for w in want]
+
+
 def test_bins_change_no_pair(spark):
     rng = random.Random(4)
     shifts = [(1, k, k % 5, 1, "skater", 1, a, a + rng.randint(0, 200)) for k, a in enumerate(rng.choices(range(1000), k=60))]
