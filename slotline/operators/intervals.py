@@ -149,7 +149,8 @@ def count_anomalies(intervals: DataFrame, keys: list[str], *, player: str = "pla
 
     The gap before a key's first interval counts, the one after its last doesn't.
     A player's intervals are joined where they meet, so that each comes and goes
-    once; the counts are running sums of comings and goings.
+    once, as rows pass in order; the counts are running sums of comings and
+    goings.
     """
     kinds = F.array(F.lit("any"), F.col(role))
     own = intervals.where("end_s > start_s").select(
@@ -157,19 +158,19 @@ def count_anomalies(intervals: DataFrame, keys: list[str], *, player: str = "pla
     )
     order = Window.partitionBy(*keys, player, "_kind").orderBy("start_s", "end_s")
     reach = F.max("end_s").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    island = F.sum(F.when(F.col("start_s") <= F.col("_reach"), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    joined = own.withColumn("_reach", reach).withColumn("_island", island)
+    swept = own.withColumn("_reach", reach).withColumn("_last", F.lead(F.lit(True)).over(order).isNull())
+    first = F.col("_reach").isNull() | (F.col("start_s") > F.col("_reach"))
     # a player without an id has a time but is nobody to count
     who = F.when(F.col(player).isNotNull(), 1).otherwise(0)
-    stays = joined.groupBy(*keys, player, "_kind", "_island").agg(
-        F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"), F.array_distinct(F.flatten(F.collect_list(F.array("start_s", "end_s")))).alias("_cuts")
-    )
     change = lambda t, n: F.struct(t.alias("from_s"), n.alias("n"))
-    moves = F.concat(
-        F.array(change(F.lit(0).cast("long"), F.lit(0)), change(F.col("start_s"), who), change(F.col("end_s"), -who)),
-        F.transform("_cuts", lambda t: change(t, F.lit(0))),
-    )
-    each = stays.select(*keys, "_kind", F.explode(moves).alias("m")).groupBy(*keys, "m.from_s").agg(
+    # the first row of an island opens it and closes the one before; the last row of all closes its own
+    moves = F.array_compact(F.array(
+        change(F.col("start_s"), F.when(first, who).otherwise(0)), change(F.col("end_s"), F.lit(0)),
+        F.when(F.col("_reach").isNull(), change(F.lit(0).cast("long"), F.lit(0))), F.when(first & F.col("_reach").isNotNull(), change(F.col("_reach"), -who)),
+        F.when(F.col("_last"), change(F.greatest("_reach", "end_s"), -who)),
+    ))
+    # shuffled before they are added up: few of a task's rows share a second before
+    each = swept.select(*keys, "_kind", F.explode(moves).alias("m")).repartition(*keys).groupBy(*keys, "m.from_s").agg(
         *[F.sum(F.when(F.col("_kind") == k, F.col("m.n")).otherwise(0)).alias(n) for k, n in (("skater", "skaters"), ("goalie", "goalies"), ("any", "players"))]
     )
     line = Window.partitionBy(*keys).orderBy("from_s")

@@ -112,6 +112,13 @@ def test_islands_against_seconds(spark):
     assert sorted(map(tuple, got)) == [tuple(w) for w in want]
 
 
+def test_anomalies_gather_no_islands(spark):
+    s = spark.createDataFrame(base([[1, 1, 11, 1, "skater", 1, 0, 30], [1, 2, 11, 1, "skater", 1, 20, 90], [1, 3, 11, 1, "skater", 1, 100, 110]]), SHIFT)
+    found = iv.count_anomalies(s, ["game_id", "period", "team_id"])
+    assert not any("player_id" in x for x in _aggregates(found))
+    assert found.count() == 0  # five skaters or four
+
+
 def test_bins_change_no_pair(spark):
     rng = random.Random(4)
     shifts = [(1, k, k % 5, 1, "skater", 1, a, a + rng.randint(0, 200)) for k, a in enumerate(rng.choices(range(1000), k=60))]
