@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -74,22 +77,30 @@ def as_of(history: DataFrame, cutoff: Column, keys: list[str], *, recorded: str
 def fact_changes(facts: DataFrame, entity: list[str], fact: list[str], value: str = "stat_value") -> DataFrame:
     """Changes between consecutive revisions of sets of facts: set for new or changed, retracted for gone.
 
-    ``facts`` is long: entity keys, revision, fact keys and the value. Each
-    revision is compared with the one before it; equal facts are left out.
+    ``facts`` is long: entity keys, revision, fact keys and the value; a revision
+    has a fact once. Each revision is compared with the one before it; equal
+    facts are left out. A fact with a null among its keys is like no other.
+
+    An entity's rows are shuffled once and passed in order: a fact's row before
+    is of the revision before if their places among the entity's revisions are
+    neighbours, and a fact is retracted where its next row isn't of the next one.
     """
-    revisions = facts.select(*entity, "revision").distinct().withColumn(
-        "_next", F.lead("revision").over(Window.partitionBy(*entity).orderBy("revision"))
-    )
-    now = facts.select(*entity, "revision", *fact, F.col(value).alias("_now"), F.lit(True).alias("_is"))
-    was = (
-        facts.join(revisions.where("_next IS NOT NULL"), [*entity, "revision"])
-        .select(*entity, F.col("_next").alias("revision"), *fact, F.col(value).alias("_was"), F.lit(True).alias("_had"))
-    )
-    both = now.join(was, [*entity, "revision", *fact], "full")
-    return both.where(F.col("_is").isNull() | F.col("_had").isNull() | ~F.col("_now").eqNullSafe(F.col("_was"))).select(
-        *entity, "revision", *fact, F.when(F.col("_is"), "set").otherwise("retracted").alias("change"),
-        F.when(F.col("_is"), F.col("_now")).alias("value"), F.col("_was").alias("previous"),
-    )
+    own = Window.partitionBy(*entity).orderBy("revision")
+    later = Window.partitionBy(*entity).orderBy(F.desc("revision")).rangeBetween(Window.unboundedPreceding, -1)
+    line = Window.partitionBy(*entity, *fact).orderBy("revision")
+    alike = lambda columns: reduce(and_, [F.col(c).isNotNull() for c in columns])
+    rows = facts.select(*entity, "revision", *fact, F.col(value).alias("_now")).withColumn("_place", F.dense_rank().over(own)).withColumn("_next", F.min("revision").over(later))
+    rows = rows.withColumn("_before", F.lag(F.struct("_place", "_now")).over(line)).withColumn("_after", F.lead("_place").over(line))
+    known = alike([*entity, *fact])
+    had = known & F.coalesce(F.col("_before._place") == F.col("_place") - 1, F.lit(False))
+    stays = known & F.coalesce(F.col("_after") == F.col("_place") + 1, F.lit(False))
+    change = lambda revision, kind, now, was: F.struct(revision.alias("revision"), F.lit(kind).alias("change"), now.alias("value"), was.alias("previous"))
+    none = F.lit(None).cast(facts.schema[value].dataType)
+    changes = F.array_compact(F.array(
+        F.when(~(had & F.col("_now").eqNullSafe(F.col("_before._now"))), change(F.col("revision"), "set", F.col("_now"), F.when(had, F.col("_before._now")))),
+        F.when(alike(entity) & F.col("_next").isNotNull() & ~stays, change(F.col("_next"), "retracted", none, F.col("_now"))),
+    ))
+    return rows.select(*entity, *fact, F.explode(changes).alias("c")).select(*entity, "c.revision", *fact, "c.change", "c.value", "c.previous")
 
 
 def next_player_revision(history: DataFrame, keys: list[str], players: str = "players") -> DataFrame:

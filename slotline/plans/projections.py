@@ -129,9 +129,10 @@ def revisions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     )
     return (
         numbered.join(lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
-        .groupBy("entity_key", "revision", "recorded_at", (F.col("l_linenumber") % 4).cast("int").alias("player_id"),
+        # an order is a revision: with its key, by which the join has dealt the rows, they are added up where they are
+        .groupBy("o_orderkey", "entity_key", "revision", "recorded_at", (F.col("l_linenumber") % 4).cast("int").alias("player_id"),
                  F.col("l_returnflag").alias("stat_code"))
-        .agg(F.sum("l_quantity").cast("double").alias("stat_value"))
+        .agg(F.sum("l_quantity").cast("double").alias("stat_value")).drop("o_orderkey")
     )
 
 

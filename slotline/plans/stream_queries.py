@@ -8,7 +8,7 @@ from slotline.operators import candidates
 from slotline.plans import document_queries as docs
 from slotline.plans.projections import sql
 from slotline.plans.queries import CHANGES, query
-from slotline.sources.files import work_folder
+from slotline.sources.files import stored, work_folder
 from slotline.streaming import jobs
 
 
@@ -26,7 +26,7 @@ def _through(name, parts, each):
 @query(sql("hx_revisions") + CHANGES + "SELECT entity_key, revision, player_id, stat_code, change, value, previous FROM ch")
 def stream_corrections(v):
     """The change feed of revisions that came in three parts."""
-    facts = v("hx_revisions").select("entity_key", "revision", "player_id", "stat_code", "stat_value")
+    facts = stored(v("hx_revisions").select("entity_key", "revision", "player_id", "stat_code", "stat_value"), "revisions")  # the view's joins once, not for each part
     root = _through("corrections", [facts.where("revision <= 3"), facts.where("revision BETWEEN 4 AND 7"), facts.where("revision > 7")], jobs.corrections)
     return facts.sparkSession.read.parquet(f"{root}/changes").select("entity_key", "revision", "player_id", "stat_code", "change", "value", "previous")
 

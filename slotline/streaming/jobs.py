@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 from slotline.operators.candidates import correction_window
 from slotline.operators.events import normalize_events, reject_warned
@@ -101,8 +102,8 @@ def corrections(root: str, *, buckets: int = 64) -> Callable[[DataFrame, int], N
         changes = fact_changes(both, ["entity_key"], ["player_id", "stat_code"])
         fresh = own.select("entity_key", "revision").distinct()
         _put(changes.join(fresh, ["entity_key", "revision"], "left_semi"), f"{root}/changes", batch_id)
-        newest = both.groupBy("entity_key").agg(F.max("revision").alias("revision"))
-        state.write(both.join(newest, ["entity_key", "revision"], "left_semi"), batch_id)
+        newest = both.withColumn("_last", F.max("revision").over(Window.partitionBy("entity_key"))).where("revision = _last").drop("_last")
+        state.write(newest, batch_id)
 
     return each
 

@@ -159,3 +159,18 @@ def test_replay_adds_only_missing_details(spark):
     add, status = repair.replay_details(now, old, ["goal"], bodies)
     assert {r["game_id"]: r["status"] for r in status.collect()} == {1: "eligible", 2: "rejected", 3: "unchanged"}
     assert [(r["game_id"], r["goal"]["scorer"]) for r in add.collect()] == [(1, 7)]
+
+
+def test_changes_of_a_feed_cost_one_shuffle(spark):
+    """Neighbours among revisions with gaps, facts that come back, nulls among values and keys; the view of revisions adds up where it joins."""
+    rows = [("a", 1, 1, "x", 1.0), ("a", 1, 2, "x", None), ("a", 4, 1, "x", 1.0), ("a", 9, 2, "x", 3.0), ("a", 9, None, "y", 1.0), ("a", 10, None, "y", 1.0), ("a", 10, 2, "x", 4.0), (None, 1, 1, "x", 1.0), (None, 2, 1, "x", 1.0)]
+    changes = vs.fact_changes(spark.createDataFrame(rows, "e string, revision int, p int, s string, stat_value double"), ["e"], ["p", "s"])
+    got = {(r.e, r.revision, r.p, r.s, r.change, r.value, r.previous) for r in changes.collect()}
+    assert got == {
+        ("a", 1, 1, "x", "set", 1.0, None), ("a", 1, 2, "x", "set", None, None), ("a", 4, 2, "x", "retracted", None, None), ("a", 9, 1, "x", "retracted", None, 1.0),
+        ("a", 9, 2, "x", "set", 3.0, None), ("a", 9, None, "y", "set", 1.0, None), ("a", 10, None, "y", "retracted", None, 1.0), ("a", 10, None, "y", "set", 1.0, None),
+        ("a", 10, 2, "x", "set", 4.0, 3.0), (None, 1, 1, "x", "set", 1.0, None), (None, 2, 1, "x", "set", 1.0, None),
+    }
+    assert len(got) == changes.count()
+    plan = changes._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
