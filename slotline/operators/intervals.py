@@ -9,6 +9,20 @@ from pyspark.sql.window import Window
 from slotline.sources import files
 
 
+#: Intervals that meet points in one task, about; a task's memory is bounded by them, whatever the table's size.
+TASK_ROWS = 250_000
+
+
+def partitions_for(rows: DataFrame, rows_each: int) -> int:
+    """Enough partitions for about ``rows_each`` of ``rows`` in each, and one for each core at least.
+
+    A number that is named is kept at run time. Otherwise small partitions are
+    joined up to 64 MB, which are compressed bytes and say little of what they
+    take in memory, so that tasks would grow with the table.
+    """
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // rows_each))
+
+
 def point_in_interval(
     points: DataFrame, intervals: DataFrame, keys: list[str], *, at: str = "t", start: str = "start_s", end: str = "end_s",
     bin_seconds: int | None = None,
@@ -53,9 +67,10 @@ def point_in_islands(
     to_bin = lambda c: F.floor(F.col(c) / bin_seconds)
     inside = (F.col(start) <= F.col(at)) & (F.col(at) <= F.col(end))
     rows = intervals.where(F.col(start) <= F.col(end)).select(*keys, *who, start, end)
-    binned = rows.withColumn("bin", F.explode(F.sequence(to_bin(start), to_bin(end)))).repartition(*keys, "bin")
+    n = partitions_for(intervals.select(*keys), TASK_ROWS)
+    binned = rows.withColumn("bin", F.explode(F.sequence(to_bin(start), to_bin(end)))).repartition(n, *keys, "bin")
     joined = islands(binned, [*keys, "bin", *who], start=start, end=end)
-    placed = points.withColumn("bin", to_bin(at)).repartition(*keys, "bin").distinct()
+    placed = points.withColumn("bin", to_bin(at)).repartition(n, *keys, "bin").distinct()
     return placed.join(joined, [*keys, "bin"]).where(inside)
 
 

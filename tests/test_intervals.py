@@ -209,3 +209,17 @@ def test_flags_compute_their_intervals_once(spark):
     rows = spark.createDataFrame([(1, i, i % 7, i % 7 + 3) for i in range(50)] + [(1, 50, None, 3)], "k int, id int, start_s int, end_s int")
     got = iv.overlap_flags(rows.mapInArrow(counted, rows.schema), ["k"])
     assert got.count() == 51 and got.where("duplicate_interval AND same_player_overlap").count() == 50 and seen.value == 51
+
+
+def test_a_task_meets_a_bounded_number_of_intervals(spark, monkeypatch):
+    """Partitions follow the number of intervals and are not joined at run time, however few bytes they have; the pairs stay the same."""
+    shifts = [(g, 1, 1, "skater", p, s, s + 45) for g in range(20) for p in range(5) for s in range(0, 200, 40)]
+    events = [(g, 1, 100 * g + s, s) for g in range(20) for s in range(0, 200, 7)]
+    a = spark.createDataFrame(events, "game_id int, period int, event_id int, t int")
+    b = spark.createDataFrame(shifts, "game_id int, period int, team_id int, role string, player_id int, start_s int, end_s int")
+    met = lambda: iv.point_in_islands(a, b, ["game_id", "period"], ["team_id", "role", "player_id"], bin_seconds=60)
+    few = met()
+    monkeypatch.setattr(iv, "TASK_ROWS", 25)
+    many = met()
+    assert few.rdd.getNumPartitions() == 4 and many.rdd.getNumPartitions() == 20
+    assert sorted(few.collect()) == sorted(many.collect()) and few.count() > 2000
