@@ -37,6 +37,16 @@ def _meetings(events: DataFrame, intervals: DataFrame, *more: str) -> DataFrame:
     return point_in_islands(points, intervals, ["game_id", "period"], ["team_id", "role", "player_id"], bin_seconds=BIN)
 
 
+def event_players(events: DataFrame, intervals: DataFrame, *more: str) -> DataFrame:
+    """(game_id, period, event_id, sec, more, definite, possible): the players of every event that has any, gathered where they meet it."""
+    definite = (F.col("start_s") < F.col("t")) & (F.col("t") < F.col("end_s"))
+    by = ["game_id", "period", "bin", "event_id", "t", *more]
+    found = _meetings(events, intervals, *more).groupBy(*by).agg(
+        F.collect_set(F.when(definite, F.col("player_id"))).alias("definite"), F.collect_set("player_id").alias("possible")
+    )
+    return found.drop("bin").withColumnRenamed("t", "sec")
+
+
 def lineup_counts(states: DataFrame) -> DataFrame:
     """Definite (before and after) and possible players by event, team and role."""
     return states.groupBy("game_id", "event_id", "team_id", "role").agg(

@@ -91,12 +91,15 @@ _MORE = r"""[^<>"']*+(?:(?:"[^"]*+"|'[^']*+')[^<>"']*+)*+>"""
 _FLAT_CELL = re.compile(rf"(<td{_MORE})([^<]*+)</td>")
 #: A tag of a page without quotes that stay open; texts between tags have no ``<``.
 _MARKUP = re.compile(rf"(<[/a-zA-Z]{_MORE})")
-#: The same, or a whole row of cells that hold text only.
-_ROWS = re.compile(rf"(<tr{_MORE}(?:<td{_MORE}[^<]*+</td>)++</tr>|<[/a-zA-Z]{_MORE})")
+_INLINE = rf"<td{_MORE}[^<]*+(?:</?[a-su-zA-SU-Z]{_MORE}[^<]*+)*+</td>"
+_INLINE_CELL = re.compile(_INLINE)
+_INNER = re.compile(rf"(<td{_MORE})(<table{_MORE})(<tr{_MORE})")
+#: The same, or whole: a row of cells that hold text only, a cell without a table's tags, a cell that holds a table of one row of these.
+_ROWS = re.compile(rf"(<tr{_MORE}(?:<td{_MORE}[^<]*+</td>)++</tr>|{_INLINE}|<td{_MORE}<table{_MORE}<tr{_MORE}(?:{_INLINE})*+</tr></table></td>|<[/a-zA-Z]{_MORE})")
 
 
 #: Kinds of what comes one after the other on a page.
-TEXT, CELL, ROW, BREAK, OTHER, END, FLAT = range(7)
+TEXT, CELL, ROW, BREAK, OTHER, END, FLAT, WHOLE, INNER = range(9)
 _Part = tuple[int, str, list | str | None]
 
 
@@ -144,12 +147,55 @@ def _flat(markup: str) -> _Part | None:
     return FLAT, markup, [start[0][2], [[t[0][2], text, []] for t, text in cells]]
 
 
+@lru_cache(maxsize=1 << 14)
+def _whole(markup: str) -> list[_Part] | None:
+    """A cell as one part, or its texts and tags where these open or close anything around it; None if a tag can't stand by itself."""
+    pieces = _MARKUP.split(markup)
+    parts: list[_Part] = []
+    for text, tag in zip(pieces[::2], [*pieces[1::2], None], strict=True):
+        if text:
+            parts.append((TEXT, _plain(text), None))
+        if tag is not None:
+            found = _tag(tag)
+            if found is None:
+                return None
+            parts += found
+    inside = []
+    for kind, name, _ in parts[1:-1]:
+        if kind == OTHER:
+            inside.append(name)
+        elif kind not in (TEXT, BREAK) and (kind != END or not inside or inside.pop() != name):
+            return parts
+    if inside or parts[0][:2] != (CELL, "td") or parts[-1][:2] != (END, "td"):
+        return parts
+    return [(WHOLE, markup, _read([(ROW, "tr", []), *parts])[0][1][0])]
+
+
+def _inner(markup: str) -> _Part | None:
+    """A cell that holds a table of one row of whole cells; None if its tags aren't what they look like."""
+    start = _INNER.match(markup)
+    cells = []
+    for text in _INLINE_CELL.findall(markup, start.end()):
+        found = _whole(text)
+        if not found or found[0][0] != WHOLE:
+            return None
+        cells.append(found[0][2])
+    tags = [_tag(t) for t in start.groups()]
+    if not all(tags) or [len(t) for t in tags] != [1, 1, 1]:
+        return None
+    (cell,), (table,), (row,) = tags
+    if cell[:2] != (CELL, "td") or table != (OTHER, "table", None) or row[0] != ROW:
+        return None
+    return INNER, markup, [row[2], cells, [cell[2], "".join([c[1] for c in cells]), [m for c in cells for m in c[2]]]]
+
+
 def _parts(html: str, markup: re.Pattern = _ROWS) -> list[_Part]:
     """A page's texts and tags.
 
-    Reports repeat few tags very often, so each is parsed once, and a row of cells
-    that hold text only is one part. A page on which that doesn't hold, with
-    comments, scripts or broken tags, is parsed as a whole.
+    Reports repeat few tags and cells very often, so each is parsed once, and a
+    row of cells that hold text only is one part, as is a cell without a table or
+    with one of one row. A page on which that doesn't hold, with comments, scripts or broken tags,
+    is parsed as a whole.
     """
     pieces = markup.split(html)
     parts: list[_Part] = []
@@ -164,7 +210,13 @@ def _parts(html: str, markup: re.Pattern = _ROWS) -> list[_Part]:
             if row is not None:
                 parts.append(row)
                 continue
-            found = _tag(tag)
+            if len(tag) < 6 or not tag.endswith("</td>"):
+                found = _tag(tag)
+            elif tag.endswith("</table></td>"):
+                inner = _inner(tag)
+                found = _parts(tag, _MARKUP) if inner is None else [inner]
+            else:
+                found = _whole(tag)
             if found is None:
                 break
             parts += found
@@ -183,6 +235,11 @@ def table_rows(html: str) -> list[tuple[list[str], list[list]]]:
     only, and to the ones around when these close. Cells and rows that a page
     leaves open close where their table's next one begins.
     """
+    return _read(_parts(html))
+
+
+def _read(parts: list[_Part]) -> list[tuple[list[str], list[list]]]:
+    """The table rows of a page's texts and tags."""
     rows: list[tuple[list[str], list[list]]] = []
     # of an open tag: name, its cell or title, pieces of text and marks if these are asked for, a table's surroundings
     opened: list[tuple] = []
@@ -224,6 +281,19 @@ def table_rows(html: str) -> list[tuple[list[str], list[list]]]:
                 rows.append((more[0], more[1]))
                 if opened and opened[-1][2] is not None:
                     opened[-1][2].extend([c[1] for c in more[1]])
+            elif kind == WHOLE or kind == INNER:
+                if cell >= 0:
+                    close(cell)
+                if row < 0:  # a cell of no row
+                    take(_parts(name, _MARKUP))
+                    continue
+                if kind == INNER:
+                    rows.append((more[0], more[1]))
+                    more = more[2]
+                cells.append(more)
+                if opened[-1][2] is not None:
+                    opened[-1][2].append(more[1])
+                    opened[-1][3].extend(more[2])
             elif kind == END:
                 for i in range(len(opened) - 1, -1, -1):
                     if opened[i][0] == name:
@@ -256,7 +326,8 @@ def table_rows(html: str) -> list[tuple[list[str], list[list]]]:
                     cell = row = -1
             elif opened and opened[-1][2] is not None:
                 opened[-1][2].append(" ")
-    take(_parts(html))
+
+    take(parts)
     close(0)
     return rows
 
@@ -280,8 +351,11 @@ def _cells_array(rows: list[list]) -> pa.Array:
     return pa.ListArray.from_arrays(of_rows, pa.StructArray.from_arrays(columns, ["classes", "text", "marks"]))
 
 
-def extract_table_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(key, row, classes, cells): every table row of every page, in order, with its own cells' classes, text and titled marks."""
+def extract_table_rows(pages: DataFrame, key: str = "page_id", html: str = "html", *, n_cells: int | None = None) -> DataFrame:
+    """(key, row, classes, cells): every table row of every page, in order, with its own cells' classes, text and titled marks.
+
+    With ``n_cells`` only rows of that many cells, numbered among all; the others don't leave the reader.
+    """
     slim = pages.select(key, html)
     kind = slim.schema[key].dataType.simpleString()
 
@@ -296,7 +370,7 @@ def extract_table_rows(pages: DataFrame, key: str = "page_id", html: str = "html
             kept = batch.schema.field(0).type
             for k, h in zip(batch.column(0), batch.column(1), strict=True):
                 k = k.as_py()
-                held += [(k, i, classes, cells) for i, (classes, cells) in enumerate(table_rows(h.as_py() or ""))]
+                held += [(k, i, classes, cells) for i, (classes, cells) in enumerate(table_rows(h.as_py() or "")) if n_cells is None or len(cells) == n_cells]
                 if len(held) >= HELD_ROWS:
                     yield sent()
                     held = []
@@ -346,12 +420,17 @@ def extract_on_ice_rows(rows: DataFrame, key: str = "page_id") -> DataFrame:
     """
     marked = rows.where(F.arrays_overlap("classes", F.array(F.lit("oddColor"), F.lit("evenColor"))) & (F.size("cells") == 8))
     text = lambda i: F.element_at("cells", i + 1)["text"]
-    player = lambda side, i: F.transform(F.element_at("cells", i + 1)["marks"], lambda m: F.struct(F.lit(side).alias("side"), m["text"].try_cast("int").alias("jersey"), F.when(m["title"].startswith("Goalie -"), "goalie").otherwise("skater").alias("role")))
+    side = lambda name, i: F.struct(F.lit(name).alias("side"), F.element_at("cells", i + 1)["marks"].alias("marks"))
+    # an event is read before its players are rows, so that it is read once
     typed = marked.select(
         key, text(0).try_cast("int").alias("report_event_id"), text(1).try_cast("int").alias("period"), clock_seconds(F.try_element_at(F.split(text(3), " "), F.lit(1))).alias("sec"),
-        report_event_type(text(4)).alias("event_type"), F.explode(F.concat(player("away", 6), player("home", 7))).alias("p"),
+        report_event_type(text(4)).alias("event_type"), F.array(side("away", 6), side("home", 7)).alias("_sides"),
     )
-    return typed.dropna(subset=["report_event_id", "period", "sec", "event_type"]).select(key, "report_event_id", "period", "sec", "event_type", "p.*")
+    event = [key, "report_event_id", "period", "sec", "event_type"]
+    sides = typed.dropna(subset=event[1:]).select(*event, F.explode("_sides").alias("s"))
+    players = sides.select(*event, F.col("s.side").alias("side"), F.explode("s.marks").alias("m"))
+    role = F.when(F.col("m.title").startswith("Goalie -"), "goalie").otherwise("skater")
+    return players.select(*event, "side", F.col("m.text").try_cast("int").alias("jersey"), role.alias("role"))
 
 
 def on_ice_rows(rows: DataFrame, roster: DataFrame) -> tuple[DataFrame, DataFrame]:

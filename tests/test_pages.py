@@ -84,3 +84,41 @@ def test_rows_read_by_memoised_tags_are_those_of_the_whole_parse():
             pages._parts = fast
     row = "<tr class='oddColor'><td>1</td><td>0:10 / 19:50</td></tr>"
     assert len(fast("<table>" + row * 1000 + "</table>")) == 1002
+
+
+def test_cells_read_as_one_part_are_those_of_the_whole_parse():
+    """Cells with marks, and cells with a table of one row of them, against one parse of the page; a report of line-ups has few parts."""
+    rng = random.Random(9)
+    mark = '<td align=c><font title="Center - P">7</font><br>C &amp; D</td>'
+    inner = f'<td class="o"><table><tr class="n">{mark}{mark}</tr></table></td>'
+    bits = [
+        mark, inner, inner.replace(mark, ""), inner.replace("<table>", "<table title='t'>"), inner.replace("</font>", ""), mark.replace("<font", "<b></i><font"), "<td><p title='a'>x</p></p></td>",
+        "<td/><table><tr></tr></table></td>", "<td>5</td>", "<td><a>x</td>", "<tr>", "<tr class=m>", "</tr>", "<table>", "</table>", "<td>", "</td>", "<p title='q'>", "</p>", "y", "<TD>", "<br>",
+        "<td><script>x</td></script></td>", "<td><textarea><b></td>", "<td title='z'>w</td>",
+    ]
+
+    def whole(html):
+        reader = pages._Parts()
+        reader.feed(html)
+        reader.close()
+        return reader.parts
+
+    fast = pages._parts
+    for n in range(6000):
+        html = "".join(rng.choice(bits[: 22 if n % 2 else None]) for _ in range(rng.randint(1, 25)))
+        got = pages.table_rows(html)
+        try:
+            pages._parts = lambda h, *_: whole(h)
+            assert pages.table_rows(html) == got, html
+        finally:
+            pages._parts = fast
+    row = f"<tr class='evenColor'><td>1</td><td>3:07<br>16:53</td>{inner}{inner}</tr>"
+    assert len(fast("<table>" + row * 100 + "</table>")) == 602
+
+
+def test_rows_of_other_lengths_do_not_leave_the_reader(spark):
+    html = "<table><tr class='evenColor'><td>1</td><td><table><tr><td>x</td></tr></table></td></tr><tr><td>2</td></tr><tr class=q><td>3</td><td>4</td></tr></table>"
+    df = spark.createDataFrame([(1, html)], "page_id int, html string")
+    every, some = pages.extract_table_rows(df), pages.extract_table_rows(df, n_cells=2)
+    assert every.count() == 4 and some.orderBy("row").collect() == every.where("size(cells) = 2").orderBy("row").collect()
+    assert [r.row for r in some.orderBy("row").collect()] == [0, 3]
