@@ -21,7 +21,7 @@ can count against toxicity.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,10 @@ STRETCHES = (1, 8, 16, 64)
 PAIR_STRENGTH, STRENGTH = 100_000.0, 30_000.0
 #: Low half of a packed pair of counts.
 LOW = (1 << 32) - 1
+#: Kinds of entries: a bigram's, a word's and a history's difference.
+PAIR, WORD, HISTORY = 0, 1, 2
+#: Keys in order and values of each kind.
+type Met = list[tuple[np.ndarray, np.ndarray]]
 
 
 def word_ids(part: Words) -> np.ndarray:
@@ -69,6 +73,14 @@ def _lookup(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, none: float
     return np.where(known[at] == keys, values[at], none)
 
 
+def _in(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """Whether a sorted table has the ``keys``."""
+    known = table[0]
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+
+
 def _table() -> tuple[np.ndarray, np.ndarray]:
     return np.zeros(0, np.int64), np.zeros(0, np.float32)
 
@@ -79,7 +91,8 @@ class Model:
 
     ``words`` has those of continuation by word (``unseen`` for all others),
     ``histories`` those of the weights that go to it, and ``pairs`` what a counted
-    bigram's difference is more than the two.
+    bigram's difference is more than the two. ``rest`` is the table of all entries
+    (kind, k, v) that these three don't hold; without it there are no more.
     """
 
     words: tuple[np.ndarray, np.ndarray] = field(default_factory=_table)
@@ -89,21 +102,41 @@ class Model:
     mean: np.ndarray = field(default_factory=lambda: np.zeros(len(STRETCHES) + 2))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(len(STRETCHES) + 2))
     bias: float = -10.0
+    rest: DataFrame | None = None
 
-    def differences(self, part: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Of every word: the bigram's difference, and the continuation's."""
+    def differences(self, part: Words, met: Met | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Of every word: the bigram's difference, and the continuation's; ``met`` are the rest's entries that the texts may hold."""
         ids = word_ids(part)
         before = histories(part, ids)
-        own = _lookup(self.words, ids, self.unseen)
-        return own + _lookup(self.histories, before) + _lookup(self.pairs, pair_ids(before, ids)), own
 
-    def evidence(self, texts: pa.Array) -> np.ndarray:
+        def of(table: tuple[np.ndarray, np.ndarray], kind: int, keys: np.ndarray, none: float = 0.0) -> np.ndarray:
+            if met is None:
+                return _lookup(table, keys, none)
+            known = _in(table, keys)
+            return np.where(known, _lookup(table, keys), _lookup(met[kind], keys, none))
+
+        own = of(self.words, WORD, ids, self.unseen)
+        return own + of(self.histories, HISTORY, before) + of(self.pairs, PAIR, pair_ids(before, ids)), own
+
+    def unsettled(self, part: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The entries that only the rest may hold: kind, key, and the text, counted from ``part.first``."""
+        ids, text = word_ids(part), part.text
+        before = histories(part, ids)
+        asked = [(PAIR, self.pairs, pair_ids(before, ids)), (WORD, self.words, ids), (HISTORY, self.histories, before)]
+        new = [(kind, keys, ~_in(table, keys)) for kind, table, keys in asked]
+        return (
+            np.concatenate([np.full(at.sum(), kind, np.int8) for kind, _, at in new]), np.concatenate([keys[at] for _, keys, at in new]),
+            np.concatenate([text[at] for _, _, at in new]),
+        )
+
+    def evidence(self, texts: pa.Array, met: Met | None = None) -> np.ndarray:
         """A row for each text: the bigrams' mean difference, the highest mean of a stretch of each length, log length."""
         out = np.zeros((len(texts), len(STRETCHES) + 2))
         for part in words(texts):
             if not len(part.ids):
                 continue
-            pair, _ = self.differences(part)
+            pair, _ = self.differences(part, met)
+            pair = pair.astype(np.float64)  # sums over a batch must not depend on what else is in it
             n = np.diff(part.splits)
             some = np.flatnonzero(n)
             row, many, start = part.first + some, n[some], part.splits[some]
@@ -238,13 +271,13 @@ def _sorted(rows: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
     return k[order], v[order]
 
 
-def learn(texts: DataFrame, *, keep_words: float = 1e-6, keep_pairs: float = 1e-5, pair_strength: float = PAIR_STRENGTH, strength: float = STRENGTH) -> Model:
-    """Both models' differences from ``texts`` (text, y), counted over all of them.
+def entries(texts: DataFrame, *, pair_strength: float = PAIR_STRENGTH, strength: float = STRENGTH) -> tuple[DataFrame, float] | None:
+    """(kind, k, v, share, often) of all that ``texts`` (text, y) hold, as a table in the shared folder, and an unseen word's difference.
 
-    An entry's weighted difference is its share of all words times what leaving
-    it out would change; entries of ``keep_words`` (``keep_pairs``) or more are
-    kept, and for the rest the models back off. So at most 1 / keep_words times
-    the mean difference of words are kept, however large the corpus.
+    ``v`` is the entry's difference, a bigram's what it is more than its word's
+    and its history's; ``often`` is its share of all words (a word's: of all
+    contexts), ``share`` that times what leaving the entry out would change. None
+    if a class has no words.
     """
     pairs = written(bigram_counts(texts))
     word, history = F.col("k").bitwiseAND(F.lit(LOW)), F.shiftrightunsigned("k", 32)
@@ -254,25 +287,46 @@ def learn(texts: DataFrame, *, keep_words: float = 1e-6, keep_pairs: float = 1e-
     followed = written(pairs.groupBy(history.alias("h")).agg(F.sum("n").alias("n01"), F.sum(each).alias("t01")))
     e = estimates(pairs, contexts, pair_strength, strength)
     if not (e.total[0] and e.total[1]):
-        return Model()  # without either class nothing tells them apart
+        return None  # without either class nothing tells them apart
     total = followed.agg(F.sum(_half("n01", 0) + _half("n01", 1))).first()[0]
     unseen = float(np.log(e.rest(1) / e.rest(0)))
     p = [e.continuation(_half("c01", c), F.col("c"), c) for c in (0, 1)]
     known = contexts.select("w", p[0].alias("p0"), p[1].alias("p1"), "c")
-    own = known.select(F.col("w").alias("k"), F.log(F.col("p1") / F.col("p0")).alias("v"), "c")
-    own = own.where(F.abs(F.col("v") - unseen) * F.col("c") >= keep_words * e.total[2])
+
+    def row(kind: int, k: Column, v: Column, change: Column, often: Column) -> list[Column]:
+        share = F.abs(change) * often
+        return [F.lit(kind).cast("byte").alias("kind"), k.alias("k"), v.cast("float").alias("v"), share.cast("float").alias("share"), often.cast("float").alias("often")]
+
+    v = F.log(F.col("p1") / F.col("p0"))
+    own = known.select(*row(WORD, F.col("w"), v, v - unseen, F.col("c") / e.total[2]))
     n, t = [_half("n01", c) for c in (0, 1)], [_half("t01", c) for c in (0, 1)]
     back = F.log(e.back(n[1], t[1], 1) / e.back(n[0], t[0], 0))
-    after = followed.select(F.col("h").alias("k"), back.alias("v"), (n[0] + n[1]).alias("n"))
-    after = after.where(F.abs("v") * F.col("n") >= keep_words * total)
-    # no difference of a bigram is over 30, so rarer ones can't weigh enough
-    often = pairs.where((_half("n", 0) + _half("n", 1)) * 30 >= keep_pairs * total).select("k", "n", word.alias("w"), history.alias("h"))
-    joined = often.join(known.drop("c"), "w").join(followed, "h")
+    after = followed.select(*row(HISTORY, F.col("h"), back, back, (n[0] + n[1]) / total))
+    joined = pairs.select("k", "n", word.alias("w"), history.alias("h")).join(known.drop("c"), "w").join(followed, "h")
     q = [e.pair(_half("n", c), n[c], t[c], F.col(f"p{c}"), c) for c in (0, 1)]
-    more = F.log(q[1] / q[0]) - F.log(F.col("p1") / F.col("p0")) - back
-    joined = joined.select("k", more.alias("v"), (_half("n", 0) + _half("n", 1)).alias("all"))
-    joined = joined.where(F.abs("v") * F.col("all") >= keep_pairs * total)
-    return Model(_sorted(own, "v"), _sorted(after, "v"), _sorted(joined, "v"), unseen)
+    more = F.log(q[1] / q[0]) - v - back
+    both = joined.select(*row(PAIR, F.col("k"), more, more, (_half("n", 0) + _half("n", 1)) / total))
+    return written(both.unionByName(own).unionByName(after)), unseen
+
+
+def learn(texts: DataFrame, *, keep_words: float = 1e-7, keep_pairs: float = 1e-7, pair_strength: float = PAIR_STRENGTH, strength: float = STRENGTH) -> Model:
+    """Both models' differences from ``texts`` (text, y), counted over all of them.
+
+    The model holds the entries whose share (see ``entries``) is ``keep_words``
+    (``keep_pairs``) or more, or that occur ten times as often; so at most
+    1 / keep_words times the mean difference of words and a tenth of that more,
+    however large the corpus. All others are its table ``rest``, which
+    ``evidence`` joins: the bounds decide what is broadcast, not what counts. 0
+    holds all.
+    """
+    found = entries(texts, pair_strength=pair_strength, strength=strength)
+    if found is None:
+        return Model()
+    table, unseen = found
+    keep = F.when(F.col("kind") == PAIR, keep_pairs).otherwise(keep_words)
+    held = (F.col("share") >= keep) | (F.col("often") >= 10 * keep)
+    parts = {kind: _sorted(table.where(held & (F.col("kind") == kind)), "v") for kind in (WORD, HISTORY, PAIR)}
+    return Model(parts[WORD], parts[HISTORY], parts[PAIR], unseen, rest=table.where(~held).select("kind", "k", "v"))
 
 
 def calibrate(model: Model, x: np.ndarray, y: np.ndarray, at: float) -> None:
@@ -308,14 +362,14 @@ def calibrate(model: Model, x: np.ndarray, y: np.ndarray, at: float) -> None:
 BROADCAST_ROWS = 1_000_000
 
 
-def fit(documents: DataFrame, labels: DataFrame, *, folds: int = 3, held: int = 1, at: float = 0.7, sample: int = 4000, keep_words: float = 1e-6, keep_pairs: float = 1e-5) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, *, folds: int = 3, held: int = 1, at: float = 0.7, sample: int = 4000, keep_words: float = 1e-7, keep_pairs: float = 1e-7) -> Model:
     """Models from the labelled documents outside the held-out fold.
 
     A fifth of them, chosen by a hash of the id, is left out of the counts; on at
     most ``sample`` of these a class the curve is fitted that turns evidence into
     a probability. Counts come from all the others. ``keep_words`` and
-    ``keep_pairs`` are ``learn``'s bounds of what is broadcast; 0 keeps all, for
-    vocabularies that fit in memory.
+    ``keep_pairs`` are ``learn``'s bounds of what is broadcast; what they leave
+    out is joined. 0 broadcasts all, for vocabularies that fit in memory.
     """
     known = training_labels(labels, "toxic", fold(F.col("doc_id"), folds) != held)
     known = known.withColumn("apart", F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(5)) == 0)
@@ -331,23 +385,108 @@ def fit(documents: DataFrame, labels: DataFrame, *, folds: int = 3, held: int =
     return model
 
 
-def evidence(documents: DataFrame, model: Model, *, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep``, evidence and score of every document. Null and empty texts have no evidence, and score as it is."""
-    sent = documents.sparkSession.sparkContext.broadcast(model)  # see learn() for its bound
+#: Bytes of text that meet their entries of the rest together.
+BLOCK = 16 << 20
+
+
+def asked(blocks: DataFrame, model: Model, *, held: int = HELD) -> DataFrame:
+    """(kind, k, block): the entries of ``blocks`` (block, text) that only the model's rest may hold.
+
+    A task takes ``held`` words' together, and passes on each once for a block.
+    """
+    sent = blocks.sparkSession.sparkContext.broadcast(replace(model, rest=None))
+
+    def distinct(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        kind, k, block = (np.concatenate(x) for x in zip(*found, strict=True))
+        mixed = (k.view(np.uint64) ^ (block.astype(np.uint64) << np.uint64(2) | kind.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+        order = np.argsort(mixed)  # equal ones come together; others that do are told apart
+        kind, k, block = kind[order], k[order], block[order]
+        new = np.concatenate([[True], (k[1:] != k[:-1]) | (block[1:] != block[:-1]) | (kind[1:] != kind[:-1])])
+        return pa.RecordBatch.from_arrays([pa.array(x[new]) for x in (kind, k, block)], ["kind", "k", "block"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, n = [], 0
+        for batch in batches:
+            block = batch.column(0).to_numpy(zero_copy_only=False)
+            for part in words(batch.column(1)):
+                kind, k, text = sent.value.unsettled(part)
+                if len(k):
+                    found.append((kind, k, block[part.first + text]))
+                    n += len(k)
+                if n >= held:
+                    yield distinct(found)
+                    found, n = [], 0
+        if found:
+            yield distinct(found)
+
+    return blocks.select("block", "text").mapInArrow(run, "kind byte, k long, block int")
+
+
+def evidence(documents: DataFrame, model: Model, *, keep: tuple[str, ...] = ("doc_id",), block_bytes: int = BLOCK) -> DataFrame:
+    """The columns ``keep``, evidence and score of every document. Null and empty texts have no evidence, and score as it is.
+
+    Entries that the model doesn't hold are joined: rows are dealt to blocks of
+    about ``block_bytes`` by a hash, each block asks the model's rest for what its
+    texts have, and a task reads a block's answers, then its texts, row after row.
+    """
+    sent = documents.sparkSession.sparkContext.broadcast(replace(model, rest=None))  # see learn() for its bound
     slim = documents.select(*keep, "text")
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema[:-1]]
-    drop = len(keep)
+    schema = ", ".join([*columns, "evidence array<double>", "score double"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scored(rows: pa.RecordBatch, met: Met | None) -> pa.RecordBatch:
+        found = sent.value.evidence(rows.column("text"), met)
+        flat = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), found.shape[1]).cast(pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays([*(rows.column(c) for c in keep), flat, pa.array(sent.value.score(found))], [*keep, "evidence", "score"])
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = sent.value.evidence(batch.column(drop))
-            flat = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), found.shape[1]).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:drop], flat, pa.array(sent.value.score(found))], [*keep, "evidence", "score"])
+            yield scored(batch, None)
 
-    return slim.mapInArrow(run, ", ".join([*columns, "evidence array<double>", "score double"]))
+    if model.rest is None:
+        return slim.mapInArrow(held, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, answers, met = None, [], None
+        for batch in batches:
+            block, kind = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            turn = block.astype(np.int64) * 2 + (kind < 0)  # a block's texts, of kind -1, come after its answers
+            cuts = [0, *(np.flatnonzero(np.diff(turn)) + 1), len(turn)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                rows = batch.slice(a, b - a)
+                if b > a and block[a] != now:
+                    now, answers, met = block[a], [], None
+                if b > a and kind[a] >= 0:
+                    answers.append([rows.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3)])
+                elif b > a:
+                    if met is None:
+                        met, answers = _met(answers), []
+                    yield scored(rows, met)
+
+    size = slim.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n = max(1, -(-size // block_bytes))
+    block = F.pmod(F.xxhash64(*keep, "text"), F.lit(n)).cast("int")
+    answers = asked(slim.select(block.alias("block"), "text"), model).join(model.rest, ["kind", "k"])
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in slim.schema]
+    texts = slim.select(block.alias("#block"), F.lit(-1).cast("byte").alias("#kind"), F.lit(0).cast("long").alias("#k"), F.lit(0).cast("float").alias("#v"), *keep, "text")
+    both = answers.select("block", "kind", "k", "v", *nothing).toDF(*texts.columns).unionByName(texts)
+    return both.repartition(n, "#block").sortWithinPartitions("#block", F.col("#kind").desc()).mapInArrow(run, schema)
+
+
+def _met(answers: list[list[np.ndarray]]) -> Met:
+    """Answers (kind, key, value) as a sorted table of each kind."""
+    if not answers:
+        return [_table() for _ in range(3)]
+    kind, k, v = (np.concatenate(x) for x in zip(*answers, strict=True))
+    out = []
+    for i in range(3):
+        own = np.flatnonzero(kind == i)
+        own = own[np.argsort(k[own], kind="stable")]
+        out.append((k[own], v[own]))
+    return out
 
 
-def classify(documents: DataFrame, labels: DataFrame, *, folds: int = 3, held: int = 1, threshold: float = 0.7, keep_words: float = 1e-6, keep_pairs: float = 1e-5) -> DataFrame:
+def classify(documents: DataFrame, labels: DataFrame, *, folds: int = 3, held: int = 1, threshold: float = 0.7, keep_words: float = 1e-7, keep_pairs: float = 1e-7) -> DataFrame:
     """doc_id, held_out, score and predicted of every document, repeated rows and null ids included.
 
     Labels are learnt outside the held-out fold only; neither they nor lang,
